@@ -1,0 +1,87 @@
+"""Broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructType,
+)
+
+# Budget for one broadcast side when nothing else is configured (bytes).
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_row_bytes(schema: StructType) -> int:
+    """A pessimistic fixed width per row (strings counted at 48 bytes)."""
+    width = 16  # row header / hash-table entry overhead
+    for field in schema.fields:
+        t = field.dataType
+        if isinstance(t, (BooleanType, ByteType)):
+            width += 1
+        elif isinstance(t, ShortType):
+            width += 2
+        elif isinstance(t, (IntegerType, DateType, FloatType)):
+            width += 4
+        elif isinstance(t, (LongType, DoubleType)):
+            width += 8
+        elif isinstance(t, DecimalType):
+            width += 16
+        elif isinstance(t, StringType):
+            width += 48
+        else:
+            width += 64
+    return width
+
+
+def broadcast_budget(df: DataFrame) -> int:
+    """Byte budget for a broadcast side: the session's auto-broadcast
+    threshold when it is larger than ours, else our default."""
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        configured = int(str(raw).lower().rstrip("b"))
+    except ValueError:
+        configured = -1
+    return max(configured, DEFAULT_BROADCAST_BYTES)
+
+
+def row_bound(df: DataFrame, max_bytes: int | None = None) -> int:
+    """Most rows of ``df`` that fit the broadcast budget."""
+    budget = max_bytes if max_bytes is not None else broadcast_budget(df)
+    return max(1, budget // estimated_row_bytes(df.schema))
+
+
+def fits_broadcast(df: DataFrame, rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` is proven to fit the budget.
+
+    ``rows`` is a row count the caller already knows; without it the check
+    is ``df.limit(bound + 1).count()``, which stops reading once the bound is
+    passed, so it costs at most ``bound + 1`` rows however big ``df`` is.
+    """
+    bound = row_bound(df, max_bytes)
+    if rows is None:
+        rows = df.limit(bound + 1).count()
+    return rows <= bound
+
+
+def maybe_broadcast(df: DataFrame, rows: int | None = None, decision: bool | None = None) -> DataFrame:
+    """``broadcast(df)`` when the size check passes (or ``decision`` forces it),
+    else ``df`` unchanged so the join shuffles."""
+    if decision is None:
+        decision = fits_broadcast(df, rows)
+    return F.broadcast(df) if decision else df
+
+
+def count_upto(df: DataFrame, limit: int) -> int:
+    """``min(rows, limit + 1)``: a scan that stops once the bound is passed."""
+    return df.limit(limit + 1).count()

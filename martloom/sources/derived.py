@@ -1,0 +1,364 @@
+"""Source, target and dimension tables derived from the driver's TPC-H-style data.
+
+The loads need a "source" with change timestamps, a "target" as it stood
+before the run, a calendar and lookup dimensions. These views build them
+from ``customer``, ``supplier``, ``orders`` and ``events`` with fixed
+rules, so every load reads whole tables and grows with them. The id
+arithmetic below only decides *which* rows already exist in a target or
+carry a status (the prior state of the mart); no rule drops or caps rows
+to make a query cheaper.
+
+Fixed parameters shared with the DuckDB oracle SQL:
+    window start  lo      = 2024-01-20 00:00:00
+    run timestamp run_ts  = 2024-02-01 00:00:00
+    source change time    = date '2024-01-01' + (id % 30) days
+    target change time    = date '2024-01-01' + (id % 20) days
+    day-number calendar key = days since 1990-01-01; day-of-month 13 missing
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+LO = "2024-01-20 00:00:00"
+RUN_TS = "2024-02-01 00:00:00"
+CAL_BASE = "1990-01-01"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _day(base: str, days: Column) -> Column:
+    return F.date_add(F.lit(base).cast("date"), days.cast("int"))
+
+
+def _changed(c: Column, modulo: int) -> Column:
+    return _day("2024-01-01", c % modulo).cast("timestamp_ntz")
+
+
+def up(c: Column) -> Column:
+    """Change time of a source row."""
+    return _changed(c, 30)
+
+
+def upt(c: Column) -> Column:
+    """Change time of a target row (always before the window)."""
+    return _changed(c, 20)
+
+
+def _floor_div(c: Column, d: int) -> Column:
+    return F.floor(c / F.lit(d)).cast("bigint")
+
+
+def _null(t: str) -> Column:
+    return F.lit(None).cast(t)
+
+
+# --------------------------------------------------------------------- company
+
+def company_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        c.cast("bigint").alias("spls_cmpy_id"),
+        F.when(c % 7 == 0, _null("bigint")).otherwise(_floor_div(c, 10)).alias("parnt_cmpy_id"),
+        F.when(c % 5 == 0, _null("bigint")).otherwise(_floor_div(c, 100)).alias("ultmt_parnt_cmpy_id"),
+        F.col("c_name").alias("cmpy_nm"),
+        _null("string").alias("website_url_txt"),
+        F.col("c_mktsegment").alias("sic_cd"),
+        _null("string").alias("naics_cd"),
+        _null("string").alias("naics_dscr"),
+        F.col("c_nationkey").cast("bigint").alias("emp_tot_cnt"),
+        _null("bigint").alias("hrc_lvl_nmb"),
+        _null("string").alias("hrc_src_typ_cd"),
+        _null("string").alias("hrc_to_revw_ind"),
+        _null("string").alias("mltpl_parnt_ind"),
+        F.when(c % 11 == 5, F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
+        up(c).alias("row_updt_tms"),
+    )
+
+
+def company_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").filter(c % 3 != 0).select(
+        (c + 1).cast("bigint").alias("spls_cmpy_ky"),
+        c.cast("bigint").alias("spls_cmpy_id"),
+        F.when(c % 7 == 0, F.lit(0)).when(c % 4 == 1, F.lit(-1)).otherwise(_floor_div(c, 10) + 1)
+        .cast("bigint").alias("parnt_cmpy_ky"),
+        F.when(c % 5 == 0, F.lit(0)).otherwise(_floor_div(c, 100) + 1).cast("bigint").alias("ultmt_parnt_cmpy_ky"),
+        _null("string").alias("cmpy_nm"),
+        _null("string").alias("website_url_txt"),
+        _null("string").alias("sic_cd"),
+        _null("string").alias("naics_cd"),
+        _null("string").alias("naics_dscr"),
+        _null("bigint").alias("emp_tot_cnt"),
+        _null("bigint").alias("hrc_lvl_nmb"),
+        _null("string").alias("hrc_src_typ_cd"),
+        _null("string").alias("hrc_to_revw_ind"),
+        _null("string").alias("mltpl_parnt_ind"),
+        upt(c).alias("row_insrt_tms"),
+        upt(c).alias("row_updt_tms"),
+        F.lit("NEW").alias("row_stat_cd"),
+    )
+
+
+# ------------------------------------------------------------ shared dimensions
+
+def site_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        (s + 1).cast("bigint").alias("spls_site_ky"),
+        s.cast("bigint").alias("spls_site_id"),
+        F.when(s % 10 == 3, F.lit("DEL")).when(s % 10 == 7, _null("string")).otherwise(F.lit("NEW"))
+        .alias("row_stat_cd"),
+    )
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = (
+        table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("cld_dt"))
+        .union(table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("cld_dt")))
+        .filter(F.col("cld_dt").isNotNull() & (F.dayofmonth("cld_dt") != 13))
+        .distinct()
+    )
+    return dates.select(
+        "cld_dt",
+        F.datediff(F.col("cld_dt"), F.lit(CAL_BASE).cast("date")).cast("bigint").alias("tm_ky"),
+    )
+
+
+# ----------------------------------------------------------------------- email
+
+def _email_common(e: Column) -> list[Column]:
+    sent = F.col("ts").cast("date")
+    return [
+        (e + 1).cast("bigint").alias("eml_ky"),
+        F.concat((F.lit(1) + e % 6).cast("string"), F.lit("F")).alias("src_cd"),
+        sent.alias("sent_dt"),
+    ]
+
+
+def email_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    sent = F.col("ts").cast("date")
+    return table(spark, sf_dir, "events").select(
+        *_email_common(e),
+        e.cast("bigint").alias("eml_id"),
+        F.date_add(sent, (F.lit(1) + e % 5).cast("int")).alias("allctn_strt_dt"),
+        F.date_add(sent, (F.lit(10) + e % 5).cast("int")).alias("allctn_end_dt"),
+        F.when(e % 8 == 0, _null("date")).otherwise(F.date_sub(sent, (e % 9).cast("int"))).alias("last_ord_dt"),
+        F.col("user_id").cast("bigint").alias("fsc_ytd_ordr_cnt"),
+        _null("bigint").alias("pr_12_prds_ordr_cnt"),
+        F.col("value").alias("pr_3_prds_rvn_amt"),
+        _null("double").alias("pr_12_prds_rvn_amt"),
+        F.col("event_type").alias("sls_rep_nm"),
+        F.when(e % 13 == 6, F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
+        up(e).alias("row_updt_tms"),
+    )
+
+
+def email_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").filter(e % 3 != 0).select(
+        (e + 1).cast("bigint").alias("eml_promo_ky"),
+        *_email_common(e),
+        _null("bigint").alias("sent_tm_ky"),
+        _null("bigint").alias("allctn_strt_tm_ky"),
+        _null("date").alias("allctn_strt_dt"),
+        _null("bigint").alias("allctn_end_tm_ky"),
+        _null("date").alias("allctn_end_dt"),
+        _null("string").alias("sls_rep_nm"),
+        _null("bigint").alias("last_ord_tm_ky"),
+        _null("date").alias("last_ord_dt"),
+        _null("bigint").alias("fsc_ytd_ord_cnt"),
+        _null("bigint").alias("pr_12_prds_ord_cnt"),
+        _null("double").alias("pr_3_prds_rvn_amt"),
+        _null("double").alias("pr_12_prds_rvn_amt"),
+        upt(e).alias("row_insrt_tms"),
+        upt(e).alias("row_updt_tms"),
+        F.lit("NEW").alias("row_stat_cd"),
+    )
+
+
+# ---------------------------------------------------------------------- direct
+
+def direct_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = F.col("o_orderkey")
+    promo = F.col("o_orderdate").cast("date")
+    return table(spark, sf_dir, "orders").select(
+        o.alias("o_orderkey"),
+        F.col("o_custkey").cast("bigint").alias("spls_prsn_id"),
+        F.concat(F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus")).alias("src_cd"),
+        promo.alias("promo_dt"),
+        F.when(o % 9 == 0, _null("bigint")).otherwise(o % 150).cast("bigint").alias("spls_site_id"),
+        F.date_add(promo, (o % 4).cast("int")).alias("drop_dt"),
+        F.date_add(promo, 7).alias("allctn_strt_dt"),
+        F.date_add(promo, 21).alias("allctn_end_dt"),
+        F.when(o % 6 == 0, _null("date")).otherwise(F.date_sub(promo, (o % 30).cast("int"))).alias("last_ord_dt"),
+        F.col("o_orderpriority").alias("promo_typ_cd"),
+        _null("string").alias("pdt_prmry_ctgry_nm"),
+        _null("bigint").alias("fsc_ytd_ordr_cnt"),
+        _null("bigint").alias("pr_12_prds_ordr_cnt"),
+        F.col("o_totalprice").alias("pr_3_prds_rvn_amt"),
+        _null("double").alias("pr_12_prds_rvn_amt"),
+        _null("string").alias("sls_rep_nm"),
+        F.when(o % 17 == 4, F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
+        up(o).alias("row_updt_tms"),
+    )
+
+
+DIRECT_KEY = ["spls_prsn_id", "src_cd", "promo_dt"]
+
+
+def direct_src(spark: SparkSession, sf_dir: str, keep_orderkey: bool = False) -> DataFrame:
+    """``direct_raw`` with one row per natural key: the highest order key wins."""
+    from martloom.operators.guards import dedupe_newest
+
+    out = dedupe_newest(direct_raw(spark, sf_dir), DIRECT_KEY, ["o_orderkey"])
+    return out if keep_orderkey else out.drop("o_orderkey")
+
+
+def direct_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = F.col("o_orderkey")
+    src = direct_src(spark, sf_dir, keep_orderkey=True).filter(o % 3 != 0)
+    return src.select(
+        (o + 1).cast("bigint").alias("drct_ml_promo_ky"),
+        "src_cd",
+        "spls_prsn_id",
+        F.when(o % 2 == 0, F.lit(-1)).otherwise(F.coalesce(F.col("spls_site_id") + 1, F.lit(0)))
+        .cast("bigint").alias("spls_site_ky"),
+        "promo_dt",
+        _null("bigint").alias("drop_tm_ky"),
+        _null("date").alias("drop_dt"),
+        _null("bigint").alias("allctn_strt_tm_ky"),
+        _null("date").alias("allctn_strt_dt"),
+        _null("bigint").alias("allctn_end_tm_ky"),
+        _null("date").alias("allctn_end_dt"),
+        _null("bigint").alias("last_ord_tm_ky"),
+        _null("date").alias("last_ord_dt"),
+        _null("string").alias("promo_typ_cd"),
+        _null("string").alias("pdt_prmry_ctgry_nm"),
+        _null("bigint").alias("fsc_ytd_ord_cnt"),
+        _null("bigint").alias("pr_12_prds_ord_cnt"),
+        _null("double").alias("pr_3_prds_rvn_amt"),
+        _null("double").alias("pr_12_prds_rvn_amt"),
+        _null("string").alias("sls_rep_nm"),
+        upt(o).alias("row_updt_tms"),
+        upt(o).alias("row_insrt_tms"),
+        F.lit("NEW").alias("row_stat_cd"),
+    )
+
+
+def direct_raw_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``direct_raw`` where some keys are NULL (person for order keys % 97 = 0,
+    source code for % 89 = 0): input for the NULL-key guard."""
+    o = F.col("o_orderkey")
+    return direct_raw(spark, sf_dir).select(
+        "o_orderkey",
+        F.when(o % 97 == 0, _null("bigint")).otherwise(F.col("spls_prsn_id")).alias("spls_prsn_id"),
+        F.when(o % 89 == 0, _null("string")).otherwise(F.col("src_cd")).alias("src_cd"),
+        "promo_dt",
+        "row_stat_cd",
+        "row_updt_tms",
+    )
+
+
+# -------------------------------------------------------------------- taxonomy
+
+def cust_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        F.when(s % 2 == 0, F.lit("SHIPTO")).otherwise(F.lit("SOLDTO")).alias("cust_lvl"),
+        (s + 1).cast("bigint").alias("spls_site_ky"),
+        F.col("s_nationkey").cast("bigint").alias("mstr_cust_ky"),
+    )
+
+
+def eml_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").filter(e % 4 != 0).select(
+        e.cast("bigint").alias("eml_id"), (e + 1).cast("bigint").alias("eml_ky")
+    )
+
+
+def usr_eml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    e = F.col("event_id")
+    first = ev.select((e + 1).cast("bigint").alias("eml_ky"), F.col("user_id").cast("bigint").alias("oms_usr_ky"))
+    second = ev.filter(e % 2 == 0).select(
+        (e + 1).cast("bigint").alias("eml_ky"), (F.col("user_id") + 1000).cast("bigint").alias("oms_usr_ky")
+    )
+    return first.unionByName(second)
+
+
+def usr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("oms_usr_ky"),
+        F.col("c_nationkey").cast("bigint").alias("mstr_cust_ky"),
+    )
+
+
+def txn_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = (
+        direct_src(spark, sf_dir).select("src_cd")
+        .union(email_src(spark, sf_dir).select("src_cd"))
+        .union(spark.range(1).select(F.lit("ZZ").alias("src_cd")))
+        .distinct()
+    )
+    code = F.col("src_cd")
+    shift = F.ascii(code)
+    return codes.select(
+        code,
+        F.substring(code, 1, 1).alias("pgm_cd"),
+        F.concat(F.lit("Program "), F.substring(code, 1, 1)).alias("pgm_nm"),
+        _null("string").alias("cmpgn_cd"),
+        _null("string").alias("cmpgn_nm"),
+        _null("string").alias("cmpgn_typ_nm"),
+        _null("string").alias("vrsn_cd"),
+        _null("string").alias("vrsn_desc"),
+        _null("string").alias("vrsn_frmt_nm"),
+        _null("string").alias("segmt_cd"),
+        _null("string").alias("segmt_nm"),
+        _null("string").alias("chnnl_cd"),
+        _null("string").alias("chnnl_nm"),
+        _null("string").alias("cst_per_piece_ind"),
+        _null("string").alias("test_cmpgn_ind"),
+        _day("1995-01-01", shift).alias("cmpgn_strt_dt"),
+        _day("1995-06-01", shift).alias("cmpgn_end_dt"),
+        _day("1995-03-01", shift).alias("drp_dt"),
+        _null("string").alias("pdt_prmry_ctgry_nm"),
+        F.when(code == "2P", F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
+        F.when(code == "1O", F.lit("2024-01-05 00:00:00")).otherwise(F.lit("2024-01-25 00:00:00"))
+        .cast("timestamp_ntz").alias("row_updt_tms"),
+    )
+
+
+def txn_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes ending in F plus '1O', numbered in code order. The set is bounded
+    by the number of distinct codes (a handful), so the single-partition
+    row_number here is over a tiny relation."""
+    from pyspark.sql import Window
+
+    src = txn_src(spark, sf_dir).filter(F.col("src_cd").endswith("F") | (F.col("src_cd") == "1O"))
+    w = Window.orderBy("src_cd")
+    cols = [c for c in src.columns if c not in ("pgm_nm", "row_stat_cd", "row_updt_tms")]
+    return src.select(
+        F.row_number().over(w).cast("bigint").alias("src_txnmy_ky"),
+        *[F.col(c) for c in cols if c not in ("cmpgn_strt_dt", "cmpgn_end_dt", "drp_dt", "pdt_prmry_ctgry_nm")],
+        F.lit("old").alias("pgm_nm"),
+        _null("bigint").alias("cmpgn_strt_tm_ky"),
+        "cmpgn_strt_dt",
+        _null("bigint").alias("cmpgn_end_tm_ky"),
+        "cmpgn_end_dt",
+        _null("bigint").alias("drp_tm_ky"),
+        "drp_dt",
+        "pdt_prmry_ctgry_nm",
+        F.lit(0).cast("bigint").alias("promo_site_cnt"),
+        F.lit(0).cast("bigint").alias("promo_usr_cnt"),
+        F.lit(0).cast("bigint").alias("promo_mstr_cust_cnt"),
+        F.lit(0).cast("bigint").alias("promo_eml_cnt"),
+        F.lit("2024-01-02 00:00:00").cast("timestamp_ntz").alias("row_updt_tms"),
+        F.lit("2024-01-02 00:00:00").cast("timestamp_ntz").alias("row_insrt_tms"),
+        F.lit("NEW").alias("row_stat_cd"),
+    )
