@@ -38,8 +38,14 @@ def advance_high_water(old: int, new_max: int | None) -> int:
     return old if new_max is None else max(int(old), int(new_max))
 
 
+# Most rows numbered in one task when the caller proves the key set is at
+# most this big (e.g. from the delta's exact row count).
+SMALL_KEY_SET = 1_000_000
+
+
 def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_water: int, *,
-                          num_partitions: int | None = None, method: str = "ranged") -> KeyAssignment:
+                          num_partitions: int | None = None, method: str = "auto",
+                          max_rows: int | None = None) -> KeyAssignment:
     """Number every row of ``df`` densely from ``high_water + 1`` in ``order_by`` order.
 
     ``method="ranged"`` (default) never brings the rows into one partition:
@@ -54,11 +60,24 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_
        broadcast of the offsets (one row per partition: a proven bound).
 
     ``method="window"`` is the textbook ``row_number() over (order by ...)``,
-    which Spark runs in a single partition; it exists to cross-check the
-    ranged method in tests.
+    which Spark runs in a single partition, then checkpointed.
+
+    ``method="small"`` is the same window without the checkpoint, for a key
+    set with *unique* order keys and a proven bound: a total order makes
+    ``row_number`` deterministic, so recomputation (a retried task, a second
+    use of the result) gives the same keys. ``method="auto"`` (default) picks
+    it when ``max_rows`` (an upper bound the caller knows, such as the delta's
+    exact row count) is at most ``SMALL_KEY_SET``, else the ranged method.
     """
     order = list(order_by)
     spark = df.sparkSession
+    if method == "auto":
+        method = "small" if max_rows is not None and max_rows <= SMALL_KEY_SET else "ranged"
+    if method == "small":
+        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        keyed = df.withColumn(sk, (F.lit(high_water) + F.row_number().over(w)).cast("bigint"))
+        n = df.count()
+        return KeyAssignment(keyed, n, advance_high_water(high_water, high_water + n if n else None))
     if method == "window":
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
         checkpoint_dir(spark)

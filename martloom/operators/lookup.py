@@ -64,5 +64,5 @@ def resolve_date_keys(df: DataFrame, calendar: DataFrame, roles: Mapping[str, st
         c = cal.select(F.col("_cal_dt").alias(f"_cal_dt_{out_col}"), F.col("_cal_ky").alias(out_col))
         if broadcast:
             c = F.broadcast(c)
-        out = out.join(c, out[role_date] == F.col(f"_cal_dt_{out_col}"), "left").drop(f"_cal_dt_{out_col}")
-    return out
+        out = out.join(c, out[role_date] == F.col(f"_cal_dt_{out_col}"), "left")
+    return out.drop(*[f"_cal_dt_{o}" for o in roles.values()])

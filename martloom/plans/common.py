@@ -88,7 +88,7 @@ def mint_keys(prepared: PreparedDelta, target: DataFrame, key: Sequence[str], sk
     """Dense keys for the delta's unseen natural keys, in natural-key order."""
     clean_rows = prepared.profile.rows - prepared.profile.null_keys
     fresh = new_keys(prepared.delta, target, key, delta_rows=clean_rows, carry=carry)
-    return assign_surrogate_keys(fresh, key, sk, high_water)
+    return assign_surrogate_keys(fresh, key, sk, high_water, max_rows=clean_rows)
 
 
 def attach_new_keys(df: DataFrame, keys: KeyAssignment, key: Sequence[str], sk: str) -> DataFrame:

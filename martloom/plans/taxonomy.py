@@ -73,13 +73,13 @@ def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame) -> DataFra
     d = direct.select("src_cd", *[F.col(c).alias(f"_d_{c}") for c in direct.columns if c != "src_cd"])
     e = email.select("src_cd", *[F.col(c).alias(f"_e_{c}") for c in email.columns if c != "src_cd"])
     out = df.join(d, on="src_cd", how="left").join(e, on="src_cd", how="left")
-    return (
-        out.withColumn("promo_site_cnt", F.col("_d_promo_site_cnt"))
-        .withColumn("promo_usr_cnt", F.col("_d_promo_usr_cnt"))
-        .withColumn("promo_mstr_cust_cnt", F.coalesce(F.col("_d_promo_mstr_cust_cnt"),
-                                                      F.col("_e_promo_mstr_cust_cnt")))
-        .withColumn("promo_eml_cnt", F.col("_e_promo_eml_cnt"))
-        .drop(*[c for c in out.columns if c.startswith("_d_") or c.startswith("_e_")])
+    keep = [F.col(c) for c in df.columns if c not in COUNTS]
+    return out.select(
+        *keep,
+        F.col("_d_promo_site_cnt").alias("promo_site_cnt"),
+        F.col("_d_promo_usr_cnt").alias("promo_usr_cnt"),
+        F.coalesce(F.col("_d_promo_mstr_cust_cnt"), F.col("_e_promo_mstr_cust_cnt")).alias("promo_mstr_cust_cnt"),
+        F.col("_e_promo_eml_cnt").alias("promo_eml_cnt"),
     )
 
 

@@ -26,8 +26,17 @@ RUN_TS = "2024-02-01 00:00:00"
 CAL_BASE = "1990-01-01"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; the resolved relation is reused within a session so
+    repeated views do not list files and read footers again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _day(base: str, days: Column) -> Column:
