@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from martloom.operators.guards import GuardError, check_surrogate_keys
 from martloom.plans.common import JobResult
 from martloom.sources.control import LoadWindow
 from martloom.sources.snapshot import SnapshotStore, TableState
@@ -28,13 +29,19 @@ class RunReport:
 
 def run_load(store: SnapshotStore, process: str, counter: str,
              job: Callable[[DataFrame, LoadWindow, int], JobResult], *, schema: StructType,
-             initial_high_water: int | None = None, now: datetime | None = None) -> RunReport:
+             initial_high_water: int | None = None, now: datetime | None = None,
+             surrogate_key: str | None = None, check_keys: bool = False,
+             extra_stats: dict[str, int] | None = None) -> RunReport:
     """One incremental run.
 
     * first run (no committed state): empty target of ``schema``, counter
       ``initial_high_water`` (required, like a registry row), window from epoch;
     * later runs: the committed version, its counter (missing counter = error,
       before anything is written) and ``lo`` = the last committed ``run_ts``.
+
+    Before the commit the written version is checked: rows = previous rows +
+    inserts (G5) and, with ``check_keys``, surrogate keys unique, positive and
+    within the new high-water mark (G3; one aggregation over the key column).
     """
     state = store.state()
     spark = store.spark
@@ -49,9 +56,20 @@ def run_load(store: SnapshotStore, process: str, counter: str,
         target = store.read(schema)
         high_water, version, committed = state.high_water[counter], state.version, state.committed_run_ts
     window = LoadWindow.open(process, committed, now)
+    # Parquet answers a plain count from file footers, without reading rows
+    target_rows = target.count()
     result = job(target, window, high_water)
     stats = {"delta_rows": result.profile.rows, "quarantined": result.profile.null_keys,
-             "new_keys": result.assigned}
+             "new_keys": result.assigned, "rows": target_rows + result.assigned, **(extra_stats or {})}
+
+    def verify(written: DataFrame) -> None:
+        # G5 row conservation: a merge never drops or duplicates target rows
+        rows = written.count()
+        if rows != target_rows + result.assigned:
+            raise GuardError(f"{process}: wrote {rows} rows, expected {target_rows} + {result.assigned} inserts")
+        if check_keys:
+            check_surrogate_keys(written, surrogate_key, high_water, result.high_water)
+
     new_state = store.publish(result.table, expect_version=version, high_water={counter: result.high_water},
-                              run_ts=window.run_ts, process=process, stats=stats)
+                              run_ts=window.run_ts, process=process, stats=stats, verify=verify)
     return RunReport(window, new_state, result)

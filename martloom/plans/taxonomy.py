@@ -36,31 +36,42 @@ INSERT_COLS = [c for c in TARGET_COLUMNS if c not in ("row_updt_tms", "row_insrt
 def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
                   codes: DataFrame | None = None) -> DataFrame:
     """Per code: distinct sites, persons and ship-to master customers of the
-    direct-mail promotions (full history; every site row counts, 'DEL' too)."""
+    direct-mail promotions (full history; every site row counts, 'DEL' too).
+
+    The site and person counts need no join. The master-customer count goes
+    through site -> ship-to customer, so the promotions are first reduced to
+    distinct (code, site) pairs (map-side combine before the shuffle): a site
+    carrying a third of all promotions becomes one row per code before it
+    reaches a join, and the join input shrinks to the pair count.
+    """
     p = promos.select("src_cd", "spls_site_id", "spls_prsn_id")
     if codes is not None:
         p = p.join(codes, on="src_cd", how="left_semi")
+    site_usr = distinct_rollup(p, ["src_cd"], {"promo_site_cnt": "spls_site_id", "promo_usr_cnt": "spls_prsn_id"})
+    pairs = p.select("src_cd", "spls_site_id").distinct()
     s = maybe_broadcast(sites.select("spls_site_id", "spls_site_ky"))
     shipto = maybe_broadcast(
         customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
     )
-    chain = p.join(s, on="spls_site_id", how="left").join(shipto, on="spls_site_ky", how="left")
-    return distinct_rollup(chain, ["src_cd"], {
-        "promo_site_cnt": "spls_site_id",
-        "promo_usr_cnt": "spls_prsn_id",
-        "promo_mstr_cust_cnt": "mstr_cust_ky",
-    })
+    chain = pairs.join(s, on="spls_site_id", how="left").join(shipto, on="spls_site_ky", how="left")
+    masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"})
+    return site_usr.join(masters, on="src_cd", how="inner")
 
 
 def email_counts(promos: DataFrame, emails: DataFrame, bridge: DataFrame, users: DataFrame,
                  codes: DataFrame | None = None) -> DataFrame:
     """Per code: distinct master customers (through e-mail -> user bridge ->
-    user, fan-out is harmless under distinct) and distinct e-mails."""
+    user; fan-out is harmless under distinct) and distinct e-mails.
+
+    Promotions are reduced to distinct (code, e-mail) pairs before the join
+    chain, so a much-mailed address is one row per code, not one per send.
+    """
     p = promos.select("src_cd", "eml_id")
     if codes is not None:
         p = p.join(codes, on="src_cd", how="left_semi")
+    pairs = p.distinct()
     chain = (
-        p.join(emails.select("eml_id", "eml_ky"), on="eml_id", how="left")
+        pairs.join(emails.select("eml_id", "eml_ky"), on="eml_id", how="left")
         .join(bridge.select("eml_ky", "oms_usr_ky"), on="eml_ky", how="left")
         .join(users.select("oms_usr_ky", "mstr_cust_ky"), on="oms_usr_ky", how="left")
     )

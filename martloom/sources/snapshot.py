@@ -17,6 +17,7 @@ before the state write refuses a publish if another run committed first.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
@@ -78,14 +79,21 @@ class SnapshotStore:
 
     def publish(self, df: DataFrame, *, expect_version: int, high_water: dict[str, int] | None = None,
                 run_ts: datetime | str | None = None, process: str | None = None,
-                stats: dict[str, int] | None = None) -> TableState:
-        """Write ``df`` as version ``expect_version + 1`` and commit it."""
+                stats: dict[str, int] | None = None,
+                verify: Callable[[DataFrame], None] | None = None) -> TableState:
+        """Write ``df`` as version ``expect_version + 1`` and commit it.
+
+        ``verify`` gets the written version (read back from storage) before
+        the commit; an exception there leaves the previous version current.
+        """
         current = self.state()
         current_version = current.version if current else 0
         if current_version != expect_version:
             raise RuntimeError(f"{self.root}: version moved from {expect_version} to {current_version}")
         new_version = expect_version + 1
         df.write.mode("overwrite").parquet(self.data_path(new_version))
+        if verify is not None:
+            verify(self.spark.read.parquet(self.data_path(new_version)))
 
         again = self.state()
         if (again.version if again else 0) != expect_version:

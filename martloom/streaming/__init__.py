@@ -1 +1,5 @@
+"""Micro-batch driver: run a load per Structured Streaming micro-batch."""
 
+from martloom.streaming.microbatch import start_incremental_load
+
+__all__ = ["start_incremental_load"]

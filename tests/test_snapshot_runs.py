@@ -99,3 +99,22 @@ def test_same_window_twice_keeps_keys(spark):
     second = company.run(src, first, w2, 6)
     assert second.assigned == 0 and second.high_water == 6
     assert rows_of(second.table, ["spls_cmpy_ky", "row_stat_cd"]) == [(6, "UPDT")]
+
+
+def test_row_conservation_guard_blocks_commit(spark):
+    """G5: a result that loses or duplicates target rows is written but never committed."""
+    from martloom.operators.guards import GuardError
+
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="ml-store-"))
+    src = _src(spark, [("A", None, None, ts("2024-01-05 00:00:00"), "NEW")])
+    run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), initial_high_water=0,
+             now=ts("2024-01-06 00:00:00"), surrogate_key="spls_cmpy_ky", check_keys=True)
+
+    def duplicating(target, window, hw):
+        res = company.run(src, target, window, hw)
+        res.table = res.table.unionByName(res.table)
+        return res
+
+    with pytest.raises(GuardError):
+        run_load(store, "cmpy", "SPLS_CMPY_KY", duplicating, schema=_schema(spark), now=ts("2024-01-07 00:00:00"))
+    assert store.state().version == 1 and store.read().count() == 1
