@@ -21,17 +21,35 @@ def live_lookup(dim: DataFrame, dim_id: str, dim_key: str, *, live: bool = True,
     return dim.select(F.col(dim_id), F.col(dim_key))
 
 
+# A reference value carried by more rows than this is "hot" (e.g. one parent
+# company with a third of all children); at most MAX_HOT_VALUES are split off.
+HOT_ROWS = 1_000_000
+MAX_HOT_VALUES = 10_000
+
+
+def hot_values(df: DataFrame, col: str, min_rows: int = HOT_ROWS, max_values: int = MAX_HOT_VALUES) -> list:
+    """Non-NULL values of ``col`` on more than ``min_rows`` rows, heaviest
+    first. One aggregation whose map-side combine turns a hot value into one
+    row per task before the shuffle; at most ``max_values`` reach the driver."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.filter(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(max_values)
+    return [r[0] for r in top.select(col).collect()]
+
+
 def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_key: str, out_col: str, *,
                 live: bool = True, status_col: str = "row_stat_cd", broadcast: bool | None = None,
-                drop_ref: bool = False) -> DataFrame:
+                drop_ref: bool = False, skew_split: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``out_col``: 0 when ``ref_col`` is NULL, the live dimension key when
     one matches, else -1.
 
     ``broadcast=None`` broadcasts the (id, key) projection only if a bounded
-    count proves it fits the budget; a large dimension (e.g. a
-    self-referencing company hierarchy) is joined by shuffle, where adaptive
-    skew-join handling splits a hot reference value (one parent with a
-    third of all children) across tasks.
+    count proves it fits the budget. A large dimension (e.g. a
+    self-referencing company hierarchy) is joined by shuffle; then, with
+    ``skew_split``, rows whose reference value is hot (more than
+    ``hot_rows`` rows) are joined against a broadcast of just the hot
+    dimension rows (one live row per id, so at most the number of hot
+    values), and only the remaining rows are shuffled. No row is dropped or
+    sampled; the two parts are unioned.
     """
     lk = live_lookup(dim, dim_id, dim_key, live=live, status_col=status_col)
     rid, rkey = f"_lk_{out_col}_id", f"_lk_{out_col}_key"
@@ -39,8 +57,17 @@ def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_ke
     if broadcast is None:
         broadcast = fits_broadcast(lk)
     if broadcast:
-        lk = F.broadcast(lk)
-    joined = df.join(lk, df[ref_col] == F.col(rid), "left")
+        joined = df.join(F.broadcast(lk), df[ref_col] == F.col(rid), "left")
+    else:
+        hot = hot_values(df, ref_col, hot_rows) if skew_split else []
+        if hot:
+            is_hot = F.coalesce(F.col(ref_col).isin(hot), F.lit(False))
+            hot_lk = F.broadcast(lk.filter(F.col(rid).isin(hot)))
+            hot_part = df.filter(is_hot).join(hot_lk, F.col(ref_col) == F.col(rid), "left")
+            cold_part = df.filter(~is_hot).join(lk, F.col(ref_col) == F.col(rid), "left")
+            joined = hot_part.unionByName(cold_part)
+        else:
+            joined = df.join(lk, df[ref_col] == F.col(rid), "left")
     out = joined.withColumn(out_col, key_default(F.col(ref_col), F.col(rkey))).drop(rid, rkey)
     return out.drop(ref_col) if drop_ref else out
 

@@ -195,3 +195,17 @@ def test_orphan_report(spark):
     df = frame(spark, {"p": "bigint", "q": "bigint"}, [(-1, 0), (3, -1), (0, 0), (None, 5)])
     assert rows_of(orphan_report(df, ["p", "q"]), ["fk_col", "row_cnt", "unknown_cnt", "not_applicable_cnt"]) == [
         ("p", 3, 1, 1), ("q", 4, 1, 2)]
+
+
+def test_resolve_key_hot_value_split_is_exact(spark):
+    """One parent holds most rows: the split path gives the same keys as a plain join."""
+    rows = [(str(i), "hot") for i in range(40)] + [(str(100 + i), f"c{i % 3}") for i in range(9)] + [("n", None)]
+    df = frame(spark, {"id": "string", "ref": "string"}, rows)
+    dim = frame(spark, {"did": "string", "dk": "bigint", "row_stat_cd": "string"},
+                [("hot", 1, "NEW"), ("c0", 2, "NEW"), ("c1", 3, "DEL")])
+    plain = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, skew_split=False)
+    split = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, hot_rows=10)
+    assert rows_of(split, ["id", "k"]) == rows_of(plain, ["id", "k"])
+    assert split.count() == len(rows)
+    from martloom.operators.lookup import hot_values
+    assert hot_values(df, "ref", 10) == ["hot"]
