@@ -34,7 +34,7 @@ INSERT_COLS = [c for c in TARGET_COLUMNS if c not in ("row_updt_tms", "row_insrt
 
 
 def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
-                  codes: DataFrame | None = None) -> DataFrame:
+                  codes: DataFrame | None = None, code_rows: int | None = None) -> DataFrame:
     """Per code: distinct sites, persons and ship-to master customers of the
     direct-mail promotions (full history; every site row counts, 'DEL' too).
 
@@ -55,6 +55,8 @@ def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
     )
     chain = pairs.join(s, on="spls_site_id", how="left").join(shipto, on="spls_site_ky", how="left")
     masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"})
+    # one row per code: broadcast when the caller knows how many codes there are
+    masters = maybe_broadcast(masters, rows=code_rows) if code_rows is not None else masters
     return site_usr.join(masters, on="src_cd", how="inner")
 
 
@@ -78,11 +80,14 @@ def email_counts(promos: DataFrame, emails: DataFrame, bridge: DataFrame, users:
     return distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky", "promo_eml_cnt": "eml_id"})
 
 
-def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame) -> DataFrame:
+def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame, code_rows: int | None = None) -> DataFrame:
     """Codes without promotions get NULL counts; the master-customer count is
-    direct's (even 0) before e-mail's."""
+    direct's (even 0) before e-mail's. The count tables have one row per
+    code, so with ``code_rows`` known they are broadcast when they fit."""
     d = direct.select("src_cd", *[F.col(c).alias(f"_d_{c}") for c in direct.columns if c != "src_cd"])
     e = email.select("src_cd", *[F.col(c).alias(f"_e_{c}") for c in email.columns if c != "src_cd"])
+    if code_rows is not None:
+        d, e = maybe_broadcast(d, rows=code_rows), maybe_broadcast(e, rows=code_rows)
     out = df.join(d, on="src_cd", how="left").join(e, on="src_cd", how="left")
     keep = [F.col(c) for c in df.columns if c not in COUNTS]
     return out.select(
@@ -104,9 +109,10 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     # counts are refreshed only for codes in the delta: restrict the promotion
     # scans to those codes before aggregating (same result, less to shuffle)
     codes = maybe_broadcast(prepared.delta.select("src_cd"), rows=prepared.profile.rows)
-    dc = direct_counts(direct_promos, sites, customers, codes)
+    n_codes = prepared.profile.rows
+    dc = direct_counts(direct_promos, sites, customers, codes, code_rows=n_codes)
     ec = email_counts(email_promos, emails, bridge, users, codes)
-    merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec)
+    merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec, code_rows=n_codes)
     merge_src = resolve_date_keys(merge_src, calendar, DATE_ROLES)
     table = apply_changes(
         target.select(*TARGET_COLUMNS), merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS,

@@ -331,6 +331,10 @@ def usr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def txn_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "txn_src", lambda: _txn_src(spark, sf_dir))
+
+
+def _txn_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = (
         direct_src(spark, sf_dir).select("src_cd")
         .union(email_src(spark, sf_dir).select("src_cd"))
@@ -366,6 +370,10 @@ def txn_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def txn_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "txn_tgt", lambda: _txn_tgt(spark, sf_dir))
+
+
+def _txn_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes ending in F plus '1O', numbered in code order. The set is bounded
     by the number of distinct codes (a handful), so the single-partition
     row_number here is over a tiny relation."""
