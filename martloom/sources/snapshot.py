@@ -16,6 +16,7 @@ before the state write refuses a publish if another run committed first.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
@@ -38,6 +39,7 @@ class TableState:
     run_ts: str | None = None          # run that produced this version (next window's lo)
     process: str | None = None
     stats: dict[str, int] = field(default_factory=dict)
+    bucketing: dict | None = None       # {"buckets": n, "columns": [...]} when stored bucketed
 
     @property
     def committed_run_ts(self) -> datetime | None:
@@ -45,9 +47,24 @@ class TableState:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """Versioned table under ``root``.
+
+    ``bucket_by=(n, [natural key])`` stores every version bucketed (and
+    sorted) by the natural key. A later run's merge/loopback join on that
+    key then shuffles only the source side: the target, the big side at
+    scale, is read bucket by bucket in place. The bucket spec is kept in the
+    state record and the table is re-registered on read, so it works with a
+    session-scoped catalog.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, bucket_by: tuple[int, list[str]] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bucket_by = (int(bucket_by[0]), list(bucket_by[1])) if bucket_by else None
+
+    def _table_name(self, version: int) -> str:
+        digest = hashlib.sha1(self.root.encode()).hexdigest()[:12]
+        return f"ml_snapshot_{digest}_v{version}"
 
     def data_path(self, version: int) -> str:
         return f"{self.root}/data/v={version}"
@@ -74,9 +91,25 @@ class SnapshotStore:
         st = self.state()
         if st is None:
             return None
+        if st.bucketing:
+            return self._bucketed_table(st.version, st.bucketing, schema)
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(self.data_path(st.version))
 
+    def _bucketed_table(self, version: int, bucketing: dict, schema: StructType | None) -> DataFrame:
+        name = self._table_name(version)
+        if not self.spark.catalog.tableExists(name):
+            if schema is None:
+                schema = self.spark.read.parquet(self.data_path(version)).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            keys = ", ".join(f"`{c}`" for c in bucketing["columns"])
+            path = self.data_path(version).replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"INTO {int(bucketing['buckets'])} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(name)
+
     def publish(self, df: DataFrame, *, expect_version: int, high_water: dict[str, int] | None = None,
                 run_ts: datetime | str | None = None, process: str | None = None,
                 stats: dict[str, int] | None = None,
@@ -91,7 +124,16 @@ class SnapshotStore:
         if current_version != expect_version:
             raise RuntimeError(f"{self.root}: version moved from {expect_version} to {current_version}")
         new_version = expect_version + 1
-        df.write.mode("overwrite").parquet(self.data_path(new_version))
+        bucketing = None
+        if self.bucket_by:
+            n, cols = self.bucket_by
+            bucketing = {"buckets": n, "columns": cols}
+            name = self._table_name(new_version)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            (df.write.mode("overwrite").bucketBy(n, *cols).sortBy(*cols)
+             .option("path", self.data_path(new_version)).saveAsTable(name))
+        else:
+            df.write.mode("overwrite").parquet(self.data_path(new_version))
         if verify is not None:
             verify(self.spark.read.parquet(self.data_path(new_version)))
 
@@ -101,7 +143,7 @@ class SnapshotStore:
         ts_text = run_ts.isoformat() if isinstance(run_ts, datetime) else run_ts
         merged_hw = dict(current.high_water) if current else {}
         merged_hw.update(high_water or {})
-        new_state = TableState(new_version, merged_hw, ts_text, process, dict(stats or {}))
+        new_state = TableState(new_version, merged_hw, ts_text, process, dict(stats or {}), bucketing)
         record = self.spark.createDataFrame([(new_version, json.dumps(asdict(new_state)))], _STATE_SCHEMA)
         record.coalesce(1).write.mode("overwrite").json(self._state_path(new_version))
         return new_state

@@ -118,3 +118,28 @@ def test_row_conservation_guard_blocks_commit(spark):
     with pytest.raises(GuardError):
         run_load(store, "cmpy", "SPLS_CMPY_KY", duplicating, schema=_schema(spark), now=ts("2024-01-07 00:00:00"))
     assert store.state().version == 1 and store.read().count() == 1
+
+
+def test_bucketed_store_merges_without_shuffling_the_target(spark):
+    """A store bucketed by the natural key: the next run's merge join reads the
+    target bucket by bucket and shuffles only the source side."""
+    from martloom.operators.merge import apply_changes
+
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="ml-store-"), bucket_by=(4, ["spls_cmpy_id"]))
+    src = _src(spark, [(c, None, None, ts("2024-01-05 00:00:00"), "NEW") for c in "ABCDEFGH"])
+    run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), initial_high_water=0,
+             now=ts("2024-01-06 00:00:00"))
+    src2 = _src(spark, [("A", "B", None, ts("2024-01-07 00:00:00"), "DEL"),
+                        ("Z", "A", None, ts("2024-01-07 00:00:00"), "NEW")])
+    r2 = run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src2), schema=_schema(spark), now=ts("2024-01-08 00:00:00"))
+    assert r2.state.bucketing == {"buckets": 4, "columns": ["spls_cmpy_id"]}
+    got = rows_of(store.read(_schema(spark)), ["spls_cmpy_ky", "spls_cmpy_id", "parnt_cmpy_ky", "row_stat_cd"])
+    assert got[0] == (1, "A", 2, "DEL") and got[-1] == (9, "Z", -1, "NEW") and len(got) == 9
+
+    target = store.read(_schema(spark))
+    changes = src2.select("spls_cmpy_id", "cmpy_nm", "row_stat_cd")
+    out = apply_changes(target, changes, ["spls_cmpy_id"], run_ts="2024-02-01 00:00:00", update_cols=["cmpy_nm"],
+                        broadcast=False)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in p, p
+    assert p.count("Exchange hashpartitioning") == 1, p  # the source side only
