@@ -85,3 +85,30 @@ def maybe_broadcast(df: DataFrame, rows: int | None = None, decision: bool | Non
 def count_upto(df: DataFrame, limit: int) -> int:
     """``min(rows, limit + 1)``: a scan that stops once the bound is passed."""
     return df.limit(limit + 1).count()
+
+
+def bounded_counts(checks: dict[str, tuple[DataFrame, int]]) -> dict[str, int]:
+    """Several ``min(rows, bound + 1)`` counts answered by one Spark job.
+
+    Each input is cut at its own bound before counting, so the job reads at
+    most ``bound + 1`` rows of each (plus whatever a view's own definition
+    needs); one action instead of one per check.
+    """
+    parts = [
+        df.limit(bound + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, (df, bound) in checks.items()
+    ]
+    if not parts:
+        return {}
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["name"]: int(r["n"]) for r in union.collect()}
+
+
+def width_bound(schema: StructType, extra_bytes: int = 0, max_bytes: int | None = None,
+                df: DataFrame | None = None) -> int:
+    """Rows of a given schema (+ ``extra_bytes`` per row) that fit the budget."""
+    budget = max_bytes if max_bytes is not None else (broadcast_budget(df) if df is not None
+                                                      else DEFAULT_BROADCAST_BYTES)
+    return max(1, budget // (estimated_row_bytes(schema) + extra_bytes))

@@ -11,7 +11,7 @@ from martloom.functions.expressions import UNASSIGNED, is_live
 from martloom.operators.delta import key_spine
 from martloom.operators.lookup import resolve_key
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import count_upto, row_bound
+from martloom.operators.sizing import bounded_counts, row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
@@ -61,13 +61,13 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
                              on_null_key=on_null_key, freeze=freeze_delta)
     keys = mint_keys(prepared, target, KEY, SK, high_water, carry=["row_stat_cd"])
     spine = spine_with_keys(prepared.delta, target, keys)
+    # spine rows <= target rows + delta rows, and the changes <= source rows:
+    # both bounded counts in one job (scans that stop at the bound)
+    spine_bound = row_bound(spine.select(*KEY, SK))
+    src_bound = width_bound(source.schema, extra_bytes=8 * 4, df=source)
+    n = bounded_counts({"tgt": (target.select(SK), spine_bound), "src": (source.select(*KEY), src_bound)})
     if spine_broadcast is None:
-        # spine rows <= target rows + delta rows; the target side is a bounded
-        # count of one column (a scan that stops early), the delta side is known
-        probe = spine.select(*KEY, SK)
-        bound = row_bound(probe)
-        target_rows = target.select(SK).limit(bound + 1).count()
-        spine_broadcast = target_rows + prepared.profile.rows <= bound
+        spine_broadcast = n["tgt"] + prepared.profile.rows <= spine_bound
 
     delta_part = resolve_pointers(attach_new_keys(prepared.delta, keys, KEY, SK), spine, spine_broadcast)
     delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))
@@ -80,10 +80,13 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
     else:
         changes = delta_part
 
-    # rows of `changes` <= source rows: a bounded scan proves (or refutes) the broadcast
-    source_rows = count_upto(source.select(*KEY), row_bound(changes))
+    if not loopback:
+        source_rows = prepared.profile.rows
+    else:
+        source_rows = n["src"] if n["src"] <= src_bound else None
     table = apply_changes(
-        target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
+        target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows,
+        broadcast=None if source_rows is not None else False, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=list(POINTERS.values()) if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
         repair_only_nonzero=True,
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.lookup import live_lookup, resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import count_upto, fits_broadcast, row_bound
+from martloom.operators.sizing import bounded_counts, row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
@@ -71,8 +71,16 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
     prepared = prepare_delta(source, window.lo, KEY, what="F_DRCT_ML_PROMO", dedupe_by=dedupe_by,
                              on_null_key=on_null_key, freeze=freeze_delta)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
-    site_bc = fits_broadcast(live_lookup(sites, "spls_site_id", "spls_site_ky"))
-    cal_bc = fits_broadcast(calendar.select("cld_dt", "tm_ky"))
+    # one job answers every size question of this run
+    site_lk = live_lookup(sites, "spls_site_id", "spls_site_ky")
+    cal_lk = calendar.select("cld_dt", "tm_ky")
+    src_bound = width_bound(source.schema, extra_bytes=8 * (len(DATE_ROLES) + 3), df=source)
+    n = bounded_counts({
+        "site": (site_lk, row_bound(site_lk)),
+        "cal": (cal_lk, row_bound(cal_lk)),
+        "src": (source.select(*KEY), src_bound),
+    })
+    site_bc, cal_bc = n["site"] <= row_bound(site_lk), n["cal"] <= row_bound(cal_lk)
 
     delta_part = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), sites, calendar, site_bc, cal_bc)
     delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))
@@ -83,10 +91,14 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
     else:
         changes = delta_part
 
-    # rows of `changes` <= source rows: a bounded scan proves (or refutes) the broadcast
-    source_rows = count_upto(source.select(*KEY), row_bound(changes))
+    # rows of `changes` <= source rows, counted above up to the bound
+    if not loopback:
+        source_rows = prepared.profile.rows
+    else:
+        source_rows = n["src"] if n["src"] <= src_bound else None
     table = apply_changes(
-        target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
+        target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows,
+        broadcast=None if source_rows is not None else False, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=REPAIR_COLS if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,

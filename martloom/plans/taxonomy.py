@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
 from martloom.operators.rollup import distinct_rollup
-from martloom.operators.sizing import maybe_broadcast
+from martloom.operators.sizing import bounded_counts, maybe_broadcast, row_bound
 from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
@@ -34,7 +34,8 @@ INSERT_COLS = [c for c in TARGET_COLUMNS if c not in ("row_updt_tms", "row_insrt
 
 
 def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
-                  codes: DataFrame | None = None, code_rows: int | None = None) -> DataFrame:
+                  codes: DataFrame | None = None, code_rows: int | None = None,
+                  site_broadcast: bool | None = None, shipto_broadcast: bool | None = None) -> DataFrame:
     """Per code: distinct sites, persons and ship-to master customers of the
     direct-mail promotions (full history; every site row counts, 'DEL' too).
 
@@ -49,9 +50,10 @@ def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
         p = p.join(codes, on="src_cd", how="left_semi")
     site_usr = distinct_rollup(p, ["src_cd"], {"promo_site_cnt": "spls_site_id", "promo_usr_cnt": "spls_prsn_id"})
     pairs = p.select("src_cd", "spls_site_id").distinct()
-    s = maybe_broadcast(sites.select("spls_site_id", "spls_site_ky"))
+    s = maybe_broadcast(sites.select("spls_site_id", "spls_site_ky"), decision=site_broadcast)
     shipto = maybe_broadcast(
-        customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
+        customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky"),
+        decision=shipto_broadcast,
     )
     chain = pairs.join(s, on="spls_site_id", how="left").join(shipto, on="spls_site_ky", how="left")
     masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"})
@@ -110,10 +112,18 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     # scans to those codes before aggregating (same result, less to shuffle)
     codes = maybe_broadcast(prepared.delta.select("src_cd"), rows=prepared.profile.rows)
     n_codes = prepared.profile.rows
-    dc = direct_counts(direct_promos, sites, customers, codes, code_rows=n_codes)
+    site_lk = sites.select("spls_site_id", "spls_site_ky")
+    shipto_lk = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
+    cal_lk = calendar.select("cld_dt", "tm_ky")
+    n = bounded_counts({name: (df, row_bound(df)) for name, df in
+                        (("site", site_lk), ("shipto", shipto_lk), ("cal", cal_lk))})
+    fits = {name: n[name] <= row_bound(df) for name, df in
+            (("site", site_lk), ("shipto", shipto_lk), ("cal", cal_lk))}
+    dc = direct_counts(direct_promos, sites, customers, codes, code_rows=n_codes,
+                       site_broadcast=fits["site"], shipto_broadcast=fits["shipto"])
     ec = email_counts(email_promos, emails, bridge, users, codes)
     merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec, code_rows=n_codes)
-    merge_src = resolve_date_keys(merge_src, calendar, DATE_ROLES)
+    merge_src = resolve_date_keys(merge_src, calendar, DATE_ROLES, broadcast=fits["cal"])
     table = apply_changes(
         target.select(*TARGET_COLUMNS), merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS,
         insert_cols=INSERT_COLS, new_flag=NEW_FLAG, source_rows=prepared.profile.rows,

@@ -26,20 +26,26 @@ RUN_TS = "2024-02-01 00:00:00"
 CAL_BASE = "1990-01-01"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> str:
+    """Identity of the running Spark application (unlike id(), never reused
+    by a later session)."""
+    return spark.sparkContext.applicationId
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; the resolved relation is reused within a session so
     repeated views do not list files and read footers again."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (_session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
 
 
-_STORED: dict[tuple[int, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -49,7 +55,7 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     every load that reads it."""
     from martloom.session import checkpoint_dir
 
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (_session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _STORED:
         checkpoint_dir(spark)
         _STORED[key] = build().checkpoint(eager=True)
