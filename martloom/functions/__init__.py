@@ -1,10 +1,12 @@
 from martloom.functions.expressions import (
+    CASE_BLIND_KEYS,
     DELETED,
     INSERTED,
     NOT_APPLICABLE,
     UNASSIGNED,
     UNKNOWN,
     UPDATED,
+    collate_keys,
     differs,
     is_live,
     key_default,
@@ -14,12 +16,14 @@ from martloom.functions.expressions import (
 )
 
 __all__ = [
+    "CASE_BLIND_KEYS",
     "DELETED",
     "INSERTED",
     "NOT_APPLICABLE",
     "UNASSIGNED",
     "UNKNOWN",
     "UPDATED",
+    "collate_keys",
     "differs",
     "is_live",
     "key_default",

@@ -73,3 +73,22 @@ def ts_literal(value: datetime | date | str, like: DataType | None = None) -> Co
     if like is not None and not isinstance(like, (TimestampNTZType, TimestampType)):
         target = like.simpleString()
     return F.lit(_as_text(value)).cast(target)
+
+
+# Case-blind comparison that ignores trailing blanks (the reference's session
+# mode); Spark compares strings byte for byte unless told otherwise.
+CASE_BLIND_KEYS = "UTF8_LCASE_RTRIM"
+
+
+def collate_keys(df, cols, collation: str = CASE_BLIND_KEYS):
+    """``df`` with its string key columns carrying ``collation``: joins,
+    anti joins, grouping and key ordering on them then follow that rule.
+    Apply to both sides of every join (source, target, dimensions)."""
+    from pyspark.sql.types import StringType
+
+    wanted = set(cols)
+    return df.select(*[
+        F.collate(F.col(f.name), collation).alias(f.name)
+        if f.name in wanted and isinstance(f.dataType, StringType) else F.col(f.name)
+        for f in df.schema.fields
+    ])

@@ -86,6 +86,7 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
     delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))
     if loopback:
         rest = outside_window(source, window.lo).select(*KEY, "spls_site_id")
+        rest = rest.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull() & F.col(KEY[2]).isNotNull())
         rest = site_key(rest, sites, site_bc).withColumn(DELTA_FLAG, F.lit(False))
         changes = delta_part.unionByName(rest, allowMissingColumns=True)
     else:

@@ -241,3 +241,22 @@ def test_b4_taxonomy(spark):
         (41, "V", "v1", None, None, 0, 1, "DEL"),
         (42, "Y", "y1", 1, 2, 1, None, "NEW"),
     ]
+
+
+def test_case_blind_keys_option(spark):
+    """With collated keys 'a ' in the source matches 'A' in the target (and
+    its parent reference 'a' resolves), as in a case-blind SQL session."""
+    from martloom.functions import collate_keys
+
+    src = full_frame(spark, CMPY_SRC, [
+        dict(spls_cmpy_id="a ", cmpy_nm="A2", row_updt_tms=h(8), row_stat_cd="NEW"),
+        dict(spls_cmpy_id="b", parnt_cmpy_id="a", cmpy_nm="B", row_updt_tms=h(9), row_stat_cd="NEW"),
+    ])
+    tgt = full_frame(spark, CMPY_TGT, [dict(spls_cmpy_ky=1, spls_cmpy_id="A", parnt_cmpy_ky=0, ultmt_parnt_cmpy_ky=0,
+                                            cmpy_nm="A1", row_insrt_tms=OLD, row_updt_tms=OLD, row_stat_cd="NEW")])
+    cols = ["spls_cmpy_id", "parnt_cmpy_id", "ultmt_parnt_cmpy_id"]
+    res = company.run(collate_keys(src, cols), collate_keys(tgt, cols), W, 1)
+    got = rows_of(res.table, ["spls_cmpy_ky", "cmpy_nm", "parnt_cmpy_ky", "row_stat_cd"])
+    assert got == [(1, "A2", 0, "UPDT"), (2, "B", 1, "NEW")]
+    binary = company.run(src, tgt, W, 1)
+    assert binary.table.count() == 3  # byte-wise: 'a ' is a new company
