@@ -8,7 +8,7 @@ NULL-key count and the delta size in a single pass).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,19 +61,37 @@ class DeltaProfile:
     null_keys: int       # rows with a NULL in the natural key (quarantined)
     duplicate_keys: int  # distinct non-NULL keys seen more than once
     max_copies: int
+    sizes: dict[str, int] = field(default_factory=dict)  # bounded counts asked for with the profile
 
 
-def delta_profile(delta: DataFrame, on: Sequence[str]) -> DeltaProfile:
+def delta_profile(delta: DataFrame, on: Sequence[str],
+                  bounded: dict[str, tuple[DataFrame, int]] | None = None) -> DeltaProfile:
     """One aggregation answering G1 (unique keys), G2 (NULL keys) and the
-    delta size used to choose broadcast or shuffle joins later."""
+    delta size used to choose broadcast or shuffle joins later.
+
+    ``bounded`` adds ``min(rows, bound + 1)`` counts of other inputs (see
+    :func:`martloom.operators.sizing.bounded_counts`) to the same Spark job;
+    they land in ``DeltaProfile.sizes``.
+    """
+    from martloom.operators.sizing import bounded_count_rows
+
     per_key = delta.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(_any_null(on), F.col("_n"))), F.lit(0)).alias("null_keys"),
-        F.coalesce(F.sum(F.when(~_any_null(on) & (F.col("_n") > 1), 1)), F.lit(0)).alias("dups"),
-        F.coalesce(F.max(F.when(~_any_null(on), F.col("_n"))), F.lit(0)).alias("max_copies"),
-    ).collect()[0]
-    return DeltaProfile(int(row["rows"]), int(row["null_keys"]), int(row["dups"]), int(row["max_copies"]))
+    prof = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.sum(F.when(_any_null(on), F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"),
+        F.coalesce(F.sum(F.when(~_any_null(on) & (F.col("_n") > 1), 1)), F.lit(0)).cast("bigint").alias("dups"),
+        F.coalesce(F.max(F.when(~_any_null(on), F.col("_n"))), F.lit(0)).cast("bigint").alias("max_copies"),
+    )
+    names = ["rows", "null_keys", "dups", "max_copies"]
+    stacked = prof.select(F.inline(F.array(*[
+        F.struct(F.lit(f"_profile_{c}").alias("name"), F.col(c).alias("n")) for c in names
+    ])))
+    for part in bounded_count_rows(bounded or {}):
+        stacked = stacked.unionByName(part)
+    got = {r["name"]: int(r["n"]) for r in stacked.collect()}
+    sizes = {k: v for k, v in got.items() if not k.startswith("_profile_")}
+    return DeltaProfile(got["_profile_rows"], got["_profile_null_keys"], got["_profile_dups"],
+                        got["_profile_max_copies"], sizes)
 
 
 def require_unique_delta(profile: DeltaProfile, what: str) -> None:

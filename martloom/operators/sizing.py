@@ -87,6 +87,14 @@ def count_upto(df: DataFrame, limit: int) -> int:
     return df.limit(limit + 1).count()
 
 
+def bounded_count_rows(checks: dict[str, tuple[DataFrame, int]]) -> list[DataFrame]:
+    """One single-row ``(name, min(rows, bound + 1))`` frame per check."""
+    return [
+        df.limit(bound + 1).agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, (df, bound) in checks.items()
+    ]
+
+
 def bounded_counts(checks: dict[str, tuple[DataFrame, int]]) -> dict[str, int]:
     """Several ``min(rows, bound + 1)`` counts answered by one Spark job.
 
@@ -94,10 +102,7 @@ def bounded_counts(checks: dict[str, tuple[DataFrame, int]]) -> dict[str, int]:
     most ``bound + 1`` rows of each (plus whatever a view's own definition
     needs); one action instead of one per check.
     """
-    parts = [
-        df.limit(bound + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, (df, bound) in checks.items()
-    ]
+    parts = bounded_count_rows(checks)
     if not parts:
         return {}
     union = parts[0]

@@ -11,7 +11,7 @@ from martloom.functions.expressions import UNASSIGNED, is_live
 from martloom.operators.delta import key_spine
 from martloom.operators.lookup import resolve_key
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import bounded_counts, row_bound, width_bound
+from martloom.operators.sizing import row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
@@ -57,15 +57,18 @@ def resolve_pointers(df: DataFrame, spine: DataFrame, broadcast: bool | None = N
 def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: int, *,
         loopback: bool = True, dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = False, spine_broadcast: bool | None = None) -> JobResult:
+    # spine rows <= target rows + delta rows, and the changes <= source rows:
+    # bounded counts (scans that stop at the bound) in the delta-profile job
+    spine_bound = row_bound(target.select(*KEY, SK))
+    src_bound = width_bound(source.schema, extra_bytes=8 * 4, df=source)
     prepared = prepare_delta(source, window.lo, KEY, what="D_CMPY", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key, freeze=freeze_delta)
+                             on_null_key=on_null_key, freeze=freeze_delta, size_checks={
+                                 "tgt": (target.select(SK), spine_bound),
+                                 "src": (source.select(*KEY), src_bound),
+                             })
+    n = prepared.profile.sizes
     keys = mint_keys(prepared, target, KEY, SK, high_water, carry=["row_stat_cd"])
     spine = spine_with_keys(prepared.delta, target, keys)
-    # spine rows <= target rows + delta rows, and the changes <= source rows:
-    # both bounded counts in one job (scans that stop at the bound)
-    spine_bound = row_bound(spine.select(*KEY, SK))
-    src_bound = width_bound(source.schema, extra_bytes=8 * 4, df=source)
-    n = bounded_counts({"tgt": (target.select(SK), spine_bound), "src": (source.select(*KEY), src_bound)})
     if spine_broadcast is None:
         spine_broadcast = n["tgt"] + prepared.profile.rows <= spine_bound
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.lookup import live_lookup, resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import bounded_counts, row_bound, width_bound
+from martloom.operators.sizing import row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
@@ -68,19 +68,19 @@ def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame, site_broadca
 def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFrame, window: LoadWindow,
         high_water: int, *, loopback: bool = True, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine", freeze_delta: bool = False) -> JobResult:
-    prepared = prepare_delta(source, window.lo, KEY, what="F_DRCT_ML_PROMO", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key, freeze=freeze_delta)
-    keys = mint_keys(prepared, target, KEY, SK, high_water)
-    # one job answers every size question of this run
+    # the run's size questions ride along with the delta profile (one job)
     site_lk = live_lookup(sites, "spls_site_id", "spls_site_ky")
     cal_lk = calendar.select("cld_dt", "tm_ky")
     src_bound = width_bound(source.schema, extra_bytes=8 * (len(DATE_ROLES) + 3), df=source)
-    n = bounded_counts({
-        "site": (site_lk, row_bound(site_lk)),
-        "cal": (cal_lk, row_bound(cal_lk)),
-        "src": (source.select(*KEY), src_bound),
-    })
+    prepared = prepare_delta(source, window.lo, KEY, what="F_DRCT_ML_PROMO", dedupe_by=dedupe_by,
+                             on_null_key=on_null_key, freeze=freeze_delta, size_checks={
+                                 "site": (site_lk, row_bound(site_lk)),
+                                 "cal": (cal_lk, row_bound(cal_lk)),
+                                 "src": (source.select(*KEY), src_bound),
+                             })
+    n = prepared.profile.sizes
     site_bc, cal_bc = n["site"] <= row_bound(site_lk), n["cal"] <= row_bound(cal_lk)
+    keys = mint_keys(prepared, target, KEY, SK, high_water)
 
     delta_part = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), sites, calendar, site_bc, cal_bc)
     delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))

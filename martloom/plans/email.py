@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
+from martloom.operators.sizing import row_bound
 from martloom.plans.common import JobResult, NEW_FLAG, attach_new_keys, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
@@ -46,10 +47,13 @@ def enrich(delta: DataFrame, calendar: DataFrame, cal_broadcast: bool | None = N
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = False) -> JobResult:
+    cal_lk = calendar.select("cld_dt", "tm_ky")
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key, freeze=freeze_delta)
+                             on_null_key=on_null_key, freeze=freeze_delta,
+                             size_checks={"cal": (cal_lk, row_bound(cal_lk))})
+    cal_bc = prepared.profile.sizes["cal"] <= row_bound(cal_lk)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
-    merge_src = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), calendar)
+    merge_src = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), calendar, cal_bc)
     table = apply_changes(
         target, merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         new_flag=NEW_FLAG, source_rows=prepared.profile.rows,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
 from martloom.operators.rollup import distinct_rollup
-from martloom.operators.sizing import bounded_counts, maybe_broadcast, row_bound
+from martloom.operators.sizing import maybe_broadcast, row_bound
 from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
@@ -105,20 +105,19 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         direct_promos: DataFrame, sites: DataFrame, customers: DataFrame, email_promos: DataFrame,
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine") -> JobResult:
+    site_lk = sites.select("spls_site_id", "spls_site_ky")
+    shipto_lk = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
+    cal_lk = calendar.select("cld_dt", "tm_ky")
+    lookups = {"site": site_lk, "shipto": shipto_lk, "cal": cal_lk}
     prepared = prepare_delta(source, window.lo, KEY, what="F_SRC_TXNMY", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key)
+                             on_null_key=on_null_key,
+                             size_checks={k: (v, row_bound(v)) for k, v in lookups.items()})
+    fits = {k: prepared.profile.sizes[k] <= row_bound(v) for k, v in lookups.items()}
     keys = mint_keys(prepared, target, KEY, SK, high_water)
     # counts are refreshed only for codes in the delta: restrict the promotion
     # scans to those codes before aggregating (same result, less to shuffle)
     codes = maybe_broadcast(prepared.delta.select("src_cd"), rows=prepared.profile.rows)
     n_codes = prepared.profile.rows
-    site_lk = sites.select("spls_site_id", "spls_site_ky")
-    shipto_lk = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
-    cal_lk = calendar.select("cld_dt", "tm_ky")
-    n = bounded_counts({name: (df, row_bound(df)) for name, df in
-                        (("site", site_lk), ("shipto", shipto_lk), ("cal", cal_lk))})
-    fits = {name: n[name] <= row_bound(df) for name, df in
-            (("site", site_lk), ("shipto", shipto_lk), ("cal", cal_lk))}
     dc = direct_counts(direct_promos, sites, customers, codes, code_rows=n_codes,
                        site_broadcast=fits["site"], shipto_broadcast=fits["shipto"])
     ec = email_counts(email_promos, emails, bridge, users, codes)
