@@ -89,9 +89,15 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_
         raise ValueError(f"unknown method {method!r}")
 
     checkpoint_dir(spark)
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *[F.col(c).asc_nulls_first() for c in order])
-    ranged = ranged.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    sort_cols = [F.col(c).asc_nulls_first() for c in order]
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *sort_cols)
+    else:
+        # no fixed count: adaptive execution may merge adjacent ranges of a
+        # small key set (order across partitions is kept), a large one gets
+        # the session's shuffle-partition count
+        ranged = df.repartitionByRange(*sort_cols)
+    ranged = ranged.sortWithinPartitions(*sort_cols)
     frozen = ranged.withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True)
 
     part = F.shiftright(F.col(_POS), _ROW_BITS)

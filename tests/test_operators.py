@@ -209,3 +209,15 @@ def test_resolve_key_hot_value_split_is_exact(spark):
     assert split.count() == len(rows)
     from martloom.operators.lookup import hot_values
     assert hot_values(df, "ref", 10) == ["hot"]
+
+
+def test_ranged_keys_with_adaptive_partition_count(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        df = frame(spark, {"n": "bigint"}, [(i,) for i in range(997, 0, -3)])
+        ka = assign_surrogate_keys(df, ["n"], "sk", 7)
+        got = rows_of(ka.keyed, ["n", "sk"])
+        assert got == [(n, 7 + i + 1) for i, (n,) in enumerate(sorted((i,) for i in range(997, 0, -3)))]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
