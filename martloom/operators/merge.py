@@ -54,7 +54,8 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
                   repair_only_nonzero: bool = False, null_safe: bool = False,
                   status_col: str = "row_stat_cd", source_status_col: str = "row_stat_cd",
                   insert_ts_col: str = "row_insrt_tms", update_ts_col: str = "row_updt_tms",
-                  broadcast: bool | None = None, source_rows: int | None = None) -> DataFrame:
+                  broadcast: bool | None = None, source_rows: int | None = None,
+                  insert_buckets: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` and repair foreign keys, in one join.
 
     * ``update_cols`` ``{target col: source col}``: written on matched rows of
@@ -72,6 +73,9 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
       delta, or a constant (True: every source row is delta).
     * ``new_flag``: boolean source column marking rows whose key is known to
       be unseen (from key assignment); then inserts need no extra join.
+    * ``insert_buckets=(n, key)``: hash-partition the inserted rows into the
+      target's bucket layout, so writing a bucketed snapshot produces one
+      file per bucket for them instead of one per (task, bucket).
 
     Physical plan: the source side is broadcast only when it is proven to
     fit the budget (``source_rows`` or a bounded count); then the target is
@@ -179,6 +183,8 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
         .cast(dtype).alias(name)
         for name, dtype in tfields.items()
     ])
+    if insert_buckets is not None:
+        inserted = inserted.repartition(int(insert_buckets[0]), *insert_buckets[1])
     return result.unionByName(inserted)
 
 

@@ -56,7 +56,8 @@ def resolve_pointers(df: DataFrame, spine: DataFrame, broadcast: bool | None = N
 
 def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: int, *,
         loopback: bool = True, dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
-        freeze_delta: bool = False, spine_broadcast: bool | None = None) -> JobResult:
+        freeze_delta: bool = False, spine_broadcast: bool | None = None,
+        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
     # spine rows <= target rows + delta rows, and the changes <= source rows:
     # bounded counts (scans that stop at the bound) in the delta-profile job
     spine_bound = row_bound(target.select(*KEY, SK))
@@ -92,6 +93,7 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
         broadcast=None if source_rows is not None else False, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=list(POINTERS.values()) if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
         repair_only_nonzero=True,
+        insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"spine": spine, "keys": keys.keyed, "merge_source": delta_part})

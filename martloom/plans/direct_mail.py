@@ -67,7 +67,8 @@ def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame, site_broadca
 
 def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFrame, window: LoadWindow,
         high_water: int, *, loopback: bool = True, dedupe_by: Sequence[str] | None = None,
-        on_null_key: str = "quarantine", freeze_delta: bool = False) -> JobResult:
+        on_null_key: str = "quarantine", freeze_delta: bool = False,
+        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
     # the run's size questions ride along with the delta profile (one job)
     site_lk = live_lookup(sites, "spls_site_id", "spls_site_ky")
     cal_lk = calendar.select("cld_dt", "tm_ky")
@@ -101,6 +102,7 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
         target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows,
         broadcast=None if source_rows is not None else False, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=REPAIR_COLS if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
+        insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "merge_source": delta_part})

@@ -46,7 +46,8 @@ def enrich(delta: DataFrame, calendar: DataFrame, cal_broadcast: bool | None = N
 
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
-        freeze_delta: bool = False) -> JobResult:
+        freeze_delta: bool = False,
+        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
     cal_lk = calendar.select("cld_dt", "tm_ky")
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
                              on_null_key=on_null_key, freeze=freeze_delta,
@@ -57,6 +58,7 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     table = apply_changes(
         target, merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         new_flag=NEW_FLAG, source_rows=prepared.profile.rows,
+        insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)})

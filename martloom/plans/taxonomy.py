@@ -104,7 +104,8 @@ def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame, code_rows:
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         direct_promos: DataFrame, sites: DataFrame, customers: DataFrame, email_promos: DataFrame,
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
-        on_null_key: str = "quarantine") -> JobResult:
+        on_null_key: str = "quarantine",
+        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
     site_lk = sites.select("spls_site_id", "spls_site_ky")
     shipto_lk = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
     cal_lk = calendar.select("cld_dt", "tm_ky")
@@ -126,6 +127,7 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     table = apply_changes(
         target.select(*TARGET_COLUMNS), merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS,
         insert_cols=INSERT_COLS, new_flag=NEW_FLAG, source_rows=prepared.profile.rows,
+        insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec})

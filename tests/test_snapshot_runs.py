@@ -143,3 +143,17 @@ def test_bucketed_store_merges_without_shuffling_the_target(spark):
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in p, p
     assert p.count("Exchange hashpartitioning") == 1, p  # the source side only
+
+
+def test_bucketed_inserts_write_one_file_per_bucket(spark):
+    import glob
+
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="ml-store-"), bucket_by=(3, ["spls_cmpy_id"]))
+    src = _src(spark, [(f"C{i:03d}", None, None, ts("2024-01-05 00:00:00"), "NEW") for i in range(60)])
+    job = lambda target, window, hw: company.run(
+        src.repartition(7), target, window, hw, insert_buckets=(3, ["spls_cmpy_id"]))
+    run_load(store, "cmpy", "SPLS_CMPY_KY", job, schema=_schema(spark), initial_high_water=0,
+             now=ts("2024-01-06 00:00:00"))
+    files = glob.glob(store.data_path(1) + "/*.parquet")
+    assert 1 <= len(files) <= 3, files
+    assert store.read(_schema(spark)).count() == 60
