@@ -157,3 +157,19 @@ def test_bucketed_inserts_write_one_file_per_bucket(spark):
     files = glob.glob(store.data_path(1) + "/*.parquet")
     assert 1 <= len(files) <= 3, files
     assert store.read(_schema(spark)).count() == 60
+
+
+def test_null_status_parent_is_live_only_from_the_next_run(spark):
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="ml-store-"))
+    src = _src(spark, [("P", None, None, ts("2024-01-05 00:00:00"), None),
+                       ("K", "P", None, ts("2024-01-05 00:00:00"), "NEW")])
+    run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), initial_high_water=0,
+             now=ts("2024-01-06 00:00:00"))
+    assert rows_of(store.read(), ["spls_cmpy_id", "parnt_cmpy_ky", "row_stat_cd"]) == [("K", -1, "NEW"),
+                                                                                     ("P", 0, "NEW")]
+    # nothing new in the source: an empty delta, only the loopback acts
+    r2 = run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), now=ts("2024-01-07 00:00:00"))
+    assert r2.result.profile.rows == 0 and r2.result.assigned == 0
+    assert r2.state.high_water["SPLS_CMPY_KY"] == 2
+    assert rows_of(store.read(), ["spls_cmpy_id", "parnt_cmpy_ky", "row_updt_tms"]) == [
+        ("K", 2, ts("2024-01-07 00:00:00")), ("P", 0, ts("2024-01-06 00:00:00"))]
