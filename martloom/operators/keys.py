@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -25,11 +26,16 @@ class KeyAssignment:
     keyed: DataFrame        # input columns + the surrogate key column
     assigned: int           # how many keys were handed out
     high_water: int         # counter after this assignment
+    cached: bool = False    # small path: keyed is persisted, call release() when done
 
     @property
     def first_key(self) -> int | None:
         return self.high_water - self.assigned + 1 if self.assigned else None
 
+    def release(self) -> None:
+        if self.cached:
+            self.keyed.unpersist()
+
 
 def advance_high_water(old: int, new_max: int | None) -> int:
     """``greatest(old, coalesce(max(new keys), old))``: never NULL, never backwards."""
@@ -64,8 +70,9 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_
 
     ``method="small"`` is the same window without the checkpoint, for a key
     set with *unique* order keys and a proven bound: a total order makes
-    ``row_number`` deterministic, so recomputation (a retried task, a second
-    use of the result) gives the same keys. ``method="auto"`` (default) picks
+    ``row_number`` deterministic, so recomputation (a retried task, a lost
+    cached block) gives the same keys. The result is persisted so its uses
+    share one computation; ``KeyAssignment.release()`` frees it. ``method="auto"`` (default) picks
     it when ``max_rows`` (an upper bound the caller knows, such as the delta's
     exact row count) is at most ``SMALL_KEY_SET``, else the ranged method.
     """
@@ -74,10 +81,14 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_
     if method == "auto":
         method = "small" if max_rows is not None and max_rows <= SMALL_KEY_SET else "ranged"
     if method == "small":
+        # persisted so every later use shares one computation; a lost block is
+        # recomputed from lineage, and row_number over unique keys gives the
+        # same numbers again
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
         keyed = df.withColumn(sk, (F.lit(high_water) + F.row_number().over(w)).cast("bigint"))
-        n = df.count()
-        return KeyAssignment(keyed, n, advance_high_water(high_water, high_water + n if n else None))
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+        n = keyed.count()
+        return KeyAssignment(keyed, n, advance_high_water(high_water, high_water + n if n else None), cached=True)
     if method == "window":
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
         checkpoint_dir(spark)

@@ -35,6 +35,12 @@ class JobResult:
     quarantined: DataFrame        # delta rows with a NULL natural key
     profile: DeltaProfile
     extras: dict[str, DataFrame] = field(default_factory=dict)
+    keys: KeyAssignment | None = None
+
+    def release(self) -> None:
+        """Free what the run persisted (call after the table is written)."""
+        if self.keys is not None:
+            self.keys.release()
 
 
 def max_key(target: DataFrame, sk: str) -> int:

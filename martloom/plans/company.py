@@ -96,7 +96,7 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
         insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"spine": spine, "keys": keys.keyed, "merge_source": delta_part})
+                     {"spine": spine, "keys": keys.keyed, "merge_source": delta_part}, keys=keys)
 
 
 def live_spine(spine: DataFrame) -> DataFrame:

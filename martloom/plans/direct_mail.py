@@ -105,4 +105,4 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
         insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "merge_source": delta_part})
+                     {"keys": keys.keyed, "merge_source": delta_part}, keys=keys)

@@ -61,7 +61,7 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)})
+                     {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)}, keys=keys)
 
 
 def keep(df: DataFrame) -> DataFrame:

@@ -70,6 +70,9 @@ def run_load(store: SnapshotStore, process: str, counter: str,
         if check_keys:
             check_surrogate_keys(written, surrogate_key, high_water, result.high_water)
 
-    new_state = store.publish(result.table, expect_version=version, high_water={counter: result.high_water},
-                              run_ts=window.run_ts, process=process, stats=stats, verify=verify)
+    try:
+        new_state = store.publish(result.table, expect_version=version, high_water={counter: result.high_water},
+                                  run_ts=window.run_ts, process=process, stats=stats, verify=verify)
+    finally:
+        result.release()
     return RunReport(window, new_state, result)

@@ -130,4 +130,4 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec})
+                     {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec}, keys=keys)
