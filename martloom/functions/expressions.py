@@ -66,13 +66,19 @@ def ts_literal(value: datetime | date | str, like: DataType | None = None) -> Co
     """A timestamp literal of the same type as the column it is compared with.
 
     Built from text so that no Python or JVM time zone touches a
-    ``timestamp_ntz`` value; Catalyst folds the cast, so the literal reaches
-    the Parquet scan as a pushed filter.
+    ``timestamp_ntz`` value (a zoned ``timestamp`` gets the text as UTC);
+    Catalyst folds the cast, so the literal reaches the Parquet scan as a
+    pushed filter.
     """
-    target = "timestamp_ntz" if like is None or isinstance(like, TimestampNTZType) else "timestamp"
-    if like is not None and not isinstance(like, (TimestampNTZType, TimestampType)):
-        target = like.simpleString()
-    return F.lit(_as_text(value)).cast(target)
+    text = _as_text(value)
+    if like is None or isinstance(like, TimestampNTZType):
+        return F.lit(text).cast("timestamp_ntz")
+    if isinstance(like, TimestampType):
+        # window bounds and run times are UTC ("GMT" in the reference): say so,
+        # so the session time zone cannot shift a zoned timestamp
+        return F.lit(text + ("" if isinstance(value, date) and not isinstance(value, datetime) else "Z")).cast(
+            "timestamp")
+    return F.lit(text).cast(like.simpleString())
 
 
 # Case-blind comparison that ignores trailing blanks (the reference's session

@@ -380,16 +380,15 @@ def txn_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _txn_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes ending in F plus '1O', numbered in code order. The set is bounded
-    by the number of distinct codes (a handful), so the single-partition
-    row_number here is over a tiny relation."""
-    from pyspark.sql import Window
+    """Codes ending in F plus '1O', numbered 1.. in code order (with the
+    library's ranged key assignment, never a single-partition window)."""
+    from martloom.operators.keys import assign_surrogate_keys
 
     src = txn_src(spark, sf_dir).filter(F.col("src_cd").endswith("F") | (F.col("src_cd") == "1O"))
-    w = Window.orderBy("src_cd")
-    cols = [c for c in src.columns if c not in ("pgm_nm", "row_stat_cd", "row_updt_tms")]
+    src = assign_surrogate_keys(src, ["src_cd"], "src_txnmy_ky", 0).keyed
+    cols = [c for c in src.columns if c not in ("src_txnmy_ky", "pgm_nm", "row_stat_cd", "row_updt_tms")]
     return src.select(
-        F.row_number().over(w).cast("bigint").alias("src_txnmy_ky"),
+        "src_txnmy_ky",
         *[F.col(c) for c in cols if c not in ("cmpgn_strt_dt", "cmpgn_end_dt", "drp_dt", "pdt_prmry_ctgry_nm")],
         F.lit("old").alias("pgm_nm"),
         _null("bigint").alias("cmpgn_strt_tm_ky"),

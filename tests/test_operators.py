@@ -221,3 +221,39 @@ def test_ranged_keys_with_adaptive_partition_count(spark):
         assert got == [(n, 7 + i + 1) for i, (n,) in enumerate(sorted((i,) for i in range(997, 0, -3)))]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_zoned_timestamps_are_utc_whatever_the_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from martloom.functions import ts_literal
+    from pyspark.sql.types import TimestampType
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        v = spark.range(1).select(F.unix_timestamp(ts_literal("2024-02-01 00:00:00", TimestampType())).alias("e"))
+        assert v.collect()[0]["e"] == 1706745600  # 2024-02-01T00:00:00Z
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_job_quarantines_null_keys_and_fills_empty_target(spark):
+    from conftest import full_frame
+    from test_golden_jobs import EML_SRC, EML_TGT, calendar
+
+    from martloom.plans import email
+    from martloom.sources.control import LoadWindow
+
+    t = ts("2024-01-10 01:00:00")
+    src = full_frame(spark, EML_SRC, [
+        dict(eml_ky=5, src_cd="X", row_updt_tms=t, row_stat_cd="NEW"),
+        dict(eml_ky=None, src_cd="X", row_updt_tms=t, row_stat_cd="NEW"),
+        dict(eml_ky=2, src_cd="Y", row_updt_tms=t, row_stat_cd="DEL"),
+    ])
+    w = LoadWindow("t", ts("2024-01-10 00:00:00"), RUN)
+    res = email.run(src, full_frame(spark, EML_TGT, []), calendar(spark), w, 40)
+    assert res.profile.null_keys == 1 and res.quarantined.count() == 1
+    assert rows_of(res.table, ["eml_promo_ky", "eml_ky", "src_cd", "row_stat_cd"]) == [
+        (41, 2, "Y", "DEL"), (42, 5, "X", "NEW")]
+    assert res.high_water == 42
