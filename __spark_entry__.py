@@ -26,7 +26,7 @@ from martloom.operators.keys import assign_surrogate_keys  # noqa: E402
 from martloom.operators.lookup import resolve_date_keys  # noqa: E402
 from martloom.operators.merge import merge_upsert  # noqa: E402
 from martloom.plans import company, direct_mail, email, taxonomy  # noqa: E402
-from martloom.plans.common import NEW_FLAG, max_key  # noqa: E402
+from martloom.plans.common import max_key  # noqa: E402
 from martloom.sources import derived as V  # noqa: E402
 from martloom.sources.control import LoadWindow, update_registry  # noqa: E402
 
@@ -180,6 +180,15 @@ def q_direct_orphans(spark: SparkSession, d: str) -> DataFrame:
     return orphan_report(q_direct_full(spark, d), ["spls_site_ky"])
 
 
+def q_guard_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Share of unknown (-1) and not-applicable (0) keys per foreign key after
+    the company and direct loads, one report."""
+    cmpy = orphan_report(q_company_full(spark, d), list(company.POINTERS.values()))
+    drct = orphan_report(q_direct_full(spark, d), ["spls_site_ky"])
+    return (cmpy.select(F.lit("D_CMPY").alias("tbl_nm"), "*")
+            .unionByName(drct.select(F.lit("F_DRCT_ML_PROMO").alias("tbl_nm"), "*")))
+
+
 # ---------------------------------------------------------------- taxonomy
 def q_taxonomy_direct_counts(spark: SparkSession, d: str) -> DataFrame:
     return taxonomy.direct_counts(V.direct_src(spark, d), V.site_dim(spark, d), V.cust_flat(spark, d))
@@ -267,6 +276,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "taxonomy_full": q_taxonomy_full,
     "guard_duplicate_keys": q_guard_duplicate_keys,
     "guard_null_keys": q_guard_null_keys,
+    "guard_orphans": q_guard_orphans,
     "lineitem_keys": q_lineitem_keys,
     "lineitem_duplicate_keys": q_lineitem_duplicate_keys,
 }
