@@ -41,7 +41,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temporary folder; on a cluster a machine-local folder would not survive
     the loss of an executor, so that case is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -32,7 +32,10 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 def _session_key(spark: SparkSession) -> str:
     """Identity of the running Spark application (unlike id(), never reused
     by a later session)."""
-    return spark.sparkContext.applicationId
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # a session without a classic SparkContext (Spark Connect)
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
