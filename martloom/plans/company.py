@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.expressions import UNASSIGNED, is_live
+from martloom.functions.expressions import UNASSIGNED
 from martloom.operators.delta import key_spine
 from martloom.operators.lookup import resolve_key
 from martloom.operators.merge import apply_changes
@@ -17,7 +17,6 @@ from martloom.plans.common import (
     NEW_FLAG,
     JobResult,
     attach_new_keys,
-    in_window,
     mint_keys,
     outside_window,
     prepare_delta,
@@ -38,7 +37,7 @@ INSERT_COLS = [SK, "spls_cmpy_id", *POINTERS.values(), *ATTRIBUTES]
 
 def spine_with_keys(delta: DataFrame, target: DataFrame, keys) -> DataFrame:
     """The key spine with this run's keys filled in: known keys from the
-    spine, minted keys from the checkpointed key set (a union, no join)."""
+    spine, minted keys from the key assignment (a union, no join)."""
     spine = key_spine(delta, target, KEY, SK)
     known = spine.filter(F.col(SK) != F.lit(UNASSIGNED))
     minted = keys.keyed.select(*KEY, SK, "row_stat_cd")
@@ -97,10 +96,3 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"spine": spine, "keys": keys.keyed, "merge_source": delta_part}, keys=keys)
-
-
-def live_spine(spine: DataFrame) -> DataFrame:
-    return spine.filter(is_live(F.col("row_stat_cd")))
-
-
-__all__ = ["run", "spine_with_keys", "resolve_pointers", "in_window"]

@@ -2,8 +2,14 @@
 
 Layout under ``root`` (any Hadoop-compatible path):
 
-    data/v=<n>/      Parquet files of version n
-    _state/v=<n>/    one JSON record: version, high-water marks, window
+    data/v=<n>/              Parquet files of version n (whole table), or
+    data/_ml_p=<p>/v=<n>/    partition p as written by version n (partitioned store)
+    _state/v=<n>/            one JSON record: version, high-water marks, window,
+                             and for a partitioned store the partition -> version map
+
+A partitioned store (``partition_by=<integer expression>``, stable per row,
+e.g. a month of a date in the natural key or a hash bucket of the key)
+rewrites only the partitions a run changed; the others stay where they are.
 
 A run writes ``data/v=<n+1>`` first and the state record last. Readers only
 trust the highest version whose state record exists, so a run that dies
@@ -22,10 +28,14 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from martloom.functions.expressions import ts_literal
+
+PART_COL = "_ml_p"   # partition number of a row in a partitioned store
+
 _STATE_SCHEMA = StructType([
     StructField("version", LongType(), False),
     StructField("payload", StringType(), False),
@@ -40,6 +50,7 @@ class TableState:
     process: str | None = None
     stats: dict[str, int] = field(default_factory=dict)
     bucketing: dict | None = None       # {"buckets": n, "columns": [...]} when stored bucketed
+    partitions: dict[str, int] | None = None  # partition -> version that holds it, when partitioned
 
     @property
     def committed_run_ts(self) -> datetime | None:
@@ -57,10 +68,15 @@ class SnapshotStore:
     session-scoped catalog.
     """
 
-    def __init__(self, spark: SparkSession, root: str, bucket_by: tuple[int, list[str]] | None = None):
+    def __init__(self, spark: SparkSession, root: str, bucket_by: tuple[int, list[str]] | None = None,
+                 partition_by: Column | None = None, update_ts_col: str = "row_updt_tms"):
+        if bucket_by and partition_by is not None:
+            raise ValueError("choose bucket_by or partition_by, not both")
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_by = (int(bucket_by[0]), list(bucket_by[1])) if bucket_by else None
+        self.partition_by = partition_by
+        self.update_ts_col = update_ts_col
 
     def _table_name(self, version: int) -> str:
         digest = hashlib.sha1(self.root.encode()).hexdigest()[:12]
@@ -93,9 +109,29 @@ class SnapshotStore:
             return None
         if st.bucketing:
             return self._bucketed_table(st.version, st.bucketing, schema)
+        if st.partitions is not None:
+            return self._partitioned(st.partitions, schema)
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(self.data_path(st.version))
 
+    def _partitioned(self, partitions: dict[str, int], schema: StructType | None) -> DataFrame:
+        """The current version of every partition, each from the version that
+        last wrote it; ``_ml_p`` comes back as a partition column, so a
+        filter on it prunes folders."""
+        base = f"{self.root}/data"
+        if not partitions:
+            if schema is None:
+                raise ValueError("an empty partitioned table needs its schema")
+            fields = [*schema.fields, StructField(PART_COL, LongType(), True)]
+            return self.spark.createDataFrame([], StructType(fields))
+        paths = [f"{base}/{PART_COL}={p}/v={v}" for p, v in sorted(partitions.items(), key=lambda kv: int(kv[0]))]
+        reader = self.spark.read.option("basePath", base)
+        if schema is not None:
+            fields = [f for f in schema.fields if f.name != PART_COL]
+            reader = reader.schema(StructType([*fields, StructField(PART_COL, LongType(), True),
+                                               StructField("v", LongType(), True)]))
+        return reader.parquet(*paths).drop("v")
+
     def _bucketed_table(self, version: int, bucketing: dict, schema: StructType | None) -> DataFrame:
         name = self._table_name(version)
         if not self.spark.catalog.tableExists(name):
@@ -125,7 +161,12 @@ class SnapshotStore:
             raise RuntimeError(f"{self.root}: version moved from {expect_version} to {current_version}")
         new_version = expect_version + 1
         bucketing = None
-        if self.bucket_by:
+        partitions = None
+        if self.partition_by is not None:
+            partitions = self._write_partitions(df, new_version, current, run_ts)
+            if verify is not None:
+                verify(self._partitioned(partitions, None).drop(PART_COL) if partitions else df.limit(0))
+        elif self.bucket_by:
             n, cols = self.bucket_by
             bucketing = {"buckets": n, "columns": cols}
             name = self._table_name(new_version)
@@ -134,7 +175,7 @@ class SnapshotStore:
              .option("path", self.data_path(new_version)).saveAsTable(name))
         else:
             df.write.mode("overwrite").parquet(self.data_path(new_version))
-        if verify is not None:
+        if verify is not None and partitions is None:
             verify(self.spark.read.parquet(self.data_path(new_version)))
 
         again = self.state()
@@ -143,7 +184,35 @@ class SnapshotStore:
         ts_text = run_ts.isoformat() if isinstance(run_ts, datetime) else run_ts
         merged_hw = dict(current.high_water) if current else {}
         merged_hw.update(high_water or {})
-        new_state = TableState(new_version, merged_hw, ts_text, process, dict(stats or {}), bucketing)
+        new_state = TableState(new_version, merged_hw, ts_text, process, dict(stats or {}), bucketing, partitions)
         record = self.spark.createDataFrame([(new_version, json.dumps(asdict(new_state)))], _STATE_SCHEMA)
         record.coalesce(1).write.mode("overwrite").json(self._state_path(new_version))
         return new_state
+
+    def _write_partitions(self, df: DataFrame, version: int, current: TableState | None,
+                          run_ts: datetime | str | None) -> dict[str, int]:
+        """Write only the partitions this run changed; return the new manifest.
+
+        Every row a run changes carries ``update_ts_col = run_ts``, so the
+        touched partitions are the distinct partition values of those rows (a
+        narrow query: Spark prunes it to key, timestamp and partition
+        columns). Rows of untouched partitions are neither recomputed at full
+        width nor written; the manifest keeps pointing at their old version.
+        """
+        if run_ts is None:
+            raise ValueError("a partitioned publish needs the run timestamp")
+        base = df if PART_COL in df.columns else df.withColumn(PART_COL, F.lit(None).cast("bigint"))
+        ts_type = base.schema[self.update_ts_col].dataType
+        part = F.coalesce(F.col(PART_COL), self.partition_by).cast("bigint")
+        changed = base.filter(F.col(self.update_ts_col) == ts_literal(run_ts, ts_type))
+        touched = sorted(int(r[0]) for r in changed.select(part.alias("p")).distinct().collect())
+        manifest = dict(current.partitions or {}) if current is not None and current.partitions else {}
+        if touched:
+            kept = base.filter(F.col(PART_COL).isNotNull() & F.col(PART_COL).isin(touched))  # folder pruning
+            fresh = base.filter(F.col(PART_COL).isNull()).withColumn(PART_COL, self.partition_by.cast("bigint"))
+            out = kept.unionByName(fresh).withColumn("v", F.lit(version).cast("bigint"))
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(PART_COL, "v").parquet(f"{self.root}/data"))
+            manifest.update({str(p): version for p in touched})
+        return manifest
+

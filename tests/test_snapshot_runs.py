@@ -173,3 +173,29 @@ def test_null_status_parent_is_live_only_from_the_next_run(spark):
     assert r2.state.high_water["SPLS_CMPY_KY"] == 2
     assert rows_of(store.read(), ["spls_cmpy_id", "parnt_cmpy_ky", "row_updt_tms"]) == [
         ("K", 2, ts("2024-01-07 00:00:00")), ("P", 0, ts("2024-01-06 00:00:00"))]
+
+
+def test_partitioned_store_rewrites_only_touched_partitions(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    root = tempfile.mkdtemp(prefix="ml-store-")
+    store = SnapshotStore(spark, root, partition_by=F.col("spls_cmpy_ky") % 4)
+    ids = "ABCDEFGH"
+    src1 = _src(spark, [(c, "Z" if c == "C" else None, None, ts("2024-01-05 00:00:00"), "NEW") for c in ids])
+    r1 = run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src1), schema=_schema(spark), initial_high_water=0,
+                  now=ts("2024-01-06 00:00:00"))
+    assert r1.state.partitions == {"0": 1, "1": 1, "2": 1, "3": 1}
+    # run 2: A (key 1) changes; Z arrives, so the loopback heals C (key 3)
+    src2 = _src(spark, [(c, "Z" if c == "C" else None, None, ts("2024-01-05 00:00:00"), "NEW") for c in ids[1:]]
+                + [("A", None, None, ts("2024-01-07 00:00:00"), "DEL"), ("Z", None, None, ts("2024-01-07 00:00:00"), "NEW")])
+    r2 = run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src2), schema=_schema(spark), now=ts("2024-01-08 00:00:00"))
+    # key 1 (A) -> p1, key 3 (C, healed) -> p3, key 9 (Z, new) -> p1
+    assert r2.state.partitions == {"0": 1, "1": 2, "2": 1, "3": 2}
+    assert not os.path.exists(f"{root}/data/_ml_p=0/v=2") and not os.path.exists(f"{root}/data/_ml_p=2/v=2")
+    got = rows_of(store.read(_schema(spark)), ["spls_cmpy_ky", "spls_cmpy_id", "parnt_cmpy_ky", "row_stat_cd"])
+    assert got == [(1, "A", 0, "DEL"), (2, "B", 0, "NEW"), (3, "C", 9, "NEW"), (4, "D", 0, "NEW"),
+                   (5, "E", 0, "NEW"), (6, "F", 0, "NEW"), (7, "G", 0, "NEW"), (8, "H", 0, "NEW"),
+                   (9, "Z", 0, "NEW")]
+    assert r2.state.stats["rows"] == 9
