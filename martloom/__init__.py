@@ -28,7 +28,8 @@ from martloom.operators.keys import KeyAssignment, advance_high_water, assign_su
 from martloom.operators.lookup import resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes, loopback_repair, merge_upsert
 from martloom.operators.rollup import distinct_rollup
-from martloom.sources.control import LoadWindow
+from martloom.sources.control import LoadWindow, read_high_water, update_registry
+from martloom.sources.snapshot import SnapshotStore, TableState, publish_snapshot
 
 __all__ = [
     "DELETED",
@@ -40,6 +41,8 @@ __all__ = [
     "GuardError",
     "KeyAssignment",
     "LoadWindow",
+    "SnapshotStore",
+    "TableState",
     "advance_high_water",
     "apply_changes",
     "assign_surrogate_keys",
@@ -54,7 +57,10 @@ __all__ = [
     "merge_upsert",
     "new_keys",
     "orphan_report",
+    "publish_snapshot",
+    "read_high_water",
     "resolve_date_keys",
     "resolve_key",
     "split_null_keys",
+    "update_registry",
 ]

@@ -216,3 +216,9 @@ class SnapshotStore:
             manifest.update({str(p): version for p in touched})
         return manifest
 
+
+def publish_snapshot(store: SnapshotStore, df: DataFrame, *, expect_version: int, **state) -> TableState:
+    """Publish ``df`` as the next version of ``store`` (all or nothing); see
+    :meth:`SnapshotStore.publish` for the state fields and the checks."""
+    return store.publish(df, expect_version=expect_version, **state)
+
