@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import live_lookup, resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes
 from martloom.operators.sizing import row_bound, width_bound
@@ -68,7 +69,11 @@ def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame, site_broadca
 def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFrame, window: LoadWindow,
         high_water: int, *, loopback: bool = True, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine", freeze_delta: bool = False,
-        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
+        insert_buckets: tuple[int, Sequence[str]] | None = None,
+        check_lookups: bool = False) -> JobResult:
+    if check_lookups:  # G4: a lookup must not fan out rows of the merge
+        check_lookup_unique(sites, "spls_site_id")
+        check_lookup_unique(calendar, "cld_dt", status_col=None)
     # the run's size questions ride along with the delta profile (one job)
     site_lk = live_lookup(sites, "spls_site_id", "spls_site_ky")
     cal_lk = calendar.select("cld_dt", "tm_ky")

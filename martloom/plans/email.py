@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
 from martloom.operators.sizing import row_bound
@@ -47,7 +48,10 @@ def enrich(delta: DataFrame, calendar: DataFrame, cal_broadcast: bool | None = N
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = False,
-        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
+        insert_buckets: tuple[int, Sequence[str]] | None = None,
+        check_lookups: bool = False) -> JobResult:
+    if check_lookups:  # G4
+        check_lookup_unique(calendar, "cld_dt", status_col=None)
     cal_lk = calendar.select("cld_dt", "tm_ky")
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
                              on_null_key=on_null_key, freeze=freeze_delta,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
 from martloom.operators.rollup import distinct_rollup
@@ -105,7 +106,11 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         direct_promos: DataFrame, sites: DataFrame, customers: DataFrame, email_promos: DataFrame,
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine",
-        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
+        insert_buckets: tuple[int, Sequence[str]] | None = None,
+        check_lookups: bool = False) -> JobResult:
+    if check_lookups:  # G4 (the rollup joins every site row, live or not)
+        check_lookup_unique(sites, "spls_site_id", status_col=None)
+        check_lookup_unique(calendar, "cld_dt", status_col=None)
     site_lk = sites.select("spls_site_id", "spls_site_ky")
     shipto_lk = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
     cal_lk = calendar.select("cld_dt", "tm_ky")

@@ -260,3 +260,20 @@ def test_case_blind_keys_option(spark):
     assert got == [(1, "A2", 0, "UPDT"), (2, "B", 1, "NEW")]
     binary = company.run(src, tgt, W, 1)
     assert binary.table.count() == 3  # byte-wise: 'a ' is a new company
+
+
+def test_duplicate_live_site_fails_before_any_write(spark):
+    import pytest
+
+    from martloom.operators.guards import GuardError
+
+    dup_sites = sites(spark).unionByName(frame(spark, {"spls_site_ky": "bigint", "spls_site_id": "string",
+                                                         "row_stat_cd": "string"}, [(99, "S1", "NEW")]))
+    tgt = full_frame(spark, DRCT_TGT, [])
+    with pytest.raises(GuardError):
+        direct_mail.run(direct_source(spark), tgt, dup_sites, calendar(spark), W, 500, check_lookups=True)
+    # a duplicate that is not live is no fan-out
+    ok_sites = sites(spark).unionByName(frame(spark, {"spls_site_ky": "bigint", "spls_site_id": "string",
+                                                        "row_stat_cd": "string"}, [(98, "S1", "DEL")]))
+    res = direct_mail.run(direct_source(spark), tgt, ok_sites, calendar(spark), W, 500, check_lookups=True)
+    assert res.table.count() == 4
