@@ -15,6 +15,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # drop checkpoint files once the DataFrames that wrote them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
