@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from martloom.operators.delta import incremental_delta, key_spine, new_keys  # noqa: E402
-from martloom.operators.guards import duplicate_keys, orphan_report, split_null_keys  # noqa: E402
+from martloom.operators.guards import dedupe_newest, duplicate_keys, orphan_report, split_null_keys  # noqa: E402
 from martloom.operators.keys import assign_surrogate_keys  # noqa: E402
 from martloom.operators.lookup import resolve_date_keys  # noqa: E402
-from martloom.operators.merge import merge_upsert  # noqa: E402
+from martloom.operators.merge import loopback_repair, merge_upsert  # noqa: E402
 from martloom.plans import company, direct_mail, email, taxonomy  # noqa: E402
 from martloom.plans.common import max_key  # noqa: E402
 from martloom.sources import derived as V  # noqa: E402
@@ -95,6 +95,18 @@ def q_email_upsert_full_outer(spark: SparkSession, d: str) -> DataFrame:
                         run_ts=WINDOW.run_ts, broadcast=False)
 
 
+def q_email_upsert_broadcast(spark: SparkSession, d: str) -> DataFrame:
+    """The generic MERGE path with a broadcast source: the target is streamed,
+    inserts are found by probing the target keys against the source keys."""
+    src, tgt, cal = _email_inputs(spark, d)
+    hw = max_key(tgt, email.SK)
+    fresh = new_keys(incremental_delta(src, WINDOW.lo), tgt, email.KEY)
+    ka = assign_surrogate_keys(fresh, email.KEY, email.SK, hw)
+    merge_src = email.enrich(incremental_delta(src, WINDOW.lo).join(ka.keyed, email.KEY, "left"), cal)
+    return merge_upsert(tgt, merge_src, email.KEY, update_cols=email.UPDATE_COLS, insert_cols=email.INSERT_COLS,
+                        run_ts=WINDOW.run_ts, broadcast=True)
+
+
 # ----------------------------------------------------------------- company
 def _company_inputs(spark: SparkSession, d: str):
     return V.company_src(spark, d), V.company_dim(spark, d)
@@ -134,6 +146,16 @@ def q_company_full(spark: SparkSession, d: str) -> DataFrame:
     return company.run(src, tgt, WINDOW, max_key(tgt, company.SK)).table
 
 
+def q_company_loopback(spark: SparkSession, d: str) -> DataFrame:
+    """The loopback on its own: the prior dimension repaired from every source
+    row's pointers, resolved against this run's spine (no merge first)."""
+    src, tgt = _company_inputs(spark, d)
+    _, spine = _company_spine_keys(spark, d)
+    resolved = company.resolve_pointers(src.select(*company.KEY, *company.POINTERS), spine)
+    return loopback_repair(tgt, resolved, company.KEY, list(company.POINTERS.values()), run_ts=WINDOW.run_ts,
+                           only_nonzero=True)
+
+
 def q_company_orphans(spark: SparkSession, d: str) -> DataFrame:
     return orphan_report(q_company_full(spark, d), list(company.POINTERS.values()))
 
@@ -176,6 +198,20 @@ def q_direct_full(spark: SparkSession, d: str) -> DataFrame:
     return direct_mail.run(src, tgt, sites, cal, WINDOW, max_key(tgt, direct_mail.SK)).table
 
 
+def q_direct_loopback(spark: SparkSession, d: str) -> DataFrame:
+    """The loopback on its own: every prior fact row's site key re-resolved
+    from its source row (live sites only)."""
+    src, tgt, sites, _ = _direct_inputs(spark, d)
+    resolved = direct_mail.site_key(src.select(*direct_mail.KEY, "spls_site_id"), sites)
+    return loopback_repair(tgt, resolved, direct_mail.KEY, ["spls_site_ky"], run_ts=WINDOW.run_ts)
+
+
+def q_direct_dedupe_newest(spark: SparkSession, d: str) -> DataFrame:
+    """Duplicate natural keys resolved newest-wins (the ``dedupe_by`` option):
+    one row per key, the highest order key kept, over all orders."""
+    return dedupe_newest(V.direct_raw(spark, d), direct_mail.KEY, ["o_orderkey"])
+
+
 def q_direct_orphans(spark: SparkSession, d: str) -> DataFrame:
     return orphan_report(q_direct_full(spark, d), ["spls_site_ky"])
 
@@ -257,11 +293,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "email_date_keys": q_email_date_keys,
     "email_merge": q_email_merge,
     "email_upsert_full_outer": q_email_upsert_full_outer,
+    "email_upsert_broadcast": q_email_upsert_broadcast,
     "company_spine": q_company_spine,
     "company_keys": q_company_keys,
     "company_parents": q_company_parents,
     "company_merge": q_company_merge,
     "company_full": q_company_full,
+    "company_loopback": q_company_loopback,
     "company_orphans": q_company_orphans,
     "direct_new_keys": q_direct_new_keys,
     "direct_keys": q_direct_keys,
@@ -269,6 +307,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "direct_date_keys": q_direct_date_keys,
     "direct_merge": q_direct_merge,
     "direct_full": q_direct_full,
+    "direct_loopback": q_direct_loopback,
+    "direct_dedupe_newest": q_direct_dedupe_newest,
     "direct_orphans": q_direct_orphans,
     "taxonomy_direct_counts": q_taxonomy_direct_counts,
     "taxonomy_email_counts": q_taxonomy_email_counts,
