@@ -20,6 +20,28 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster session, sized for the largest shuffle of a run
+    (the target's key columns for a merge, or the whole target when it is
+    neither bucketed nor broadcast-probed).
+
+    Shuffle partitions are sized so each holds about ``partition_bytes``
+    (adaptive execution coalesces them further when they are smaller), scan
+    splits match, skew-join splitting is on, and checkpoint files are
+    dropped with their DataFrames. ``spark.checkpoint.dir`` must be set by
+    the cluster to a shared folder; it is not chosen here.
+    """
+    partitions = max(200, -(-int(shuffle_bytes) // partition_bytes))
+    conf = dict(RECOMMENDED_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    })
+    return conf
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "martloom",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A ``local[cpus]`` session for tests and the benchmark."""
