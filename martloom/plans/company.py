@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.expressions import UNASSIGNED
-from martloom.operators.delta import key_spine
 from martloom.operators.lookup import resolve_key
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import row_bound, width_bound
+from martloom.operators.sizing import maybe_broadcast, row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
@@ -35,11 +33,22 @@ UPDATE_COLS = [*POINTERS.values(), *ATTRIBUTES]
 INSERT_COLS = [SK, "spls_cmpy_id", *POINTERS.values(), *ATTRIBUTES]
 
 
-def spine_with_keys(delta: DataFrame, target: DataFrame, keys) -> DataFrame:
-    """The key spine with this run's keys filled in: known keys from the
-    spine, minted keys from the key assignment (a union, no join)."""
-    spine = key_spine(delta, target, KEY, SK)
-    known = spine.filter(F.col(SK) != F.lit(UNASSIGNED))
+def spine_with_keys(delta: DataFrame, target: DataFrame, keys, delta_rows: int | None = None) -> DataFrame:
+    """The key spine with this run's keys filled in.
+
+    Known ids are the target's, carrying the delta's status where the delta
+    has them; unseen ids are the minted keys (a union, no further join). This
+    is ``key_spine`` without its full outer join: the delta side is a left
+    join that is broadcast when the delta is proven small, so the dimension
+    is streamed, not shuffled.
+    """
+    d = delta.select(*KEY, F.col("row_stat_cd").alias("_d_status"), F.lit(True).alias("_d_hit"))
+    if delta_rows is not None:
+        d = maybe_broadcast(d, rows=delta_rows)
+    known = target.select(*KEY, SK, F.col("row_stat_cd").alias("_t_status")).join(d, on=KEY, how="left").select(
+        *KEY, SK,
+        F.when(F.col("_d_hit").isNotNull(), F.col("_d_status")).otherwise(F.col("_t_status")).alias("row_stat_cd"),
+    )
     minted = keys.keyed.select(*KEY, SK, "row_stat_cd")
     return known.unionByName(minted)
 
@@ -68,7 +77,7 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
                              })
     n = prepared.profile.sizes
     keys = mint_keys(prepared, target, KEY, SK, high_water, carry=["row_stat_cd"])
-    spine = spine_with_keys(prepared.delta, target, keys)
+    spine = spine_with_keys(prepared.delta, target, keys, delta_rows=prepared.profile.rows)
     if spine_broadcast is None:
         spine_broadcast = n["tgt"] + prepared.profile.rows <= spine_bound
 
