@@ -28,6 +28,24 @@ from martloom.sources.snapshot import SnapshotStore
 BatchJob = Callable[[DataFrame, DataFrame, LoadWindow, int], JobResult]
 
 
+def load_micro_batch(batch: DataFrame, epoch_id: int, store: SnapshotStore, process: str, counter: str,
+                     job: BatchJob, *, schema: StructType, initial_high_water: int | None = None) -> bool:
+    """Load one micro-batch as one committed version; False when the epoch is
+    already committed (a replay after a failure between publish and the
+    stream's own checkpoint), in which case nothing is written."""
+    state = store.state()
+    if state is not None and state.stats.get("epoch", -1) >= epoch_id:
+        return False
+
+    def run(target: DataFrame, window: LoadWindow, high_water: int) -> JobResult:
+        # every record of the batch belongs to this run
+        return job(batch, target, replace(window, lo=EPOCH), high_water)
+
+    run_load(store, process, counter, run, schema=schema, initial_high_water=initial_high_water,
+             extra_stats={"epoch": int(epoch_id)})
+    return True
+
+
 def start_incremental_load(changes: DataFrame, store: SnapshotStore, process: str, counter: str, job: BatchJob, *,
                            schema: StructType, checkpoint_location: str, initial_high_water: int | None = None,
                            available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
@@ -39,16 +57,8 @@ def start_incremental_load(changes: DataFrame, store: SnapshotStore, process: st
     """
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        state = store.state()
-        if state is not None and state.stats.get("epoch", -1) >= epoch_id:
-            return  # replay of a batch whose version is already committed
-
-        def run(target: DataFrame, window: LoadWindow, high_water: int) -> JobResult:
-            # every record of the batch belongs to this run
-            return job(batch, target, replace(window, lo=EPOCH), high_water)
-
-        run_load(store, process, counter, run, schema=schema, initial_high_water=initial_high_water,
-                 extra_stats={"epoch": int(epoch_id)})
+        load_micro_batch(batch, epoch_id, store, process, counter, job, schema=schema,
+                         initial_high_water=initial_high_water)
 
     writer = changes.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
