@@ -65,17 +65,23 @@ class DeltaProfile:
 
 
 def delta_profile(delta: DataFrame, on: Sequence[str],
-                  bounded: dict[str, tuple[DataFrame, int]] | None = None) -> DeltaProfile:
+                  bounded: dict[str, tuple[DataFrame, int]] | None = None,
+                  check_duplicates: bool = True) -> DeltaProfile:
     """One aggregation answering G1 (unique keys), G2 (NULL keys) and the
     delta size used to choose broadcast or shuffle joins later.
 
     ``bounded`` adds ``min(rows, bound + 1)`` counts of other inputs (see
     :func:`martloom.operators.sizing.bounded_counts`) to the same Spark job;
-    they land in ``DeltaProfile.sizes``.
+    they land in ``DeltaProfile.sizes``. ``check_duplicates=False`` (for a
+    source that guarantees unique keys) skips the group-by on the key, so
+    the profile is a plain count without a shuffle.
     """
     from martloom.operators.sizing import bounded_count_rows
 
-    per_key = delta.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    if check_duplicates:
+        per_key = delta.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        per_key = delta.select(*on, F.lit(1).alias("_n"))
     prof = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
         F.coalesce(F.sum(F.when(_any_null(on), F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"),

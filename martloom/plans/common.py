@@ -69,7 +69,8 @@ class PreparedDelta:
 
 def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedupe_by: Sequence[str] | None = None,
                   on_null_key: str = "quarantine", freeze: bool = False,
-                  size_checks: dict[str, tuple[DataFrame, int]] | None = None) -> PreparedDelta:
+                  size_checks: dict[str, tuple[DataFrame, int]] | None = None,
+                  check_duplicates: bool = True) -> PreparedDelta:
     """Window filter, NULL-key quarantine, duplicate guard and the delta size,
     with one aggregation pass; ``size_checks`` (bounded counts of the run's
     other inputs) ride along in the same Spark job.
@@ -84,7 +85,7 @@ def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedup
     if dedupe_by:
         delta = dedupe_newest(delta, key, dedupe_by)
         raw = delta.unionByName(quarantined)
-    profile = delta_profile(raw, key, bounded=size_checks)
+    profile = delta_profile(raw, key, bounded=size_checks, check_duplicates=check_duplicates and not dedupe_by)
     if profile.null_keys and on_null_key == "fail":
         raise GuardError(f"{what}: {profile.null_keys} delta rows have a NULL natural key")
     require_unique_delta(profile, what)

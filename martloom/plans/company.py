@@ -65,13 +65,14 @@ def resolve_pointers(df: DataFrame, spine: DataFrame, broadcast: bool | None = N
 def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: int, *,
         loopback: bool = True, dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = False, spine_broadcast: bool | None = None,
-        insert_buckets: tuple[int, Sequence[str]] | None = None) -> JobResult:
+        insert_buckets: tuple[int, Sequence[str]] | None = None,
+        check_duplicates: bool = True) -> JobResult:
     # spine rows <= target rows + delta rows, and the changes <= source rows:
     # bounded counts (scans that stop at the bound) in the delta-profile job
     spine_bound = row_bound(target.select(*KEY, SK))
     src_bound = width_bound(source.schema, extra_bytes=8 * 4, df=source)
     prepared = prepare_delta(source, window.lo, KEY, what="D_CMPY", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key, freeze=freeze_delta, size_checks={
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta, size_checks={
                                  "tgt": (target.select(SK), spine_bound),
                                  "src": (source.select(*KEY), src_bound),
                              })

@@ -70,7 +70,8 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
         high_water: int, *, loopback: bool = True, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine", freeze_delta: bool = False,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = False) -> JobResult:
+        check_lookups: bool = False,
+        check_duplicates: bool = True) -> JobResult:
     if check_lookups:  # G4: a lookup must not fan out rows of the merge
         check_lookup_unique(sites, "spls_site_id")
         check_lookup_unique(calendar, "cld_dt", status_col=None)
@@ -79,7 +80,7 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
     cal_lk = calendar.select("cld_dt", "tm_ky")
     src_bound = width_bound(source.schema, extra_bytes=8 * (len(DATE_ROLES) + 3), df=source)
     prepared = prepare_delta(source, window.lo, KEY, what="F_DRCT_ML_PROMO", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key, freeze=freeze_delta, size_checks={
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta, size_checks={
                                  "site": (site_lk, row_bound(site_lk)),
                                  "cal": (cal_lk, row_bound(cal_lk)),
                                  "src": (source.select(*KEY), src_bound),

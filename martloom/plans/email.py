@@ -49,12 +49,13 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = False,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = False) -> JobResult:
+        check_lookups: bool = False,
+        check_duplicates: bool = True) -> JobResult:
     if check_lookups:  # G4
         check_lookup_unique(calendar, "cld_dt", status_col=None)
     cal_lk = calendar.select("cld_dt", "tm_ky")
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key, freeze=freeze_delta,
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
                              size_checks={"cal": (cal_lk, row_bound(cal_lk))})
     cal_bc = prepared.profile.sizes["cal"] <= row_bound(cal_lk)
     keys = mint_keys(prepared, target, KEY, SK, high_water)

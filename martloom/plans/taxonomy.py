@@ -107,7 +107,8 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine",
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = False) -> JobResult:
+        check_lookups: bool = False,
+        check_duplicates: bool = True) -> JobResult:
     if check_lookups:  # G4 (the rollup joins every site row, live or not)
         check_lookup_unique(sites, "spls_site_id", status_col=None)
         check_lookup_unique(calendar, "cld_dt", status_col=None)
@@ -116,7 +117,7 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     cal_lk = calendar.select("cld_dt", "tm_ky")
     lookups = {"site": site_lk, "shipto": shipto_lk, "cal": cal_lk}
     prepared = prepare_delta(source, window.lo, KEY, what="F_SRC_TXNMY", dedupe_by=dedupe_by,
-                             on_null_key=on_null_key,
+                             check_duplicates=check_duplicates, on_null_key=on_null_key,
                              size_checks={k: (v, row_bound(v)) for k, v in lookups.items()})
     fits = {k: prepared.profile.sizes[k] <= row_bound(v) for k, v in lookups.items()}
     keys = mint_keys(prepared, target, KEY, SK, high_water)

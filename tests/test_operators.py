@@ -257,3 +257,12 @@ def test_job_quarantines_null_keys_and_fills_empty_target(spark):
     assert rows_of(res.table, ["eml_promo_ky", "eml_ky", "src_cd", "row_stat_cd"]) == [
         (41, 2, "Y", "DEL"), (42, 5, "X", "NEW")]
     assert res.high_water == 42
+
+
+def test_profile_without_duplicate_check_has_no_shuffle(spark):
+    cols = {"k": "string", "v": "bigint"}
+    df = frame(spark, cols, [("a", 1), ("b", 2), (None, 3)])
+    prof = delta_profile(df, ["k"], check_duplicates=False)
+    assert (prof.rows, prof.null_keys, prof.duplicate_keys) == (3, 1, 0)
+    full = delta_profile(df, ["k"])
+    assert (full.rows, full.null_keys, full.duplicate_keys) == (3, 1, 0)
