@@ -27,18 +27,40 @@ HOT_ROWS = 1_000_000
 MAX_HOT_VALUES = 10_000
 
 
-def hot_values(df: DataFrame, col: str, min_rows: int = HOT_ROWS, max_values: int = MAX_HOT_VALUES) -> list:
+def hot_values(df: DataFrame, col: str, min_rows: int | None = None, max_values: int = MAX_HOT_VALUES) -> list:
     """Non-NULL values of ``col`` on more than ``min_rows`` rows, heaviest
     first. One aggregation whose map-side combine turns a hot value into one
     row per task before the shuffle; at most ``max_values`` reach the driver."""
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.filter(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(max_values)
     return [r[0] for r in top.select(col).collect()]
 
 
+def hot_values_by_column(df: DataFrame, cols: list[str], min_rows: int | None = None,
+                         max_values: int = MAX_HOT_VALUES) -> dict[str, list]:
+    """:func:`hot_values` for several reference columns in one aggregation:
+    the columns are stacked into (column, value) pairs, counted with map-side
+    combine, and at most ``max_values`` per column reach the driver."""
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in cols
+    ])))
+    counts = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.filter(F.col("_n") > (HOT_ROWS if min_rows is None else min_rows))
+    rows = top.orderBy(F.col("_n").desc()).limit(max_values * max(1, len(cols))).collect()
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in rows:
+        if len(out[r["_c"]]) < max_values:
+            out[r["_c"]].append(r["_v"])
+    # values were compared as text; give them back in the column's own type
+    return {c: [F.lit(v).cast(types[c]) for v in vs] for c, vs in out.items()}
+
+
 def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_key: str, out_col: str, *,
                 live: bool = True, status_col: str = "row_stat_cd", broadcast: bool | None = None,
-                drop_ref: bool = False, skew_split: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                drop_ref: bool = False, skew_split: bool = True, hot_rows: int | None = None,
+                hot: list | None = None) -> DataFrame:
     """Add ``out_col``: 0 when ``ref_col`` is NULL, the live dimension key when
     one matches, else -1.
 
@@ -49,7 +71,8 @@ def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_ke
     ``hot_rows`` rows) are joined against a broadcast of just the hot
     dimension rows (one live row per id, so at most the number of hot
     values), and only the remaining rows are shuffled. No row is dropped or
-    sampled; the two parts are unioned.
+    sampled; the two parts are unioned. ``hot`` passes hot values found
+    beforehand (a superset is fine) instead of detecting them here.
     """
     lk = live_lookup(dim, dim_id, dim_key, live=live, status_col=status_col)
     rid, rkey = f"_lk_{out_col}_id", f"_lk_{out_col}_key"
@@ -59,7 +82,8 @@ def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_ke
     if broadcast:
         joined = df.join(F.broadcast(lk), df[ref_col] == F.col(rid), "left")
     else:
-        hot = hot_values(df, ref_col, hot_rows) if skew_split else []
+        if hot is None:
+            hot = hot_values(df, ref_col, hot_rows) if skew_split else []
         if hot:
             is_hot = F.coalesce(F.col(ref_col).isin(hot), F.lit(False))
             hot_lk = F.broadcast(lk.filter(F.col(rid).isin(hot)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.lookup import resolve_key
+from martloom.operators.lookup import hot_values_by_column, resolve_key
 from martloom.operators.merge import apply_changes
 from martloom.operators.sizing import maybe_broadcast, row_bound, width_bound
 from martloom.plans.common import (
@@ -53,12 +53,15 @@ def spine_with_keys(delta: DataFrame, target: DataFrame, keys, delta_rows: int |
     return known.unionByName(minted)
 
 
-def resolve_pointers(df: DataFrame, spine: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def resolve_pointers(df: DataFrame, spine: DataFrame, broadcast: bool | None = None,
+                     hot: dict[str, list] | None = None) -> DataFrame:
     """Parent and ultimate parent against live spine rows (keys minted in
-    this run included, so a parent arriving with its child resolves at once)."""
+    this run included, so a parent arriving with its child resolves at once).
+    ``hot``: hot pointer values per column, found once for the whole source."""
     out = df
     for ref, key_col in POINTERS.items():
-        out = resolve_key(out, spine, ref, "spls_cmpy_id", SK, key_col, live=True, broadcast=broadcast)
+        out = resolve_key(out, spine, ref, "spls_cmpy_id", SK, key_col, live=True, broadcast=broadcast,
+                          hot=None if hot is None else hot[ref])
     return out
 
 
@@ -82,12 +85,14 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
     if spine_broadcast is None:
         spine_broadcast = n["tgt"] + prepared.profile.rows <= spine_bound
 
-    delta_part = resolve_pointers(attach_new_keys(prepared.delta, keys, KEY, SK), spine, spine_broadcast)
+    # a shuffled spine join splits hot parents off; find them in one pass over the source
+    hot = None if spine_broadcast else hot_values_by_column(source, list(POINTERS))
+    delta_part = resolve_pointers(attach_new_keys(prepared.delta, keys, KEY, SK), spine, spine_broadcast, hot)
     delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))
     if loopback:
         # every other source row, narrowed to key + pointers, for the repair pass
         rest = outside_window(source, window.lo).filter(F.col("spls_cmpy_id").isNotNull())
-        rest = resolve_pointers(rest.select(*KEY, *POINTERS), spine, spine_broadcast)
+        rest = resolve_pointers(rest.select(*KEY, *POINTERS), spine, spine_broadcast, hot)
         rest = rest.withColumn(DELTA_FLAG, F.lit(False))
         changes = delta_part.unionByName(rest, allowMissingColumns=True)
     else:

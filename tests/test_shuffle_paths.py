@@ -50,3 +50,15 @@ def test_sizes_decide_the_plan(spark, no_broadcast):
     assert not sizing.fits_broadcast(calendar(spark))
     assert sizing.row_bound(sites(spark)) == 1
     assert direct_source(spark).count() == 6
+
+
+def test_company_hot_parent_split_is_exact(spark, no_broadcast):
+    """Most companies share one parent: with HOT_ROWS=1 every repeated parent is split
+    onto a broadcast of its spine row; the load must give the golden rows."""
+    src, tgt = company_inputs(spark)
+    p = company.run(src, tgt, W, 100).table
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan  # the hot part
+    assert rows_of(p, ["spls_cmpy_id", "parnt_cmpy_ky", "ultmt_parnt_cmpy_ky"]) == [
+        ("A", 0, 0), ("B", 1, 1), ("C", 101, 1), ("D", 0, 0), ("E", 1, 1), ("F", -1, -1), ("G", -1, 0),
+        ("H", 101, 1)]
