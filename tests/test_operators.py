@@ -266,3 +266,17 @@ def test_profile_without_duplicate_check_has_no_shuffle(spark):
     assert (prof.rows, prof.null_keys, prof.duplicate_keys) == (3, 1, 0)
     full = delta_profile(df, ["k"])
     assert (full.rows, full.null_keys, full.duplicate_keys) == (3, 1, 0)
+
+
+def test_keys_survive_recomputation(spark):
+    """Lost cached blocks or re-run stages must not renumber: the small path is a
+    row_number over unique keys, the ranged path reads its checkpoint."""
+    rows = [(i * 7 % 101, f"s{i % 3}") for i in range(101)]
+    df = frame(spark, {"n": "bigint", "s": "string"}, rows).repartition(5)
+    small = assign_surrogate_keys(df, ["n", "s"], "sk", 10, max_rows=101)
+    assert small.cached
+    first = rows_of(small.keyed, ["n", "s", "sk"])
+    small.keyed.unpersist(blocking=True)  # as if the executors holding the blocks were lost
+    assert rows_of(small.keyed, ["n", "s", "sk"]) == first
+    ranged = assign_surrogate_keys(df, ["n", "s"], "sk", 10, num_partitions=4)
+    assert rows_of(ranged.keyed, ["n", "s", "sk"]) == first == rows_of(ranged.keyed, ["n", "s", "sk"])
