@@ -28,11 +28,13 @@ MAX_HOT_VALUES = 10_000
 
 
 def hot_values(df: DataFrame, col: str, min_rows: int | None = None, max_values: int = MAX_HOT_VALUES) -> list:
-    """Non-NULL values of ``col`` on more than ``min_rows`` rows, heaviest
-    first. One aggregation whose map-side combine turns a hot value into one
-    row per task before the shuffle; at most ``max_values`` reach the driver."""
+    """Values of ``col`` on more than ``min_rows`` rows, heaviest first; None
+    among them when NULL itself is that common (NULL keys all hash to one
+    shuffle partition). One aggregation whose map-side combine turns a hot
+    value into one row per task before the shuffle; at most ``max_values``
+    reach the driver."""
     min_rows = HOT_ROWS if min_rows is None else min_rows
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.filter(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(max_values)
     return [r[0] for r in top.select(col).collect()]
 
@@ -45,7 +47,7 @@ def hot_values_by_column(df: DataFrame, cols: list[str], min_rows: int | None =
     pairs = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in cols
     ])))
-    counts = pairs.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = pairs.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
     top = counts.filter(F.col("_n") > (HOT_ROWS if min_rows is None else min_rows))
     rows = top.orderBy(F.col("_n").desc()).limit(max_values * max(1, len(cols))).collect()
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -54,7 +56,7 @@ def hot_values_by_column(df: DataFrame, cols: list[str], min_rows: int | None =
         if len(out[r["_c"]]) < max_values:
             out[r["_c"]].append(r["_v"])
     # values were compared as text; give them back in the column's own type
-    return {c: [F.lit(v).cast(types[c]) for v in vs] for c, vs in out.items()}
+    return {c: [None if v is None else F.lit(v).cast(types[c]) for v in vs] for c, vs in out.items()}
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_key: str, out_col: str, *,
@@ -85,8 +87,12 @@ def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_ke
         if hot is None:
             hot = hot_values(df, ref_col, hot_rows) if skew_split else []
         if hot:
-            is_hot = F.coalesce(F.col(ref_col).isin(hot), F.lit(False))
-            hot_lk = F.broadcast(lk.filter(F.col(rid).isin(hot)))
+            values = [v for v in hot if v is not None]
+            is_hot = F.coalesce(F.col(ref_col).isin(values), F.lit(False)) if values else F.lit(False)
+            if len(values) < len(hot):  # NULL is hot: those rows need no lookup, keep them off the shuffle
+                is_hot = is_hot | F.col(ref_col).isNull()
+            hot_lk = lk.filter(F.col(rid).isin(values)) if values else lk.limit(0)
+            hot_lk = F.broadcast(hot_lk)
             hot_part = df.filter(is_hot).join(hot_lk, F.col(ref_col) == F.col(rid), "left")
             cold_part = df.filter(~is_hot).join(lk, F.col(ref_col) == F.col(rid), "left")
             joined = hot_part.unionByName(cold_part)

@@ -280,3 +280,16 @@ def test_keys_survive_recomputation(spark):
     assert rows_of(small.keyed, ["n", "s", "sk"]) == first
     ranged = assign_surrogate_keys(df, ["n", "s"], "sk", 10, num_partitions=4)
     assert rows_of(ranged.keyed, ["n", "s", "sk"]) == first == rows_of(ranged.keyed, ["n", "s", "sk"])
+
+
+def test_resolve_key_keeps_many_null_references_off_the_shuffle(spark):
+    rows = [(str(i), None) for i in range(30)] + [(str(100 + i), f"c{i % 3}") for i in range(6)]
+    df = frame(spark, {"id": "string", "ref": "string"}, rows)
+    dim = frame(spark, {"did": "string", "dk": "bigint", "row_stat_cd": "string"},
+                [("c0", 1, "NEW"), ("c1", 2, "NEW")])
+    from martloom.operators.lookup import hot_values
+    assert hot_values(df, "ref", 10) == [None]
+    split = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, hot_rows=10)
+    plain = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, skew_split=False)
+    assert rows_of(split, ["id", "k"]) == rows_of(plain, ["id", "k"])
+    assert dict(rows_of(split, ["id", "k"]))["0"] == 0
