@@ -199,3 +199,21 @@ def test_partitioned_store_rewrites_only_touched_partitions(spark):
                    (5, "E", 0, "NEW"), (6, "F", 0, "NEW"), (7, "G", 0, "NEW"), (8, "H", 0, "NEW"),
                    (9, "Z", 0, "NEW")]
     assert r2.state.stats["rows"] == 9
+
+
+def test_duplicate_untouched_source_rows_fail_the_run(spark):
+    """G1 checks only the delta; a natural key repeated among the untouched source
+    rows would fan the loopback out, and G5 stops the commit."""
+    from martloom.operators.guards import GuardError
+
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="ml-store-"))
+    src = _src(spark, [("A", None, None, ts("2024-01-05 00:00:00"), "NEW"),
+                       ("B", "A", None, ts("2024-01-05 00:00:00"), "NEW")])
+    run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), initial_high_water=0,
+             now=ts("2024-01-06 00:00:00"))
+    dup = _src(spark, [("A", None, None, ts("2024-01-05 00:00:00"), "NEW"),
+                       ("B", "A", None, ts("2024-01-05 00:00:00"), "NEW"),
+                       ("B", "Z", None, ts("2024-01-04 00:00:00"), "NEW")])
+    with pytest.raises(GuardError):
+        run_load(store, "cmpy", "SPLS_CMPY_KY", _job(dup), schema=_schema(spark), now=ts("2024-01-07 00:00:00"))
+    assert store.state().version == 1
