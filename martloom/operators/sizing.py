@@ -82,11 +82,6 @@ def maybe_broadcast(df: DataFrame, rows: int | None = None, decision: bool | Non
     return F.broadcast(df) if decision else df
 
 
-def count_upto(df: DataFrame, limit: int) -> int:
-    """``min(rows, limit + 1)``: a scan that stops once the bound is passed."""
-    return df.limit(limit + 1).count()
-
-
 def bounded_count_rows(checks: dict[str, tuple[DataFrame, int]]) -> list[DataFrame]:
     """One single-row ``(name, min(rows, bound + 1))`` frame per check."""
     return [
