@@ -64,23 +64,37 @@ def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
 
 
 def email_counts(promos: DataFrame, emails: DataFrame, bridge: DataFrame, users: DataFrame,
-                 codes: DataFrame | None = None) -> DataFrame:
+                 codes: DataFrame | None = None, code_rows: int | None = None) -> DataFrame:
     """Per code: distinct master customers (through e-mail -> user bridge ->
-    user; fan-out is harmless under distinct) and distinct e-mails.
+    user) and distinct e-mails.
 
-    Promotions are reduced to distinct (code, e-mail) pairs before the join
-    chain, so a much-mailed address is one row per code, not one per send.
+    Exact rewrite of the left-join chain for skew: promotions are reduced to
+    distinct (code, e-mail) pairs, and the many-to-many bridge to distinct
+    (e-mail key, master customer) pairs *before* they meet. An address sent a
+    third of all promotions is then one row per code, and an address shared by
+    a million users is one row per master customer. The e-mail count needs no
+    join at all. A missing e-mail, bridge row or user leaves a NULL master,
+    which a distinct count ignores, exactly as in the chain.
     """
     p = promos.select("src_cd", "eml_id")
     if codes is not None:
         p = p.join(codes, on="src_cd", how="left_semi")
     pairs = p.distinct()
+    masters_per_email = (
+        bridge.select("eml_ky", "oms_usr_ky")
+        .join(users.select("oms_usr_ky", "mstr_cust_ky"), on="oms_usr_ky", how="inner")
+        .select("eml_ky", "mstr_cust_ky")
+        .distinct()
+    )
     chain = (
         pairs.join(emails.select("eml_id", "eml_ky"), on="eml_id", how="left")
-        .join(bridge.select("eml_ky", "oms_usr_ky"), on="eml_ky", how="left")
-        .join(users.select("oms_usr_ky", "mstr_cust_ky"), on="oms_usr_ky", how="left")
+        .join(masters_per_email, on="eml_ky", how="left")
     )
-    return distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky", "promo_eml_cnt": "eml_id"})
+    masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"})
+    emls = distinct_rollup(pairs, ["src_cd"], {"promo_eml_cnt": "eml_id"})
+    if code_rows is not None:
+        emls = maybe_broadcast(emls, rows=code_rows)
+    return masters.join(emls, on="src_cd", how="inner")
 
 
 def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame, code_rows: int | None = None) -> DataFrame:
@@ -127,7 +141,7 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     n_codes = prepared.profile.rows
     dc = direct_counts(direct_promos, sites, customers, codes, code_rows=n_codes,
                        site_broadcast=fits["site"], shipto_broadcast=fits["shipto"])
-    ec = email_counts(email_promos, emails, bridge, users, codes)
+    ec = email_counts(email_promos, emails, bridge, users, codes, code_rows=n_codes)
     merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec, code_rows=n_codes)
     merge_src = resolve_date_keys(merge_src, calendar, DATE_ROLES, broadcast=fits["cal"])
     table = apply_changes(
