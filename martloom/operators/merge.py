@@ -142,11 +142,16 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
         repairable = repairable & changed
 
     is_insert = F.col("_ml_t_hit").isNull() if use_full_outer else F.lit(False)
-    out_cols: list[Column] = []
+    s_types = {f.name: f.dataType for f in source.schema.fields}
+    out_cols: list[Column | str] = []
     for name, dtype in tfields.items():
-        if name in on:
-            expr = F.col(name)
-        elif name == status_col and can_merge:
+        touched = (name == status_col and can_merge) or name == update_ts_col or name in rep or name in upd
+        if name in on or not (touched or use_full_outer):
+            out_cols.append(name)  # passed through unchanged: no expression to build
+            continue
+        sources = [upd.get(name), rep.get(name)] + ([ins.get(name)] if use_full_outer and ins else [])
+        needs_cast = any(c is not None and s_types.get(c) != dtype for c in sources)
+        if name == status_col and can_merge:
             expr = F.when(merged, status_on_update(F.col(_s(source_status_col)))).otherwise(F.col(name))
         elif name == update_ts_col:
             expr = F.when(merged | repairable, now).otherwise(F.col(name))
@@ -156,10 +161,11 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
                 expr = F.when(repairable, F.col(_s(rep[name]))).otherwise(expr)
             if name in upd:
                 expr = F.when(merged, F.col(_s(upd[name]))).otherwise(expr)
-        if use_full_outer and name not in on:
+        if use_full_outer:
             expr = F.when(is_insert, _insert_expr(name, on, ins, status_col, insert_ts_col, update_ts_col, now,
                                                   source_status_col, prefixed=True)).otherwise(expr)
-        out_cols.append(expr.cast(dtype).alias(name))
+            needs_cast = True  # insert branch may be an untyped NULL
+        out_cols.append((expr.cast(dtype) if needs_cast else expr).alias(name))
 
     if use_full_outer:
         # one pass: matched/unmatched target rows and unseen delta rows together
