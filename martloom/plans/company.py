@@ -21,6 +21,8 @@ from martloom.plans.common import (
 )
 from martloom.sources.control import LoadWindow
 
+# Fixed names of the company dimension (they must match the mart's columns):
+# natural key, surrogate key, pointers, attributes, and the merge column lists.
 KEY = ["spls_cmpy_id"]
 SK = "spls_cmpy_ky"
 # source reference column -> resolved key column (one hop each, no recursion)

@@ -15,6 +15,8 @@ from martloom.operators.sizing import maybe_broadcast, row_bound
 from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
+# Fixed names of the taxonomy mart (they must match its columns): natural key,
+# surrogate key, calendar roles, attributes, counts, and the merge column lists.
 KEY = ["src_cd"]
 SK = "src_txnmy_ky"
 # Calendar keys are carried next to the three dates (the reference selected
