@@ -22,6 +22,8 @@ from martloom.plans.common import (
 )
 from martloom.sources.control import LoadWindow
 
+# Fixed names of the direct-mail promotion fact (they must match its columns): natural key,
+# surrogate key, calendar roles and count renames; the merge lists follow.
 KEY = ["spls_prsn_id", "src_cd", "promo_dt"]
 SK = "drct_ml_promo_ky"
 # The drop-date key is looked up with the drop date (the reference used the

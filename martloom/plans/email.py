@@ -14,6 +14,8 @@ from martloom.operators.sizing import row_bound
 from martloom.plans.common import JobResult, NEW_FLAG, attach_new_keys, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
+# Fixed names of the e-mail promotion fact (they must match its columns): natural key,
+# surrogate key, calendar roles and count renames; the merge lists follow.
 KEY = ["eml_ky", "src_cd"]
 SK = "eml_promo_ky"
 DATE_ROLES = {
