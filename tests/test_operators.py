@@ -293,3 +293,19 @@ def test_resolve_key_keeps_many_null_references_off_the_shuffle(spark):
     plain = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, skew_split=False)
     assert rows_of(split, ["id", "k"]) == rows_of(plain, ["id", "k"])
     assert dict(rows_of(split, ["id", "k"]))["0"] == 0
+
+
+def test_hot_values_by_column_and_cluster_conf(spark):
+    from martloom.operators.lookup import hot_values_by_column
+    from martloom.session import cluster_conf
+
+    rows = [(1, None)] * 5 + [(1, 7)] * 2 + [(2, 7)] * 4 + [(3, None)]
+    df = frame(spark, {"p": "bigint", "u": "bigint"}, rows)
+    hot = hot_values_by_column(df, ["p", "u"], min_rows=3)
+    assert [spark.range(1).select(v).first()[0] for v in hot["p"]] == [1, 2]  # 7 and 4 rows, heaviest first
+    assert sorted((v is None, v if v is None else spark.range(1).select(v).first()[0]) for v in hot["u"]) == [
+        (False, 7), (True, None)]
+    conf = cluster_conf(100 * 1024 ** 4)
+    assert conf["spark.sql.shuffle.partitions"] == "819200"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"

@@ -217,3 +217,20 @@ def test_duplicate_untouched_source_rows_fail_the_run(spark):
     with pytest.raises(GuardError):
         run_load(store, "cmpy", "SPLS_CMPY_KY", _job(dup), schema=_schema(spark), now=ts("2024-01-07 00:00:00"))
     assert store.state().version == 1
+
+
+def test_partitioned_store_run_without_changes_writes_nothing(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    root = tempfile.mkdtemp(prefix="ml-store-")
+    store = SnapshotStore(spark, root, partition_by=F.col("spls_cmpy_ky") % 2)
+    src = _src(spark, [(c, None, None, ts("2024-01-05 00:00:00"), "NEW") for c in "ABC"])
+    run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), initial_high_water=0,
+             now=ts("2024-01-06 00:00:00"))
+    r2 = run_load(store, "cmpy", "SPLS_CMPY_KY", _job(src), schema=_schema(spark), now=ts("2024-01-07 00:00:00"))
+    assert r2.state.version == 2 and r2.state.partitions == {"0": 1, "1": 1}
+    assert not glob.glob(f"{root}/data/*/v=2")
+    assert store.read(_schema(spark)).count() == 3
+    assert r2.state.committed_run_ts == ts("2024-01-07 00:00:00")  # the window still moves on
