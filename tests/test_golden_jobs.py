@@ -277,3 +277,26 @@ def test_duplicate_live_site_fails_before_any_write(spark):
                                                         "row_stat_cd": "string"}, [(98, "S1", "DEL")]))
     res = direct_mail.run(direct_source(spark), tgt, ok_sites, calendar(spark), W, 500, check_lookups=True)
     assert res.table.count() == 4
+
+
+def test_b3_email_with_frozen_delta_and_newest_wins_dedupe(spark):
+    """freeze_delta gives the same load; a duplicated key with dedupe_by keeps the newest row (X16)."""
+    import pytest
+
+    from martloom.operators.guards import GuardError
+
+    tgt = full_frame(spark, EML_TGT, [])
+    src = email_source(spark)
+    frozen = email.run(src, tgt, calendar(spark), W, 700, freeze_delta=True)
+    plain = email.run(src, tgt, calendar(spark), W, 700)
+    cols = ["eml_promo_ky", "eml_ky", "src_cd", "fsc_ytd_ord_cnt", "row_stat_cd"]
+    assert rows_of(frozen.table, cols) == rows_of(plain.table, cols)
+
+    dup = src.unionByName(full_frame(spark, EML_SRC, [
+        dict(eml_ky=2, src_cd="X", sent_dt=d("2024-01-02"), fsc_ytd_ordr_cnt=60, row_updt_tms=h(23),
+             row_stat_cd="UPDT")]))
+    with pytest.raises(GuardError):
+        email.run(dup, tgt, calendar(spark), W, 700)
+    res = email.run(dup, tgt, calendar(spark), W, 700, dedupe_by=["row_updt_tms"])
+    got = {r["eml_ky"]: r["fsc_ytd_ord_cnt"] for r in res.table.filter("src_cd = 'X'").collect()}
+    assert got[2] == 60 and res.table.count() == 4
