@@ -309,3 +309,16 @@ def test_hot_values_by_column_and_cluster_conf(spark):
     assert conf["spark.sql.shuffle.partitions"] == "819200"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_load_window_open_resume_close():
+    from martloom.sources.control import EPOCH, LoadWindow
+
+    first = LoadWindow.open("p", None, now=ts("2024-01-06 00:00:00"))
+    assert first.lo == EPOCH and not first.resumed
+    nxt = LoadWindow.open("p", first.close(), now=ts("2024-01-07 00:00:00"))
+    assert nxt.lo == ts("2024-01-06 00:00:00")  # low-water mark: the last committed run_ts
+    again = LoadWindow.open("p", pending=nxt, now=ts("2024-01-08 00:00:00"))
+    assert again.resumed and again.lo == nxt.lo and again.run_ts == ts("2024-01-08 00:00:00")
+    with pytest.raises(ValueError):
+        LoadWindow.open("p", ts("2024-01-09 00:00:00"), now=ts("2024-01-08 00:00:00"))
