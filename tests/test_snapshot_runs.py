@@ -234,3 +234,14 @@ def test_partitioned_store_run_without_changes_writes_nothing(spark):
     assert not glob.glob(f"{root}/data/*/v=2")
     assert store.read(_schema(spark)).count() == 3
     assert r2.state.committed_run_ts == ts("2024-01-07 00:00:00")  # the window still moves on
+
+
+def test_publish_snapshot_entry_point_and_exports(spark):
+    import martloom
+    from martloom import publish_snapshot
+
+    assert all(hasattr(martloom, n) for n in martloom.__all__)
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="ml-store-"))
+    st = publish_snapshot(store, full_frame(spark, CMPY_TGT, []), expect_version=0, high_water={"K": 5},
+                          run_ts=ts("2024-01-06 00:00:00"), process="p")
+    assert st.version == 1 and store.state() == st and store.read().count() == 0
