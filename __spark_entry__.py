@@ -327,11 +327,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_email_merge(spark, SMOKE_DIR)
 
 
+try:  # the training-data operators are an optional subpackage
+    import corpus_pipeline
+    from martloom.llm.queries import ORACLE_SQL as _LLM_SQL
+    from martloom.llm.queries import QUERIES as _LLM_QUERIES
+except ImportError:
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_SQL = {**_LLM_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import QUERIES
 
-    return {name: QUERIES[name] for name in _QUERIES if name in QUERIES}
+    return {name: QUERIES[name] for name in _QUERIES if name in QUERIES} | _LLM_SQL

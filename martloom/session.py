@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -83,3 +84,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/object store)")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="martloom-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package.
+
+    Nothing happens where its folder is on ``PYTHONPATH`` already; otherwise
+    the package is zipped once a session and distributed by Spark, as
+    ``spark-submit --py-files`` would.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if os.path.realpath(root) in known or getattr(sc, "_martloom_shipped", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="martloom-zip-"), "martloom")
+    sc.addPyFile(shutil.make_archive(base, "zip", root, "martloom"))
+    sc._martloom_shipped = True
