@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, packing, pii, topk, warc
+from martloom.llm import mixing, packing, pii, topk, toxicity, warc
 from martloom.llm.common import table
 from martloom.session import ship_package
 
@@ -34,6 +34,12 @@ def op6_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.exact_top_k(terms, terms.filter("vec_id % 50 = 0"), k=5)
 
 
+def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    out = toxicity.predict(docs, toxicity.fit(docs, table(spark, d, "labels")))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(qu
     "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
     "op6_exact_top_k": op6_exact_top_k,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
 }.items()}
