@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, packing, pii, topk, toxicity, warc
+from martloom.llm import line_dedup, mixing, packing, pii, topk, toxicity, warc
 from martloom.llm.common import table
 from martloom.session import ship_package
 
@@ -34,6 +34,12 @@ def op6_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.exact_top_k(terms, terms.filter("vec_id % 50 = 0"), k=5)
 
 
+def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, d, "documents"))
+    return out.select("doc_id", "n_lines", "n_deleted", "n_left",
+                      F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     out = toxicity.predict(docs, toxicity.fit(docs, table(spark, d, "labels")))
@@ -63,9 +69,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(qu
     "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
     "op6_exact_top_k": op6_exact_top_k,
+    "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
 }.items()}
 
-ORACLE_SQL: dict[str, str] = {}
+WORDS_SQL = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
+
+OP7_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL
+), seated AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seat,
+         sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS total
+  FROM (SELECT *, {WORDS_SQL.format('line')} AS words FROM lines) WHERE words > 0
+), spans AS (
+  SELECT a.doc_id, a.seat AS s, min(b.seat) AS e FROM seated a JOIN seated b
+  ON a.doc_id = b.doc_id AND b.seat BETWEEN a.seat AND a.seat + {{least}} - 1
+  WHERE b.total - a.total + a.words >= {{least}} GROUP BY a.doc_id, a.seat
+  UNION
+  SELECT b.doc_id, max(a.seat) AS s, b.seat AS e FROM seated a JOIN seated b
+  ON a.doc_id = b.doc_id AND a.seat BETWEEN b.seat - {{least}} + 1 AND b.seat
+  WHERE b.total - a.total + a.words >= {{least}} GROUP BY b.doc_id, b.seat
+), contents AS (
+  SELECT w.doc_id, w.s, w.e, string_agg(t.line, chr(10) ORDER BY t.seat) AS content
+  FROM spans w JOIN seated t ON t.doc_id = w.doc_id AND t.seat BETWEEN w.s AND w.e GROUP BY w.doc_id, w.s, w.e
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, s) AS copy FROM contents
+), gone AS (
+  SELECT DISTINCT t.doc_id, t.pos FROM ordered w JOIN seated t
+  ON t.doc_id = w.doc_id AND t.seat BETWEEN w.s AND w.e WHERE w.copy > 1
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS text,
+         count(*) AS n_lines, count(g.pos) AS n_deleted
+  FROM lines l LEFT JOIN gone g USING (doc_id, pos) GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_deleted, 0) AS n_deleted,
+       CAST({WORDS_SQL.format("coalesce(k.text, '')")} AS BIGINT) AS n_left, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+""".replace("{least}", str(line_dedup.MIN_WORDS))
+
+ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
