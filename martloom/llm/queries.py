@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import line_dedup, mixing, packing, pii, topk, toxicity, warc
+from martloom.llm import line_dedup, mixing, packing, pii, setsketch, topk, toxicity, warc
 from martloom.llm.common import table
 from martloom.session import ship_package
 
@@ -29,6 +29,10 @@ def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, d, "documents"))
+
+
 def op6_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     terms = topk.integer_terms(table(spark, d, "embeddings"))
     return topk.exact_top_k(terms, terms.filter("vec_id % 50 = 0"), k=5)
@@ -68,6 +72,7 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(query) for name, query in {
     "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
