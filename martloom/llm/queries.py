@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import line_dedup, mixing, packing, pii, setsketch, topk, toxicity, warc
+from martloom.llm import line_dedup, mixing, packing, pii, setsketch, suffix_dedup, topk, toxicity, warc
 from martloom.llm.common import table
 from martloom.session import ship_package
 
@@ -33,6 +33,10 @@ def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, d, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.dedup_passages(table(spark, d, "documents"))
+
+
 def op6_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     terms = topk.integer_terms(table(spark, d, "embeddings"))
     return topk.exact_top_k(terms, terms.filter("vec_id % 50 = 0"), k=5)
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(qu
     "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
