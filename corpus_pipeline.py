@@ -1,20 +1,81 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again.
+
+toxicity -> line dedup -> MinHash near-dedup -> mixing to target weights ->
+best-fit packing. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martloom.llm.common import table
-from martloom.llm.queries import shipped
+from martloom.llm import line_dedup, mixing, packing, setsketch, toxicity
+from martloom.llm.common import table, text_or_empty
+from martloom.llm.queries import shipped, tokenizer_path
 from martloom.session import checkpoint_dir
 
-STAGES: list = []
-ORACLE_SQL = None
+
+@shipped
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier does not reject."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).filter("predicted = 0").select(*docs.columns)
+
+
+@shipped
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs deleted; documents left without a word by that go."""
+    cut = line_dedup.dedup_lines(docs).filter("n_deleted = 0 OR n_left > 0")
+    length = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def _same_document(other: str = "o"):
+    return F.expr(f"d.doc_id <=> {other}.doc_id AND d._mark = {other}.mark")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_mark", F.xxhash64("text")).alias("d")
 
 
 @shipped
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    kept = setsketch.near_duplicates(docs).filter("kept").select("doc_id", "mark").alias("o")
+    return _marked(docs).join(kept, _same_document(), "left_semi").select(*docs.columns).dropDuplicates(
+        ["doc_id", "text"])
+
+
+@shipped
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    sized = docs.select("doc_id", "source", mixing.word_count(text_or_empty()).alias("size"),
+                        F.xxhash64("text").alias("mark"))
+    taken = mixing.mix(mixing.quality_weight(sized, table(spark, sf_dir, "labels")), carry=["mark"])
+    copies = taken.groupBy("doc_id", "mark").agg(F.max("copies").cast("int").alias("copies")).filter("copies > 0").alias("o")
+    repeated = F.explode(F.sequence(F.lit(1), F.col("o.copies")))
+    return _marked(docs).join(copies, _same_document()).select("d.*", repeated.alias("_copy")).select(*docs.columns)
+
+
+@shipped
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("near dedup", dedup_near),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+ORACLE_SQL = None  # the classifier, the verified near-duplicates and the tokenizer have no SQL form
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, each over all rows its predecessor kept."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"

@@ -75,12 +75,13 @@ def source_targets(sizes: DataFrame, share: float = 1.5, weights: Sequence[float
     return table.select("source", "source_size", F.least("cap", F.lit(level) * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.0, 2.0, 1.0), most: float = 2.0) -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.0, 2.0, 1.0), most: float = 2.0,
+        carry: Sequence[str] = ()) -> DataFrame:
     """How often each document enters the mix.
 
     ``docs`` needs ``doc_id``, ``source``, ``size`` (words) and ``weight``
-    (quality, above 0). Returns those rows with ``source_size``, ``target``
-    and ``copies``. Whole documents are taken: after the complete epochs, a
+    (quality, above 0). Returns those rows, and the columns named in
+    ``carry``, with ``source_size``, ``target`` and ``copies``. Whole documents are taken: after the complete epochs, a
     document is selected while at least half of it lies inside what is left
     of the budget, so a source misses its target by half a document at most.
 
@@ -90,7 +91,8 @@ def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.0, 2.
     """
     key = -F.log(uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))) / F.coalesce("weight", F.lit(1.0))
     slim = checkpointed(docs.select(
-        "doc_id", "source", F.coalesce("size", F.lit(0)).cast("bigint").alias("size"), key.alias("key")))
+        "doc_id", "source", F.coalesce("size", F.lit(0)).cast("bigint").alias("size"), key.alias("key"),
+        *carry))
     sizes = checkpointed(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
     targets = source_targets(sizes.select("source", "source_size"), share, weights, most)
     ranges = parts_for(sizes.agg(F.sum("n")).first()[0] or 0, ROWS_PER_RANGE, LEAST_RANGES)
@@ -109,7 +111,7 @@ def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.0, 2.
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     left = F.col("target") - F.col("epochs") * F.col("source_size")
     return rows.withColumn("start", start).withColumn("epochs", epochs.cast("bigint")).select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", *carry,
         (F.col("epochs") + (2 * F.col("start") + F.col("size") <= 2 * left).cast("bigint")).alias("copies"))
 
 

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import line_dedup, mixing, packing, pii, setsketch, suffix_dedup, topk, toxicity, warc
+from martloom.llm import ann, line_dedup, mixing, packing, pii, setsketch, suffix_dedup, topk, toxicity, warc
 from martloom.llm.common import table
 from martloom.session import ship_package
 
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.find_pii(table(spark, d, "documents"))
 
@@ -74,6 +78,7 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(query) for name, query in {
+    "op1_nearest": op1_nearest,
     "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
     "op4_near_duplicates": op4_near_duplicates,

@@ -268,7 +268,9 @@ def _links(pairs: DataFrame, tested: DataFrame | None, classes: DataFrame, texts
 
 
 def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``).
+    """``doc_id, n_shingles, component_id, kept, mark`` for every row of ``docs`` (``doc_id, text``).
+
+    ``mark`` is the hash (xxhash64) of the row's text.
 
     Documents are linked where ``100 * intersection >= link * union`` of their
     shingle sets; a component's id is its smallest doc_id. Documents without
@@ -282,9 +284,9 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("at")).select(
         "node", "n_shingles", "registers", "at.doc_id", "at.mark"))
     labels = components(classes.filter("doc_id IS NOT NULL"), docs, link)
-    rows = sketches.select("doc_id", "n_shingles", "node")
+    rows = sketches.select("doc_id", "mark", "n_shingles", "node")
     known = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = known.join(least, "root", "left").withColumn("component_id", F.coalesce("least", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark")
