@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,41 +30,93 @@ CAPACITY = 1024
 END = 2
 OPEN_BINS = 256
 PIECES_PER_TASK = 20_000
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 800_000
+WORDS_AT_ONCE = 256
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 # Between two characters that are not white space, a single space always
-# starts a pre-token, so texts can be tokenised chunk by chunk there.
-_SPACE = r"[\s\x1c-\x1f\x85\u180e\u200b\ufeff]"
+# starts a pre-token, so texts can be tokenised chunk by chunk there. Other
+# white space as the tokenizer or Python may see it, fixed values:
+OTHER_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e" + "".join(
+    map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+_SPACE = f"[ {OTHER_SPACE}]"
 _CHUNKS = regex.compile(rf"(?<!{_SPACE}|^) (?!{_SPACE}|$)")
-_UNSAFE = regex.compile(rf"^{_SPACE}|{_SPACE}$|{_SPACE}{{2}}")
+MARKS = ".,"
+PLAIN_LETTERS = "\u0250"   # letters below are letters in every Unicode version
 
 
-class TokenBytes(dict):
-    """Chunk of a text -> its ids as little-endian unsigned 32-bit integers.
+def chunks_of(text: str) -> list[str]:
+    """The text cut at its safe spaces; all chunks but the first follow a space."""
+    parts = text.split(" ")
+    if "" not in parts and not any(
+            s in text and (s + " " in text or " " + s in text) for s in OTHER_SPACE):
+        return parts
+    return _CHUNKS.split(text)
 
-    Chunks repeat, so most are looked up; new ones are encoded together. The
-    cache is emptied when it is full, which only costs time.
+
+class TokenBytes:
+    """Texts -> their ids as little-endian unsigned 32-bit integers.
+
+    Chunks repeat, so most are looked up. New words are encoded together, as
+    one text of words after spaces: a word's ids begin where a token begins
+    with the space. The caches are emptied when full, which only costs time.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        space = self.tokenizer.id_to_token(self.tokenizer.encode(" a", add_special_tokens=False).ids[0])[0]
+        self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(space)
+                                for i in range(self.tokenizer.get_vocab_size())])
+        self.after_space: dict[str, bytes] = {}
+        self.as_is: dict[str, bytes] = {}
+
+    def _words(self, words: list[str]) -> None:
+        groups = [" " + " ".join(words[at : at + WORDS_AT_ONCE]) for at in range(0, len(words), WORDS_AT_ONCE)]
+        encoded = self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)
+        for at, e in zip(range(0, len(words), WORDS_AT_ONCE), encoded, strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, cuts = ids.tobytes(), [*(4 * np.flatnonzero(self.starts[ids])).tolist(), 4 * len(ids)]
+            self.after_space.update(
+                zip(words[at : at + WORDS_AT_ONCE], [raw[a:b] for a, b in pairwise(cuts)], strict=True))
+
+    def _others(self, chunks: list[str], known: dict[str, bytes], before: str) -> None:
+        encoded = self.tokenizer.encode_batch_fast([before + c for c in chunks], add_special_tokens=False)
+        known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(chunks, encoded, strict=True))
+
+    def _learn(self, chunks: set[str]) -> None:
+        """All chunks that follow a space: plain words, words with marks, anything else."""
+        words, marked, others = set(), [], []
+        for chunk in chunks:
+            word = chunk.rstrip(MARKS)
+            if not (word.isalpha() and max(word) < PLAIN_LETTERS):
+                others.append(chunk)
+            elif word == chunk:
+                words.add(word)
+            else:
+                marked.append((chunk, word, chunk[len(word):]))
+                if word not in self.after_space:
+                    words.add(word)
+        self._words(list(words))
+        self._others(others, self.after_space, " ")
+        self._others(list({m for _, _, m in marked if m not in self.as_is}), self.as_is, "")
+        self.after_space.update((chunk, self.after_space[word] + self.as_is[mark]) for chunk, word, mark in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunked = []
-        for text in texts:
-            parts = _CHUNKS.split(text) if _UNSAFE.search(text) else text.split(" ")
-            chunked.append([parts[0], *[" " + p for p in parts[1:]]])
-        if len(self) > CACHED_CHUNKS:
-            self.clear()
-        fresh = list({c for parts in chunked for c in parts if c not in self})
-        for c, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self[c] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.__getitem__, parts)) for parts in chunked]
+        for known in (self.after_space, self.as_is):
+            if len(known) > CACHED_CHUNKS:
+                known.clear()
+        chunked = [chunks_of(t) for t in texts]
+        first = [parts.pop(0) for parts in chunked]
+        later: set[str] = set()
+        for parts in chunked:
+            later.update(parts)
+        self._learn({c for c in later if c not in self.after_space})
+        self._others(list({c for c in first if c not in self.as_is}), self.as_is, "")
+        get = self.after_space.__getitem__
+        return [self.as_is[f] + b"".join(map(get, parts)) for f, parts in zip(first, chunked, strict=True)]
 
 
 @lru_cache(maxsize=2)
