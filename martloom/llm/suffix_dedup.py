@@ -12,9 +12,10 @@ sorting: a multikey sort over 8-byte characters down to a shallow depth, then
 the groups that are still tied (long common prefixes) are ordered as blind
 tries, which look only at the characters where a group branches.
 
-Documents are dealt to parts of bounded size. An anchor that many parts share
-(a passage found everywhere) has its windows dealt by their own content, so no
-bucket collects all surroundings of a frequent passage.
+Documents are dealt to parts of bounded size. An anchor with very many
+different contexts (the edge of a passage found everywhere) has its windows
+dealt by their own content, so no bucket collects all surroundings of a
+frequent passage.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ PART_BYTES = 8 * 1024 * 1024
 BUCKET_BYTES = 8 * 1024 * 1024
 LEAST_PARTS = 16
 CHUNK_BYTES = 1 << 20
-HOT_PARTS = 32
+HOT_CONTEXTS = 1000          # contexts beyond one a part from which an anchor's windows are dealt singly
+MOST_TOLD = 127
 NO_ID = np.iinfo(np.int64).max
 _C = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
 _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -95,8 +97,10 @@ class Part:
             upto = max(at + 1, int(np.searchsorted(self.offsets, self.offsets[at] + CHUNK_BYTES, "right")) - 1)
             found.append(self._runs(at, upto))
             at = upto
-        first, last, place, code, doc = map(np.concatenate, zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 5
+        first, last, place, code, doc, around = map(np.concatenate, zip(*found, strict=True)) if found else [
+            np.zeros(0, np.int64)] * 6
         self.first, self.last, self.place, self.doc = first, last, place, doc
+        self.around = around.astype(np.uint64)  # a hash of the context
         code = code.astype(np.uint64)
         # bucket in the upper half, 32 hash bits in the lower
         self.code = ((code >> _HIGH) % np.uint64(buckets) << _HIGH) | (code & _LOW)
@@ -105,7 +109,7 @@ class Part:
         base = self.offsets[at]
         a = self.bytes[base : self.offsets[upto]]
         if len(a) < WIDTH:
-            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
+            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64, np.uint64))
         place, h = anchors(a)
         counts = np.maximum(self.sizes[at:upto] - WIDTH + 1, 0)
         doc = np.repeat(np.arange(at, upto), counts)
@@ -114,16 +118,29 @@ class Part:
         place = place[start]
         new = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(start) != 1)])) if len(start) else start
         end = np.concatenate([new[1:], [len(start)]]).astype(np.int64) - 1 if len(new) else new
-        q = place[new]
-        return start[new] + base, start[end] + base, q + base, mix(h[q] ^ _C[3]), doc[new]
+        q, first, last = place[new], start[new], start[end]
+        around = (last - first).astype(np.uint64)
+        for edge in (first, last):  # k-grams that cover the first and the last window
+            for step in (0, (WIDTH - GRAM) // 2, WIDTH - GRAM):
+                around = mix(around * _C[0] ^ h[edge + step])
+        return first + base, last + base, q + base, mix(h[q] ^ _C[3]), doc[new], around
 
     def codes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct anchor codes, ascending, and whether several documents here hold them."""
-        order = np.lexsort((self.ids[self.doc], self.code))
-        code, ids = self.code[order], self.ids[self.doc][order]
-        cut = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-        end = np.concatenate([cut[1:], [len(code)]]).astype(np.int64) - 1 if len(cut) else cut
-        return code[cut], ids[cut] != ids[end]
+        """Distinct anchor codes, ascending, and a byte for each.
+
+        The byte holds how many contexts the anchor has here (``MOST_TOLD`` or
+        more), with the top bit set if several documents hold it.
+        """
+        if not len(self.code):
+            return self.code, np.zeros(0, np.uint8)
+        order = np.lexsort((self.around, self.code))
+        code, ids, around = self.code[order], self.ids[self.doc][order], self.around[order]
+        new = np.concatenate([[True], code[1:] != code[:-1]])
+        cut = np.flatnonzero(new)
+        fresh = new | np.concatenate([[True], around[1:] != around[:-1]])
+        contexts = np.minimum(np.add.reduceat(fresh.astype(np.int64), cut), MOST_TOLD)
+        several = np.minimum.reduceat(ids, cut) != np.maximum.reduceat(ids, cut)
+        return code[cut], (contexts | several.astype(np.int64) << 7).astype(np.uint8)
 
     def contexts(self, shared: np.ndarray, hot: np.ndarray, buckets: int) -> Contexts:
         return Contexts(self, shared, hot, buckets)
@@ -246,7 +263,9 @@ def least_ids(records: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _pieces(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+    if not len(bucket):
+        return
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
         yield int(bucket[a]), slice(a, b)
 
@@ -302,7 +321,7 @@ def removed_bytes(part: Part, contexts: Contexts, least: np.ndarray) -> np.ndarr
 
 
 def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes: int = BUCKET_BYTES,
-                   hot_parts: int = HOT_PARTS) -> DataFrame:
+                   hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs`` (``doc_id, text``).
 
     Texts are UTF-8 bytes (NULL: empty); matches never cross documents and are
@@ -317,16 +336,16 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
     dealt = source.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
 
     def tell_codes(key: tuple, rows: pa.Table) -> pa.Table:
-        codes, several = _part_of(rows, buckets).codes()
-        return _messages([(SHARED, key[0].as_py(), b, (codes[cut] & _LOW).astype(np.uint32).tobytes(), _bits(several[cut]))
+        codes, held = _part_of(rows, buckets).codes()
+        return _messages([(SHARED, key[0].as_py(), b, (codes[cut] & _LOW).astype(np.uint32).tobytes(), held[cut].tobytes())
                           for b, cut in _pieces((codes >> _HIGH).astype(np.int64))])
 
     def find_shared(key: tuple, notes: pa.Table) -> pa.Table:
         values = [np.frombuffer(v, np.uint32) for v in notes["one"].to_pylist()]
-        several = np.concatenate([_mask(m, len(v)) for m, v in zip(notes["two"].to_pylist(), values, strict=True)])
-        distinct, back, held = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
-        shared = (held > 1) | (np.bincount(back, weights=several, minlength=len(distinct)) > 0)
-        hot = held > hot_parts
+        held = np.frombuffer(b"".join(notes["two"].to_pylist()), np.uint8)
+        distinct, back, parts_ = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+        shared = (parts_ > 1) | (np.bincount(back, weights=held >> 7, minlength=len(distinct)) > 0)
+        hot = np.bincount(back, weights=(held & MOST_TOLD).astype(np.int64) - 1, minlength=len(distinct)) >= hot_contexts
         cuts = np.cumsum([len(v) for v in values])[:-1]
         return _messages([(SHARED, p, key[0].as_py(), _bits(s), _bits(h)) for p, s, h in zip(
             notes["part"].to_pylist(), np.split(shared[back], cuts), np.split(hot[back], cuts), strict=True)])
