@@ -118,10 +118,10 @@ def fit_label_model(n: float, fired: np.ndarray, together: np.ndarray, prior: fl
 
     Voters that are independent given the class have a covariance of rank one
     off the diagonal, ``prior (1 - prior) d_i d_j`` with d the difference of a
-    voter's firing rates between the classes. d is fitted by alternating least
-    squares; pairs whose residual correlation stays high are taken as
-    correlated, left out of the next fit, and their voters' weights divided by
-    one plus the sum of those correlations.
+    voter's firing rates between the classes. d comes from triplets of voters;
+    pairs whose residual correlation is high are taken as correlated, left out
+    of a least-squares fit that refines d, and their voters' weights divided
+    by one plus the sum of those correlations.
     """
     m = len(fired)
     mean = fired / max(n, 1)
@@ -130,21 +130,26 @@ def fit_label_model(n: float, fired: np.ndarray, together: np.ndarray, prior: fl
     live = (mean * n >= LEAST_ROWS) & (mean < 1)
     scale = prior * (1 - prior)
     use = np.outer(live, live) & ~np.eye(m, dtype=bool)
-    corr = np.zeros((m, m))
+
+    def residual(d: np.ndarray) -> np.ndarray:
+        off = (cov - scale * np.outer(d, d)) / np.outer(spread, spread)
+        return np.where(np.outer(live, live) & ~np.eye(m, dtype=bool), off, 0.0)
+
+    # scale * d_i^2 = cov_ij cov_ik / cov_jk for any two others; the median withstands correlated pairs
     d = np.zeros(m)
-    for _ in range(3):
-        d = np.where(live, np.maximum(cov.sum(axis=1) - np.diag(cov), 0), 0.0)
-        d = d / max(np.linalg.norm(d), 1e-12) if d.any() else d
-        for _ in range(200):
-            top = (np.where(use, cov, 0.0) @ d)
-            base = scale * (np.where(use, 1.0, 0.0) @ (d * d))
-            fresh = np.where(base > 1e-15, np.maximum(top / np.maximum(base, 1e-15), 0), 0.0)
-            if np.allclose(fresh, d, atol=1e-9):
-                break
-            d = 0.5 * (d + fresh)
-        corr = np.where(np.outer(live, live), (cov - scale * np.outer(d, d)) / np.outer(spread, spread), 0.0)
-        np.fill_diagonal(corr, 0.0)
-        use = np.outer(live, live) & ~np.eye(m, dtype=bool) & (np.abs(corr) < CORRELATED)
+    for i in np.flatnonzero(live):
+        j, k = np.meshgrid(*[np.setdiff1d(np.flatnonzero(live), i)] * 2)
+        ok = (j < k) & (cov[j, k] > 1e-12)
+        squares = cov[i, j[ok]] * cov[i, k[ok]] / cov[j[ok], k[ok]] / scale
+        d[i] = np.sqrt(max(np.median(squares), 0.0)) if len(squares) else 0.0
+    use = use & (np.abs(residual(d)) < CORRELATED)
+    for _ in range(200):
+        top, base = np.where(use, cov, 0.0) @ d, scale * (use @ (d * d))
+        fresh = np.where(base > 1e-15, np.maximum(top / np.maximum(base, 1e-15), 0), d)
+        if np.allclose(fresh, d, atol=1e-9):
+            break
+        d = 0.5 * (d + fresh)
+    corr = residual(d)
     given1 = np.clip(mean + (1 - prior) * d, 1e-4, 1 - 1e-4)
     given0 = np.clip(mean - prior * d, 1e-4, 1 - 1e-4)
     strong = np.where(np.abs(corr) >= CORRELATED, np.abs(corr), 0.0)
