@@ -26,7 +26,7 @@ from martloom.operators.keys import assign_surrogate_keys  # noqa: E402
 from martloom.operators.lookup import resolve_date_keys  # noqa: E402
 from martloom.operators.merge import loopback_repair, merge_upsert  # noqa: E402
 from martloom.plans import company, direct_mail, email, taxonomy  # noqa: E402
-from martloom.plans.common import max_key  # noqa: E402
+from martloom.plans.common import NEW_FLAG, attach_new_keys, max_key  # noqa: E402
 from martloom.sources import derived as V  # noqa: E402
 from martloom.sources.control import LoadWindow, update_registry  # noqa: E402
 
@@ -92,19 +92,19 @@ def q_email_upsert_full_outer(spark: SparkSession, d: str) -> DataFrame:
     ka = assign_surrogate_keys(fresh, email.KEY, email.SK, hw)
     merge_src = email.enrich(incremental_delta(src, WINDOW.lo).join(ka.keyed, email.KEY, "left"), cal)
     return merge_upsert(tgt, merge_src, email.KEY, update_cols=email.UPDATE_COLS, insert_cols=email.INSERT_COLS,
-                        run_ts=WINDOW.run_ts, broadcast=False)
+                        run_ts=WINDOW.run_ts)
 
 
 def q_email_upsert_broadcast(spark: SparkSession, d: str) -> DataFrame:
-    """The generic MERGE path with a broadcast source: the target is streamed,
-    inserts are found by probing the target keys against the source keys."""
+    """The generic MERGE path with known new keys: one left join of the target,
+    which Spark turns into a broadcast of the source where it is small."""
     src, tgt, cal = _email_inputs(spark, d)
     hw = max_key(tgt, email.SK)
     fresh = new_keys(incremental_delta(src, WINDOW.lo), tgt, email.KEY)
     ka = assign_surrogate_keys(fresh, email.KEY, email.SK, hw)
-    merge_src = email.enrich(incremental_delta(src, WINDOW.lo).join(ka.keyed, email.KEY, "left"), cal)
+    merge_src = email.enrich(attach_new_keys(incremental_delta(src, WINDOW.lo), ka, email.KEY, email.SK), cal)
     return merge_upsert(tgt, merge_src, email.KEY, update_cols=email.UPDATE_COLS, insert_cols=email.INSERT_COLS,
-                        run_ts=WINDOW.run_ts, broadcast=True)
+                        run_ts=WINDOW.run_ts, new_flag=NEW_FLAG)
 
 
 # ----------------------------------------------------------------- company

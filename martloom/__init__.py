@@ -17,6 +17,7 @@ from martloom.functions.expressions import (
 from martloom.operators.delta import incremental_delta, key_spine, new_keys
 from martloom.operators.guards import (
     GuardError,
+    check_counter,
     check_lookup_unique,
     check_surrogate_keys,
     delta_profile,
@@ -29,7 +30,7 @@ from martloom.operators.lookup import resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes, loopback_repair, merge_upsert
 from martloom.operators.rollup import distinct_rollup
 from martloom.sources.control import LoadWindow, read_high_water, update_registry
-from martloom.sources.snapshot import SnapshotStore, TableState, publish_snapshot
+from martloom.sources.snapshot import SnapshotStore, TableState, VersionConflict, publish_snapshot
 
 __all__ = [
     "DELETED",
@@ -43,9 +44,11 @@ __all__ = [
     "LoadWindow",
     "SnapshotStore",
     "TableState",
+    "VersionConflict",
     "advance_high_water",
     "apply_changes",
     "assign_surrogate_keys",
+    "check_counter",
     "check_lookup_unique",
     "check_surrogate_keys",
     "delta_profile",

@@ -9,37 +9,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.expressions import UNASSIGNED, ts_literal
-from martloom.operators.sizing import fits_broadcast
 
 
-def incremental_delta(src: DataFrame, lo: datetime | str, ts_col: str = "row_updt_tms") -> DataFrame:
-    """Rows changed since the window opened: ``ts_col >= lo`` (no upper bound).
+def incremental_delta(src: DataFrame, lo: datetime | str | None, ts_col: str = "row_updt_tms") -> DataFrame:
+    """Rows changed since the window opened: ``ts_col >= lo`` (no upper bound);
+    every row, those without a change time too, when there is no ``lo``.
 
     ``lo`` becomes a literal of the column's own type, so the predicate is
     pushed into the Parquet scan (row-group skipping, partition pruning).
     """
+    if lo is None:
+        return src
     return src.filter(F.col(ts_col) >= ts_literal(lo, src.schema[ts_col].dataType))
 
 
-def new_keys(delta: DataFrame, target: DataFrame, on: Sequence[str], delta_rows: int | None = None,
-             carry: Sequence[str] = ()) -> DataFrame:
+def new_keys(delta: DataFrame, target: DataFrame, on: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Natural keys of ``delta`` that ``target`` does not hold (NOT EXISTS).
 
     A NULL key never matches, so it is kept, as NOT EXISTS keeps it.
     ``carry`` names delta columns to keep next to the key.
 
-    When the delta is proven small (``delta_rows`` within the broadcast
-    budget) the target's key columns are only *probed* against a broadcast
-    of the delta keys, so the target is never shuffled; otherwise this is a
-    plain anti join that shuffles key columns only.
+    The target's key columns are first reduced to those the delta holds: where
+    Spark finds the delta's keys small enough to broadcast, the target is only
+    probed and never shuffled; otherwise both joins share one shuffle of key
+    columns.
     """
     on = list(on)
-    dkeys = delta.select(*on, *carry)
-    tkeys = target.select(*on)
-    if delta_rows is None or not fits_broadcast(dkeys, rows=delta_rows):
-        return dkeys.join(tkeys, on=on, how="left_anti")
-    seen = tkeys.join(F.broadcast(dkeys.select(*on)), on=on, how="left_semi")
-    return dkeys.join(seen, on=on, how="left_anti")
+    seen = target.select(*on).join(delta.select(*on), on=on, how="left_semi")
+    return delta.select(*on, *carry).join(seen, on=on, how="left_anti")
 
 
 def key_spine(delta: DataFrame, target: DataFrame, on: Sequence[str], sk: str,

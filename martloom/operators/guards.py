@@ -8,12 +8,13 @@ NULL-key count and the delta size in a single pass).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.expressions import is_live
+from martloom.functions.expressions import is_live, ts_literal
 
 
 class GuardError(RuntimeError):
@@ -61,43 +62,24 @@ class DeltaProfile:
     null_keys: int       # rows with a NULL in the natural key (quarantined)
     duplicate_keys: int  # distinct non-NULL keys seen more than once
     max_copies: int
-    sizes: dict[str, int] = field(default_factory=dict)  # bounded counts asked for with the profile
 
 
-def delta_profile(delta: DataFrame, on: Sequence[str],
-                  bounded: dict[str, tuple[DataFrame, int]] | None = None,
-                  check_duplicates: bool = True) -> DeltaProfile:
-    """One aggregation answering G1 (unique keys), G2 (NULL keys) and the
-    delta size used to choose broadcast or shuffle joins later.
-
-    ``bounded`` adds ``min(rows, bound + 1)`` counts of other inputs (see
-    :func:`martloom.operators.sizing.bounded_counts`) to the same Spark job;
-    they land in ``DeltaProfile.sizes``. ``check_duplicates=False`` (for a
-    source that guarantees unique keys) skips the group-by on the key, so
-    the profile is a plain count without a shuffle.
-    """
-    from martloom.operators.sizing import bounded_count_rows
-
+def delta_profile(delta: DataFrame, on: Sequence[str], check_duplicates: bool = True) -> DeltaProfile:
+    """One aggregation answering G1 (unique keys), G2 (NULL keys) and the delta
+    size. ``check_duplicates=False`` (for a source that guarantees unique
+    keys) skips the group-by on the key: a plain count without a shuffle of
+    rows."""
     if check_duplicates:
         per_key = delta.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     else:
         per_key = delta.select(*on, F.lit(1).alias("_n"))
-    prof = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.when(_any_null(on), F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"),
-        F.coalesce(F.sum(F.when(~_any_null(on) & (F.col("_n") > 1), 1)), F.lit(0)).cast("bigint").alias("dups"),
-        F.coalesce(F.max(F.when(~_any_null(on), F.col("_n"))), F.lit(0)).cast("bigint").alias("max_copies"),
-    )
-    names = ["rows", "null_keys", "dups", "max_copies"]
-    stacked = prof.select(F.inline(F.array(*[
-        F.struct(F.lit(f"_profile_{c}").alias("name"), F.col(c).alias("n")) for c in names
-    ])))
-    for part in bounded_count_rows(bounded or {}):
-        stacked = stacked.unionByName(part)
-    got = {r["name"]: int(r["n"]) for r in stacked.collect()}
-    sizes = {k: v for k, v in got.items() if not k.startswith("_profile_")}
-    return DeltaProfile(got["_profile_rows"], got["_profile_null_keys"], got["_profile_dups"],
-                        got["_profile_max_copies"], sizes)
+    row = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(_any_null(on), F.col("_n"))), F.lit(0)).alias("null_keys"),
+        F.coalesce(F.sum(F.when(~_any_null(on) & (F.col("_n") > 1), 1)), F.lit(0)).alias("dups"),
+        F.coalesce(F.max(F.when(~_any_null(on), F.col("_n"))), F.lit(0)).alias("max_copies"),
+    ).first()
+    return DeltaProfile(*(int(v) for v in row))
 
 
 def require_unique_delta(profile: DeltaProfile, what: str) -> None:
@@ -108,20 +90,44 @@ def require_unique_delta(profile: DeltaProfile, what: str) -> None:
         )
 
 
-def check_surrogate_keys(df: DataFrame, sk: str, old_high_water: int, new_high_water: int) -> None:
-    """G3: keys unique, positive, and new keys inside (old, new] high water."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(F.col(sk)).alias("d"),
-        F.sum(F.when(F.col(sk) <= 0, 1).otherwise(0)).alias("bad"),
-        F.max(F.col(sk)).alias("mx"),
-    ).collect()[0]
-    if row["n"] != row["d"]:
-        raise GuardError(f"{sk}: {row['n'] - row['d']} duplicate surrogate keys")
-    if row["bad"]:
-        raise GuardError(f"{sk}: {row['bad']} surrogate keys <= 0")
-    if row["mx"] is not None and row["mx"] > max(new_high_water, old_high_water):
-        raise GuardError(f"{sk}: key {row['mx']} above the high-water mark {new_high_water}")
+def surrogate_key_report(df: DataFrame, sk: str, old_high_water: int, new_high_water: int, *,
+                         run_ts: datetime | str, insert_ts_col: str = "row_insrt_tms") -> DataFrame:
+    """G3 as one row: rows of ``df``, rows inserted at ``run_ts``, distinct
+    inserted keys, inserted keys at or below the old high-water mark, and keys
+    that are not positive or above the new mark. The inserted rows are few, so
+    the distinct count shuffles little."""
+    new = F.col(insert_ts_col) == ts_literal(run_ts, df.schema[insert_ts_col].dataType)
+    key = F.col(sk)
+    return df.agg(
+        F.count(F.lit(1)).alias("row_cnt"),
+        F.coalesce(F.sum(new.cast("bigint")), F.lit(0)).alias("new_cnt"),
+        F.count_distinct(F.when(new, key)).alias("new_key_cnt"),
+        F.coalesce(F.sum((new & ~(key > F.lit(old_high_water))).cast("bigint")), F.lit(0)).alias("reused_cnt"),
+        F.coalesce(F.sum((~key.between(1, max(new_high_water, old_high_water))).cast("bigint")), F.lit(0)).alias("outside_cnt"),
+    )
+
+
+def check_surrogate_keys(df: DataFrame, sk: str, old_high_water: int, new_high_water: int, *,
+                         run_ts: datetime | str | None = None, insert_ts_col: str = "row_insrt_tms") -> None:
+    """G3: keys positive and within the new mark, new keys unique and above
+    the old mark. With ``run_ts`` the new keys are those of rows inserted
+    then; without it all of ``df`` is new."""
+    if run_ts is None:
+        df, run_ts = df.withColumn(insert_ts_col, F.lit("1970-01-02").cast("timestamp_ntz")), "1970-01-02 00:00:00"
+    row = surrogate_key_report(df, sk, old_high_water, new_high_water, run_ts=run_ts, insert_ts_col=insert_ts_col).first()
+    if row["new_cnt"] != row["new_key_cnt"]:
+        raise GuardError(f"{sk}: {row['new_cnt'] - row['new_key_cnt']} duplicate or NULL surrogate keys")
+    if row["reused_cnt"]:
+        raise GuardError(f"{sk}: {row['reused_cnt']} new keys at or below the high-water mark {old_high_water}")
+    if row["outside_cnt"]:
+        raise GuardError(f"{sk}: {row['outside_cnt']} keys not positive or above the high-water mark {new_high_water}")
+
+
+def check_counter(target: DataFrame, sk: str, high_water: int) -> None:
+    """The stored counter must not be behind the table's own keys."""
+    top = target.agg(F.max(F.col(sk))).first()[0]
+    if top is not None and top > high_water:
+        raise GuardError(f"{sk}: the table holds key {top}, above the counter {high_water}")
 
 
 def check_lookup_unique(dim: DataFrame, dim_id: str, status_col: str | None = "row_stat_cd") -> None:

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martloom.session import checkpoint_dir
+from martloom.session import remove_path, stored_table
 
-_POS = "_ml_pos"          # monotonically_increasing_id frozen into the checkpoint
+_POS = "_ml_pos"          # monotonically_increasing_id frozen into the stored table
 _PART = "_ml_part"
 _OFFSET = "_ml_offset"
 _ROW_BITS = 33            # monotonically_increasing_id: partition index << 33 | row in partition
@@ -26,15 +25,15 @@ class KeyAssignment:
     keyed: DataFrame        # input columns + the surrogate key column
     assigned: int           # how many keys were handed out
     high_water: int         # counter after this assignment
-    cached: bool = False    # small path: keyed is persisted, call release() when done
+    path: str = ""          # the stored numbering, removed by release()
 
     @property
     def first_key(self) -> int | None:
         return self.high_water - self.assigned + 1 if self.assigned else None
 
     def release(self) -> None:
-        if self.cached:
-            self.keyed.unpersist()
+        if self.path:
+            remove_path(self.keyed.sparkSession, self.path)
 
 
 def advance_high_water(old: int, new_max: int | None) -> int:
@@ -44,63 +43,22 @@ def advance_high_water(old: int, new_max: int | None) -> int:
     return old if new_max is None else max(int(old), int(new_max))
 
 
-# Most rows numbered in one task when the caller proves the key set is at
-# most this big (e.g. from the delta's exact row count).
-SMALL_KEY_SET = 1_000_000
-
-
 def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_water: int, *,
-                          num_partitions: int | None = None, method: str = "auto",
-                          max_rows: int | None = None) -> KeyAssignment:
+                          num_partitions: int | None = None) -> KeyAssignment:
     """Number every row of ``df`` densely from ``high_water + 1`` in ``order_by`` order.
 
-    ``method="ranged"`` (default) never brings the rows into one partition:
+    The rows never meet in one partition, whatever their number:
 
     1. range-partition by the order key and sort within partitions;
-    2. tag each row with its (partition, position) and write the result to the
-       reliable checkpoint folder, which fixes partition contents so later
+    2. tag each row with its (partition, position) and store the result beside
+       the session's checkpoints, which fixes partition contents so later
        stages (and retries after a lost executor) see the same numbering;
     3. count rows per partition: one row per partition goes to the driver,
        which turns the counts into start offsets;
     4. key = high_water + offset(partition) + position + 1, joined against a
-       broadcast of the offsets (one row per partition: a proven bound).
-
-    ``method="window"`` is the textbook ``row_number() over (order by ...)``,
-    which Spark runs in a single partition, then checkpointed.
-
-    ``method="small"`` is the same window without the checkpoint, for a key
-    set with *unique* order keys and a proven bound: a total order makes
-    ``row_number`` deterministic, so recomputation (a retried task, a lost
-    cached block) gives the same keys. The result is persisted so its uses
-    share one computation; ``KeyAssignment.release()`` frees it. ``method="auto"`` (default) picks
-    it when ``max_rows`` (an upper bound the caller knows, such as the delta's
-    exact row count) is at most ``SMALL_KEY_SET``, else the ranged method.
+       broadcast of the offsets (one row per partition: a bound by construction).
     """
-    order = list(order_by)
-    spark = df.sparkSession
-    if method == "auto":
-        method = "small" if max_rows is not None and max_rows <= SMALL_KEY_SET else "ranged"
-    if method == "small":
-        # persisted so every later use shares one computation; a lost block is
-        # recomputed from lineage, and row_number over unique keys gives the
-        # same numbers again
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        keyed = df.withColumn(sk, (F.lit(high_water) + F.row_number().over(w)).cast("bigint"))
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-        n = keyed.count()
-        return KeyAssignment(keyed, n, advance_high_water(high_water, high_water + n if n else None), cached=True)
-    if method == "window":
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        checkpoint_dir(spark)
-        keyed = df.withColumn(sk, (F.lit(high_water) + F.row_number().over(w)).cast("bigint"))
-        keyed = keyed.checkpoint(eager=True)
-        n = keyed.count()
-        return KeyAssignment(keyed, n, advance_high_water(high_water, high_water + n if n else None))
-    if method != "ranged":
-        raise ValueError(f"unknown method {method!r}")
-
-    checkpoint_dir(spark)
-    sort_cols = [F.col(c).asc_nulls_first() for c in order]
+    sort_cols = [F.col(c).asc_nulls_first() for c in order_by]
     if num_partitions:
         ranged = df.repartitionByRange(num_partitions, *sort_cols)
     else:
@@ -108,20 +66,19 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_
         # small key set (order across partitions is kept), a large one gets
         # the session's shuffle-partition count
         ranged = df.repartitionByRange(*sort_cols)
-    ranged = ranged.sortWithinPartitions(*sort_cols)
-    frozen = ranged.withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = ranged.sortWithinPartitions(*sort_cols).withColumn(_POS, F.monotonically_increasing_id())
+    frozen, path = stored_table(tagged)
 
     part = F.shiftright(F.col(_POS), _ROW_BITS)
     counts = sorted(
         (r[0], r[1]) for r in frozen.groupBy(part.alias(_PART)).agg(F.count(F.lit(1))).collect()
     )
-    offsets, running = [], 0
+    offsets, total = [], 0
     for pid, cnt in counts:
-        offsets.append((int(pid), running))
-        running += int(cnt)
-    total = running
+        offsets.append((int(pid), total))
+        total += int(cnt)
     schema = StructType([StructField(_PART, LongType(), False), StructField(_OFFSET, LongType(), False)])
-    offsets_df = spark.createDataFrame(offsets, schema)
+    offsets_df = df.sparkSession.createDataFrame(offsets, schema)
     keyed = (
         frozen.withColumn(_PART, part)
         .join(F.broadcast(offsets_df), on=_PART, how="inner")
@@ -131,4 +88,4 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence[str], sk: str, high_
         )
         .drop(_POS, _PART, _OFFSET)
     )
-    return KeyAssignment(keyed, total, advance_high_water(high_water, high_water + total if total else None))
+    return KeyAssignment(keyed, total, advance_high_water(high_water, high_water + total if total else None), path)

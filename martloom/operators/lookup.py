@@ -6,9 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType
 
 from martloom.functions.expressions import is_live, key_default
-from martloom.operators.sizing import fits_broadcast
 
 
 def live_lookup(dim: DataFrame, dim_id: str, dim_key: str, *, live: bool = True,
@@ -21,105 +21,47 @@ def live_lookup(dim: DataFrame, dim_id: str, dim_key: str, *, live: bool = True,
     return dim.select(F.col(dim_id), F.col(dim_key))
 
 
-# A reference value carried by more rows than this is "hot" (e.g. one parent
-# company with a third of all children); at most MAX_HOT_VALUES are split off.
-HOT_ROWS = 1_000_000
-MAX_HOT_VALUES = 10_000
+def null_spread(df: DataFrame, ref_col: str):
+    """A second join key that is 0, or for rows whose reference is NULL a hash
+    of the row: those rows match nothing, and without it they would all meet
+    in one shuffle partition."""
+    plain = [F.col(f.name).cast("string") if isinstance(f.dataType, StringType) else F.col(f.name)
+             for f in df.schema.fields if not isinstance(f.dataType, MapType)]  # a collated string has no hash
+    return F.when(F.col(ref_col).isNull(), F.xxhash64(*plain)).otherwise(F.lit(0).cast("bigint"))
 
 
-def hot_values(df: DataFrame, col: str, min_rows: int | None = None, max_values: int = MAX_HOT_VALUES) -> list:
-    """Values of ``col`` on more than ``min_rows`` rows, heaviest first; None
-    among them when NULL itself is that common (NULL keys all hash to one
-    shuffle partition). One aggregation whose map-side combine turns a hot
-    value into one row per task before the shuffle; at most ``max_values``
-    reach the driver."""
-    min_rows = HOT_ROWS if min_rows is None else min_rows
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.filter(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(max_values)
-    return [r[0] for r in top.select(col).collect()]
+def left_lookup(df: DataFrame, pairs: DataFrame, ref_col: str, pair_id: str) -> DataFrame:
+    """Left join on ``ref_col = pair_id`` that spreads NULL references.
 
-
-def hot_values_by_column(df: DataFrame, cols: list[str], min_rows: int | None = None,
-                         max_values: int = MAX_HOT_VALUES) -> dict[str, list]:
-    """:func:`hot_values` for several reference columns in one aggregation:
-    the columns are stacked into (column, value) pairs, counted with map-side
-    combine, and at most ``max_values`` per column reach the driver."""
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in cols
-    ])))
-    counts = pairs.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.filter(F.col("_n") > (HOT_ROWS if min_rows is None else min_rows))
-    rows = top.orderBy(F.col("_n").desc()).limit(max_values * max(1, len(cols))).collect()
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
-        if len(out[r["_c"]]) < max_values:
-            out[r["_c"]].append(r["_v"])
-    # values were compared as text; give them back in the column's own type
-    return {c: [None if v is None else F.lit(v).cast(types[c]) for v in vs] for c, vs in out.items()}
+    Spark chooses the join: a broadcast within the session's threshold, else a
+    shuffle whose hot reference values adaptive execution splits.
+    """
+    spread, zero = f"_ml_spread_{ref_col}", f"_ml_zero_{ref_col}"
+    left = df.withColumn(spread, null_spread(df, ref_col))
+    right = pairs.withColumn(zero, F.lit(0).cast("bigint"))
+    return left.join(right, (left[ref_col] == right[pair_id]) & (left[spread] == right[zero]), "left").drop(spread, zero)
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_key: str, out_col: str, *,
-                live: bool = True, status_col: str = "row_stat_cd", broadcast: bool | None = None,
-                drop_ref: bool = False, skew_split: bool = True, hot_rows: int | None = None,
-                hot: list | None = None) -> DataFrame:
+                live: bool = True, status_col: str = "row_stat_cd", drop_ref: bool = False) -> DataFrame:
     """Add ``out_col``: 0 when ``ref_col`` is NULL, the live dimension key when
-    one matches, else -1.
-
-    ``broadcast=None`` broadcasts the (id, key) projection only if a bounded
-    count proves it fits the budget. A large dimension (e.g. a
-    self-referencing company hierarchy) is joined by shuffle; then, with
-    ``skew_split``, rows whose reference value is hot (more than
-    ``hot_rows`` rows) are joined against a broadcast of just the hot
-    dimension rows (one live row per id, so at most the number of hot
-    values), and only the remaining rows are shuffled. No row is dropped or
-    sampled; the two parts are unioned. ``hot`` passes hot values found
-    beforehand (a superset is fine) instead of detecting them here.
-    """
+    one matches, else -1. One read of ``df``, whatever its references hold."""
     lk = live_lookup(dim, dim_id, dim_key, live=live, status_col=status_col)
     rid, rkey = f"_lk_{out_col}_id", f"_lk_{out_col}_key"
     lk = lk.select(F.col(dim_id).alias(rid), F.col(dim_key).alias(rkey))
-    if broadcast is None:
-        broadcast = fits_broadcast(lk)
-    if broadcast:
-        joined = df.join(F.broadcast(lk), df[ref_col] == F.col(rid), "left")
-    else:
-        if hot is None:
-            hot = hot_values(df, ref_col, hot_rows) if skew_split else []
-        if hot:
-            values = [v for v in hot if v is not None]
-            is_hot = F.coalesce(F.col(ref_col).isin(values), F.lit(False)) if values else F.lit(False)
-            if len(values) < len(hot):  # NULL is hot: those rows need no lookup, keep them off the shuffle
-                is_hot = is_hot | F.col(ref_col).isNull()
-            hot_lk = lk.filter(F.col(rid).isin(values)) if values else lk.limit(0)
-            hot_lk = F.broadcast(hot_lk)
-            hot_part = df.filter(is_hot).join(hot_lk, F.col(ref_col) == F.col(rid), "left")
-            cold_part = df.filter(~is_hot).join(lk, F.col(ref_col) == F.col(rid), "left")
-            joined = hot_part.unionByName(cold_part)
-        else:
-            joined = df.join(lk, df[ref_col] == F.col(rid), "left")
-    out = joined.withColumn(out_col, key_default(F.col(ref_col), F.col(rkey))).drop(rid, rkey)
+    out = left_lookup(df, lk, ref_col, rid).withColumn(out_col, key_default(F.col(ref_col), F.col(rkey))).drop(rid, rkey)
     return out.drop(ref_col) if drop_ref else out
 
 
 def resolve_date_keys(df: DataFrame, calendar: DataFrame, roles: Mapping[str, str], *, date_col: str = "cld_dt",
-                      key_col: str = "tm_ky", broadcast: bool | None = None) -> DataFrame:
+                      key_col: str = "tm_ky") -> DataFrame:
     """One left join per role (``{date column: output key column}``) to the
     same calendar; a missing date or a date not in the calendar gives NULL
-    (no 0/-1 default for calendar keys).
-
-    The calendar is size-checked once and broadcast; Spark reuses the single
-    broadcast exchange for every role.
-    """
-    cal = calendar.select(F.col(date_col).alias("_cal_dt"), F.col(key_col).alias("_cal_ky"))
-    if broadcast is None:
-        broadcast = fits_broadcast(cal)
-    if broadcast:
-        cal = F.broadcast(cal)
+    (no 0/-1 default for calendar keys). Where Spark broadcasts the calendar,
+    one exchange serves every role."""
     out = df
     for role_date, out_col in roles.items():
-        c = cal.select(F.col("_cal_dt").alias(f"_cal_dt_{out_col}"), F.col("_cal_ky").alias(out_col))
-        if broadcast:
-            c = F.broadcast(c)
-        out = out.join(c, out[role_date] == F.col(f"_cal_dt_{out_col}"), "left")
-    return out.drop(*[f"_cal_dt_{o}" for o in roles.values()])
+        day = f"_cal_dt_{out_col}"
+        c = calendar.select(F.col(date_col).alias(day), F.col(key_col).alias(out_col))
+        out = left_lookup(out, c, role_date, day).drop(day)
+    return out

@@ -29,7 +29,7 @@ from martloom.functions.expressions import (
     status_on_update,
     ts_literal,
 )
-from martloom.operators.sizing import fits_broadcast
+from martloom.operators.guards import GuardError, duplicate_keys
 
 _HIT = "_ml_s_hit"
 
@@ -54,7 +54,6 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
                   repair_only_nonzero: bool = False, null_safe: bool = False,
                   status_col: str = "row_stat_cd", source_status_col: str = "row_stat_cd",
                   insert_ts_col: str = "row_insrt_tms", update_ts_col: str = "row_updt_tms",
-                  broadcast: bool | None = None, source_rows: int | None = None,
                   insert_buckets: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` and repair foreign keys, in one join.
 
@@ -77,10 +76,10 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
       target's bucket layout, so writing a bucketed snapshot produces one
       file per bucket for them instead of one per (task, bucket).
 
-    Physical plan: the source side is broadcast only when it is proven to
-    fit the budget (``source_rows`` or a bounded count); then the target is
-    streamed and never shuffled. Otherwise a shuffle join, full outer when
-    inserts must be found by the join itself.
+    Physical plan: one left join of the target with the source (full outer
+    when inserts must be found by the join itself). Spark broadcasts the source
+    when it is within the session's threshold (a stored delta has a known
+    size), and the target is streamed; otherwise a shuffle join.
     """
     on = list(on)
     upd = _as_map(update_cols)
@@ -106,9 +105,6 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
         *[F.col(c).alias(_s(c)) for c in needed + [f for f in flag_cols if f not in needed]],
         F.lit(True).alias(_HIT),
     )
-    if broadcast is None:
-        broadcast = fits_broadcast(s, rows=source_rows)
-
     if isinstance(delta_flag, str):
         src_in_delta = F.coalesce(F.col(delta_flag), F.lit(False))
         joined_in_delta = F.coalesce(F.col(_s(delta_flag)), F.lit(False))
@@ -116,13 +112,12 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
         src_in_delta = F.lit(bool(delta_flag))
         joined_in_delta = F.lit(bool(delta_flag))
 
-    use_full_outer = ins is not None and new_flag is None and not broadcast
+    use_full_outer = ins is not None and new_flag is None
     if use_full_outer:
         joined = target.withColumn("_ml_t_hit", F.lit(True)).join(s, on=on, how="full_outer")
         matched_part = joined
     else:
-        right = F.broadcast(s) if broadcast else s
-        matched_part = target.join(right, on=on, how="left")
+        matched_part = target.join(s, on=on, how="left")
 
     hit = F.col(_HIT).isNotNull()
     merged = hit & joined_in_delta
@@ -175,15 +170,7 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
     if ins is None:
         return result
 
-    if new_flag is not None:
-        fresh = source.filter(F.coalesce(F.col(new_flag), F.lit(False)) & src_in_delta)
-    else:
-        # broadcast case: probe the target keys against the small source keys,
-        # then keep the source rows that found nothing
-        src_delta = source.filter(src_in_delta)
-        skeys = F.broadcast(src_delta.select(*on))
-        seen = target.select(*on).join(skeys, on=on, how="left_semi")
-        fresh = src_delta.join(seen, on=on, how="left_anti")
+    fresh = source.filter(F.coalesce(F.col(new_flag), F.lit(False)) & src_in_delta)
     inserted = fresh.select(*[
         _insert_expr(name, on, ins, status_col, insert_ts_col, update_ts_col, now, source_status_col)
         .cast(dtype).alias(name)
@@ -212,30 +199,42 @@ def _insert_expr(name, on, ins, status_col, insert_ts_col, update_ts_col, now, s
     return expr
 
 
+def require_unique_source(source: DataFrame, on: Sequence[str]) -> None:
+    """A MERGE whose source holds a key twice must fail, not fan out."""
+    dup = duplicate_keys(source.dropna(subset=list(on)), on).limit(1).collect()
+    if dup:
+        raise GuardError(f"merge source holds a key more than once, e.g. {tuple(dup[0])[:-1]}")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[str], *,
                  update_cols: Mapping[str, str] | Sequence[str],
                  insert_cols: Mapping[str, str] | Sequence[str], run_ts: datetime | str,
                  new_flag: str | None = None, status_col: str = "row_stat_cd",
                  source_status_col: str = "row_stat_cd", insert_ts_col: str = "row_insrt_tms",
-                 update_ts_col: str = "row_updt_tms", broadcast: bool | None = None,
-                 source_rows: int | None = None) -> DataFrame:
+                 update_ts_col: str = "row_updt_tms", check_duplicates: bool = True) -> DataFrame:
     """MERGE: update matched rows (listed columns only, status, update time),
-    insert unmatched source rows (status NEW/DEL, both times ``run_ts``)."""
+    insert unmatched source rows (status NEW/DEL, both times ``run_ts``).
+
+    A key that ``source`` holds twice is an error; ``check_duplicates=False``
+    is for a caller that has proven its keys unique (one aggregation less).
+    """
+    if check_duplicates:
+        require_unique_source(source, on)
     return apply_changes(
         target, source, on, run_ts=run_ts, update_cols=update_cols, insert_cols=insert_cols,
         delta_flag=True, new_flag=new_flag, status_col=status_col, source_status_col=source_status_col,
-        insert_ts_col=insert_ts_col, update_ts_col=update_ts_col, broadcast=broadcast, source_rows=source_rows,
+        insert_ts_col=insert_ts_col, update_ts_col=update_ts_col,
     )
 
 
 def loopback_repair(target: DataFrame, resolved: DataFrame, on: Sequence[str], fk_cols: Sequence[str], *,
                     run_ts: datetime | str, only_nonzero: bool = False, null_safe: bool = False,
-                    update_ts_col: str = "row_updt_tms", broadcast: bool | None = None) -> DataFrame:
+                    update_ts_col: str = "row_updt_tms") -> DataFrame:
     """Matched-only merge: target rows last stamped before ``run_ts`` whose
     re-resolved foreign keys differ take the new keys and ``run_ts``; status
     stays. Target rows with no row in ``resolved`` are never touched."""
     return apply_changes(
         target, resolved, on, run_ts=run_ts, update_cols={}, insert_cols=None,
         repair_cols=list(fk_cols), delta_flag=False, repair_only_nonzero=only_nonzero,
-        null_safe=null_safe, update_ts_col=update_ts_col, broadcast=broadcast,
+        null_safe=null_safe, update_ts_col=update_ts_col,
     )

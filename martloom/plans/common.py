@@ -19,7 +19,7 @@ from martloom.operators.guards import (
 )
 from martloom.operators.keys import KeyAssignment, assign_surrogate_keys
 from martloom.operators.delta import incremental_delta, new_keys
-from martloom.operators.sizing import maybe_broadcast
+from martloom.session import remove_path, stored_table
 
 NEW_FLAG = "_ml_new"
 DELTA_FLAG = "_ml_in_delta"
@@ -35,12 +35,14 @@ class JobResult:
     quarantined: DataFrame        # delta rows with a NULL natural key
     profile: DeltaProfile
     extras: dict[str, DataFrame] = field(default_factory=dict)
-    keys: KeyAssignment | None = None
+    surrogate_key: str | None = None
+    stored: list[str] = field(default_factory=list)  # paths of the run's temporary tables
 
     def release(self) -> None:
-        """Free what the run persisted (call after the table is written)."""
-        if self.keys is not None:
-            self.keys.release()
+        """Remove the run's temporary tables (call after the table is written)."""
+        for path in self.stored:
+            remove_path(self.table.sparkSession, path)
+        self.stored.clear()
 
 
 def max_key(target: DataFrame, sk: str) -> int:
@@ -51,57 +53,68 @@ def max_key(target: DataFrame, sk: str) -> int:
 
 
 def in_window(df: DataFrame, lo, ts_col: str = "row_updt_tms"):
+    if lo is None:
+        return F.lit(True)
     return F.coalesce(F.col(ts_col) >= ts_literal(lo, df.schema[ts_col].dataType), F.lit(False))
 
 
-def outside_window(df: DataFrame, lo, ts_col: str = "row_updt_tms") -> DataFrame:
-    """Source rows not in the delta (NULL change time included): the loopback
-    still looks at them."""
-    return df.filter(~in_window(df, lo, ts_col))
-
-
 @dataclass
 class PreparedDelta:
     delta: DataFrame
     quarantined: DataFrame
     profile: DeltaProfile
+    rest: DataFrame | None = None   # the source's other rows: key and the columns asked for
+    stored: list[str] = field(default_factory=list)
 
 
 def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedupe_by: Sequence[str] | None = None,
-                  on_null_key: str = "quarantine", freeze: bool = False,
-                  size_checks: dict[str, tuple[DataFrame, int]] | None = None,
+                  on_null_key: str = "quarantine", freeze: bool = True, rest_cols: Sequence[str] | None = None,
                   check_duplicates: bool = True) -> PreparedDelta:
-    """Window filter, NULL-key quarantine, duplicate guard and the delta size,
-    with one aggregation pass; ``size_checks`` (bounded counts of the run's
-    other inputs) ride along in the same Spark job.
-
-    ``freeze=True`` writes the delta to the checkpoint folder, for sources
-    that may change while the run is in flight (the run then reads it once).
+    """The run's one read of its source: window filter, NULL-key quarantine,
+    duplicate guard and the delta size.
+
+    With ``rest_cols`` (for a loopback) rows outside the window, NULL change
+    times included, come along narrowed to the key and those columns; the
+    other columns of such rows are NULL in what is stored. ``freeze`` stores
+    what was read beside the session's checkpoints, so a source that changes
+    while the run is in flight changes nothing, and joins know its size.
     """
-    raw = incremental_delta(source, lo)
-    if freeze:
-        raw = raw.checkpoint(eager=True)
+    stored: list[str] = []
+    if rest_cols is None:
+        raw, rest = incremental_delta(source, lo), None
+        if freeze:
+            raw, path = stored_table(raw)
+            stored.append(path)
+    else:
+        inside = in_window(source, lo)
+        always = {*key, *rest_cols}
+        read = source.select(*[F.col(c) if c in always else F.when(inside, F.col(c)).alias(c) for c in source.columns],
+                             inside.alias(DELTA_FLAG))
+        if freeze:
+            read, path = stored_table(read)
+            stored.append(path)
+        raw = read.filter(F.col(DELTA_FLAG)).drop(DELTA_FLAG)
+        rest = split_null_keys(read.filter(~F.col(DELTA_FLAG)).select(*dict.fromkeys([*key, *rest_cols])), key)[0]
     delta, quarantined = split_null_keys(raw, key)
     if dedupe_by:
         delta = dedupe_newest(delta, key, dedupe_by)
         raw = delta.unionByName(quarantined)
-    profile = delta_profile(raw, key, bounded=size_checks, check_duplicates=check_duplicates and not dedupe_by)
+    profile = delta_profile(raw, key, check_duplicates=check_duplicates and not dedupe_by)
     if profile.null_keys and on_null_key == "fail":
         raise GuardError(f"{what}: {profile.null_keys} delta rows have a NULL natural key")
     require_unique_delta(profile, what)
-    return PreparedDelta(delta, quarantined, profile)
+    return PreparedDelta(delta, quarantined, profile, rest, stored)
 
 
 def mint_keys(prepared: PreparedDelta, target: DataFrame, key: Sequence[str], sk: str, high_water: int,
               carry: Sequence[str] = ()) -> KeyAssignment:
     """Dense keys for the delta's unseen natural keys, in natural-key order."""
-    clean_rows = prepared.profile.rows - prepared.profile.null_keys
-    fresh = new_keys(prepared.delta, target, key, delta_rows=clean_rows, carry=carry)
-    return assign_surrogate_keys(fresh, key, sk, high_water, max_rows=clean_rows)
+    keys = assign_surrogate_keys(new_keys(prepared.delta, target, key, carry=carry), key, sk, high_water)
+    prepared.stored.append(keys.path)
+    return keys
 
 
 def attach_new_keys(df: DataFrame, keys: KeyAssignment, key: Sequence[str], sk: str) -> DataFrame:
-    """Left join the minted keys (flagged new) onto ``df``; the key set is
-    broadcast only when its row count, known exactly, fits the budget."""
+    """Left join the minted keys (flagged new) onto ``df``."""
     keyed = keys.keyed.select(*key, F.col(sk), F.lit(True).alias(NEW_FLAG))
-    return df.join(maybe_broadcast(keyed, rows=keys.assigned), on=list(key), how="left")
+    return df.join(keyed, on=list(key), how="left")

@@ -7,18 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.lookup import hot_values_by_column, resolve_key
+from martloom.functions.expressions import is_live, key_default
+from martloom.operators.guards import check_lookup_unique
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import maybe_broadcast, row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
     JobResult,
     attach_new_keys,
     mint_keys,
-    outside_window,
     prepare_delta,
 )
+from martloom.session import stored_table
 from martloom.sources.control import LoadWindow
 
 # Fixed names of the company dimension (they must match the mart's columns):
@@ -35,18 +35,14 @@ UPDATE_COLS = [*POINTERS.values(), *ATTRIBUTES]
 INSERT_COLS = [SK, "spls_cmpy_id", *POINTERS.values(), *ATTRIBUTES]
 
 
-def spine_with_keys(delta: DataFrame, target: DataFrame, keys, delta_rows: int | None = None) -> DataFrame:
+def spine_with_keys(delta: DataFrame, target: DataFrame, keys) -> DataFrame:
     """The key spine with this run's keys filled in.
 
     Known ids are the target's, carrying the delta's status where the delta
     has them; unseen ids are the minted keys (a union, no further join). This
-    is ``key_spine`` without its full outer join: the delta side is a left
-    join that is broadcast when the delta is proven small, so the dimension
-    is streamed, not shuffled.
+    is ``key_spine`` without its full outer join.
     """
     d = delta.select(*KEY, F.col("row_stat_cd").alias("_d_status"), F.lit(True).alias("_d_hit"))
-    if delta_rows is not None:
-        d = maybe_broadcast(d, rows=delta_rows)
     known = target.select(*KEY, SK, F.col("row_stat_cd").alias("_t_status")).join(d, on=KEY, how="left").select(
         *KEY, SK,
         F.when(F.col("_d_hit").isNotNull(), F.col("_d_status")).otherwise(F.col("_t_status")).alias("row_stat_cd"),
@@ -55,61 +51,53 @@ def spine_with_keys(delta: DataFrame, target: DataFrame, keys, delta_rows: int |
     return known.unionByName(minted)
 
 
-def resolve_pointers(df: DataFrame, spine: DataFrame, broadcast: bool | None = None,
-                     hot: dict[str, list] | None = None) -> DataFrame:
+def resolve_pointers(df: DataFrame, spine: DataFrame) -> DataFrame:
     """Parent and ultimate parent against live spine rows (keys minted in
     this run included, so a parent arriving with its child resolves at once).
-    ``hot``: hot pointer values per column, found once for the whole source."""
-    out = df
+
+    Both pointers are looked up in one join: they are stacked into (id, role,
+    reference) without the NULL ones, joined to the spine, and pivoted back
+    on the id, of which ``df`` has one row each. Top-level companies, whose
+    pointers are NULL, never reach the join; a parent with very many children
+    is a hot key only in this narrow join, where adaptive execution splits it.
+    """
+    live = spine.filter(is_live(F.col("row_stat_cd"))).select(F.col("spls_cmpy_id").alias("_ref"), F.col(SK).alias("_found"))
+    roles = F.array(*[F.struct(F.lit(ref).alias("_role"), F.col(ref).alias("_ref")) for ref in POINTERS])
+    refs = df.select(*KEY, F.inline(roles)).filter(F.col("_ref").isNotNull())
+    found = refs.join(live, "_ref").groupBy(*KEY).agg(*[
+        F.max(F.when(F.col("_role") == ref, F.col("_found"))).alias(f"_found_{ref}") for ref in POINTERS])
+    out = df.join(found, KEY, "left")
     for ref, key_col in POINTERS.items():
-        out = resolve_key(out, spine, ref, "spls_cmpy_id", SK, key_col, live=True, broadcast=broadcast,
-                          hot=None if hot is None else hot[ref])
+        out = out.withColumn(key_col, key_default(F.col(ref), F.col(f"_found_{ref}"))).drop(f"_found_{ref}")
     return out
 
 
 def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: int, *,
         loopback: bool = True, dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
-        freeze_delta: bool = False, spine_broadcast: bool | None = None,
-        insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_duplicates: bool = True) -> JobResult:
-    # spine rows <= target rows + delta rows, and the changes <= source rows:
-    # bounded counts (scans that stop at the bound) in the delta-profile job
-    spine_bound = row_bound(target.select(*KEY, SK))
-    src_bound = width_bound(source.schema, extra_bytes=8 * 4, df=source)
+        freeze_delta: bool = True, insert_buckets: tuple[int, Sequence[str]] | None = None,
+        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
     prepared = prepare_delta(source, window.lo, KEY, what="D_CMPY", dedupe_by=dedupe_by,
-                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta, size_checks={
-                                 "tgt": (target.select(SK), spine_bound),
-                                 "src": (source.select(*KEY), src_bound),
-                             })
-    n = prepared.profile.sizes
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
+                             rest_cols=list(POINTERS) if loopback else None)
     keys = mint_keys(prepared, target, KEY, SK, high_water, carry=["row_stat_cd"])
-    spine = spine_with_keys(prepared.delta, target, keys, delta_rows=prepared.profile.rows)
-    if spine_broadcast is None:
-        spine_broadcast = n["tgt"] + prepared.profile.rows <= spine_bound
+    # one spine for the whole run, read by the one pointer join
+    spine, path = stored_table(spine_with_keys(prepared.delta, target, keys))
+    prepared.stored.append(path)
+    if check_lookups:  # G4: a pointer must find one live company
+        check_lookup_unique(spine, "spls_cmpy_id")
 
-    # a shuffled spine join splits hot parents off; find them in one pass over the source
-    hot = None if spine_broadcast else hot_values_by_column(source, list(POINTERS))
-    delta_part = resolve_pointers(attach_new_keys(prepared.delta, keys, KEY, SK), spine, spine_broadcast, hot)
-    delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))
+    delta_part = attach_new_keys(prepared.delta, keys, KEY, SK).withColumn(DELTA_FLAG, F.lit(True))
+    changes = delta_part
     if loopback:
         # every other source row, narrowed to key + pointers, for the repair pass
-        rest = outside_window(source, window.lo).filter(F.col("spls_cmpy_id").isNotNull())
-        rest = resolve_pointers(rest.select(*KEY, *POINTERS), spine, spine_broadcast, hot)
-        rest = rest.withColumn(DELTA_FLAG, F.lit(False))
+        rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
         changes = delta_part.unionByName(rest, allowMissingColumns=True)
-    else:
-        changes = delta_part
-
-    if not loopback:
-        source_rows = prepared.profile.rows
-    else:
-        source_rows = n["src"] if n["src"] <= src_bound else None
+    changes = resolve_pointers(changes, spine)
     table = apply_changes(
-        target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows,
-        broadcast=None if source_rows is not None else False, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
+        target, changes, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=list(POINTERS.values()) if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
-        repair_only_nonzero=True,
-        insert_buckets=insert_buckets,
+        repair_only_nonzero=True, insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"spine": spine, "keys": keys.keyed, "merge_source": delta_part}, keys=keys)
+                     {"spine": spine, "keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))},
+                     SK, prepared.stored)

@@ -8,16 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.guards import check_lookup_unique
-from martloom.operators.lookup import live_lookup, resolve_date_keys, resolve_key
+from martloom.operators.lookup import resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import row_bound, width_bound
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
     JobResult,
     attach_new_keys,
     mint_keys,
-    outside_window,
     prepare_delta,
 )
 from martloom.sources.control import LoadWindow
@@ -53,16 +51,18 @@ INSERT_COLS = [
 REPAIR_COLS = ["spls_site_ky"]
 
 
-def site_key(df: DataFrame, sites: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def site_key(df: DataFrame, sites: DataFrame) -> DataFrame:
     """0 for no site, the live site key, else -1 ('DEL' and NULL-status sites are not live)."""
-    return resolve_key(df, sites, "spls_site_id", "spls_site_id", "spls_site_ky", "spls_site_ky",
-                       live=True, broadcast=broadcast)
+    return resolve_key(df, sites, "spls_site_id", "spls_site_id", "spls_site_ky", "spls_site_ky", live=True)
 
 
-def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame, site_broadcast: bool | None = None,
-           cal_broadcast: bool | None = None) -> DataFrame:
-    out = site_key(delta, sites, site_broadcast)
-    out = resolve_date_keys(out, calendar, DATE_ROLES, broadcast=cal_broadcast)
+def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame) -> DataFrame:
+    return dated(site_key(delta, sites), calendar)
+
+
+def dated(delta: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Calendar keys for the four date roles and the count renames."""
+    out = resolve_date_keys(delta, calendar, DATE_ROLES)
     for old, new in RENAMES.items():
         out = out.withColumnRenamed(old, new)
     return out
@@ -70,47 +70,26 @@ def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame, site_broadca
 
 def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFrame, window: LoadWindow,
         high_water: int, *, loopback: bool = True, dedupe_by: Sequence[str] | None = None,
-        on_null_key: str = "quarantine", freeze_delta: bool = False,
+        on_null_key: str = "quarantine", freeze_delta: bool = True,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = False,
-        check_duplicates: bool = True) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
     if check_lookups:  # G4: a lookup must not fan out rows of the merge
         check_lookup_unique(sites, "spls_site_id")
         check_lookup_unique(calendar, "cld_dt", status_col=None)
-    # the run's size questions ride along with the delta profile (one job)
-    site_lk = live_lookup(sites, "spls_site_id", "spls_site_ky")
-    cal_lk = calendar.select("cld_dt", "tm_ky")
-    src_bound = width_bound(source.schema, extra_bytes=8 * (len(DATE_ROLES) + 3), df=source)
     prepared = prepare_delta(source, window.lo, KEY, what="F_DRCT_ML_PROMO", dedupe_by=dedupe_by,
-                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta, size_checks={
-                                 "site": (site_lk, row_bound(site_lk)),
-                                 "cal": (cal_lk, row_bound(cal_lk)),
-                                 "src": (source.select(*KEY), src_bound),
-                             })
-    n = prepared.profile.sizes
-    site_bc, cal_bc = n["site"] <= row_bound(site_lk), n["cal"] <= row_bound(cal_lk)
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
+                             rest_cols=["spls_site_id"] if loopback else None)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
-
-    delta_part = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), sites, calendar, site_bc, cal_bc)
-    delta_part = delta_part.withColumn(DELTA_FLAG, F.lit(True))
+    delta_part = dated(attach_new_keys(prepared.delta, keys, KEY, SK), calendar).withColumn(DELTA_FLAG, F.lit(True))
+    changes = delta_part
     if loopback:
-        rest = outside_window(source, window.lo).select(*KEY, "spls_site_id")
-        rest = rest.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull() & F.col(KEY[2]).isNotNull())
-        rest = site_key(rest, sites, site_bc).withColumn(DELTA_FLAG, F.lit(False))
+        rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
         changes = delta_part.unionByName(rest, allowMissingColumns=True)
-    else:
-        changes = delta_part
-
-    # rows of `changes` <= source rows, counted above up to the bound
-    if not loopback:
-        source_rows = prepared.profile.rows
-    else:
-        source_rows = n["src"] if n["src"] <= src_bound else None
+    changes = site_key(changes, sites)
     table = apply_changes(
-        target, changes, KEY, run_ts=window.run_ts, source_rows=source_rows,
-        broadcast=None if source_rows is not None else False, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
+        target, changes, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=REPAIR_COLS if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
         insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "merge_source": delta_part}, keys=keys)
+                     {"keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))}, SK, prepared.stored)

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
-from martloom.operators.sizing import row_bound
 from martloom.plans.common import JobResult, NEW_FLAG, attach_new_keys, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
@@ -39,9 +37,9 @@ INSERT_COLS = [
 ]
 
 
-def enrich(delta: DataFrame, calendar: DataFrame, cal_broadcast: bool | None = None) -> DataFrame:
+def enrich(delta: DataFrame, calendar: DataFrame) -> DataFrame:
     """Calendar keys for the four date roles and the count renames."""
-    out = resolve_date_keys(delta, calendar, DATE_ROLES, broadcast=cal_broadcast)
+    out = resolve_date_keys(delta, calendar, DATE_ROLES)
     for old, new in RENAMES.items():
         out = out.withColumnRenamed(old, new)
     return out
@@ -49,27 +47,17 @@ def enrich(delta: DataFrame, calendar: DataFrame, cal_broadcast: bool | None = N
 
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
-        freeze_delta: bool = False,
-        insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = False,
-        check_duplicates: bool = True) -> JobResult:
+        freeze_delta: bool = True, insert_buckets: tuple[int, Sequence[str]] | None = None,
+        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
     if check_lookups:  # G4
         check_lookup_unique(calendar, "cld_dt", status_col=None)
-    cal_lk = calendar.select("cld_dt", "tm_ky")
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
-                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
-                             size_checks={"cal": (cal_lk, row_bound(cal_lk))})
-    cal_bc = prepared.profile.sizes["cal"] <= row_bound(cal_lk)
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
-    merge_src = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), calendar, cal_bc)
+    merge_src = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), calendar)
     table = apply_changes(
         target, merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
-        new_flag=NEW_FLAG, source_rows=prepared.profile.rows,
-        insert_buckets=insert_buckets,
+        new_flag=NEW_FLAG, insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)}, keys=keys)
-
-
-def keep(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) for c in df.columns if not c.startswith("_ml_")])
+                     {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)}, SK, prepared.stored)

@@ -1,7 +1,7 @@
 """Run a load against a snapshot store: window, counter, job, publish.
 
 The store's committed state supplies the target, the high-water mark and the
-window start; nothing is written until the job's result is complete, and the
+window start; no table is written until the job's result is complete, and the
 state record that makes it visible is written last.
 """
 
@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from martloom.operators.guards import GuardError, check_surrogate_keys
+from martloom.operators.guards import GuardError, check_counter, check_surrogate_keys
 from martloom.plans.common import JobResult
 from martloom.sources.control import LoadWindow
 from martloom.sources.snapshot import SnapshotStore, TableState
@@ -27,21 +27,42 @@ class RunReport:
     result: JobResult
 
 
+def open_window(store: SnapshotStore, process: str, committed: datetime | None, now: datetime | None = None,
+                start: datetime | None = None) -> LoadWindow:
+    """Open the run's window and store the record, or resume the stored one.
+
+    ``start`` overrides the lower bound (to load an older stretch again, for
+    rows that reached the source late). A record left by a run that died is
+    resumed with its own start; one that a commit has overtaken is not.
+    """
+    record = store.open_window(process)
+    pending = None
+    if record is not None and record["after"] == (committed.isoformat() if committed else None):
+        pending = LoadWindow(process, datetime.fromisoformat(record["lo"]), datetime.fromisoformat(record["run_ts"]))
+    window = LoadWindow.open(process, start or committed, now, None if start else pending)
+    store.save_window(process, {"lo": window.lo.isoformat(), "run_ts": window.run_ts.isoformat(),
+                                "after": committed.isoformat() if committed else None})
+    return window
+
+
 def run_load(store: SnapshotStore, process: str, counter: str,
              job: Callable[[DataFrame, LoadWindow, int], JobResult], *, schema: StructType,
-             initial_high_water: int | None = None, now: datetime | None = None,
-             surrogate_key: str | None = None, check_keys: bool = False,
-             extra_stats: dict[str, int] | None = None) -> RunReport:
+             initial_high_water: int | None = None, now: datetime | None = None, start: datetime | None = None,
+             check_keys: bool = True, extra_stats: dict[str, int] | None = None,
+             epochs: dict[str, int] | None = None) -> RunReport:
     """One incremental run.
 
     * first run (no committed state): empty target of ``schema``, counter
       ``initial_high_water`` (required, like a registry row), window from epoch;
     * later runs: the committed version, its counter (missing counter = error,
-      before anything is written) and ``lo`` = the last committed ``run_ts``.
+      before anything is written) and ``lo`` = the last committed ``run_ts``,
+      or ``start``. A run that died leaves its window open and the next one
+      resumes it.
 
+    The counter must not be behind the table's keys (checked before the job).
     Before the commit the written version is checked: rows = previous rows +
-    inserts (G5) and, with ``check_keys``, surrogate keys unique, positive and
-    within the new high-water mark (G3; one aggregation over the key column).
+    inserts (G5) and new surrogate keys unique, above the old and within the
+    new high-water mark (G3; one aggregation over key and insert time).
     """
     state = store.state()
     spark = store.spark
@@ -55,7 +76,7 @@ def run_load(store: SnapshotStore, process: str, counter: str,
             raise LookupError(f"{process}: committed state has no counter {counter}")
         target = store.read(schema)
         high_water, version, committed = state.high_water[counter], state.version, state.committed_run_ts
-    window = LoadWindow.open(process, committed, now)
+    window = open_window(store, process, committed, now, start)
     # Parquet answers a plain count from file footers, without reading rows
     target_rows = target.count()
     result = job(target, window, high_water)
@@ -67,12 +88,15 @@ def run_load(store: SnapshotStore, process: str, counter: str,
         rows = written.count()
         if rows != target_rows + result.assigned:
             raise GuardError(f"{process}: wrote {rows} rows, expected {target_rows} + {result.assigned} inserts")
-        if check_keys:
-            check_surrogate_keys(written, surrogate_key, high_water, result.high_water)
+        if check_keys and result.surrogate_key:
+            check_surrogate_keys(written, result.surrogate_key, high_water, result.high_water, run_ts=window.run_ts)
 
     try:
+        if check_keys and result.surrogate_key:
+            check_counter(target, result.surrogate_key, high_water)
         new_state = store.publish(result.table, expect_version=version, high_water={counter: result.high_water},
-                                  run_ts=window.run_ts, process=process, stats=stats, verify=verify)
+                                  run_ts=window.run_ts, process=process, stats=stats, epochs=epochs, verify=verify)
     finally:
         result.release()
+    store.close_window(process)
     return RunReport(window, new_state, result)

@@ -11,8 +11,8 @@ from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.merge import apply_changes
 from martloom.operators.rollup import distinct_rollup
-from martloom.operators.sizing import maybe_broadcast, row_bound
 from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, mint_keys, prepare_delta
+from martloom.session import stored_table
 from martloom.sources.control import LoadWindow
 
 # Fixed names of the taxonomy mart (they must match its columns): natural key,
@@ -36,9 +36,20 @@ UPDATE_COLS = [c for c in TARGET_COLUMNS if c not in (SK, "src_cd", "row_updt_tm
 INSERT_COLS = [c for c in TARGET_COLUMNS if c not in ("row_updt_tms", "row_insrt_tms", "row_stat_cd")]
 
 
+def _of_codes(promos: DataFrame, codes: DataFrame | None) -> DataFrame:
+    return promos if codes is None else promos.join(codes, on="src_cd", how="left_semi")
+
+
+def _with_masters(per_code: DataFrame, chain: DataFrame) -> DataFrame:
+    """``per_code`` (one row per code, a NULL code among them) with the distinct
+    masters of ``chain``, 0 for a code without any."""
+    masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"}).withColumnRenamed("src_cd", "_code")
+    out = per_code.join(masters, per_code["src_cd"].eqNullSafe(F.col("_code")), "left").drop("_code")
+    return out.withColumn("promo_mstr_cust_cnt", F.coalesce("promo_mstr_cust_cnt", F.lit(0).cast("bigint")))
+
+
 def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
-                  codes: DataFrame | None = None, code_rows: int | None = None,
-                  site_broadcast: bool | None = None, shipto_broadcast: bool | None = None) -> DataFrame:
+                  codes: DataFrame | None = None) -> DataFrame:
     """Per code: distinct sites, persons and ship-to master customers of the
     direct-mail promotions (full history; every site row counts, 'DEL' too).
 
@@ -46,67 +57,49 @@ def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
     through site -> ship-to customer, so the promotions are first reduced to
     distinct (code, site) pairs (map-side combine before the shuffle): a site
     carrying a third of all promotions becomes one row per code before it
-    reaches a join, and the join input shrinks to the pair count.
+    reaches a join. A missing site or customer adds no master, so the chain
+    joins are inner ones and no NULL key is shuffled; codes without masters,
+    the NULL code too, get their 0 when the counts meet.
     """
-    p = promos.select("src_cd", "spls_site_id", "spls_prsn_id")
-    if codes is not None:
-        p = p.join(codes, on="src_cd", how="left_semi")
+    p = _of_codes(promos.select("src_cd", "spls_site_id", "spls_prsn_id"), codes)
     site_usr = distinct_rollup(p, ["src_cd"], {"promo_site_cnt": "spls_site_id", "promo_usr_cnt": "spls_prsn_id"})
-    pairs = p.select("src_cd", "spls_site_id").distinct()
-    s = maybe_broadcast(sites.select("spls_site_id", "spls_site_ky"), decision=site_broadcast)
-    shipto = maybe_broadcast(
-        customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky"),
-        decision=shipto_broadcast,
-    )
-    chain = pairs.join(s, on="spls_site_id", how="left").join(shipto, on="spls_site_ky", how="left")
-    masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"})
-    # one row per code: broadcast when the caller knows how many codes there are
-    masters = maybe_broadcast(masters, rows=code_rows) if code_rows is not None else masters
-    return site_usr.join(masters, on="src_cd", how="inner")
+    pairs = p.select("src_cd", "spls_site_id").filter(F.col("spls_site_id").isNotNull()).distinct()
+    shipto = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
+    masters = sites.select("spls_site_id", "spls_site_ky").join(shipto, on="spls_site_ky").select(
+        "spls_site_id", "mstr_cust_ky").distinct()
+    return _with_masters(site_usr, pairs.join(masters, on="spls_site_id"))
 
 
 def email_counts(promos: DataFrame, emails: DataFrame, bridge: DataFrame, users: DataFrame,
-                 codes: DataFrame | None = None, code_rows: int | None = None) -> DataFrame:
+                 codes: DataFrame | None = None) -> DataFrame:
     """Per code: distinct master customers (through e-mail -> user bridge ->
     user) and distinct e-mails.
 
     Exact rewrite of the left-join chain for skew: promotions are reduced to
     distinct (code, e-mail) pairs, and the many-to-many bridge to distinct
-    (e-mail key, master customer) pairs *before* they meet. An address sent a
+    (e-mail, master customer) pairs *before* they meet. An address sent a
     third of all promotions is then one row per code, and an address shared by
     a million users is one row per master customer. The e-mail count needs no
-    join at all. A missing e-mail, bridge row or user leaves a NULL master,
-    which a distinct count ignores, exactly as in the chain.
+    join at all. A missing e-mail, bridge row or user adds no master, so the
+    chain joins are inner ones.
     """
-    p = promos.select("src_cd", "eml_id")
-    if codes is not None:
-        p = p.join(codes, on="src_cd", how="left_semi")
-    pairs = p.distinct()
-    masters_per_email = (
+    pairs = _of_codes(promos.select("src_cd", "eml_id"), codes).distinct()
+    masters = (
         bridge.select("eml_ky", "oms_usr_ky")
-        .join(users.select("oms_usr_ky", "mstr_cust_ky"), on="oms_usr_ky", how="inner")
-        .select("eml_ky", "mstr_cust_ky")
-        .distinct()
-    )
-    chain = (
-        pairs.join(emails.select("eml_id", "eml_ky"), on="eml_id", how="left")
-        .join(masters_per_email, on="eml_ky", how="left")
+        .join(users.select("oms_usr_ky", "mstr_cust_ky").filter(F.col("mstr_cust_ky").isNotNull()), on="oms_usr_ky")
+        .select("eml_ky", "mstr_cust_ky").distinct()
+        .join(emails.select("eml_id", "eml_ky"), on="eml_ky")
+        .select("eml_id", "mstr_cust_ky").distinct()
     )
-    masters = distinct_rollup(chain, ["src_cd"], {"promo_mstr_cust_cnt": "mstr_cust_ky"})
     emls = distinct_rollup(pairs, ["src_cd"], {"promo_eml_cnt": "eml_id"})
-    if code_rows is not None:
-        emls = maybe_broadcast(emls, rows=code_rows)
-    return masters.join(emls, on="src_cd", how="inner")
+    return _with_masters(emls, pairs.join(masters, on="eml_id")).select("src_cd", "promo_mstr_cust_cnt", "promo_eml_cnt")
 
 
-def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame, code_rows: int | None = None) -> DataFrame:
+def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame) -> DataFrame:
     """Codes without promotions get NULL counts; the master-customer count is
-    direct's (even 0) before e-mail's. The count tables have one row per
-    code, so with ``code_rows`` known they are broadcast when they fit."""
+    direct's (even 0) before e-mail's."""
     d = direct.select("src_cd", *[F.col(c).alias(f"_d_{c}") for c in direct.columns if c != "src_cd"])
     e = email.select("src_cd", *[F.col(c).alias(f"_e_{c}") for c in email.columns if c != "src_cd"])
-    if code_rows is not None:
-        d, e = maybe_broadcast(d, rows=code_rows), maybe_broadcast(e, rows=code_rows)
     out = df.join(d, on="src_cd", how="left").join(e, on="src_cd", how="left")
     keep = [F.col(c) for c in df.columns if c not in COUNTS]
     return out.select(
@@ -121,35 +114,28 @@ def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame, code_rows:
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         direct_promos: DataFrame, sites: DataFrame, customers: DataFrame, email_promos: DataFrame,
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
-        on_null_key: str = "quarantine",
+        on_null_key: str = "quarantine", freeze_delta: bool = True,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = False,
-        check_duplicates: bool = True) -> JobResult:
-    if check_lookups:  # G4 (the rollup joins every site row, live or not)
-        check_lookup_unique(sites, "spls_site_id", status_col=None)
+        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
+    if check_lookups:  # G4 (the rollup joins every site row, live or not, so only the calendar can fan out)
         check_lookup_unique(calendar, "cld_dt", status_col=None)
-    site_lk = sites.select("spls_site_id", "spls_site_ky")
-    shipto_lk = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
-    cal_lk = calendar.select("cld_dt", "tm_ky")
-    lookups = {"site": site_lk, "shipto": shipto_lk, "cal": cal_lk}
     prepared = prepare_delta(source, window.lo, KEY, what="F_SRC_TXNMY", dedupe_by=dedupe_by,
-                             check_duplicates=check_duplicates, on_null_key=on_null_key,
-                             size_checks={k: (v, row_bound(v)) for k, v in lookups.items()})
-    fits = {k: prepared.profile.sizes[k] <= row_bound(v) for k, v in lookups.items()}
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
     # counts are refreshed only for codes in the delta: restrict the promotion
     # scans to those codes before aggregating (same result, less to shuffle)
-    codes = maybe_broadcast(prepared.delta.select("src_cd"), rows=prepared.profile.rows)
-    n_codes = prepared.profile.rows
-    dc = direct_counts(direct_promos, sites, customers, codes, code_rows=n_codes,
-                       site_broadcast=fits["site"], shipto_broadcast=fits["shipto"])
-    ec = email_counts(email_promos, emails, bridge, users, codes, code_rows=n_codes)
-    merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec, code_rows=n_codes)
-    merge_src = resolve_date_keys(merge_src, calendar, DATE_ROLES, broadcast=fits["cal"])
+    codes = prepared.delta.select("src_cd")
+    dc = direct_counts(direct_promos, sites, customers, codes)
+    ec = email_counts(email_promos, emails, bridge, users, codes)
+    merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec)
+    # one row per code, used for the matched rows and for the inserts: stored, so both rollups run once
+    merge_src, path = stored_table(resolve_date_keys(merge_src, calendar, DATE_ROLES))
+    prepared.stored.append(path)
+    carried = [c for c in target.columns if c not in TARGET_COLUMNS]  # a partitioned store's own column
     table = apply_changes(
-        target.select(*TARGET_COLUMNS), merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS,
-        insert_cols=INSERT_COLS, new_flag=NEW_FLAG, source_rows=prepared.profile.rows,
-        insert_buckets=insert_buckets,
+        target.select(*TARGET_COLUMNS, *carried), merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS,
+        insert_cols=INSERT_COLS, new_flag=NEW_FLAG, insert_buckets=insert_buckets,
     )
     return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec}, keys=keys)
+                     {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec, "merge_source": merge_src},
+                     SK, prepared.stored)

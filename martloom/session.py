@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every load relies on; a cluster session should carry the same.
 RECOMMENDED_CONF = {
@@ -86,6 +87,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def stored_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written once as a Parquet table beside the session's checkpoints,
+    read back, and its path (for :func:`remove_path` once it is not needed).
+
+    Like a reliable checkpoint it cuts lineage and survives a lost executor;
+    unlike one, Spark knows the table's real size when it plans a join.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any Hadoop-compatible location."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let the executors' Python workers import this package.
 

@@ -2,11 +2,11 @@
 
 The reference keeps an "open process" row per job (its start time is the
 lower bound of the delta) and a registry row per surrogate-key column
-(the last key handed out). Here both live in the committed snapshot state
-(:mod:`martloom.sources.snapshot`): the window of the next run starts at the
-``run_ts`` of the last *committed* run, so a run that fails before publish
-leaves the window open and the next attempt resumes it with the same lower
-bound, and the counter cannot move without the data.
+(the last key handed out). Here the counters live in the committed snapshot
+state (:mod:`martloom.sources.snapshot`), so a counter cannot move without
+the data, and the window of a run in progress is a stored record: a run that
+fails before publish leaves it behind, and the next attempt resumes it with
+the same lower bound.
 
 A registry kept as a table is also supported (``read_high_water`` /
 ``update_registry``) for callers that store counters outside the snapshot.
@@ -36,7 +36,7 @@ class LoadWindow:
     writes and becomes the next run's ``lo``."""
 
     process: str
-    lo: datetime
+    lo: datetime | None   # None: no lower bound, rows without a change time included
     run_ts: datetime
     resumed: bool = False
 

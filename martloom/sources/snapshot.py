@@ -2,28 +2,32 @@
 
 Layout under ``root`` (any Hadoop-compatible path):
 
-    data/v=<n>/              Parquet files of version n (whole table), or
-    data/_ml_p=<p>/v=<n>/    partition p as written by version n (partitioned store)
-    _state/v=<n>/            one JSON record: version, high-water marks, window,
-                             and for a partitioned store the partition -> version map
+    data/run=<id>/              Parquet files one run wrote: the whole table, or
+    data/run=<id>/_ml_p=<p>/    the partitions that run changed (partitioned store)
+    _state/v=<n>                one JSON record per version: the run that holds the
+                                data, high-water marks, window, stream epochs, and
+                                for a partitioned store the partition -> run map
+    _open/<process>             the window of a run in progress
 
 A partitioned store (``partition_by=<integer expression>``, stable per row,
 e.g. a month of a date in the natural key or a hash bucket of the key)
 rewrites only the partitions a run changed; the others stay where they are.
 
-A run writes ``data/v=<n+1>`` first and the state record last. Readers only
-trust the highest version whose state record exists, so a run that dies
-before the state write leaves the previous table, counters and window in
-force, and the next attempt overwrites the half-written data folder. Both
-writes go through Spark's output committer, so a partly written folder has
-no committed files. One writer per table is assumed; the version check just
-before the state write refuses a publish if another run committed first.
+A run writes only into a folder of its own, named by a fresh run id, and then
+commits by renaming a finished record to ``_state/v=<n+1>``, which fails if
+that version exists. Whatever two writers do, the first to commit wins, the
+other is refused, and its files are referenced by no state. A run that dies
+before its commit leaves the previous table, counters and window in force.
+``vacuum`` deletes data no recent state refers to. (The rename is atomic on
+HDFS and local file systems; an object store needs a committer or lock that
+makes a rename without overwrite exclusive.)
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
@@ -33,13 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from martloom.functions.expressions import ts_literal
+from martloom.session import hadoop_path, remove_path
 
 PART_COL = "_ml_p"   # partition number of a row in a partitioned store
 
-_STATE_SCHEMA = StructType([
-    StructField("version", LongType(), False),
-    StructField("payload", StringType(), False),
-])
+
+
+class VersionConflict(RuntimeError):
+    """Another run committed first; nothing of this run is visible."""
 
 
 @dataclass(frozen=True)
@@ -50,7 +55,9 @@ class TableState:
     process: str | None = None
     stats: dict[str, int] = field(default_factory=dict)
     bucketing: dict | None = None       # {"buckets": n, "columns": [...]} when stored bucketed
-    partitions: dict[str, int] | None = None  # partition -> version that holds it, when partitioned
+    partitions: dict[str, str] | None = None  # partition -> run that holds it, when partitioned
+    run: str | None = None              # folder of an unpartitioned version
+    epochs: dict[str, int] = field(default_factory=dict)  # stream query -> last epoch it committed
 
     @property
     def committed_run_ts(self) -> datetime | None:
@@ -78,44 +85,81 @@ class SnapshotStore:
         self.partition_by = partition_by
         self.update_ts_col = update_ts_col
 
-    def _table_name(self, version: int) -> str:
+    def _table_name(self, run: str) -> str:
         digest = hashlib.sha1(self.root.encode()).hexdigest()[:12]
-        return f"ml_snapshot_{digest}_v{version}"
+        return f"ml_snapshot_{digest}_{run}"
 
-    def data_path(self, version: int) -> str:
-        return f"{self.root}/data/v={version}"
+    def data_path(self, run: str) -> str:
+        return f"{self.root}/data/run={run}"
 
     def _state_path(self, version: int | None = None) -> str:
         base = f"{self.root}/_state"
         return base if version is None else f"{base}/v={version}"
 
-    def state(self) -> TableState | None:
-        """The last committed state, or None for a table never published."""
+    # ---- small files of the store, through the Hadoop file system
+    def _names(self, folder: str) -> list[str]:
+        """Names in a folder; none if there is no such folder, any other fault is raised."""
+        fs, path = hadoop_path(self.spark, folder)
+        if not fs.exists(path):
+            return []
+        return [status.getPath().getName() for status in fs.listStatus(path)]
+
+    def _load(self, path: str) -> dict:
+        return json.loads("\n".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect()))
+
+    def _save(self, path: str, record: dict, *, exclusive: bool) -> None:
+        """Write a finished file and rename it into place; ``exclusive``: fail if it exists."""
+        jvm = self.spark.sparkContext._jvm
+        fs, waiting = hadoop_path(self.spark, f"{self.root}/_waiting/{uuid.uuid4().hex}")
+        out = fs.create(waiting, False)
         try:
-            df = self.spark.read.schema(_STATE_SCHEMA).json(self._state_path())
-            row = df.orderBy(F.col("version").desc()).limit(1).collect()
-        except Exception as exc:  # no state folder yet
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return None
-            raise
-        if not row:
+            out.write(bytearray(json.dumps(record).encode()))
+        finally:
+            out.close()
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        fs.mkdirs(place.getParent())
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.NONE if exclusive else rename.OVERWRITE
+        context.rename(fs.makeQualified(waiting), fs.makeQualified(place), options)
+
+    def versions(self) -> list[int]:
+        return sorted(int(n[2:]) for n in self._names(self._state_path()) if n.startswith("v="))
+
+    def state(self, version: int | None = None) -> TableState | None:
+        """A committed state, the last by default; None for a table never published."""
+        committed = self.versions()
+        if not committed:
             return None
-        payload = json.loads(row[0]["payload"])
-        return TableState(**payload)
+        return TableState(**self._load(self._state_path(committed[-1] if version is None else version)))
+
+    # ---- the window of a run in progress
+    def open_window(self, process: str) -> dict | None:
+        """The stored window of a run that was started and not committed."""
+        return self._load(f"{self.root}/_open/{process}") if process in self._names(f"{self.root}/_open") else None
+
+    def save_window(self, process: str, record: dict) -> None:
+        self._save(f"{self.root}/_open/{process}", record, exclusive=False)
 
-    def read(self, schema: StructType | None = None) -> DataFrame | None:
-        st = self.state()
+    def close_window(self, process: str) -> None:
+        remove_path(self.spark, f"{self.root}/_open/{process}")
+
+    # ---- data
+    def read(self, schema: StructType | None = None, version: int | None = None) -> DataFrame | None:
+        st = self.state(version)
         if st is None:
             return None
         if st.bucketing:
-            return self._bucketed_table(st.version, st.bucketing, schema)
+            return self._bucketed_table(st.run, st.bucketing, schema)
         if st.partitions is not None:
             return self._partitioned(st.partitions, schema)
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-        return reader.parquet(self.data_path(st.version))
+        return reader.parquet(self.data_path(st.run))
 
-    def _partitioned(self, partitions: dict[str, int], schema: StructType | None) -> DataFrame:
-        """The current version of every partition, each from the version that
+    def _partitioned(self, partitions: dict[str, str], schema: StructType | None) -> DataFrame:
+        """The current version of every partition, each from the run that
         last wrote it; ``_ml_p`` comes back as a partition column, so a
         filter on it prunes folders."""
         base = f"{self.root}/data"
@@ -124,22 +168,22 @@ class SnapshotStore:
                 raise ValueError("an empty partitioned table needs its schema")
             fields = [*schema.fields, StructField(PART_COL, LongType(), True)]
             return self.spark.createDataFrame([], StructType(fields))
-        paths = [f"{base}/{PART_COL}={p}/v={v}" for p, v in sorted(partitions.items(), key=lambda kv: int(kv[0]))]
+        paths = [f"{base}/run={run}/{PART_COL}={p}" for p, run in sorted(partitions.items(), key=lambda kv: int(kv[0]))]
         reader = self.spark.read.option("basePath", base)
         if schema is not None:
             fields = [f for f in schema.fields if f.name != PART_COL]
             reader = reader.schema(StructType([*fields, StructField(PART_COL, LongType(), True),
-                                               StructField("v", LongType(), True)]))
-        return reader.parquet(*paths).drop("v")
+                                               StructField("run", StringType(), True)]))
+        return reader.parquet(*paths).drop("run")
 
-    def _bucketed_table(self, version: int, bucketing: dict, schema: StructType | None) -> DataFrame:
-        name = self._table_name(version)
+    def _bucketed_table(self, run: str, bucketing: dict, schema: StructType | None) -> DataFrame:
+        name = self._table_name(run)
         if not self.spark.catalog.tableExists(name):
             if schema is None:
-                schema = self.spark.read.parquet(self.data_path(version)).schema
+                schema = self.spark.read.parquet(self.data_path(run)).schema
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             keys = ", ".join(f"`{c}`" for c in bucketing["columns"])
-            path = self.data_path(version).replace("'", "\\'")
+            path = self.data_path(run).replace("'", "\\'")
             self.spark.sql(
                 f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
                 f"INTO {int(bucketing['buckets'])} BUCKETS LOCATION '{path}'"
@@ -148,7 +192,7 @@ class SnapshotStore:
 
     def publish(self, df: DataFrame, *, expect_version: int, high_water: dict[str, int] | None = None,
                 run_ts: datetime | str | None = None, process: str | None = None,
-                stats: dict[str, int] | None = None,
+                stats: dict[str, int] | None = None, epochs: dict[str, int] | None = None,
                 verify: Callable[[DataFrame], None] | None = None) -> TableState:
         """Write ``df`` as version ``expect_version + 1`` and commit it.
 
@@ -158,46 +202,48 @@ class SnapshotStore:
         current = self.state()
         current_version = current.version if current else 0
         if current_version != expect_version:
-            raise RuntimeError(f"{self.root}: version moved from {expect_version} to {current_version}")
-        new_version = expect_version + 1
+            raise VersionConflict(f"{self.root}: version moved from {expect_version} to {current_version}")
+        new_version, run = expect_version + 1, uuid.uuid4().hex
         bucketing = None
         partitions = None
         if self.partition_by is not None:
-            partitions = self._write_partitions(df, new_version, current, run_ts)
-            if verify is not None:
-                verify(self._partitioned(partitions, None).drop(PART_COL) if partitions else df.limit(0))
+            partitions = self._write_partitions(df, run, current, run_ts)
+            written = self._partitioned(partitions, df.schema).drop(PART_COL) if partitions else df.limit(0)
         elif self.bucket_by:
             n, cols = self.bucket_by
             bucketing = {"buckets": n, "columns": cols}
-            name = self._table_name(new_version)
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            (df.write.mode("overwrite").bucketBy(n, *cols).sortBy(*cols)
-             .option("path", self.data_path(new_version)).saveAsTable(name))
+            (df.write.bucketBy(n, *cols).sortBy(*cols)
+             .option("path", self.data_path(run)).saveAsTable(self._table_name(run)))
+            written = self.spark.read.parquet(self.data_path(run))
         else:
-            df.write.mode("overwrite").parquet(self.data_path(new_version))
-        if verify is not None and partitions is None:
-            verify(self.spark.read.parquet(self.data_path(new_version)))
+            df.write.parquet(self.data_path(run))
+            written = self.spark.read.schema(df.schema).parquet(self.data_path(run))
+        if verify is not None:
+            verify(written)
 
-        again = self.state()
-        if (again.version if again else 0) != expect_version:
-            raise RuntimeError(f"{self.root}: another run committed version {again.version} first")
         ts_text = run_ts.isoformat() if isinstance(run_ts, datetime) else run_ts
-        merged_hw = dict(current.high_water) if current else {}
-        merged_hw.update(high_water or {})
-        new_state = TableState(new_version, merged_hw, ts_text, process, dict(stats or {}), bucketing, partitions)
-        record = self.spark.createDataFrame([(new_version, json.dumps(asdict(new_state)))], _STATE_SCHEMA)
-        record.coalesce(1).write.mode("overwrite").json(self._state_path(new_version))
+        new_state = TableState(
+            new_version, {**(current.high_water if current else {}), **(high_water or {})}, ts_text, process,
+            dict(stats or {}), bucketing, partitions, run, {**(current.epochs if current else {}), **(epochs or {})})
+        try:
+            self._save(self._state_path(new_version), asdict(new_state), exclusive=True)
+        except Exception as exc:
+            if new_version in self.versions():
+                raise VersionConflict(f"{self.root}: another run committed version {new_version} first") from exc
+            raise
         return new_state
 
-    def _write_partitions(self, df: DataFrame, version: int, current: TableState | None,
-                          run_ts: datetime | str | None) -> dict[str, int]:
+    def _write_partitions(self, df: DataFrame, run: str, current: TableState | None,
+                          run_ts: datetime | str | None) -> dict[str, str]:
         """Write only the partitions this run changed; return the new manifest.
 
         Every row a run changes carries ``update_ts_col = run_ts``, so the
         touched partitions are the distinct partition values of those rows (a
         narrow query: Spark prunes it to key, timestamp and partition
-        columns). Rows of untouched partitions are neither recomputed at full
-        width nor written; the manifest keeps pointing at their old version.
+        columns; the loads' change sets are stored tables, read again rather
+        than computed again). Rows of untouched partitions are neither
+        recomputed at full width nor written; the manifest keeps pointing at
+        the run that holds them.
         """
         if run_ts is None:
             raise ValueError("a partitioned publish needs the run timestamp")
@@ -210,12 +256,27 @@ class SnapshotStore:
         if touched:
             kept = base.filter(F.col(PART_COL).isNotNull() & F.col(PART_COL).isin(touched))  # folder pruning
             fresh = base.filter(F.col(PART_COL).isNull()).withColumn(PART_COL, self.partition_by.cast("bigint"))
-            out = kept.unionByName(fresh).withColumn("v", F.lit(version).cast("bigint"))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(PART_COL, "v").parquet(f"{self.root}/data"))
-            manifest.update({str(p): version for p in touched})
+            kept.unionByName(fresh).write.partitionBy(PART_COL).parquet(self.data_path(run))
+            manifest.update({str(p): run for p in touched})
         return manifest
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete states older than the last ``keep`` and every run folder that no
+        kept state refers to; returns the removed run ids. Not to be called
+        while another run writes."""
+        if keep < 1:
+            raise ValueError("at least one version must be kept")
+        versions = self.versions()
+        kept = [self.state(v) for v in versions[-keep:]]
+        used = {r for st in kept for r in [st.run, *(st.partitions or {}).values()]}
+        for version in versions[:-keep]:
+            remove_path(self.spark, self._state_path(version))
+        gone = sorted(n[4:] for n in self._names(f"{self.root}/data") if n.startswith("run=") and n[4:] not in used)
+        for run in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(run)}")
+            remove_path(self.spark, self.data_path(run))
+        return gone
+
 
 def publish_snapshot(store: SnapshotStore, df: DataFrame, *, expect_version: int, **state) -> TableState:
     """Publish ``df`` as the next version of ``store`` (all or nothing); see

@@ -46,10 +46,9 @@ def model(target, source, only_nonzero):
     skeys=st.sets(st.integers(0, 12), max_size=8),
     data=st.data(),
     only_nonzero=st.booleans(),
-    broadcast=st.booleans(),
     use_new_flag=st.booleans(),
 )
-def test_apply_changes_matches_model(spark, tkeys, skeys, data, only_nonzero, broadcast, use_new_flag):
+def test_apply_changes_matches_model(spark, tkeys, skeys, data, only_nonzero, use_new_flag):
     target = [(k, data.draw(vals), data.draw(fks), OLD, data.draw(st.sampled_from([OLD, RUN, LATER])),
                data.draw(stats)) for k in sorted(tkeys)]
     source = [(k, data.draw(vals), data.draw(fks), data.draw(stats), data.draw(st.booleans()), k not in tkeys)
@@ -57,7 +56,7 @@ def test_apply_changes_matches_model(spark, tkeys, skeys, data, only_nonzero, br
     out = apply_changes(
         frame(spark, T_COLS, target), frame(spark, S_COLS, source), ["k"], run_ts=RUN,
         update_cols=["v"], insert_cols=["v", "fk"], repair_cols=["fk"], delta_flag="d",
-        new_flag="n" if use_new_flag else None, repair_only_nonzero=only_nonzero, broadcast=broadcast,
+        new_flag="n" if use_new_flag else None, repair_only_nonzero=only_nonzero,
     )
     got = sorted((tuple(r) for r in out.select(*T_COLS).collect()), key=repr)
     assert got == model(target, source, only_nonzero)

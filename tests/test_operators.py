@@ -19,7 +19,7 @@ from martloom import (
     resolve_key,
     split_null_keys,
 )
-from martloom.operators.guards import dedupe_newest, delta_profile, duplicate_keys, orphan_report
+from martloom.operators.guards import check_surrogate_keys, dedupe_newest, delta_profile, duplicate_keys, orphan_report
 from martloom.plans.common import prepare_delta
 from martloom.sources.control import read_high_water, update_registry
 
@@ -39,8 +39,8 @@ def test_new_keys_keeps_null_and_unseen(spark):
     expect = [(None, 3), ("y", 2)]
     assert sorted(new_keys(delta, target, ["a", "b"]).collect(), key=str) == sorted(
         [tuple(r) for r in expect], key=str)
-    # the broadcast-probe plan gives the same rows
-    assert sorted(map(tuple, new_keys(delta, target, ["a", "b"], delta_rows=3).collect()), key=str) == sorted(
+    # the plan that broadcasts the delta's keys gives the same rows
+    assert sorted(map(tuple, new_keys(delta.hint("broadcast"), target, ["a", "b"]).collect()), key=str) == sorted(
         expect, key=str)
 
 
@@ -64,13 +64,6 @@ def test_ranged_keys_equal_global_row_number(spark, keys, parts, hw):
     assert ranged.high_water == hw + len(keys)
 
 
-def test_keys_window_method_matches(spark):
-    df = frame(spark, {"n": "bigint"}, [(5,), (1,), (3,)])
-    a = assign_surrogate_keys(df, ["n"], "sk", 10, method="window")
-    b = assign_surrogate_keys(df, ["n"], "sk", 10, num_partitions=3)
-    assert rows_of(a.keyed, ["n", "sk"]) == rows_of(b.keyed, ["n", "sk"]) == [(1, 11), (3, 12), (5, 13)]
-
-
 def test_empty_key_set_keeps_high_water(spark):
     df = frame(spark, {"n": "bigint"}, [])
     ka = assign_surrogate_keys(df, ["n"], "sk", 42)
@@ -89,8 +82,8 @@ def test_resolve_key_defaults(spark):
     df = frame(spark, {"id": "string", "ref": "string"}, [("1", None), ("2", "a"), ("3", "d"), ("4", "n"), ("5", "z")])
     dim = frame(spark, {"did": "string", "dk": "bigint", "row_stat_cd": "string"},
                 [("a", 10, "NEW"), ("d", 11, "DEL"), ("n", 12, None)])
-    for bc in (True, False):
-        out = resolve_key(df, dim, "ref", "did", "dk", "ref_ky", broadcast=bc)
+    for hint in ("broadcast", "merge"):
+        out = resolve_key(df, dim.hint(hint), "ref", "did", "dk", "ref_ky")
         assert rows_of(out, ["id", "ref_ky"]) == [("1", 0), ("2", 10), ("3", -1), ("4", -1), ("5", -1)]
     everything = resolve_key(df, dim, "ref", "did", "dk", "ref_ky", live=False)
     assert rows_of(everything, ["id", "ref_ky"]) == [("1", 0), ("2", 10), ("3", 11), ("4", 12), ("5", -1)]
@@ -115,13 +108,12 @@ MT = {"k": "string", "v": "string", "w": "string", "row_insrt_tms": "ts", "row_u
       "row_stat_cd": "string"}
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_merge_upsert_update_list_and_status(spark, broadcast):
+@pytest.mark.parametrize("hint", ["broadcast", "merge"])
+def test_merge_upsert_update_list_and_status(spark, hint):
     tgt = frame(spark, MT, [("a", "v0", "w0", OLD, OLD, "NEW"), ("b", "v0", "w0", OLD, OLD, "NEW")])
     src = frame(spark, {"k": "string", "v": "string", "w": "string", "row_stat_cd": "string"},
-                [("a", None, "w1", "DEL"), ("c", "v1", "w1", None)])
-    out = merge_upsert(tgt, src, ["k"], update_cols=["v"], insert_cols=["v", "w"], run_ts=RUN,
-                       broadcast=broadcast)
+                [("a", None, "w1", "DEL"), ("c", "v1", "w1", None)]).hint(hint)
+    out = merge_upsert(tgt, src, ["k"], update_cols=["v"], insert_cols=["v", "w"], run_ts=RUN)
     assert rows_of(out, list(MT)) == [
         ("a", None, "w0", OLD, RUN, "DEL"),   # NULL written, w not in update list
         ("b", "v0", "w0", OLD, OLD, "NEW"),
@@ -197,18 +189,22 @@ def test_orphan_report(spark):
         ("p", 3, 1, 1), ("q", 4, 1, 2)]
 
 
-def test_resolve_key_hot_value_split_is_exact(spark):
-    """One parent holds most rows: the split path gives the same keys as a plain join."""
-    rows = [(str(i), "hot") for i in range(40)] + [(str(100 + i), f"c{i % 3}") for i in range(9)] + [("n", None)]
+def test_null_references_are_spread_over_partitions(spark):
+    """A fact whose references are mostly NULL: the join's left side is dealt by a
+    second key, so those rows do not meet in one partition."""
+    from pyspark.sql import functions as F
+
+    from martloom.operators.lookup import null_spread
+
+    rows = [(str(i), None) for i in range(400)] + [(str(1000 + i), "hot") for i in range(40)] + [("n", "c1")]
     df = frame(spark, {"id": "string", "ref": "string"}, rows)
     dim = frame(spark, {"did": "string", "dk": "bigint", "row_stat_cd": "string"},
                 [("hot", 1, "NEW"), ("c0", 2, "NEW"), ("c1", 3, "DEL")])
-    plain = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, skew_split=False)
-    split = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, hot_rows=10)
-    assert rows_of(split, ["id", "k"]) == rows_of(plain, ["id", "k"])
-    assert split.count() == len(rows)
-    from martloom.operators.lookup import hot_values
-    assert hot_values(df, "ref", 10) == ["hot"]
+    out = resolve_key(df, dim.hint("merge"), "ref", "did", "dk", "k")
+    assert rows_of(out, ["k"]) == sorted([(0,)] * 400 + [(1,)] * 40 + [(-1,)])
+    dealt = df.withColumn("_s", null_spread(df, "ref")).repartition(8, "ref", "_s")
+    sizes = [r[0] for r in dealt.filter("ref IS NULL").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 8 and max(sizes) < 100
 
 
 def test_ranged_keys_with_adaptive_partition_count(spark):
@@ -269,48 +265,49 @@ def test_profile_without_duplicate_check_has_no_shuffle(spark):
 
 
 def test_keys_survive_recomputation(spark):
-    """Lost cached blocks or re-run stages must not renumber: the small path is a
-    row_number over unique keys, the ranged path reads its checkpoint."""
+    """Re-run stages must not renumber: the numbering is a stored table, which release() removes."""
+    import os
+
     rows = [(i * 7 % 101, f"s{i % 3}") for i in range(101)]
     df = frame(spark, {"n": "bigint", "s": "string"}, rows).repartition(5)
-    small = assign_surrogate_keys(df, ["n", "s"], "sk", 10, max_rows=101)
-    assert small.cached
-    first = rows_of(small.keyed, ["n", "s", "sk"])
-    small.keyed.unpersist(blocking=True)  # as if the executors holding the blocks were lost
-    assert rows_of(small.keyed, ["n", "s", "sk"]) == first
     ranged = assign_surrogate_keys(df, ["n", "s"], "sk", 10, num_partitions=4)
-    assert rows_of(ranged.keyed, ["n", "s", "sk"]) == first == rows_of(ranged.keyed, ["n", "s", "sk"])
-
-
-def test_resolve_key_keeps_many_null_references_off_the_shuffle(spark):
-    rows = [(str(i), None) for i in range(30)] + [(str(100 + i), f"c{i % 3}") for i in range(6)]
-    df = frame(spark, {"id": "string", "ref": "string"}, rows)
-    dim = frame(spark, {"did": "string", "dk": "bigint", "row_stat_cd": "string"},
-                [("c0", 1, "NEW"), ("c1", 2, "NEW")])
-    from martloom.operators.lookup import hot_values
-    assert hot_values(df, "ref", 10) == [None]
-    split = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, hot_rows=10)
-    plain = resolve_key(df, dim, "ref", "did", "dk", "k", broadcast=False, skew_split=False)
-    assert rows_of(split, ["id", "k"]) == rows_of(plain, ["id", "k"])
-    assert dict(rows_of(split, ["id", "k"]))["0"] == 0
+    first = rows_of(ranged.keyed, ["n", "s", "sk"])
+    assert first == [(n, s, 11 + i) for i, (n, s) in enumerate(sorted(rows))] == rows_of(ranged.keyed, ["n", "s", "sk"])
+    path = ranged.path.removeprefix("file:")
+    assert os.path.isdir(path)
+    ranged.release()
+    assert not os.path.exists(path)
 
 
-def test_hot_values_by_column_and_cluster_conf(spark):
-    from martloom.operators.lookup import hot_values_by_column
+def test_cluster_conf():
     from martloom.session import cluster_conf
 
-    rows = [(1, None)] * 5 + [(1, 7)] * 2 + [(2, 7)] * 4 + [(3, None)]
-    df = frame(spark, {"p": "bigint", "u": "bigint"}, rows)
-    hot = hot_values_by_column(df, ["p", "u"], min_rows=3)
-    assert [spark.range(1).select(v).first()[0] for v in hot["p"]] == [1, 2]  # 7 and 4 rows, heaviest first
-    assert sorted((v is None, v if v is None else spark.range(1).select(v).first()[0]) for v in hot["u"]) == [
-        (False, 7), (True, None)]
     conf = cluster_conf(100 * 1024 ** 4)
     assert conf["spark.sql.shuffle.partitions"] == "819200"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
 
 
+def test_surrogate_key_guard_has_a_lower_bound(spark):
+    cols = {"k": "bigint", "row_insrt_tms": "ts"}
+    old = ts("2024-01-01 00:00:00")
+    good = frame(spark, cols, [(1, old), (10, old), (11, RUN), (12, RUN)])
+    check_surrogate_keys(good, "k", 10, 12, run_ts=RUN)
+    for bad in ([(1, RUN)], [(11, RUN), (11, RUN)], [(13, RUN)], [(None, RUN)], [(0, old)]):
+        with pytest.raises(GuardError):
+            check_surrogate_keys(frame(spark, cols, [(10, old), *bad]), "k", 10, 12, run_ts=RUN)
+    with pytest.raises(GuardError):
+        check_surrogate_keys(frame(spark, {"k": "bigint"}, [(1,), (2,)]), "k", 10, 12)
+
+
+def test_merge_with_a_repeated_source_key_fails(spark):
+    cols = {"k": "string", "v": "string", "row_insrt_tms": "ts", "row_updt_tms": "ts", "row_stat_cd": "string"}
+    tgt = frame(spark, cols, [])
+    src = frame(spark, {"k": "string", "v": "string", "row_stat_cd": "string"}, [("b", "y", "NEW"), ("b", "z", "NEW")])
+    with pytest.raises(GuardError):
+        merge_upsert(tgt, src, ["k"], update_cols=["v"], insert_cols=["v"], run_ts="2024-02-01 00:00:00")
+
+
 def test_load_window_open_resume_close():
     from martloom.sources.control import EPOCH, LoadWindow
 

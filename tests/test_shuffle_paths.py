@@ -1,21 +1,17 @@
-"""The large-data plans: nothing fits the broadcast budget, every join shuffles.
+"""The large-data plans: the session refuses broadcasts, every join shuffles.
 
 The four loads must give exactly the rows they give with broadcasts."""
 
 import pytest
 from conftest import rows_of
 import test_golden_jobs as golden
-from test_golden_jobs import W, calendar, company_inputs, direct_source, sites
+from test_golden_jobs import W, company_inputs
 
-import martloom.operators.lookup as lookup
-import martloom.operators.sizing as sizing
 from martloom.plans import company
 
 
 @pytest.fixture
-def no_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(sizing, "DEFAULT_BROADCAST_BYTES", 1)
-    monkeypatch.setattr(lookup, "HOT_ROWS", 1)  # every repeated reference value counts as hot
+def no_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
@@ -46,19 +42,26 @@ def test_taxonomy_without_broadcasts(spark, no_broadcast):
     golden.test_b4_taxonomy(spark)
 
 
-def test_sizes_decide_the_plan(spark, no_broadcast):
-    assert not sizing.fits_broadcast(calendar(spark))
-    assert sizing.row_bound(sites(spark)) == 1
-    assert direct_source(spark).count() == 6
-
-
-def test_company_hot_parent_split_is_exact(spark, no_broadcast):
-    """Most companies share one parent: with HOT_ROWS=1 every repeated parent is split
-    onto a broadcast of its spine row; the load must give the golden rows."""
+def test_company_looks_up_both_pointers_in_one_join(spark, no_broadcast):
     src, tgt = company_inputs(spark)
-    p = company.run(src, tgt, W, 100).table
-    plan = p._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan  # the hot part
-    assert rows_of(p, ["spls_cmpy_id", "parnt_cmpy_ky", "ultmt_parnt_cmpy_ky"]) == [
+    res = company.run(src, tgt, W, 100)
+    rows_of(res.table, ["spls_cmpy_id"])
+    spine = res.extras["spine"]
+    found = company.resolve_pointers(src.select(*company.KEY, *company.POINTERS), spine)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("SortMergeJoin") == 2, plan
+    assert rows_of(res.table, ["spls_cmpy_id", "parnt_cmpy_ky", "ultmt_parnt_cmpy_ky"]) == [
         ("A", 0, 0), ("B", 1, 1), ("C", 101, 1), ("D", 0, 0), ("E", 1, 1), ("F", -1, -1), ("G", -1, 0),
         ("H", 101, 1)]
+
+
+def test_taxonomy_counts_once(spark, no_broadcast):
+    """The rollups feed a stored merge source, so the published plan holds no count of its own."""
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    import __spark_entry__ as E
+
+    plan = E.queries()["taxonomy_full"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Aggregate" not in plan, plan
