@@ -1,4 +1,4 @@
-"""Source, target and dimension tables derived from the driver's TPC-H-style data.
+"""Source, target and dimension tables (fixed names of the mart) derived from the driver's TPC-H-style data.
 
 The loads need a "source" with change timestamps, a "target" as it stood
 before the run, a calendar and lookup dimensions. These views build them
@@ -20,6 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from martloom.session import stored_table
 
 LO = "2024-01-20 00:00:00"
 RUN_TS = "2024-02-01 00:00:00"
@@ -29,40 +32,39 @@ CAL_BASE = "1990-01-01"
 _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
-def _session_key(spark: SparkSession) -> str:
-    """Identity of the running Spark application (unlike id(), never reused
-    by a later session)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # a session without a classic SparkContext (Spark Connect)
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+def _application(spark: SparkSession) -> str:
+    """Identity of the running Spark application (unlike id(), never reused by a later one)."""
+    return spark.sparkContext.applicationId
+
+
+def _session(spark: SparkSession) -> str:
+    return f"{_application(spark)}:{spark._jsparkSession.sessionUUID()}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; the resolved relation is reused within a session so
     repeated views do not list files and read footers again."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_key(spark), path)
+    key = (_session(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
 
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A derived view that stands for a *stored* table (one with an aggregation
-    in its definition): written once per session to the reliable checkpoint
-    folder, then read like any table, so its aggregation is not re-run by
-    every load that reads it."""
-    from martloom.session import checkpoint_dir
-
-    key = (_session_key(spark), sf_dir.rstrip("/"), name)
+    in its definition): written once per application beside the checkpoints,
+    then read like any table, so its aggregation is not re-run by every load
+    that reads it."""
+    key = (_application(spark), sf_dir.rstrip("/"), name)
     if key not in _STORED:
-        checkpoint_dir(spark)
-        _STORED[key] = build().checkpoint(eager=True)
-    return _STORED[key]
+        df, path = stored_table(build())
+        _STORED[key] = path, df.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def _day(base: str, days: Column) -> Column:
@@ -91,6 +93,19 @@ def _null(t: str) -> Column:
     return F.lit(None).cast(t)
 
 
+def _value(t: str, name: str, key: Column, old: bool = False) -> Column:
+    """A value of its own for every carried column and row (fixed by name and
+    key; other ones in a target's prior state), so swapped columns show."""
+    n = key.cast("bigint") + sum(map(ord, name)) * (3 if old else 1) if t != "string" else None
+    made = {
+        "string": lambda: F.concat(F.lit(f"{'old ' if old else ''}{name} "), key.cast("string")),
+        "bigint": lambda: n,
+        "double": lambda: n.cast("double") / 2,
+        "date": lambda: F.date_add(F.lit("2001-01-01").cast("date"), (n % 4000).cast("int")),
+    }[t]()
+    return made.cast(t).alias(name)
+
+
 # --------------------------------------------------------------------- company
 
 def company_src(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,15 +115,15 @@ def company_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c % 7 == 0, _null("bigint")).otherwise(_floor_div(c, 10)).alias("parnt_cmpy_id"),
         F.when(c % 5 == 0, _null("bigint")).otherwise(_floor_div(c, 100)).alias("ultmt_parnt_cmpy_id"),
         F.col("c_name").alias("cmpy_nm"),
-        _null("string").alias("website_url_txt"),
+        _value("string", "website_url_txt", c),
         F.col("c_mktsegment").alias("sic_cd"),
-        _null("string").alias("naics_cd"),
-        _null("string").alias("naics_dscr"),
+        _value("string", "naics_cd", c),
+        _value("string", "naics_dscr", c),
         F.col("c_nationkey").cast("bigint").alias("emp_tot_cnt"),
-        _null("bigint").alias("hrc_lvl_nmb"),
-        _null("string").alias("hrc_src_typ_cd"),
-        _null("string").alias("hrc_to_revw_ind"),
-        _null("string").alias("mltpl_parnt_ind"),
+        _value("bigint", "hrc_lvl_nmb", c),
+        _value("string", "hrc_src_typ_cd", c),
+        _value("string", "hrc_to_revw_ind", c),
+        _value("string", "mltpl_parnt_ind", c),
         F.when(c % 11 == 5, F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
         up(c).alias("row_updt_tms"),
     )
@@ -122,16 +137,16 @@ def company_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c % 7 == 0, F.lit(0)).when(c % 4 == 1, F.lit(-1)).otherwise(_floor_div(c, 10) + 1)
         .cast("bigint").alias("parnt_cmpy_ky"),
         F.when(c % 5 == 0, F.lit(0)).otherwise(_floor_div(c, 100) + 1).cast("bigint").alias("ultmt_parnt_cmpy_ky"),
-        _null("string").alias("cmpy_nm"),
-        _null("string").alias("website_url_txt"),
-        _null("string").alias("sic_cd"),
-        _null("string").alias("naics_cd"),
-        _null("string").alias("naics_dscr"),
-        _null("bigint").alias("emp_tot_cnt"),
-        _null("bigint").alias("hrc_lvl_nmb"),
-        _null("string").alias("hrc_src_typ_cd"),
-        _null("string").alias("hrc_to_revw_ind"),
-        _null("string").alias("mltpl_parnt_ind"),
+        _value("string", "cmpy_nm", c, old=True),
+        _value("string", "website_url_txt", c, old=True),
+        _value("string", "sic_cd", c, old=True),
+        _value("string", "naics_cd", c, old=True),
+        _value("string", "naics_dscr", c, old=True),
+        _value("bigint", "emp_tot_cnt", c, old=True),
+        _value("bigint", "hrc_lvl_nmb", c, old=True),
+        _value("string", "hrc_src_typ_cd", c, old=True),
+        _value("string", "hrc_to_revw_ind", c, old=True),
+        _value("string", "mltpl_parnt_ind", c, old=True),
         upt(c).alias("row_insrt_tms"),
         upt(c).alias("row_updt_tms"),
         F.lit("NEW").alias("row_stat_cd"),
@@ -188,9 +203,9 @@ def email_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(sent, (F.lit(10) + e % 5).cast("int")).alias("allctn_end_dt"),
         F.when(e % 8 == 0, _null("date")).otherwise(F.date_sub(sent, (e % 9).cast("int"))).alias("last_ord_dt"),
         F.col("user_id").cast("bigint").alias("fsc_ytd_ordr_cnt"),
-        _null("bigint").alias("pr_12_prds_ordr_cnt"),
+        _value("bigint", "pr_12_prds_ordr_cnt", e),
         F.col("value").alias("pr_3_prds_rvn_amt"),
-        _null("double").alias("pr_12_prds_rvn_amt"),
+        _value("double", "pr_12_prds_rvn_amt", e),
         F.col("event_type").alias("sls_rep_nm"),
         F.when(e % 13 == 6, F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
         up(e).alias("row_updt_tms"),
@@ -202,18 +217,18 @@ def email_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").filter(e % 3 != 0).select(
         (e + 1).cast("bigint").alias("eml_promo_ky"),
         *_email_common(e),
-        _null("bigint").alias("sent_tm_ky"),
-        _null("bigint").alias("allctn_strt_tm_ky"),
-        _null("date").alias("allctn_strt_dt"),
-        _null("bigint").alias("allctn_end_tm_ky"),
-        _null("date").alias("allctn_end_dt"),
-        _null("string").alias("sls_rep_nm"),
-        _null("bigint").alias("last_ord_tm_ky"),
-        _null("date").alias("last_ord_dt"),
-        _null("bigint").alias("fsc_ytd_ord_cnt"),
-        _null("bigint").alias("pr_12_prds_ord_cnt"),
-        _null("double").alias("pr_3_prds_rvn_amt"),
-        _null("double").alias("pr_12_prds_rvn_amt"),
+        _value("bigint", "sent_tm_ky", e, old=True),
+        _value("bigint", "allctn_strt_tm_ky", e, old=True),
+        _value("date", "allctn_strt_dt", e, old=True),
+        _value("bigint", "allctn_end_tm_ky", e, old=True),
+        _value("date", "allctn_end_dt", e, old=True),
+        _value("string", "sls_rep_nm", e, old=True),
+        _value("bigint", "last_ord_tm_ky", e, old=True),
+        _value("date", "last_ord_dt", e, old=True),
+        _value("bigint", "fsc_ytd_ord_cnt", e, old=True),
+        _value("bigint", "pr_12_prds_ord_cnt", e, old=True),
+        _value("double", "pr_3_prds_rvn_amt", e, old=True),
+        _value("double", "pr_12_prds_rvn_amt", e, old=True),
         upt(e).alias("row_insrt_tms"),
         upt(e).alias("row_updt_tms"),
         F.lit("NEW").alias("row_stat_cd"),
@@ -236,12 +251,12 @@ def direct_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(promo, 21).alias("allctn_end_dt"),
         F.when(o % 6 == 0, _null("date")).otherwise(F.date_sub(promo, (o % 30).cast("int"))).alias("last_ord_dt"),
         F.col("o_orderpriority").alias("promo_typ_cd"),
-        _null("string").alias("pdt_prmry_ctgry_nm"),
-        _null("bigint").alias("fsc_ytd_ordr_cnt"),
-        _null("bigint").alias("pr_12_prds_ordr_cnt"),
+        _value("string", "pdt_prmry_ctgry_nm", o),
+        _value("bigint", "fsc_ytd_ordr_cnt", o),
+        _value("bigint", "pr_12_prds_ordr_cnt", o),
         F.col("o_totalprice").alias("pr_3_prds_rvn_amt"),
-        _null("double").alias("pr_12_prds_rvn_amt"),
-        _null("string").alias("sls_rep_nm"),
+        _value("double", "pr_12_prds_rvn_amt", o),
+        _value("string", "sls_rep_nm", o),
         F.when(o % 17 == 4, F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
         up(o).alias("row_updt_tms"),
     )
@@ -269,21 +284,21 @@ def direct_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(o % 2 == 0, F.lit(-1)).otherwise(F.coalesce(F.col("spls_site_id") + 1, F.lit(0)))
         .cast("bigint").alias("spls_site_ky"),
         "promo_dt",
-        _null("bigint").alias("drop_tm_ky"),
-        _null("date").alias("drop_dt"),
-        _null("bigint").alias("allctn_strt_tm_ky"),
-        _null("date").alias("allctn_strt_dt"),
-        _null("bigint").alias("allctn_end_tm_ky"),
-        _null("date").alias("allctn_end_dt"),
-        _null("bigint").alias("last_ord_tm_ky"),
-        _null("date").alias("last_ord_dt"),
-        _null("string").alias("promo_typ_cd"),
-        _null("string").alias("pdt_prmry_ctgry_nm"),
-        _null("bigint").alias("fsc_ytd_ord_cnt"),
-        _null("bigint").alias("pr_12_prds_ord_cnt"),
-        _null("double").alias("pr_3_prds_rvn_amt"),
-        _null("double").alias("pr_12_prds_rvn_amt"),
-        _null("string").alias("sls_rep_nm"),
+        _value("bigint", "drop_tm_ky", o, old=True),
+        _value("date", "drop_dt", o, old=True),
+        _value("bigint", "allctn_strt_tm_ky", o, old=True),
+        _value("date", "allctn_strt_dt", o, old=True),
+        _value("bigint", "allctn_end_tm_ky", o, old=True),
+        _value("date", "allctn_end_dt", o, old=True),
+        _value("bigint", "last_ord_tm_ky", o, old=True),
+        _value("date", "last_ord_dt", o, old=True),
+        _value("string", "promo_typ_cd", o, old=True),
+        _value("string", "pdt_prmry_ctgry_nm", o, old=True),
+        _value("bigint", "fsc_ytd_ord_cnt", o, old=True),
+        _value("bigint", "pr_12_prds_ord_cnt", o, old=True),
+        _value("double", "pr_3_prds_rvn_amt", o, old=True),
+        _value("double", "pr_12_prds_rvn_amt", o, old=True),
+        _value("string", "sls_rep_nm", o, old=True),
         upt(o).alias("row_updt_tms"),
         upt(o).alias("row_insrt_tms"),
         F.lit("NEW").alias("row_stat_cd"),
@@ -356,22 +371,22 @@ def _txn_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         code,
         F.substring(code, 1, 1).alias("pgm_cd"),
         F.concat(F.lit("Program "), F.substring(code, 1, 1)).alias("pgm_nm"),
-        _null("string").alias("cmpgn_cd"),
-        _null("string").alias("cmpgn_nm"),
-        _null("string").alias("cmpgn_typ_nm"),
-        _null("string").alias("vrsn_cd"),
-        _null("string").alias("vrsn_desc"),
-        _null("string").alias("vrsn_frmt_nm"),
-        _null("string").alias("segmt_cd"),
-        _null("string").alias("segmt_nm"),
-        _null("string").alias("chnnl_cd"),
-        _null("string").alias("chnnl_nm"),
-        _null("string").alias("cst_per_piece_ind"),
-        _null("string").alias("test_cmpgn_ind"),
+        _value("string", "cmpgn_cd", code),
+        _value("string", "cmpgn_nm", code),
+        _value("string", "cmpgn_typ_nm", code),
+        _value("string", "vrsn_cd", code),
+        _value("string", "vrsn_desc", code),
+        _value("string", "vrsn_frmt_nm", code),
+        _value("string", "segmt_cd", code),
+        _value("string", "segmt_nm", code),
+        _value("string", "chnnl_cd", code),
+        _value("string", "chnnl_nm", code),
+        _value("string", "cst_per_piece_ind", code),
+        _value("string", "test_cmpgn_ind", code),
         _day("1995-01-01", shift).alias("cmpgn_strt_dt"),
         _day("1995-06-01", shift).alias("cmpgn_end_dt"),
         _day("1995-03-01", shift).alias("drp_dt"),
-        _null("string").alias("pdt_prmry_ctgry_nm"),
+        _value("string", "pdt_prmry_ctgry_nm", code),
         F.when(code == "2P", F.lit("DEL")).otherwise(F.lit("NEW")).alias("row_stat_cd"),
         F.when(code == "1O", F.lit("2024-01-05 00:00:00")).otherwise(F.lit("2024-01-25 00:00:00"))
         .cast("timestamp_ntz").alias("row_updt_tms"),
@@ -392,15 +407,16 @@ def _txn_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = [c for c in src.columns if c not in ("src_txnmy_ky", "pgm_nm", "row_stat_cd", "row_updt_tms")]
     return src.select(
         "src_txnmy_ky",
-        *[F.col(c) for c in cols if c not in ("cmpgn_strt_dt", "cmpgn_end_dt", "drp_dt", "pdt_prmry_ctgry_nm")],
+        *[F.col(c) if c == "src_cd" else F.concat(F.lit("old "), F.col(c)).alias(c)
+          for c in cols if c not in ("cmpgn_strt_dt", "cmpgn_end_dt", "drp_dt", "pdt_prmry_ctgry_nm")],
         F.lit("old").alias("pgm_nm"),
-        _null("bigint").alias("cmpgn_strt_tm_ky"),
+        _value("bigint", "cmpgn_strt_tm_ky", F.ascii("src_cd"), old=True),
         "cmpgn_strt_dt",
-        _null("bigint").alias("cmpgn_end_tm_ky"),
+        _value("bigint", "cmpgn_end_tm_ky", F.ascii("src_cd"), old=True),
         "cmpgn_end_dt",
-        _null("bigint").alias("drp_tm_ky"),
+        _value("bigint", "drp_tm_ky", F.ascii("src_cd"), old=True),
         "drp_dt",
-        "pdt_prmry_ctgry_nm",
+        F.concat(F.lit("old "), F.col("pdt_prmry_ctgry_nm")).alias("pdt_prmry_ctgry_nm"),
         F.lit(0).cast("bigint").alias("promo_site_cnt"),
         F.lit(0).cast("bigint").alias("promo_usr_cnt"),
         F.lit(0).cast("bigint").alias("promo_mstr_cust_cnt"),

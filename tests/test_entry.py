@@ -58,3 +58,22 @@ def test_query_matches_duckdb(spark, con, name):
     o = con.execute(E.oracle_sql()[name]).df()
     assert sorted(cols) == sorted(o.columns)
     assert _norm(s) == _norm(o)
+
+
+@pytest.mark.parametrize("view", ["company_src", "company_dim", "email_src", "email_tgt", "direct_src", "direct_tgt",
+                                  "txn_src", "txn_tgt"])
+def test_carried_columns_have_values_of_their_own(spark, view):
+    """No two carried columns of a view are equal and none is constantly NULL, so a load that
+    swaps two names in an update or insert list cannot stay green."""
+    import derived_views as V
+
+    df = getattr(V, view)(spark, SF).toPandas()
+    stamps = {"row_insrt_tms", "row_updt_tms", "row_stat_cd"}
+    counts = {"promo_site_cnt", "promo_usr_cnt", "promo_mstr_cust_cnt", "promo_eml_cnt"}  # all 0 before the load
+    same_by_rule = {"eml_ky", "eml_promo_ky", "src_cd"}
+    columns = [c for c in df.columns if c not in stamps | counts | same_by_rule]
+    seen = {}
+    for c in columns:
+        assert df[c].notna().any(), c
+        other = seen.setdefault(tuple(map(str, df[c])), c)
+        assert other == c, (c, other)

@@ -12,7 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from martloom.operators.merge import loopback_repair  # noqa: E402
 from martloom.plans import company, direct_mail  # noqa: E402
 from martloom.plans.common import max_key  # noqa: E402
-from martloom.sources import derived as V  # noqa: E402
+import derived_views as V  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 

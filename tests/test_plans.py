@@ -6,7 +6,7 @@ import sys
 from conftest import frame, ts
 
 from martloom import assign_surrogate_keys, distinct_rollup, incremental_delta, merge_upsert, resolve_date_keys
-from martloom.sources import derived as V
+import derived_views as V
 
 SF = "/root/testdata/sf0.001"
 
