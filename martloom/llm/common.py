@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.session import checkpoint_dir
+from martloom.session import stored_table
 
 # A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the reliable checkpoint folder the cluster names.
+    """``df`` written once as a table beside the session's checkpoints, and read back.
 
     Cuts lineage, so a lost executor re-reads files instead of recomputing,
-    and makes values that depend on partition boundaries stable.
+    and makes values that depend on partition boundaries stable. A table is
+    smaller than ``checkpoint()`` files (columnar, compressed) and, unlike
+    them, carries no constraints of its query into the plans of later rounds,
+    which makes planning slower with every round.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return stored_table(df)[0]
 
 
 def text_or_empty(column: str = "text"):

@@ -126,4 +126,51 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_deleted, 0) AS
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """.replace("{least}", str(line_dedup.MIN_WORDS))
 
-ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+OP3_SQL = f"""
+WITH docs AS (
+  SELECT d.doc_id, d.source, CAST({WORDS_SQL.format("coalesce(d.text, '')")} AS BIGINT) AS size,
+         coalesce(0.5 + q.quality, 1.0) AS weight
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, avg(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id) q
+  USING (doc_id)
+), sources AS (
+  SELECT source, CAST(sum(size) AS DOUBLE) AS total,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS w
+  FROM docs GROUP BY source
+), steps AS (
+  SELECT *, 2 * total / w AS ratio,
+         (1.5 * sum(total) OVER () - coalesce(sum(2 * total) OVER (ORDER BY 2 * total / w, source
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (ORDER BY 2 * total / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources
+), targets AS (
+  SELECT source, total, least(2 * total, w * (SELECT min_by(level, ratio) FROM steps WHERE level <= ratio)) AS target FROM steps
+), keyed AS (
+  SELECT d.*, t.total, t.target,
+         -ln((CAST('0x' || substr(md5(CAST(d.doc_id AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) / d.weight AS k
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS epochs
+  FROM keyed
+)
+SELECT doc_id, size, CAST(total AS BIGINT) AS source_size, target,
+       CAST((epochs + CASE WHEN 2 * start + size <= 2 * (target - epochs * total) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM placed
+"""
+
+OP6_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS t
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.t, c.t) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0))
+WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_exact_top_k": OP6_SQL, "op7_line_dedup": OP7_SQL}
