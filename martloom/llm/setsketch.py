@@ -8,10 +8,11 @@ with similarity, so bands of registers find candidates. A candidate's Jaccard
 similarity is first estimated by maximum likelihood from how many registers
 are larger, smaller and equal, then verified on the full sets.
 
-Documents with equal sets are one class from the start. Inside a band's group
-candidates are not all pairs: rounds link every class to one pivot of its
-group, and only pairs of classes that no chain of verified links joins yet are
-looked at afterwards.
+Documents with equal sets are one class from the start. Classes that bands
+join, directly or in a chain, form a neighbourhood; it is dealt in cells of two
+blocks of bounded size, which compare their classes in arrays and emit only a
+spanning forest of the verified links, so no group of copies is ever expanded
+into rows of pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import checkpointed
+from martloom.llm.common import checkpointed, parts_for
 
 SHINGLE = 5
 LINK = 85                # per cent of the union that the intersection must reach
@@ -34,6 +35,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65535
 MARGIN = 0.16            # about five standard deviations of the estimate at the threshold
 BLOCK = 512
 CACHED_WORDS = 300_000
+CELL = 512                 # classes in a block of a large neighbourhood
+PACK = 1500                # classes of small neighbourhoods in a task's group
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
@@ -120,11 +123,6 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return np.take_along_axis(grid, fit.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-def linked(a: np.ndarray, b: np.ndarray, link: int = LINK) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= link * (len(a) + len(b) - shared) and shared > 0
-
-
 def sketched(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, n_shingles, node, registers``.
 
@@ -166,105 +164,132 @@ def band_members(classes: DataFrame) -> DataFrame:
     return rows.join(shared, "band")
 
 
-def estimated(pairs: DataFrame, classes: DataFrame, link: int = LINK) -> DataFrame:
-    """The ``a, b`` pairs whose estimated similarity is not clearly below the threshold."""
-    regs = classes.select("node", "registers", "n_shingles")
-    both = pairs.join(regs.toDF("a", "registers_a", "size_a"), "a").join(regs.toDF("b", "registers_b", "size_b"), "b")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                    for c in ("registers_a", "registers_b"))
-            j = estimate(x, y, batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy())
-            yield batch.select(["a", "b"]).filter(pa.array(j >= link / 100 - MARGIN))
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
-    return both.mapInArrow(keep, "a long, b long")
 
+def verified_links(a: list[np.ndarray], b: list[np.ndarray], candidates: np.ndarray, link: int = LINK) -> np.ndarray:
+    """Which candidate pairs (a matrix) are linked on their full sets.
 
-def verified(pairs: DataFrame, texts: DataFrame, link: int = LINK) -> DataFrame:
-    """``a, b`` of the pairs that are linked on their full sets."""
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, pivot = None, None
-        for batch in batches:
-            good = []
-            for b, x, y in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b")), strict=True):
-                if b != last:  # rows of a pivot come together
-                    last, pivot = b, shingles_of(y)
-                good.append(linked(shingles_of(x), pivot, link))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(check, "a long, b long")
+    Intersections come from an index of the second list: a set's shingles are
+    looked up and their postings counted.
+    """
+    size_b = np.array([len(x) for x in b])
+    owner = np.repeat(np.arange(len(b)), size_b)
+    flat = np.concatenate(b)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    out = np.zeros(candidates.shape, bool)
+    for i in np.flatnonzero(candidates.any(axis=1)):
+        low, high = np.searchsorted(flat, a[i]), np.searchsorted(flat, a[i], "right")
+        shared = np.bincount(owner[_ranges(low, high - low)], minlength=len(b))
+        out[i] = candidates[i] & (shared > 0) & (100 * shared >= link * (len(a[i]) + size_b - shared))
+    return out
+
+
+def candidate_pairs(regs_a: np.ndarray, regs_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
+                    link: int = LINK) -> np.ndarray:
+    """Pairs that share a band, whose sizes allow a link, and whose estimated
+    similarity is not clearly below the threshold."""
+    small, large = np.minimum.outer(size_a, size_b), np.maximum.outer(size_a, size_b)
+    out = 100 * small >= link * large
+    keys_a, keys_b = bands_of(regs_a), bands_of(regs_b)
+    share = np.zeros(out.shape, bool)
+    for band in range(BANDS):
+        share |= keys_a[:, band, None] == keys_b[None, :, band]
+    i, j = np.nonzero(out & share)
+    for at in range(0, len(i), 8192):
+        x, y = i[at : at + 8192], j[at : at + 8192]
+        good = estimate(regs_a[x], regs_b[y], size_a[x], size_b[y]) >= link / 100 - MARGIN
+        out[x, y] = good
+    return out & share
+
+
+def forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """A spanning forest of the graph of ``pairs`` (rows of two numbers below ``n``)."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kept = []
+    for x, y in pairs.tolist():
+        p, q = find(x), find(y)
+        if p != q:
+            root[q] = p
+            kept.append((x, y))
+    return kept
+
+
+def cell_links(rows: pa.Table, link: int = LINK) -> pa.Table:
+    """Links of a cell: between its two blocks, or inside each neighbourhood of a pack."""
+    rows = rows.sort_by([("root", "ascending"), ("block", "ascending"), ("node", "ascending")])
+    nodes, roots, blocks = (rows[c].to_numpy() for c in ("node", "root", "block"))
+    sizes = rows["n_shingles"].to_numpy()
+    regs = np.frombuffer(b"".join(rows["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    texts = rows["text"].to_pylist()
+    left, right = [], []
+    for part in np.split(np.arange(len(nodes)), np.flatnonzero(np.diff(roots)) + 1):
+        sets = [shingles_of(texts[i]) for i in part]
+        first = part[blocks[part] == blocks[part[0]]]
+        second = part[len(first):] if len(first) < len(part) else part
+        inside = len(first) == len(part)
+        found = candidate_pairs(regs[first], regs[second], sizes[first], sizes[second], link)
+        if inside:
+            found = np.triu(found, 1)
+        if found.any():
+            offset = second[0] - part[0]
+            good = np.argwhere(verified_links(sets[: len(first)], sets[offset : offset + len(second)], found, link))
+            for x, y in forest(good + [0, offset], len(part)):
+                left.append(nodes[part[x]])
+                right.append(nodes[part[y]])
+    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
 def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``node, root`` after joining the roots of every edge ``a, b``.
 
     Each step hangs a root under its least neighbour, follows the parents once
-    and replaces roots on both sides, until no edge crosses.
+    and replaces roots, until no edge crosses.
     """
     while True:
-        root = labels.select(F.col("node"), F.col("root"))
-        crossing = checkpointed(
-            edges.join(root.toDF("a", "x"), "a").join(root.toDF("b", "y"), "b").filter("x <> y").select("x", "y").distinct())
-        if crossing.isEmpty():
+        crossing = edges.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b").filter("x <> y")
+        both = crossing.select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e"))
+        parent = checkpointed(both.groupBy("e.x").agg(F.min("e.y").alias("y")).select("x", F.least("x", "y").alias("parent")))
+        if parent.isEmpty():
             return labels
-        both = crossing.unionByName(crossing.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        parent = both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("parent"))
-        parent = checkpointed(parent)
-        up = parent.toDF("parent", "higher")
-        parent = parent.join(up, "parent", "left").select(
-            F.col("x").alias("root"), F.coalesce("higher", "parent").alias("parent"))
-        labels = checkpointed(labels.join(parent, "root", "left").select(
-            "node", F.coalesce("parent", "root").alias("root")))
+        higher = parent.select(F.col("x").alias("parent"), F.col("parent").alias("higher"))
+        up = parent.join(higher, "parent", "left").select(F.col("x").alias("root"), F.coalesce("higher", "parent").alias("up"))
+        labels = checkpointed(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
 
 
 def components(classes: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
-    """``node, root`` for every class (``node, n_shingles, registers, doc_id, mark``)."""
+    """``node, root`` for every class (``node, n_shingles, registers, doc_id, mark``)
+    that shares a band with another."""
     members = checkpointed(band_members(classes))
-    near = members.select("node").distinct()
-    texts = checkpointed(
-        _marked(docs).join(classes.join(near, "node").select("node", "doc_id", "mark"), ["doc_id", "mark"])
-        .groupBy("node").agg(F.min("text").alias("text")))
-    labels = checkpointed(near.select("node", F.col("node").alias("root")))
-    tested, turn = None, 0
-    while True:
-        rooted = members.join(labels, "node")
-        groups = rooted.groupBy("band").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node"), F.col("root"),
-                           F.col("n_shingles"))).alias("pivot")).filter("low <> high")
-        stars = rooted.join(groups.select("band", "pivot"), "band").filter("root <> pivot.root").select(
-            F.col("node").alias("a"), F.col("pivot.node").alias("b"),
-            F.col("n_shingles").alias("size_a"), F.col("pivot.n_shingles").alias("size_b"))
-        links = _links(stars, tested, classes, texts, link)
-        tested = links.select("a", "b") if tested is None else tested.unionByName(links.select("a", "b"))
-        found = links.filter("good").select("a", "b")
-        if found.isEmpty():
-            break
-        labels, turn = contract(labels, found), turn + 1
-    # what no pivot has joined: all remaining pairs across components of a group
-    one = rooted.join(groups.select("band"), "band")
-    rest = one.alias("l").join(one.alias("r"), "band").filter("l.node < r.node AND l.root <> r.root").select(
-        F.col("l.node").alias("a"), F.col("r.node").alias("b"),
-        F.col("l.n_shingles").alias("size_a"), F.col("r.n_shingles").alias("size_b"))
-    links = _links(rest, tested, classes, texts, link)
-    return contract(labels, links.filter("good").select("a", "b"))
-
-
-def _links(pairs: DataFrame, tested: DataFrame | None, classes: DataFrame, texts: DataFrame, link: int) -> DataFrame:
-    """``a, b, good`` of the new pairs whose sizes allow a link."""
-    sizes = (100 * F.least("size_a", "size_b")) >= F.lit(link) * F.greatest("size_a", "size_b")
-    fresh = pairs.filter(sizes).select("a", "b").distinct()
-    if tested is not None:
-        both = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        fresh = fresh.join(both, ["a", "b"], "left_anti")
-    fresh = checkpointed(fresh)
-    good = verified(estimated(fresh, classes, link), texts, link).withColumn("good", F.lit(True))
-    return checkpointed(fresh.join(good, ["a", "b"], "left").select("a", "b", F.coalesce("good", F.lit(False)).alias("good")))
+    alone = checkpointed(members.select("node", F.col("node").alias("root")).distinct())
+    pivots = members.groupBy("band").agg(F.min("node").alias("b"))
+    stars = members.join(pivots, "band").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    near = contract(alone, checkpointed(stars))
+
+    found = near.join(classes, "node")
+    texts = _marked(docs).join(found, ["doc_id", "mark"]).select("node", "root", "n_shingles", "registers", "text")
+    counts = near.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    placed = texts.join(counts, "root").withColumn("blocks", F.ceil(F.col("n") / CELL)).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    packs = parts_for(alone.count(), PACK)
+    # a neighbourhood of one block shares a pack with others; a block of a large one goes to a cell with each block
+    small = placed.filter("blocks = 1").withColumn("cell", F.struct(
+        F.lit(0).cast("bigint").alias("root"), F.pmod(F.xxhash64("root"), F.lit(packs)).alias("i"), F.lit(0).cast("bigint").alias("j")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    large = placed.filter("blocks > 1").select("*", other).withColumn("cell", F.struct(
+        F.col("root").alias("root"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    cells = small.unionByName(large.drop("other")).drop("n", "blocks")
+    links = cells.groupBy("cell").applyInArrow(lambda t: cell_links(t, link), "a long, b long")
+    return contract(alone, checkpointed(links.distinct()))
 
 
 def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:

@@ -83,3 +83,23 @@ def test_estimate_uses_set_sizes():
     a = rng.integers(0, 2**63, 1000, np.uint64)
     pair = [sk.registers_of(a)[None], sk.registers_of(a[:500])[None]]
     assert abs(sk.estimate(*pair, np.array([1000]), np.array([500]))[0] - 0.5) < 0.12
+
+
+def test_large_neighbourhoods_in_cells(spark, make_docs, monkeypatch):
+    """Blocks of three classes: links between blocks are found like links inside one."""
+    monkeypatch.setattr(sk, "CELL", 3)
+    monkeypatch.setattr(sk, "PACK", 2)
+    docs = corpus(8, 5, 25, 2)
+    out = sk.near_duplicates(make_docs(docs)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out) == brute(docs)
+
+
+def test_links_of_a_cell():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60, np.uint64)
+    sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 2**63, k, np.uint64)])) for k in (0, 2, 5, 20, 60)]
+    want = np.array([[len(np.intersect1d(a, b)) * 100 >= 85 * len(np.union1d(a, b)) for b in sets] for a in sets])
+    assert (sk.verified_links(sets, sets, np.ones((5, 5), bool)) == want).all()
+    assert not sk.verified_links(sets, sets, np.zeros((5, 5), bool)).any()
+    pairs = np.argwhere(np.triu(np.ones((6, 6), bool), 1))
+    assert len(sk.forest(pairs, 6)) == 5 and sk.forest(pairs[:0], 6) == []
