@@ -16,6 +16,8 @@ from martloom.llm.common import table, text_or_empty
 from martloom.llm.queries import shipped, tokenizer_path
 from martloom.session import checkpoint_dir
 
+NEAR = 80  # per cent of the union of two documents' word shingles that makes them near-duplicates
+
 
 @shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def _marked(docs: DataFrame) -> DataFrame:
 @shipped
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    kept = setsketch.near_duplicates(docs).filter("kept").select("doc_id", "mark").alias("o")
+    kept = setsketch.near_duplicates(docs, link=NEAR).filter("kept").select("doc_id", "mark").alias("o")
     return _marked(docs).join(kept, _same_document(), "left_semi").select(*docs.columns).dropDuplicates(
         ["doc_id", "text"])
 

@@ -29,7 +29,7 @@ from martloom.llm.common import checkpointed, parts_for
 
 SHINGLE = 5
 LINK = 85                # per cent of the union that the intersection must reach
-BANDS, ROWS = 24, 5      # a pair at the threshold shares no band with probability below 1e-6
+BANDS, ROWS = 35, 5      # a pair at 0.8 shares no band with probability below 1e-6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65535
 MARGIN = 0.16            # about five standard deviations of the estimate at the threshold
