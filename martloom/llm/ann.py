@@ -22,17 +22,16 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import checkpointed, parts_for
 
-NEIGHBOURS = 32
+NEIGHBOURS = 64
 TREES = 4
 LEAF = 128
 LEAF_MOST = 512
 BLOCK = 2048
-ROUNDS = 8               # at most; a round with few changes ends the descent
+ROUNDS = 16              # at most; a round with few changes ends the descent
 FEW = 0.01               # share of edges that are new
 PER_CENTRE = 10          # candidates a node takes from one centre
-BEAM = 48
-EXPANDED = 8
-HOPS = 8
+BEAM = 64
+EXPANDED = 32            # of the beam in one hop
 _C = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
@@ -317,7 +316,7 @@ def _inner(a: str, b: str) -> Column:
 
 
 def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = BEAM,
-           expanded: int = EXPANDED, hops: int = HOPS) -> DataFrame:
+           expanded: int = EXPANDED) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for each query.
 
     ``queries`` is a subset of ``vectors`` (``vec_id``, ``embedding``); a
@@ -332,7 +331,7 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
     best = None
     frontier = asked.select("query_id", F.col("query_id").alias("node"))
-    for _ in range(hops):
+    while True:  # every hop expands nodes that were not, so this ends
         near = frontier.join(nodes.select(F.col("id").alias("node"), "neighbours"), "node").select(
             "query_id", F.explode("neighbours").alias("node")).distinct().filter("node <> query_id")
         if best is not None:

@@ -41,3 +41,14 @@ def test_few_ties_and_empty(spark):
     assert ann.nearest(frame(spark, []), df.vec_id == 0).count() == 0
     one = frame(spark, [(0, [1.0])])
     assert ann.nearest(one, one.vec_id == 0).count() == 0
+
+
+def test_search_goes_on_until_the_best_are_expanded(spark):
+    """On a chain of neighbours the nearest vectors are more than eight hops away."""
+    n = 30
+    angles = [0.05 * i for i in range(n)]
+    points = frame(spark, [(i, [float((1 + i) * np.cos(a)), float((1 + i) * np.sin(a))]) for i, a in enumerate(angles)])
+    chain = spark.createDataFrame([(i, [j for j in (i - 1, i + 1) if 0 <= j < n]) for i in range(n)], "id long, neighbours array<long>")
+    out = ann.search(chain, points, points.filter("vec_id = 0"), k=1, beam=4, expanded=1).collect()
+    x = {i: (1 + i) * np.cos(a) for i, a in enumerate(angles)}
+    assert [r.vec_id for r in out] == [max((v, i) for i, v in x.items() if i)[1]]
