@@ -69,8 +69,9 @@ def _cell(corpus: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     for at in range(0, len(query_ids), QUERIES_AT_ONCE):
         own = query_ids[at : at + QUERIES_AT_ONCE]
         acc = _scores(rows[at : at + QUERIES_AT_ONCE], postings, len(ids))
-        bound = np.partition(acc, len(ids) - min(len(ids), k + 1), axis=1)[:, len(ids) - min(len(ids), k + 1)]
-        for i, q in enumerate(own):  # k + 1 so that the query's own row may be among them
+        acc[own[:, None] == ids] = np.iinfo(np.int64).min  # rows with the query's own id, however many, are never selected
+        bound = np.partition(acc, len(ids) - min(len(ids), k), axis=1)[:, len(ids) - min(len(ids), k)]
+        for i, q in enumerate(own):
             best = np.flatnonzero(acc[i] >= bound[i])
             best = best[ids[best] != q]
             best = best[np.argsort(-acc[i, best], kind="stable")][:k]

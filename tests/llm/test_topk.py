@@ -35,3 +35,11 @@ def test_few_and_empty(spark):
     assert [tuple(r) for r in topk.exact_top_k(terms, terms.filter("vec_id = 0")).collect()] == [(0, 1, 1, 131072)]
     none = topk.integer_terms(spark.createDataFrame([], SCHEMA))
     assert topk.exact_top_k(none, none).count() == 0
+
+
+def test_repeated_ids_with_unequal_vectors(spark):
+    """Rows with the query's own id are skipped and take no place of others."""
+    data = [*((0, [9.0 + i], 1, "", "") for i in range(4)), *((j, [1.0 / j], 1, "", "") for j in range(1, 9))]
+    terms = topk.integer_terms(spark.createDataFrame(data, SCHEMA))
+    out = topk.exact_top_k(terms, terms.filter("vec_id = 0 AND terms[0] = 2304"), k=5).orderBy("rank").collect()
+    assert [r.vec_id for r in out] == [1, 2, 3, 4, 5]
