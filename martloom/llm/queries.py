@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, chat, line_dedup, mixing, packing, pii, setsketch, suffix_dedup, topk, toxicity, warc
+from martloom.llm import ann, chat, line_dedup, mixing, packing, pii, repair, setsketch, suffix_dedup, topk, toxicity, warc
 from martloom.llm.common import checkpointed, table
 from martloom.session import ship_package
 
@@ -75,6 +75,22 @@ def op11_chat_format(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(checkpointed(chat.format_turns(rows, tokenizer_path())), tokenizer_path())
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or made user's, by the CRC-32 of their id and turn."""
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"))
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fate = F.crc32(F.encode(name, "UTF-8")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(fate == 4, "user").otherwise(F.col("role"))
+    copies = F.sequence(F.lit(1), F.when(fate == 3, 2).otherwise(1))
+    return rows.filter(fate != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    conversations = table(spark, d, "conversations")
+    return repair.repair(damaged(conversations), conversations)
+
+
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """``query`` with this package sent to the executors first."""
     @wraps(query)
@@ -96,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(qu
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
     "op11_chat_format": op11_chat_format,
+    "op12_conversation_repair": op12_conversation_repair,
 }.items()}
 
 WORDS_SQL = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
@@ -201,5 +218,79 @@ SELECT conv_id, count(*) AS n_turns,
 FROM loss GROUP BY conv_id
 """
 
+_CRC32 = """xor(list_reduce(list_concat([4294967295], list_transform(string_split({}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295)"""
+
+
+def _repair_sql() -> str:
+    """Backward recursion over the rows: per state the least (cost, audit) and its turns."""
+    said = ("role || ':' || text", "'user:' || text", "'assistant:' || text")
+    following, empty = (2, 2, 3, 2), {2: "user:", 3: "assistant:"}
+    keeps = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+    def option(cost: str, letter: str, state: str, line: str = "") -> str:
+        lines = f"list_prepend({line}, {state}.o)" if line else f"{state}.o"
+        return f"{{'c': {state}.c + {cost}, 'a': '{letter}' || {state}.a, 'o': {lines}}}"
+
+    def least(options: list[str]) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    far = "{'c': 1000000000, 'a': '', 'o': CAST([] AS VARCHAR[])}"
+    rows, closed = [], []
+    for state, keep in enumerate(keeps):
+        kept = " ".join(f"WHEN initial = '{i}' THEN {option('cut', 'K', f'v{to}', said[0])}" for i, to in keep.items())
+        to = following[state]
+        rows.append(least([option("3", "D", f"v{state}"), f"CASE WHEN must THEN {far} {kept} ELSE {far} END",
+                           f"CASE WHEN must THEN {far} ELSE {option('2 + cut', 'R', f'v{to}', said[to - 1])} END"]) + f" AS r{state}")
+        closed.append(least([f"r{state}", option("2", "I", f"r{to}", f"'{empty[to]}'")]) + f" AS v{state}")
+    # two inserts are of use at the end alone, where v1 has them
+    return f"""
+WITH RECURSIVE fates AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fate
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM fates WHERE fate <> 0
+), numbered AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '{repair.WORD}') AS blank,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i
+  FROM damaged
+), judged AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+  FROM numbered
+), rows AS (
+  SELECT *, blank OR duplicate AS must,
+         CAST(NOT blank AND NOT duplicate AND NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS INTEGER) AS cut
+  FROM judged
+), walk AS (
+  SELECT conv_id, max(i) + 1 AS i, {{'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS v0,
+         {{'c': 4, 'a': 'II', 'o': ['user:', 'assistant:']}} AS v1, {{'c': 2, 'a': 'I', 'o': ['assistant:']}} AS v2,
+         {{'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS v3
+  FROM rows GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, {", ".join(closed)}
+  FROM (SELECT w.conv_id, n.i, {", ".join(rows)}
+        FROM walk w JOIN rows n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.i = w.i - 1)
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, sum(cut) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id
+)
+SELECT c.conv_id, CAST(coalesce(k.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(k.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(k.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(k.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(k.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.v0.c, 0) AS BIGINT) AS cost,
+       coalesce(w.v0.a, '') AS audit, sha256(coalesce(array_to_string(w.v0.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted k ON k.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN (SELECT * FROM walk WHERE i = 1) w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_exact_top_k": OP6_SQL, "op7_line_dedup": OP7_SQL,
-                              "op11_chat_format": OP11_SQL}
+                              "op11_chat_format": OP11_SQL, "op12_conversation_repair": _repair_sql()}
