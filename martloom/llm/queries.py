@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, chat, line_dedup, mixing, packing, pii, repair, setsketch, suffix_dedup, topk, toxicity, warc
+from martloom.llm import ann, chat, hard_negatives, line_dedup, mixing, packing, pii, repair, setsketch, suffix_dedup, topk, toxicity, warc
 from martloom.llm.common import checkpointed, table
 from martloom.session import ship_package
 
@@ -91,6 +91,12 @@ def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return repair.repair(damaged(conversations), conversations)
 
 
+def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = hard_negatives.integer_rows(table(spark, d, "embeddings"), label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """``query`` with this package sent to the executors first."""
     @wraps(query)
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: shipped(qu
     "op10_warc": op10_warc,
     "op11_chat_format": op11_chat_format,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }.items()}
 
 WORDS_SQL = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
@@ -292,5 +299,28 @@ LEFT JOIN (SELECT * FROM walk WHERE i = 1) w ON w.conv_id IS NOT DISTINCT FROM c
 """
 
 
+OP13_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS t
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, CAST(list_inner_product(a.t, c.t) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_exact_top_k": OP6_SQL, "op7_line_dedup": OP7_SQL,
-                              "op11_chat_format": OP11_SQL, "op12_conversation_repair": _repair_sql()}
+                              "op11_chat_format": OP11_SQL, "op12_conversation_repair": _repair_sql(),
+                              "op13_hard_negatives": OP13_SQL}
