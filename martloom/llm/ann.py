@@ -360,6 +360,11 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, **options) -> Data
     NULL ids and unusable vectors take no part; rows that repeat an id count
     once; an empty table gives no rows; other columns are ignored.
     """
-    rows = checkpointed(vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")))
-    return search(neighbour_graph(rows, **options), rows, rows.filter(queries), k)
+    taking_part = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    if taking_part.isEmpty():
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    # the condition is stored with the rows: a column of ``vectors`` means nothing to the stored copy
+    rows = checkpointed(taking_part.select(
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
+        queries.alias("asks")))
+    return search(neighbour_graph(rows, **options), rows, rows.filter("asks"), k)

@@ -6,8 +6,9 @@ Zstandard frame of its own, compressed with that dictionary. Files are written
 and read by Spark, so they may lie in any store Spark reaches.
 
 Spark's text sink ends every row with a newline; a file is therefore one row
-that ends in a skippable frame whose single content byte is that newline,
-which readers of the format skip.
+that ends in a skippable frame, which readers of the format skip, whose content
+is the number of records and that newline. A file cut anywhere is thus known
+to be incomplete.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2024-01-01T00:00:00Z"
 
 DICTIONARY_BYTES = 64 * 1024
-SAMPLE_BYTES = 4 * 1024 * 1024   # records a file's dictionary is built from, at most
+SAMPLE_BYTES = 4 * 1024 * 1024   # bytes a file's dictionary is built from, about
+SAMPLE_PIECE = 4 * 1024          # drawn evenly from all records, over their whole length, in pieces of so many bytes
 FILE_BYTES = 16 * 1024 * 1024    # payload in a file, about
 LEVEL = 3
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -66,17 +68,15 @@ def skippable(magic: int, content: bytes) -> bytes:
 
 
 def dictionary_of(records: list[bytes]) -> bytes:
-    """A dictionary from the first records, at most ``SAMPLE_BYTES`` of them.
+    """A dictionary from evenly spaced pieces of all records, about ``SAMPLE_BYTES`` of them.
 
-    Too few or too uniform records cannot be trained on; the dictionary is
-    then the raw content of the records themselves (possibly empty).
+    It decides how well the file compresses and nothing else. Too few or too
+    uniform pieces cannot be trained on; the dictionary is then the raw content
+    of the pieces themselves (possibly empty).
     """
-    sample, size = [], 0
-    for r in records:
-        if size >= SAMPLE_BYTES:
-            break
-        sample.append(r[: DICTIONARY_BYTES])
-        size += len(sample[-1])
+    pieces = [r[at : at + SAMPLE_PIECE] for r in records for at in range(0, len(r), SAMPLE_PIECE)]
+    sample = pieces[:: max(1, -(-sum(map(len, pieces)) // SAMPLE_BYTES))]
+    size = sum(map(len, sample))
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, size // 8)), sample).as_bytes()
     except zstandard.ZstdError:
@@ -89,33 +89,55 @@ def write_archive(records: list[bytes]) -> bytes:
     with_dict = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if len(dictionary) >= 8 else {}
     packer = zstandard.ZstdCompressor(**params, **with_dict)
     frames = [skippable(DICTIONARY_FRAME, dictionary), *(packer.compress(r) for r in records)]
-    # the sink's newline is the content of this last frame
-    return b"".join(frames) + struct.pack("<II", FILLER_FRAME, 1)
+    # the sink's newline is the last content byte of the closing frame
+    return b"".join(frames) + struct.pack("<IIQ", FILLER_FRAME, 9, len(records))
+
+
+def _frame(unpacker: zstandard.ZstdDecompressor, view: memoryview, at: int) -> tuple[bytes, int]:
+    """The content of the frame at ``at`` and where the next begins."""
+    frame, pieces, step = unpacker.decompressobj(), [], 64 * 1024
+    try:
+        while not frame.eof and at < len(view):
+            pieces.append(frame.decompress(view[at : at + step]))
+            at += step
+    except zstandard.ZstdError as fault:
+        raise ValueError(f"damaged frame: {fault}") from fault
+    if not frame.eof:
+        raise ValueError("truncated frame")
+    return b"".join(pieces), min(at, len(view)) - len(frame.unused_data)
 
 
 def read_archive(data: bytes) -> Iterator[bytes]:
-    """The records of an archive, one frame after the other."""
-    at, unpacker = 0, zstandard.ZstdDecompressor()
-    view = memoryview(data)
-    while at < len(data):
+    """The records of an archive, one frame after the other.
+
+    A ``ValueError`` says that the archive is damaged or incomplete: it must
+    begin with its dictionary and end with the closing frame, whose count must
+    be the number of records read. An incomplete archive fails at its end.
+    """
+    at, count, view = 0, 0, memoryview(data)
+    unpacker = zstandard.ZstdDecompressor()
+    while True:
+        if at + 8 > len(data):
+            raise ValueError("the archive has no closing frame")
         magic, size = struct.unpack_from("<II", data, at)
-        if magic == DICTIONARY_FRAME and at == 0:
-            dictionary = data[8 : 8 + size]
-            if len(dictionary) >= 8:
-                unpacker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
-            at += 8 + size
-        elif magic & 0xFFFFFFF0 == FILLER_FRAME:
+        skipped = data[at + 8 : at + 8 + size] if magic & 0xFFFFFFF0 == FILLER_FRAME else b""
+        if at == 0:
+            if magic != DICTIONARY_FRAME or len(skipped) != size:
+                raise ValueError("the archive does not begin with its dictionary")
+            if size >= 8:
+                try:
+                    unpacker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(skipped))
+                except zstandard.ZstdError as fault:
+                    raise ValueError(f"damaged dictionary: {fault}") from fault
             at += 8 + size
+        elif magic == FILLER_FRAME:
+            if len(skipped) != 9 or skipped != struct.pack("<Q", count) + b"\n" or at + 17 != len(data):
+                raise ValueError(f"the closing frame does not close an archive of {count} records")
+            return
         elif magic == ZSTD_MAGIC:
-            frame = unpacker.decompressobj()
-            pieces, step = [], 64 * 1024
-            while not frame.eof and at < len(data):
-                pieces.append(frame.decompress(view[at : at + step]))
-                at += step
-            at = min(at, len(data)) - len(frame.unused_data)
-            if not frame.eof:
-                raise ValueError("truncated frame")
-            yield b"".join(pieces)
+            content, at = _frame(unpacker, view, at)
+            count += 1
+            yield content
         else:
             raise ValueError(f"no frame at byte {at}")
 
@@ -154,7 +176,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
 
     NULL html is an empty payload, NULL urls are empty. Rows that repeat a
     page id and payload are all responses when that id is the group's
-    largest. A NULL page id revisits the group's largest id, or is a response
+    largest. Very long payloads are written and digested whole. A NULL page id revisits the group's largest id, or is a response
     where no id is known. An empty table writes no record.
     """
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

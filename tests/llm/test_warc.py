@@ -20,6 +20,28 @@ def test_archive_round_trip():
         list(warc.read_archive(data[: len(data) // 2]))
 
 
+def test_every_truncation_is_found():
+    records = [warc.record(i, f"http://h/{i}", f"<p>{i} common body of a page</p>".encode() * 9, None, False) for i in range(12)]
+    for some in ([], records[:1], records):
+        data = warc.write_archive(some) + b"\n"
+        assert list(warc.read_archive(data)) == some
+        for cut in range(len(data)):
+            with pytest.raises(ValueError):
+                list(warc.read_archive(data[:cut]))
+        with pytest.raises(ValueError):
+            list(warc.read_archive(data + b"\n"))
+
+
+def test_dictionary_is_drawn_from_all_of_all_records(monkeypatch):
+    drawn = []
+    monkeypatch.setattr(warc.zstandard, "train_dictionary", lambda size, sample: drawn.extend(sample) or 1 / 0)
+    records = [bytes([i % 256]) * 9000 for i in range(1200)] + [b"a" * 3_000_000 + b"end" * 5000]
+    with pytest.raises(ZeroDivisionError):
+        warc.dictionary_of(records)
+    assert len({p[:1] for p in drawn[:-200]}) > 150 and any(b"endend" in p for p in drawn)
+    assert sum(map(len, drawn)) <= warc.SAMPLE_BYTES
+
+
 def test_dictionary_helps():
     records = [warc.record(i, f"http://host/{i}", f"<html><nav>the same navigation everywhere</nav><p>{i * 7919}</p></html>".encode(),
                            None, False) for i in range(300)]
