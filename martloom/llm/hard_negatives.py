@@ -51,7 +51,9 @@ def integer_rows(vectors: DataFrame, label: Column, scale: int = 256) -> DataFra
 def packed(rows: DataFrame, shard: int = SHARD) -> DataFrame:
     """``rows`` with ``row``, dense over the table in packing order, and the ``shard`` it is in."""
     rows = checkpointed(rows)
-    slabs = math.ceil(math.sqrt(parts_for(rows.count(), shard)))
+    n = rows.count()
+    shards = parts_for(n, shard, 1)
+    shard, slabs = -(-n // shards) or 1, math.ceil(math.sqrt(shards))  # shards of equal size, ``shard`` rows at most
 
     def axis(a: int) -> Column:
         return F.coalesce(F.get("terms", F.lit(a)), F.lit(0).cast("bigint"))

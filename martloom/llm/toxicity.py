@@ -1,10 +1,16 @@
 """Toxicity by weak supervision.
 
 Many voters (lexicons mined from a bounded sample of labelled rows, a seed
-lexicon, writing patterns) vote on every document. A generative label model
+lexicon, patterns in which insults are used) vote on every document. A generative label model
 estimates each voter's accuracy from how voters agree over all documents,
 finds the pairs that agree more than a common cause explains, and discounts
-them. Its posterior labels train a linear classifier over word features.
+them. Its posterior labels train a linear classifier over word features, on
+the labelled sample and on a bounded sample of all documents.
+
+Where the table is too small to estimate a voter, because it hardly fires or
+has no two others to form a triplet with, the voter keeps a prior log-odds; and the
+classifier starts from a prior weight for the seed lexicon, which words of it
+that no training row holds keep. Few labels thus leave a seed classifier.
 
 A document's features are hashed distinct words and word prefixes; ids,
 languages, sources and labels never enter a score.
@@ -24,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PER_CLASS = 5_000   # labelled rows of each class the lexicons and the classifier are fitted on, at most
+UNLABELLED = 5_000         # documents of any kind the classifier is fitted on besides, about
 LEXICONS = 12
-LEXICON_TERMS = 1_200
+LEXICON_TERMS = 1_200      # terms of all lexicons together, the surest ones: a parameter of the label model
 LEAST_ROWS = 5
 LEAST_ODDS = 1.5           # lower bound of a lexicon term's log-odds
 SELECTED_ODDS = 0.5        # and of a classifier feature's, in absolute value
@@ -35,16 +42,15 @@ PREFIX = 4
 CACHED_WORDS = 400_000
 CORRELATED = 0.15
 STEPS = 80
+PRIOR_ODDS = 2.0           # log-odds of a voter that fires and could not be estimated
+SEED_WEIGHT = 2.0          # the classifier's weight of a seed word before it sees a row
 # A seed lexicon of insults.
 SEED = ("idiot", "moron", "stupid", "scum", "loser", "trash", "pathetic", "worthless", "disgusting", "clown",
         "dumb", "imbecile", "vermin", "filth", "bastard")
 EDGE = ".,;:!?\"'()[]{}<>*_-…«»“”‘’¡¿"
-PATTERNS = (
-    re.compile(r"\byou(?:'re| are) (?:an? |such an? |so )?(?:" + "|".join(SEED) + r")\b", re.I),
-    re.compile(r"!{3,}"),
-    re.compile(r"\b(?:shut up|go away|hate you)\b", re.I),
-    re.compile(r"(?:\b[A-Z]{3,}\b\W+){4}"),
-)
+INSULT = re.compile(r"\b(" + "|".join(SEED) + r")\b(\W?)", re.I)
+PATTERNS = ("repeated", "varied", "stressed", "dense")
+DENSE = 100                # characters of text to an insult, at most, in a dense text
 
 
 def feature(term: str) -> int:
@@ -95,7 +101,11 @@ def votes_of(places: np.ndarray, patterns: list[bool], voter_of: np.ndarray, see
 
 
 def patterns_of(text: str | None) -> list[bool]:
-    return [p.search(text or "") is not None for p in PATTERNS]
+    """Whether a seed insult is repeated, several are used, one ends a clause, and they come densely."""
+    found = [(m[0].lower(), m[1]) for m in INSULT.findall(text or "")]
+    words = {w for w, _ in found}
+    return [len(words) < len(found), len(words) > 1, any(after in set(".!?,;") for _, after in found),
+            bool(found) and len(text) <= DENSE * len(found)]
 
 
 @dataclass(frozen=True)
@@ -121,7 +131,8 @@ def fit_label_model(n: float, fired: np.ndarray, together: np.ndarray, prior: fl
     voter's firing rates between the classes. d comes from triplets of voters;
     pairs whose residual correlation is high are taken as correlated, left out
     of a least-squares fit that refines d, and their voters' weights divided
-    by one plus the sum of those correlations.
+    by one plus the sum of those correlations. A voter that fires on fewer than
+    ``LEAST_ROWS`` rows, or has no triplet, has ``PRIOR_ODDS`` when it fires.
     """
     m = len(fired)
     mean = fired / max(n, 1)
@@ -136,12 +147,13 @@ def fit_label_model(n: float, fired: np.ndarray, together: np.ndarray, prior: fl
         return np.where(np.outer(live, live) & ~np.eye(m, dtype=bool), off, 0.0)
 
     # scale * d_i^2 = cov_ij cov_ik / cov_jk for any two others; the median withstands correlated pairs
-    d = np.zeros(m)
+    d, estimated = np.zeros(m), np.zeros(m, bool)
     for i in np.flatnonzero(live):
         j, k = np.meshgrid(*[np.setdiff1d(np.flatnonzero(live), i)] * 2)
         ok = (j < k) & (cov[j, k] > 1e-12)
         squares = cov[i, j[ok]] * cov[i, k[ok]] / cov[j[ok], k[ok]] / scale
         d[i] = np.sqrt(max(np.median(squares), 0.0)) if len(squares) else 0.0
+        estimated[i] = len(squares) > 0
     use = use & (np.abs(residual(d)) < CORRELATED)
     for _ in range(200):
         top, base = np.where(use, cov, 0.0) @ d, scale * (use @ (d * d))
@@ -154,22 +166,27 @@ def fit_label_model(n: float, fired: np.ndarray, together: np.ndarray, prior: fl
     given0 = np.clip(mean - prior * d, 1e-4, 1 - 1e-4)
     strong = np.where(np.abs(corr) >= CORRELATED, np.abs(corr), 0.0)
     discount = 1 / (1 + strong.sum(axis=1))
-    fires = np.where(live, np.log(given1 / given0), 0.0) * discount
-    silent = np.where(live, np.log((1 - given1) / (1 - given0)), 0.0) * discount
+    fires = np.where(estimated, np.log(given1 / given0), PRIOR_ODDS) * discount
+    silent = np.where(estimated, np.log((1 - given1) / (1 - given0)), 0.0) * discount
     pairs = [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(strong)), strict=True)]
     return LabelModel(prior, fires, silent, prior * given1 + (1 - prior) * (1 - given0), pairs)
 
 
-def fit_linear(rows: list[np.ndarray], targets: np.ndarray, importance: np.ndarray, size: int) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels; rows hold the places of their features."""
+def fit_linear(rows: list[np.ndarray], targets: np.ndarray, importance: np.ndarray,
+               start: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels; rows hold the places of their features.
+
+    Weights begin at ``start`` and are drawn back to it.
+    """
+    size = len(start)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    w, m1, m2 = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)  # the bias is last
+    w, m1, m2 = np.append(start, 0.0), np.zeros(size + 1), np.zeros(size + 1)  # the bias is last
     importance = importance / max(importance.sum(), 1e-12)
     for step in range(1, STEPS + 1):
         z = np.bincount(at, weights=w[ids], minlength=len(rows)) + w[-1]
         off = importance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - targets)
-        g = np.append(np.bincount(ids, weights=off[at], minlength=size) + 1e-6 * w[:-1], off.sum())
+        g = np.append(np.bincount(ids, weights=off[at], minlength=size) + 1e-6 * (w[:-1] - start), off.sum())
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
         w -= 0.1 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-9)
     return w[:-1], float(w[-1])
@@ -188,14 +205,19 @@ class ToxicityModel:
     labels: LabelModel
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS,
+        unlabelled: int = UNLABELLED) -> ToxicityModel:
     """Fit on ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``).
 
     Labels are read from rows outside the held-out fold only. Lexicons and the
     classifier see at most ``sample_per_class`` labelled rows of each class,
-    taken in hash order, equal feature sets once; the prior and the label
-    model's statistics cover all rows. Without labels of a class, the seed
-    lexicon alone makes the score.
+    taken in hash order, equal feature sets once; the classifier also sees about
+    ``unlabelled`` documents of any kind, drawn by a hash of id and text, with
+    the label model's posteriors. The prior and the label model's statistics
+    cover all rows. Without labels of a class, the seed lexicon alone makes the
+    score. NULL ids are never labelled; NULL texts hold no word; texts are read
+    whole; of an id labelled both ways the label is 1; ties in hash order go to
+    the smaller id.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~held_out(F.col("doc_id"))).groupBy(
         "doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -254,11 +276,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
         both[i, j] = n
     model = fit_label_model(both[-1, -1], np.diag(both)[:-1], both[:-1, :-1], prior)
 
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Vocabulary(space)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            yield pa.record_batch([pa.array([words.of(t) for t in texts], pa.list_(pa.int64())),
+                                   pa.array(map(patterns_of, texts), pa.list_(pa.bool_()))], names=["places", "patterns"])
+
     places = [np.searchsorted(space, f[np.isin(f, space)]) for f in features]
     if n0 and n1:
-        votes = np.array([votes_of(f, p, voter_of, seed) for f, p in zip(places, patterns, strict=True)], bool)
         importance = np.where(truth == 1, prior / n1, (1 - prior) / n0)
-        weights, bias = fit_linear(places, model.posterior(votes), importance, len(space))
+        share = int(min(1.0, unlabelled / max(both[-1, -1], 1)) * (1 << 20))
+        more = docs.select("text").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share).mapInArrow(
+            drawn, "places array<long>, patterns array<boolean>").groupBy("places", "patterns").count().toArrow().sort_by("count")
+        places += [np.array(p, np.int64) for p in more["places"].to_pylist()]
+        patterns += more["patterns"].to_pylist()
+        n = more["count"].to_numpy()
+        importance = np.concatenate([importance, n / max(n.sum(), 1)])
+        votes = np.array([votes_of(f, p, voter_of, seed) for f, p in zip(places, patterns, strict=True)], bool)
+        weights, bias = fit_linear(places, model.posterior(votes), importance, np.where(seed, SEED_WEIGHT, 0.0))
     else:
         weights, bias = np.where(seed, 3.0, 0.0), -2.0
     return ToxicityModel(space, weights, bias, model)
@@ -269,7 +305,9 @@ def predict(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     Columns of ``docs`` pass through; clashing ``score`` or ``predicted``
     columns are replaced. NULL and empty texts get the classifier's score of
-    no word at all. An empty table gives no rows.
+    no word at all; texts are scored whole, repeated words once; repeated rows
+    get equal scores; a score of exactly 0.5 is predicted 1. An empty table
+    gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))
 

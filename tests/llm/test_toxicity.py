@@ -64,3 +64,44 @@ def test_label_model_recovers_accuracies_and_correlations():
     assert np.abs(model.accuracies[1:6] - want[1:]).max() < 0.05
     assert (0, 6) in model.correlated
     assert ((model.posterior(votes) > 0.5) == y).mean() > 0.95
+
+
+def test_score_equals_a_plain_computation(spark, make_docs):
+    docs, labels = corpus(400, seed=3)
+    frame = make_docs([*docs, (900, None), (901, "IDIOT!! idiot, Krumble... krumble"), (902, "")])
+    model = tx.fit(frame, spark.createDataFrame(labels[:300], "doc_id long, toxic int"))
+    weight = dict(zip(model.features.tolist(), model.weights, strict=True))
+    for r in tx.predict(frame, model).collect():
+        names = set()
+        for raw in (r.text or "").lower().split():
+            word = raw.strip(tx.EDGE)
+            names |= ({"w" + word} | ({"p" + word[:4]} if len(word) > 4 else set())) if word else set()
+        z = model.bias + sum(weight.get(f, 0.0) for f in {zlib.crc32(n.encode()) for n in names})
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9 and r.predicted == (r.score >= 0.5)
+
+
+def test_posterior_equals_a_plain_computation():
+    rng = np.random.default_rng(1)
+    votes = rng.random((500, 5)) < 0.3
+    model = tx.fit_label_model(500, votes.sum(0), votes.T.astype(float) @ votes, 0.2)
+    for row, got in zip(votes, model.posterior(votes), strict=True):
+        z = np.log(0.2 / 0.8) + sum(model.fires[i] if v else model.silent[i] for i, v in enumerate(row))
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_few_labels_leave_a_seed_classifier(spark, make_docs):
+    docs, _ = corpus(40, seed=5)
+    docs = [(i, t.replace("idiot", "w1")) for i, t in docs]
+    frame = make_docs([*docs, (900, "what an idiot you are, you moron and loser"), (901, "a clean text")])
+    labels = spark.createDataFrame([(i, int(i % 5 == 1)) for i in range(40)], "doc_id long, toxic int")
+    model = tx.fit(frame, labels)
+    assert (model.labels.fires > 0).all()  # no voter is without a voice
+    out = {r.doc_id: r.predicted for r in tx.predict(frame, model).collect()}
+    assert out[900] == 1 and out[901] == 0
+
+
+def test_patterns_vote():
+    assert tx.patterns_of("You idiot! Such an IDIOT") == [True, False, True, True]
+    assert tx.patterns_of("a clown and a loser met") == [False, True, False, True]
+    assert tx.patterns_of("the idiot " + "word " * 40) == [False, False, False, False]
+    assert tx.patterns_of(None) == tx.patterns_of("") == [False] * 4
