@@ -35,10 +35,11 @@ from martloom.operators.lookup import resolve_date_keys  # noqa: E402
 from martloom.operators.merge import loopback_repair, merge_upsert  # noqa: E402
 from martloom.plans import company, direct_mail, email, taxonomy  # noqa: E402
 from martloom.plans.common import NEW_FLAG, attach_new_keys, max_key  # noqa: E402
-from martloom.plans.runner import run_load  # noqa: E402
+from martloom.plans.runner import open_window, run_load  # noqa: E402
 from martloom.session import checkpoint_dir  # noqa: E402
 import derived_views as V  # noqa: E402
 from martloom.sources.control import LoadWindow, update_registry  # noqa: E402
+from martloom.sources.lease import LeaseLost, WindowBusy  # noqa: E402
 from martloom.sources.snapshot import SnapshotStore  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -354,6 +355,75 @@ def q_partition_publish(spark: SparkSession, d: str) -> DataFrame:
     return store.read(tgt.schema).drop("_ml_p", "row_updt_tms")
 
 
+def q_partition_publish_keyed(spark: SparkSession, d: str) -> DataFrame:
+    """The same in a store that knows the natural key: touched partitions are
+    rewritten from the stored changes, the load's joins run once."""
+    src, tgt = _company_inputs(spark, d)
+    fresh = tgt.withColumn("row_updt_tms", F.lit(str(WINDOW.lo)).cast("timestamp_ntz"))
+    store = _store(spark, partition_by=F.col(company.SK) % 16, key=company.KEY)
+    store.publish(fresh, expect_version=0, high_water={"K": max_key(tgt, company.SK)}, run_ts=WINDOW.lo)
+    run_load(store, "D_CMPY", "K", lambda t, w, hw: company.run(src, t, w, hw), schema=tgt.schema, now=WINDOW.run_ts)
+    return store.read(tgt.schema).drop("_ml_p", "row_updt_tms")
+
+
+def q_publish_changeset(spark: SparkSession, d: str) -> DataFrame:
+    """The e-mail load in a store of change sets: the run writes the rows it changed, reading joins them with the base."""
+    src, tgt, cal = _email_inputs(spark, d)
+    store = _store(spark, key=email.KEY, compact_at=10.0)
+    store.publish(tgt, expect_version=0, high_water={"EML_PROMO_KY": max_key(tgt, email.SK)}, run_ts=WINDOW.lo)
+    run_load(store, "F_EML_PROMO", "EML_PROMO_KY", lambda t, w, hw: email.run(src, t, cal, w, hw), schema=tgt.schema,
+             now=WINDOW.run_ts)
+    return store.read(tgt.schema)
+
+
+NEXT_RUN = datetime(2024, 2, 2)
+
+
+def q_quarantine_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Rows without an e-mail key are rejected by the first run, stay in the
+    store, and are loaded by the next one after a repair."""
+    src, tgt, cal = _email_inputs(spark, d)
+    broken = src.withColumn("eml_ky", F.when(F.col("eml_id") % 97 != 0, F.col("eml_ky")))
+    store = _store(spark)
+    store.publish(tgt, expect_version=0, high_water={"EML_PROMO_KY": max_key(tgt, email.SK)}, run_ts=WINDOW.lo)
+
+    def job(target, window, hw, repaired=None):
+        return email.run(broken, target, cal, window, hw, replayed=repaired)
+
+    run_load(store, "F_EML_PROMO", "EML_PROMO_KY", job, schema=tgt.schema, now=WINDOW.run_ts)
+    run_load(store, "F_EML_PROMO", "EML_PROMO_KY", job, schema=tgt.schema, now=NEXT_RUN,
+             replay=lambda rejected: rejected.withColumn("eml_ky", F.col("eml_id") + 1))
+    return store.read(tgt.schema)
+
+
+def q_window_takeover(spark: SparkSession, d: str) -> DataFrame:
+    """A run dies holding its window; once the lease has expired the next run
+    takes it over and loads the same rows; the former owner may not commit."""
+    clock = [datetime(2024, 1, 31)]
+    src, tgt, cal = _email_inputs(spark, d)
+    store = _store(spark, clock=lambda: clock[0])
+    store.publish(tgt, expect_version=0, high_water={"EML_PROMO_KY": max_key(tgt, email.SK)}, run_ts=WINDOW.lo)
+    _, dead = open_window(store, "F_EML_PROMO", WINDOW.lo, now=clock[0])
+
+    def job(target, window, hw):
+        return email.run(src, target, cal, window, hw)
+
+    try:
+        run_load(store, "F_EML_PROMO", "EML_PROMO_KY", job, schema=tgt.schema, now=WINDOW.run_ts)
+        busy = False
+    except WindowBusy:
+        busy = True
+    clock[0] = datetime(2024, 1, 31, 2)
+    report = run_load(store, "F_EML_PROMO", "EML_PROMO_KY", job, schema=tgt.schema, now=WINDOW.run_ts)
+    try:
+        store.publish(tgt, expect_version=2, run_ts=NEXT_RUN, lease=dead)
+        fenced = False
+    except LeaseLost:
+        fenced = True
+    return store.read(tgt.schema).select("*", F.lit(busy).alias("busy"), F.lit(report.window.resumed).alias("resumed"),
+                                         F.lit(fenced).alias("fenced"))
+
+
 def _registry_after(tgt: DataFrame, sk: str, table: str, column: str, high_water: int) -> DataFrame:
     registry = tgt.agg(F.max(sk).cast("bigint").alias("lst_assgnd_id")).select(
         F.lit(table).alias("tbl_nm"), F.lit(column).alias("clmn_nm"), "lst_assgnd_id",
@@ -467,6 +537,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_readback": q_publish_readback,
     "partition_publish": q_partition_publish,
     "window_resume": q_window_resume,
+    "window_takeover": q_window_takeover,
+    "quarantine_replay": q_quarantine_replay,
+    "publish_changeset": q_publish_changeset,
+    "partition_publish_keyed": q_partition_publish_keyed,
     "company_high_water": q_company_high_water,
     "direct_high_water": q_direct_high_water,
     "taxonomy_high_water": q_taxonomy_high_water,

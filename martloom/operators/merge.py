@@ -54,7 +54,7 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
                   repair_only_nonzero: bool = False, null_safe: bool = False,
                   status_col: str = "row_stat_cd", source_status_col: str = "row_stat_cd",
                   insert_ts_col: str = "row_insrt_tms", update_ts_col: str = "row_updt_tms",
-                  insert_buckets: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+                  insert_buckets: tuple[int, Sequence[str]] | None = None, changed_only: bool = False) -> DataFrame:
     """Merge ``source`` into ``target`` and repair foreign keys, in one join.
 
     * ``update_cols`` ``{target col: source col}``: written on matched rows of
@@ -75,6 +75,8 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
     * ``insert_buckets=(n, key)``: hash-partition the inserted rows into the
       target's bucket layout, so writing a bucketed snapshot produces one
       file per bucket for them instead of one per (task, bucket).
+    * ``changed_only``: only the rows this run updates, repairs or inserts
+      (an inner join), for a store that publishes change sets.
 
     Physical plan: one left join of the target with the source (full outer
     when inserts must be found by the join itself). Spark broadcasts the source
@@ -117,7 +119,7 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
         joined = target.withColumn("_ml_t_hit", F.lit(True)).join(s, on=on, how="full_outer")
         matched_part = joined
     else:
-        matched_part = target.join(s, on=on, how="left")
+        matched_part = target.join(s, on=on, how="inner" if changed_only else "left")
 
     hit = F.col(_HIT).isNotNull()
     merged = hit & joined_in_delta
@@ -164,9 +166,11 @@ def apply_changes(target: DataFrame, source: DataFrame, on: Sequence[str], *, ru
 
     if use_full_outer:
         # one pass: matched/unmatched target rows and unseen delta rows together
-        return joined.filter(F.col("_ml_t_hit").isNotNull() | joined_in_delta).select(*out_cols)
+        known = F.col("_ml_t_hit").isNotNull()
+        kept = known & (merged | repairable) if changed_only else known
+        return joined.filter(kept | (~known & joined_in_delta)).select(*out_cols)
 
-    result = matched_part.select(*out_cols)
+    result = (matched_part.filter(merged | repairable) if changed_only else matched_part).select(*out_cols)
     if ins is None:
         return result
 

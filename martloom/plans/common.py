@@ -19,6 +19,7 @@ from martloom.operators.guards import (
 )
 from martloom.operators.keys import KeyAssignment, assign_surrogate_keys
 from martloom.operators.delta import incremental_delta, new_keys
+from martloom.operators.merge import apply_changes
 from martloom.session import remove_path, stored_table
 
 NEW_FLAG = "_ml_new"
@@ -37,6 +38,8 @@ class JobResult:
     extras: dict[str, DataFrame] = field(default_factory=dict)
     surrogate_key: str | None = None
     stored: list[str] = field(default_factory=list)  # paths of the run's temporary tables
+    changes: DataFrame | None = None                 # the rows of ``table`` this run changed or inserted
+    side: dict = field(default_factory=dict)         # name -> SideChange of a table kept beside the target
 
     def release(self) -> None:
         """Remove the run's temporary tables (call after the table is written)."""
@@ -69,7 +72,7 @@ class PreparedDelta:
 
 def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedupe_by: Sequence[str] | None = None,
                   on_null_key: str = "quarantine", freeze: bool = True, rest_cols: Sequence[str] | None = None,
-                  check_duplicates: bool = True) -> PreparedDelta:
+                  check_duplicates: bool = True, replayed: DataFrame | None = None) -> PreparedDelta:
     """The run's one read of its source: window filter, NULL-key quarantine,
     duplicate guard and the delta size.
 
@@ -78,6 +81,11 @@ def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedup
     other columns of such rows are NULL in what is stored. ``freeze`` stores
     what was read beside the session's checkpoints, so a source that changes
     while the run is in flight changes nothing, and joins know its size.
+
+    ``replayed`` rows (quarantined by an earlier run, repaired since; a stored
+    table) belong to the delta whatever their change time; columns they lack
+    are NULL. Where the source brings a row of the same key in the window, that
+    row is taken instead; a row of that key outside the window gives way.
     """
     stored: list[str] = []
     if rest_cols is None:
@@ -95,6 +103,12 @@ def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedup
             stored.append(path)
         raw = read.filter(F.col(DELTA_FLAG)).drop(DELTA_FLAG)
         rest = split_null_keys(read.filter(~F.col(DELTA_FLAG)).select(*dict.fromkeys([*key, *rest_cols])), key)[0]
+    if replayed is not None:
+        late = replayed.select(*[F.col(f.name).cast(f.dataType) if f.name in replayed.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                 for f in raw.schema.fields]).join(raw.select(*key), list(key), "left_anti")
+        raw = raw.unionByName(late)
+        if rest is not None:
+            rest = rest.join(late.select(*key), list(key), "left_anti")
     delta, quarantined = split_null_keys(raw, key)
     if dedupe_by:
         delta = dedupe_newest(delta, key, dedupe_by)
@@ -118,3 +132,10 @@ def attach_new_keys(df: DataFrame, keys: KeyAssignment, key: Sequence[str], sk:
     """Left join the minted keys (flagged new) onto ``df``."""
     keyed = keys.keyed.select(*key, F.col(sk), F.lit(True).alias(NEW_FLAG))
     return df.join(keyed, on=list(key), how="left")
+
+
+def both_forms(target: DataFrame, changes: DataFrame, key: Sequence[str], **options) -> dict[str, DataFrame]:
+    """``table`` (the whole new version) and ``changes`` (its changed and inserted
+    rows) of one merge; a store evaluates the one it writes."""
+    return {"table": apply_changes(target, changes, key, **options),
+            "changes": apply_changes(target, changes, key, **options, changed_only=True)}

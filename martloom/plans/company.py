@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from martloom.functions.expressions import is_live, key_default
 from martloom.operators.guards import check_lookup_unique
-from martloom.operators.merge import apply_changes
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
     JobResult,
     attach_new_keys,
+    both_forms,
     mint_keys,
     prepare_delta,
 )
@@ -75,16 +75,19 @@ def resolve_pointers(df: DataFrame, spine: DataFrame) -> DataFrame:
 def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: int, *,
         loopback: bool = True, dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = True, insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
     prepared = prepare_delta(source, window.lo, KEY, what="D_CMPY", dedupe_by=dedupe_by,
                              check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
+                             replayed=replayed,
                              rest_cols=list(POINTERS) if loopback else None)
     keys = mint_keys(prepared, target, KEY, SK, high_water, carry=["row_stat_cd"])
     # one spine for the whole run, read by the one pointer join
     spine, path = stored_table(spine_with_keys(prepared.delta, target, keys))
     prepared.stored.append(path)
-    if check_lookups:  # G4: a pointer must find one live company
-        check_lookup_unique(spine, "spls_cmpy_id")
+    if check_lookups and not (check_duplicates or dedupe_by):
+        # G4: a pointer must find one live company. The target's ids are unique (every run adds unseen ones only), so
+        # the delta's are the ones to ask, where G1 has not
+        check_lookup_unique(prepared.delta, "spls_cmpy_id")
 
     delta_part = attach_new_keys(prepared.delta, keys, KEY, SK).withColumn(DELTA_FLAG, F.lit(True))
     changes = delta_part
@@ -93,11 +96,11 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
         rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
         changes = delta_part.unionByName(rest, allowMissingColumns=True)
     changes = resolve_pointers(changes, spine)
-    table = apply_changes(
+    merged = both_forms(
         target, changes, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=list(POINTERS.values()) if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
         repair_only_nonzero=True, insert_buckets=insert_buckets,
     )
-    return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
+    return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"spine": spine, "keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))},
-                     SK, prepared.stored)
+                     SK, prepared.stored, merged["changes"])

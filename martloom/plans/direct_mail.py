@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys, resolve_key
-from martloom.operators.merge import apply_changes
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
     JobResult,
     attach_new_keys,
+    both_forms,
     mint_keys,
     prepare_delta,
 )
@@ -72,12 +72,13 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
         high_water: int, *, loopback: bool = True, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine", freeze_delta: bool = True,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
     if check_lookups:  # G4: a lookup must not fan out rows of the merge
         check_lookup_unique(sites, "spls_site_id")
         check_lookup_unique(calendar, "cld_dt", status_col=None)
     prepared = prepare_delta(source, window.lo, KEY, what="F_DRCT_ML_PROMO", dedupe_by=dedupe_by,
                              check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
+                             replayed=replayed,
                              rest_cols=["spls_site_id"] if loopback else None)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
     delta_part = dated(attach_new_keys(prepared.delta, keys, KEY, SK), calendar).withColumn(DELTA_FLAG, F.lit(True))
@@ -86,10 +87,10 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
         rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
         changes = delta_part.unionByName(rest, allowMissingColumns=True)
     changes = site_key(changes, sites)
-    table = apply_changes(
+    merged = both_forms(
         target, changes, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=REPAIR_COLS if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
         insert_buckets=insert_buckets,
     )
-    return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))}, SK, prepared.stored)
+    return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
+                     {"keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))}, SK, prepared.stored, merged["changes"])

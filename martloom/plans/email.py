@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 
 from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
-from martloom.operators.merge import apply_changes
-from martloom.plans.common import JobResult, NEW_FLAG, attach_new_keys, mint_keys, prepare_delta
+from martloom.plans.common import JobResult, NEW_FLAG, attach_new_keys, both_forms, mint_keys, prepare_delta
 from martloom.sources.control import LoadWindow
 
 # Fixed names of the e-mail promotion fact (they must match its columns): natural key,
@@ -48,16 +47,17 @@ def enrich(delta: DataFrame, calendar: DataFrame) -> DataFrame:
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = True, insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
     if check_lookups:  # G4
         check_lookup_unique(calendar, "cld_dt", status_col=None)
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
-                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta)
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
+                             replayed=replayed)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
     merge_src = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), calendar)
-    table = apply_changes(
+    merged = both_forms(
         target, merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         new_flag=NEW_FLAG, insert_buckets=insert_buckets,
     )
-    return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
-                     {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)}, SK, prepared.stored)
+    return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
+                     {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)}, SK, prepared.stored, merged["changes"])

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
-from martloom.operators.merge import apply_changes
 from martloom.operators.rollup import distinct_rollup
-from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, mint_keys, prepare_delta
+from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, both_forms, mint_keys, prepare_delta
 from martloom.session import stored_table
 from martloom.sources.control import LoadWindow
 
@@ -116,11 +115,12 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine", freeze_delta: bool = True,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
     if check_lookups:  # G4 (the rollup joins every site row, live or not, so only the calendar can fan out)
         check_lookup_unique(calendar, "cld_dt", status_col=None)
     prepared = prepare_delta(source, window.lo, KEY, what="F_SRC_TXNMY", dedupe_by=dedupe_by,
-                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta)
+                             check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
+                             replayed=replayed)
     keys = mint_keys(prepared, target, KEY, SK, high_water)
     # counts are refreshed only for codes in the delta: restrict the promotion
     # scans to those codes before aggregating (same result, less to shuffle)
@@ -132,10 +132,10 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     merge_src, path = stored_table(resolve_date_keys(merge_src, calendar, DATE_ROLES))
     prepared.stored.append(path)
     carried = [c for c in target.columns if c not in TARGET_COLUMNS]  # a partitioned store's own column
-    table = apply_changes(
+    merged = both_forms(
         target.select(*TARGET_COLUMNS, *carried), merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS,
         insert_cols=INSERT_COLS, new_flag=NEW_FLAG, insert_buckets=insert_buckets,
     )
-    return JobResult(table, keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
+    return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec, "merge_source": merge_src},
-                     SK, prepared.stored)
+                     SK, prepared.stored, merged["changes"])
