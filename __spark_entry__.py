@@ -376,6 +376,50 @@ def q_publish_changeset(spark: SparkSession, d: str) -> DataFrame:
     return store.read(tgt.schema)
 
 
+def q_direct_loopback_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """Two direct-mail runs with the kept reference index. Between them sites
+    appear and change their keys; the second run's source brings nothing, and
+    its loopback reads the entries of the changed sites and those still differing."""
+    src, tgt, sites, cal = _direct_inputs(spark, d)
+    site = F.col("spls_site_id")
+    before = sites.withColumn("row_stat_cd", F.when(site % 7 == 3, "DEL").otherwise(F.col("row_stat_cd"))).withColumn(
+        "spls_site_ky", F.when(site % 5 == 1, F.col("spls_site_ky") + 100000).otherwise(F.col("spls_site_ky")))
+    store = _store(spark, key=direct_mail.KEY, compact_at=10.0)
+    store.publish(tgt, expect_version=0, high_water={"K": max_key(tgt, direct_mail.SK)}, run_ts=WINDOW.lo)
+    for day, dim in ((WINDOW.run_ts, before), (NEXT_RUN, sites)):
+        run_load(store, "F_DRCT_ML_PROMO", "K", lambda t, w, hw, dim=dim: direct_mail.run(
+            src, t, dim, cal, w, hw, index=direct_mail.site_index(store, buckets=8)), schema=tgt.schema, now=day)
+    return store.read(tgt.schema)
+
+
+def q_taxonomy_counts_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The taxonomy load from kept counts: an earlier run counted other
+    promotions, sites and master customers; this one reads the changed promotions only."""
+    tgt = V.txn_tgt(spark, d)
+    order, event = F.col("o_orderkey"), F.col("eml_id")
+    direct, emails = V.direct_src(spark, d, keep_orderkey=True), V.email_src(spark, d)
+    sites, customers, eml, bridge, users = (
+        V.site_dim(spark, d), V.cust_flat(spark, d), V.eml_dim(spark, d), V.usr_eml(spark, d), V.usr(spark, d))
+    master = F.col("mstr_cust_ky")
+    store = _store(spark)
+    earlier = taxonomy.KeptCounts(store)
+    earlier.direct(direct.filter(order % 5 != 0).withColumn("spls_site_id", F.when(order % 4 == 1, order % 13).otherwise(F.col("spls_site_id"))),
+                   sites, customers.withColumn("mstr_cust_ky", F.when(master % 3 == 0, master + 1000).otherwise(master)))
+    earlier.email(emails.filter(event % 6 != 0), eml, bridge, users.withColumn(
+        "mstr_cust_ky", F.when(master % 4 == 0, F.lit(None)).otherwise(master + master % 2)))
+    store.publish(tgt, expect_version=0, high_water={"K": max_key(tgt, taxonomy.SK)}, run_ts=WINDOW.lo, side=earlier.side)
+    earlier.release()
+
+    def job(target, window, hw):
+        return taxonomy.run(
+            V.txn_src(spark, d), target, V.calendar(spark, d), window, hw, sites=sites, customers=customers, emails=eml,
+            bridge=bridge, users=users, direct_promos=direct.filter((order % 5 == 0) | (order % 4 == 1)),
+            email_promos=emails.filter(event % 6 == 0), kept=taxonomy.KeptCounts(store))
+
+    run_load(store, "F_SRC_TXNMY", "K", job, schema=tgt.schema, now=WINDOW.run_ts)
+    return store.read(tgt.schema)
+
+
 NEXT_RUN = datetime(2024, 2, 2)
 
 
@@ -539,6 +583,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_resume": q_window_resume,
     "window_takeover": q_window_takeover,
     "quarantine_replay": q_quarantine_replay,
+    "direct_loopback_indexed": q_direct_loopback_indexed,
+    "taxonomy_counts_incremental": q_taxonomy_counts_incremental,
     "publish_changeset": q_publish_changeset,
     "partition_publish_keyed": q_partition_publish_keyed,
     "company_high_water": q_company_high_water,

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from martloom.operators.guards import check_lookup_unique
 from martloom.operators.lookup import resolve_date_keys
 from martloom.operators.rollup import distinct_rollup
+from martloom.operators.support import SupportCounts
 from martloom.plans.common import NEW_FLAG, JobResult, attach_new_keys, both_forms, mint_keys, prepare_delta
 from martloom.session import stored_table
 from martloom.sources.control import LoadWindow
+from martloom.sources.snapshot import SideChange, SnapshotStore
 
 # Fixed names of the taxonomy mart (they must match its columns): natural key,
 # surrogate key, calendar roles, attributes, counts, and the merge column lists.
@@ -63,10 +65,14 @@ def direct_counts(promos: DataFrame, sites: DataFrame, customers: DataFrame,
     p = _of_codes(promos.select("src_cd", "spls_site_id", "spls_prsn_id"), codes)
     site_usr = distinct_rollup(p, ["src_cd"], {"promo_site_cnt": "spls_site_id", "promo_usr_cnt": "spls_prsn_id"})
     pairs = p.select("src_cd", "spls_site_id").filter(F.col("spls_site_id").isNotNull()).distinct()
+    return _with_masters(site_usr, pairs.join(site_masters(sites, customers), on="spls_site_id"))
+
+
+def site_masters(sites: DataFrame, customers: DataFrame) -> DataFrame:
+    """Distinct (site, master customer) pairs through the ship-to customers."""
     shipto = customers.filter(F.col("cust_lvl") == F.lit("SHIPTO")).select("spls_site_ky", "mstr_cust_ky")
-    masters = sites.select("spls_site_id", "spls_site_ky").join(shipto, on="spls_site_ky").select(
+    return sites.select("spls_site_id", "spls_site_ky").join(shipto, on="spls_site_ky").select(
         "spls_site_id", "mstr_cust_ky").distinct()
-    return _with_masters(site_usr, pairs.join(masters, on="spls_site_id"))
 
 
 def email_counts(promos: DataFrame, emails: DataFrame, bridge: DataFrame, users: DataFrame,
@@ -83,15 +89,59 @@ def email_counts(promos: DataFrame, emails: DataFrame, bridge: DataFrame, users:
     chain joins are inner ones.
     """
     pairs = _of_codes(promos.select("src_cd", "eml_id"), codes).distinct()
-    masters = (
+    masters = email_masters(emails, bridge, users)
+    emls = distinct_rollup(pairs, ["src_cd"], {"promo_eml_cnt": "eml_id"})
+    return _with_masters(emls, pairs.join(masters, on="eml_id")).select("src_cd", "promo_mstr_cust_cnt", "promo_eml_cnt")
+
+
+def email_masters(emails: DataFrame, bridge: DataFrame, users: DataFrame) -> DataFrame:
+    """Distinct (e-mail, master customer) pairs through the user bridge."""
+    return (
         bridge.select("eml_ky", "oms_usr_ky")
         .join(users.select("oms_usr_ky", "mstr_cust_ky").filter(F.col("mstr_cust_ky").isNotNull()), on="oms_usr_ky")
         .select("eml_ky", "mstr_cust_ky").distinct()
         .join(emails.select("eml_id", "eml_ky"), on="eml_ky")
         .select("eml_id", "mstr_cust_ky").distinct()
     )
-    emls = distinct_rollup(pairs, ["src_cd"], {"promo_eml_cnt": "eml_id"})
-    return _with_masters(emls, pairs.join(masters, on="eml_id")).select("src_cd", "promo_mstr_cust_cnt", "promo_eml_cnt")
+
+
+class KeptCounts:
+    """The counts of all codes, kept in the store and moved by what changed.
+
+    :meth:`direct` and :meth:`email` take the promotions changed since the last
+    run (all, the first time) and the current dimensions, and return the same
+    rows as :func:`direct_counts` and :func:`email_counts` over everything.
+    ``side`` then holds what to publish with the run; ``release`` removes the
+    temporary tables after that.
+    """
+
+    def __init__(self, store: SnapshotStore, direct_key: Sequence[str] = ("spls_prsn_id", "src_cd", "promo_dt"),
+                 email_key: Sequence[str] = ("eml_ky", "src_cd")) -> None:
+        self._sites = SupportCounts(store, "site_counts", direct_key, "src_cd", "spls_site_id", "mstr_cust_ky")
+        self._persons = SupportCounts(store, "person_counts", direct_key, "src_cd", "spls_prsn_id")
+        self._emails = SupportCounts(store, "email_counts", email_key, "src_cd", "eml_id", "mstr_cust_ky")
+        self.side: dict[str, SideChange] = {}
+        self._moved: list = []
+
+    def _advance(self, counts: SupportCounts, changed: DataFrame, links: DataFrame | None = None) -> DataFrame:
+        moved = counts.advance(changed, links)
+        self._moved.append((counts, moved))
+        self.side.update(moved.side)
+        return moved.counts
+
+    def direct(self, changed: DataFrame, sites: DataFrame, customers: DataFrame) -> DataFrame:
+        by_site = self._advance(self._sites, changed, site_masters(sites, customers))
+        by_person = self._advance(self._persons, changed).select(F.col("src_cd").alias("_code"), F.col("members").alias("promo_usr_cnt"))
+        return by_site.join(by_person, by_site["src_cd"].eqNullSafe(F.col("_code"))).select(
+            "src_cd", F.col("members").alias("promo_site_cnt"), "promo_usr_cnt", F.col("masters").alias("promo_mstr_cust_cnt"))
+
+    def email(self, changed: DataFrame, emails: DataFrame, bridge: DataFrame, users: DataFrame) -> DataFrame:
+        return self._advance(self._emails, changed, email_masters(emails, bridge, users)).select(
+            "src_cd", F.col("masters").alias("promo_mstr_cust_cnt"), F.col("members").alias("promo_eml_cnt"))
+
+    def release(self) -> None:
+        for counts, moved in self._moved:
+            counts.release(moved)
 
 
 def attach_counts(df: DataFrame, direct: DataFrame, email: DataFrame) -> DataFrame:
@@ -115,7 +165,11 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         emails: DataFrame, bridge: DataFrame, users: DataFrame, dedupe_by: Sequence[str] | None = None,
         on_null_key: str = "quarantine", freeze_delta: bool = True,
         insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None,
+        kept: KeptCounts | None = None) -> JobResult:
+    """The taxonomy load. With ``kept`` (a :class:`KeptCounts` of the store)
+    the promotions given are those changed since the last run (all of them, the
+    first time), and the counts of the delta's codes come from the kept ones."""
     if check_lookups:  # G4 (the rollup joins every site row, live or not, so only the calendar can fan out)
         check_lookup_unique(calendar, "cld_dt", status_col=None)
     prepared = prepare_delta(source, window.lo, KEY, what="F_SRC_TXNMY", dedupe_by=dedupe_by,
@@ -125,8 +179,12 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     # counts are refreshed only for codes in the delta: restrict the promotion
     # scans to those codes before aggregating (same result, less to shuffle)
     codes = prepared.delta.select("src_cd")
-    dc = direct_counts(direct_promos, sites, customers, codes)
-    ec = email_counts(email_promos, emails, bridge, users, codes)
+    if kept is None:
+        dc = direct_counts(direct_promos, sites, customers, codes)
+        ec = email_counts(email_promos, emails, bridge, users, codes)
+    else:
+        dc, ec = kept.direct(direct_promos, sites, customers), kept.email(email_promos, emails, bridge, users)
+        prepared.stored += [path for _, moved in kept._moved for path in moved.stored]
     merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec)
     # one row per code, used for the matched rows and for the inserts: stored, so both rollups run once
     merge_src, path = stored_table(resolve_date_keys(merge_src, calendar, DATE_ROLES))
@@ -138,4 +196,4 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
     )
     return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "direct_counts": dc, "email_counts": ec, "merge_source": merge_src},
-                     SK, prepared.stored, merged["changes"])
+                     SK, prepared.stored, merged["changes"], kept.side if kept else {})

@@ -97,6 +97,7 @@ class SideChange:
     rows: DataFrame
     key: Sequence[str]
     whole: bool = False          # the rows are the whole table: write a new base
+    partition: str | None = None  # an integer column of few values: one folder for each
 
 
 @dataclass
@@ -261,7 +262,8 @@ class SnapshotStore:
         st = self.state(version)
         kept = st.side.get(name) if st else None
         return None if kept is None else read_layers(
-            self.spark, f"{self.root}/side/{name}", kept["layers"], kept["key"], null_safe=True)
+            self.spark, f"{self.root}/side/{name}", kept["layers"], kept["key"], StructType.fromJson(json.loads(kept["schema"])),
+            null_safe=True)
 
     # ---- publish
     def publish(self, df: DataFrame, *, expect_version: int, high_water: dict[str, int] | None = None,
@@ -328,7 +330,7 @@ class SnapshotStore:
             raise
         return new_state
 
-    def _observed_write(self, df: DataFrame, path: str, keys: KeyRange | None = None, partitioned: bool = False,
+    def _observed_write(self, df: DataFrame, path: str, keys: KeyRange | None = None, partitioned: str | None = None,
                         bucketed: str | None = None, **metrics: Column) -> dict:
         """Write ``df`` and return what was observed: its rows, ``metrics`` and the key facts."""
         watch = Observation()
@@ -338,7 +340,7 @@ class SnapshotStore:
             n, cols = self.bucket_by
             writer.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(bucketed)
         elif partitioned:
-            writer.partitionBy(PART_COL).parquet(path)
+            writer.partitionBy(partitioned).parquet(path)
         else:
             writer.parquet(path)
         return watch.get
@@ -422,7 +424,7 @@ class SnapshotStore:
             whole = kept.unionByName(fresh)
         seen = dict.fromkeys(("rows", "new_rows", "new_keys", "old_above", "not_positive"), 0)
         if touched:
-            seen = self._observed_write(whole, self.data_path(run), keys, partitioned=True)
+            seen = self._observed_write(whole, self.data_path(run), keys, partitioned=PART_COL)
             if seen["rows"] != sum(touched.values()):
                 raise GuardError(f"{self.root}: wrote {seen['rows']} rows to partitions that hold {sum(touched.values())}")
         if path:
@@ -437,16 +439,23 @@ class SnapshotStore:
         kept = current.side.get(name) if current else None
         folder, key = f"{self.root}/side/{name}", list(change.key)
         rows = change.rows if GONE in change.rows.columns else change.rows.withColumn(GONE, F.lit(False))
+        part = change.partition
+
+        def shaped(schema: StructType) -> str:
+            """The stored columns, a partition column last, all of them nullable."""
+            fields = [StructField(f.name, f.dataType, True) for f in schema.fields]
+            return StructType([f for f in fields if f.name != part] + [f for f in fields if f.name == part]).json()
+
         if kept is None or change.whole:
-            n = self._observed_write(rows.filter(~F.col(GONE)), f"{folder}/run={run}")["rows"]
-            return {"key": key, "layers": {"base": run, "rows": n, "changes": []}}
-        n = self._observed_write(rows, f"{folder}/run={run}")["rows"]
+            n = self._observed_write(rows.filter(~F.col(GONE)), f"{folder}/run={run}", partitioned=part)["rows"]
+            return {"key": key, "schema": shaped(rows.schema), "layers": {"base": run, "rows": n, "changes": []}}
+        n = self._observed_write(rows, f"{folder}/run={run}", partitioned=part)["rows"]
         layers = with_change(kept["layers"], run, n)
         if due_for_compaction(layers, SIDE_COMPACT_AT):
-            whole = read_layers(self.spark, folder, layers, key, null_safe=True).withColumn(GONE, F.lit(False))
-            n = self._observed_write(whole, f"{folder}/run={run}-base")["rows"]
+            whole = read_layers(self.spark, folder, layers, key, StructType.fromJson(json.loads(kept["schema"])), null_safe=True)
+            n = self._observed_write(whole.withColumn(GONE, F.lit(False)), f"{folder}/run={run}-base", partitioned=part)["rows"]
             layers = {"base": f"{run}-base", "rows": n, "changes": []}
-        return {"key": key, "layers": layers}
+        return {**kept, "layers": layers}
 
     def _used(self, state: TableState) -> dict[str, set[str]]:
         """Run folders a state refers to, by the folder they are in."""
