@@ -60,6 +60,15 @@ def q_email_new_keys(spark: SparkSession, d: str) -> DataFrame:
     return new_keys(incremental_delta(src, WINDOW.lo), tgt, email.KEY)
 
 
+def q_email_new_keys_skipping(spark: SparkSession, d: str) -> DataFrame:
+    """The same over a stored version in key order: the target's scan is
+    narrowed to the ranges of the delta's keys."""
+    src, tgt, _ = _email_inputs(spark, d)
+    store = _store(spark, sort_by=email.KEY)
+    store.publish(tgt, expect_version=0)
+    return new_keys(incremental_delta(src, WINDOW.lo), store.read(tgt.schema), email.KEY, skip_on="eml_ky")
+
+
 def _email_keys(spark: SparkSession, d: str):
     src, tgt, _ = _email_inputs(spark, d)
     hw = max_key(tgt, email.SK)
@@ -366,6 +375,16 @@ def q_partition_publish_keyed(spark: SparkSession, d: str) -> DataFrame:
     return store.read(tgt.schema).drop("_ml_p", "row_updt_tms")
 
 
+def q_partition_bucket_publish(spark: SparkSession, d: str) -> DataFrame:
+    """The same again with buckets of the natural key inside every partition."""
+    src, tgt = _company_inputs(spark, d)
+    fresh = tgt.withColumn("row_updt_tms", F.lit(str(WINDOW.lo)).cast("timestamp_ntz"))
+    store = _store(spark, partition_by=F.col(company.SK) % 8, bucket_by=(4, company.KEY), key=company.KEY)
+    store.publish(fresh, expect_version=0, high_water={"K": max_key(tgt, company.SK)}, run_ts=WINDOW.lo)
+    run_load(store, "D_CMPY", "K", lambda t, w, hw: company.run(src, t, w, hw), schema=tgt.schema, now=WINDOW.run_ts)
+    return store.read(tgt.schema).drop("_ml_p", "row_updt_tms")
+
+
 def q_publish_changeset(spark: SparkSession, d: str) -> DataFrame:
     """The e-mail load in a store of change sets: the run writes the rows it changed, reading joins them with the base."""
     src, tgt, cal = _email_inputs(spark, d)
@@ -543,6 +562,7 @@ def q_guard_row_conservation(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "email_delta": q_email_delta,
     "email_new_keys": q_email_new_keys,
+    "email_new_keys_skipping": q_email_new_keys_skipping,
     "email_keys": q_email_keys,
     "email_high_water": q_email_high_water,
     "email_date_keys": q_email_date_keys,
@@ -587,6 +607,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "taxonomy_counts_incremental": q_taxonomy_counts_incremental,
     "publish_changeset": q_publish_changeset,
     "partition_publish_keyed": q_partition_publish_keyed,
+    "partition_bucket_publish": q_partition_bucket_publish,
     "company_high_water": q_company_high_water,
     "direct_high_water": q_direct_high_water,
     "taxonomy_high_water": q_taxonomy_high_water,

@@ -61,7 +61,7 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     that reads it."""
     key = (_application(spark), sf_dir.rstrip("/"), name)
     if key not in _STORED:
-        df, path = stored_table(build())
+        df, path = stored_table(build(), keep=True)
         _STORED[key] = path, df.schema
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
 from martloom.functions.expressions import is_live, key_default
+from martloom.session import broadcasts_refused
 
 
 def live_lookup(dim: DataFrame, dim_id: str, dim_key: str, *, live: bool = True,
@@ -54,14 +55,36 @@ def resolve_key(df: DataFrame, dim: DataFrame, ref_col: str, dim_id: str, dim_ke
 
 
 def resolve_date_keys(df: DataFrame, calendar: DataFrame, roles: Mapping[str, str], *, date_col: str = "cld_dt",
-                      key_col: str = "tm_ky") -> DataFrame:
-    """One left join per role (``{date column: output key column}``) to the
-    same calendar; a missing date or a date not in the calendar gives NULL
-    (no 0/-1 default for calendar keys). Where Spark broadcasts the calendar,
-    one exchange serves every role."""
+                      key_col: str = "tm_ky", key: Sequence[str] | None = None) -> DataFrame:
+    """Calendar keys for ``{date column: output key column}``; a missing date or
+    a date not in the calendar gives NULL (no 0/-1 default for calendar keys).
+
+    One left join per role to the same calendar, which one broadcast serves.
+    Where the session refuses broadcasts and ``key`` names columns that
+    identify a row of ``df`` (none NULL), the roles are stacked instead: (key,
+    role, date) without NULL dates meets the calendar in one narrow join and
+    comes back by the key, so the full rows are shuffled once, by the
+    key the merge joins on, and not once a role.
+    """
+    if key and broadcasts_refused(df.sparkSession):
+        return _stacked_date_keys(df, calendar, roles, date_col, key_col, list(key))
     out = df
     for role_date, out_col in roles.items():
         day = f"_cal_dt_{out_col}"
         c = calendar.select(F.col(date_col).alias(day), F.col(key_col).alias(out_col))
         out = left_lookup(out, c, role_date, day).drop(day)
     return out
+
+
+def _stacked_date_keys(df: DataFrame, calendar: DataFrame, roles: Mapping[str, str], date_col: str, key_col: str,
+                       key: list[str]) -> DataFrame:
+    stack = F.array(*[F.struct(F.lit(out).alias("_ml_role"), F.col(day).alias("_ml_day")) for day, out in roles.items()])
+    days = df.select(*key, F.inline(stack)).filter(F.col("_ml_day").isNotNull())
+    # a day that very many rows share is spread: the calendar has one row for each (day, salt)
+    salts = 16
+    salted = days.withColumn("_ml_salt", F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(salts)).cast("int"))
+    known = calendar.select(F.col(date_col).alias("_ml_day"), F.col(key_col).alias("_ml_found"),
+                            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_ml_salt"))
+    found = salted.join(known, ["_ml_day", "_ml_salt"]).groupBy(*key).agg(*[
+        F.max(F.when(F.col("_ml_role") == out, F.col("_ml_found"))).alias(out) for out in roles.values()])
+    return df.join(found, key, "left")

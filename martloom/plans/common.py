@@ -18,7 +18,7 @@ from martloom.operators.guards import (
     split_null_keys,
 )
 from martloom.operators.keys import KeyAssignment, assign_surrogate_keys
-from martloom.operators.delta import incremental_delta, new_keys
+from martloom.operators.delta import incremental_delta, key_ranges, new_keys, within_ranges
 from martloom.operators.merge import apply_changes
 from martloom.session import remove_path, stored_table
 
@@ -121,9 +121,9 @@ def prepare_delta(source: DataFrame, lo, key: Sequence[str], *, what: str, dedup
 
 
 def mint_keys(prepared: PreparedDelta, target: DataFrame, key: Sequence[str], sk: str, high_water: int,
-              carry: Sequence[str] = ()) -> KeyAssignment:
+              carry: Sequence[str] = (), skip_on: str | None = None) -> KeyAssignment:
     """Dense keys for the delta's unseen natural keys, in natural-key order."""
-    keys = assign_surrogate_keys(new_keys(prepared.delta, target, key, carry=carry), key, sk, high_water)
+    keys = assign_surrogate_keys(new_keys(prepared.delta, target, key, carry=carry, skip_on=skip_on), key, sk, high_water)
     prepared.stored.append(keys.path)
     return keys
 
@@ -134,8 +134,11 @@ def attach_new_keys(df: DataFrame, keys: KeyAssignment, key: Sequence[str], sk:
     return df.join(keyed, on=list(key), how="left")
 
 
-def both_forms(target: DataFrame, changes: DataFrame, key: Sequence[str], **options) -> dict[str, DataFrame]:
+def both_forms(target: DataFrame, changes: DataFrame, key: Sequence[str], skip_on: str | None = None,
+               **options) -> dict[str, DataFrame]:
     """``table`` (the whole new version) and ``changes`` (its changed and inserted
-    rows) of one merge; a store evaluates the one it writes."""
+    rows) of one merge; a store evaluates the one it writes. With ``skip_on``
+    the second reads the target only where that key column meets ``changes``."""
+    met = target if skip_on is None else within_ranges(target, skip_on, key_ranges(changes, skip_on))
     return {"table": apply_changes(target, changes, key, **options),
-            "changes": apply_changes(target, changes, key, **options, changed_only=True)}
+            "changes": apply_changes(met, changes, key, **options, changed_only=True)}

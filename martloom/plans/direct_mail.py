@@ -66,7 +66,7 @@ def enrich(delta: DataFrame, sites: DataFrame, calendar: DataFrame) -> DataFrame
 
 def dated(delta: DataFrame, calendar: DataFrame) -> DataFrame:
     """Calendar keys for the four date roles and the count renames."""
-    out = resolve_date_keys(delta, calendar, DATE_ROLES)
+    out = resolve_date_keys(delta, calendar, DATE_ROLES, key=KEY)
     for old, new in RENAMES.items():
         out = out.withColumnRenamed(old, new)
     return out

@@ -38,7 +38,7 @@ INSERT_COLS = [
 
 def enrich(delta: DataFrame, calendar: DataFrame) -> DataFrame:
     """Calendar keys for the four date roles and the count renames."""
-    out = resolve_date_keys(delta, calendar, DATE_ROLES)
+    out = resolve_date_keys(delta, calendar, DATE_ROLES, key=KEY)
     for old, new in RENAMES.items():
         out = out.withColumnRenamed(old, new)
     return out
@@ -47,17 +47,21 @@ def enrich(delta: DataFrame, calendar: DataFrame) -> DataFrame:
 def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadWindow, high_water: int, *,
         dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = True, insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None,
+        skip_on: str | None = None) -> JobResult:
+    """The e-mail load. ``skip_on`` names a key column the target is stored in
+    order of (``SnapshotStore(sort_by=...)``): the key probe and, in a store of
+    change sets, the merge then skip the row groups the delta cannot meet."""
     if check_lookups:  # G4
         check_lookup_unique(calendar, "cld_dt", status_col=None)
     prepared = prepare_delta(source, window.lo, KEY, what="F_EML_PROMO", dedupe_by=dedupe_by,
                              check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
                              replayed=replayed)
-    keys = mint_keys(prepared, target, KEY, SK, high_water)
+    keys = mint_keys(prepared, target, KEY, SK, high_water, skip_on=skip_on)
     merge_src = enrich(attach_new_keys(prepared.delta, keys, KEY, SK), calendar)
     merged = both_forms(
         target, merge_src, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
-        new_flag=NEW_FLAG, insert_buckets=insert_buckets,
+        new_flag=NEW_FLAG, insert_buckets=insert_buckets, skip_on=skip_on,
     )
     return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "merge_source": merge_src.drop(NEW_FLAG)}, SK, prepared.stored, merged["changes"])

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from martloom.operators.guards import DeltaProfile, GuardError, check_counter
 from martloom.operators.observed import KeyRange
 from martloom.plans.common import JobResult
-from martloom.session import stored_table, remove_path
+from martloom.session import run_tables, stored_table
 from martloom.sources.control import LoadWindow
 from martloom.sources.lease import LEASE, Heartbeat, Lease
 from martloom.sources.snapshot import SnapshotStore, TableState
@@ -73,14 +73,14 @@ def open_window(store: SnapshotStore, process: str, committed: datetime | None,
 
 
 def _replayed(store: SnapshotStore, process: str, replay: Callable[[DataFrame], DataFrame] | None):
-    """(batches of the process, their repaired rows stored once, path, count)."""
+    """(batches of the process, their repaired rows stored once, count)."""
     state = store.state()
     batches = [r for r, b in (state.quarantine if state else {}).items() if b["process"] == process]
     rejected = store.quarantined(batches) if replay is not None and batches else None
     if rejected is None:
-        return [], None, None, 0
-    rows, path = stored_table(replay(rejected).drop("_ml_run"))
-    return batches, rows, path, rows.count()
+        return [], None, 0
+    rows, _ = stored_table(replay(rejected).drop("_ml_run"))
+    return batches, rows, rows.count()
 
 
 def run_load(store: SnapshotStore, process: str, counter: str,
@@ -123,10 +123,9 @@ def run_load(store: SnapshotStore, process: str, counter: str,
         target = store.read(schema)
         high_water, version, committed = state.high_water[counter], state.version, state.committed_run_ts
     window, held = open_window(store, process, committed, now, start, lease)
-    result, repaired_path = None, None
     try:
-        with Heartbeat(store.leases, held, lease):
-            batches, repaired, repaired_path, replayed = _replayed(store, process, replay)
+        with Heartbeat(store.leases, held, lease), run_tables(spark):
+            batches, repaired, replayed = _replayed(store, process, replay)
             result = job(target, window, high_water) if repaired is None else job(target, window, high_water, repaired)
             keys = None
             if check_keys and result.surrogate_key:
@@ -147,11 +146,6 @@ def run_load(store: SnapshotStore, process: str, counter: str,
         if store.leases.holds(held):
             store.leases.end(held, committed=False)
         raise
-    finally:
-        if result is not None:
-            result.release()
-        if repaired_path:
-            remove_path(spark, repaired_path)
     store.leases.end(held, committed=True)
     return RunReport(window, new_state, RunResult(result.profile, result.assigned, result.high_water, result.surrogate_key, replayed),
                      store)

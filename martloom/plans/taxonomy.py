@@ -187,7 +187,7 @@ def run(source: DataFrame, target: DataFrame, calendar: DataFrame, window: LoadW
         prepared.stored += [path for _, moved in kept._moved for path in moved.stored]
     merge_src = attach_counts(attach_new_keys(prepared.delta, keys, KEY, SK), dc, ec)
     # one row per code, used for the matched rows and for the inserts: stored, so both rollups run once
-    merge_src, path = stored_table(resolve_date_keys(merge_src, calendar, DATE_ROLES))
+    merge_src, path = stored_table(resolve_date_keys(merge_src, calendar, DATE_ROLES, key=KEY))
     prepared.stored.append(path)
     carried = [c for c in target.columns if c not in TARGET_COLUMNS]  # a partitioned store's own column
     merged = both_forms(

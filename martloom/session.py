@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import shutil
 import tempfile
+import threading
+import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +64,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def broadcasts_refused(spark: SparkSession) -> bool:
+    """Whether the session has broadcast joins turned off (a threshold of -1)."""
+    static, adaptive = (spark.conf.get(k, None) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"))
+    return str(static).startswith("-") and (adaptive is None or adaptive.startswith("-"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint()`` has a reliable folder and return it.
 
@@ -87,16 +99,79 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def stored_table(df: DataFrame) -> tuple[DataFrame, str]:
+TABLES_LEASE_S = 24 * 3600   # an application that stored nothing for so long has ended
+_RUN = threading.local()     # the tables of the run a thread is in
+
+
+def _tables_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables"
+
+
+def _tables_folder(spark: SparkSession) -> str:
+    """The application's folder of temporary tables, its lease renewed."""
+    folder = f"{_tables_root(spark)}/{spark.sparkContext.applicationId}"
+    leases = spark.sparkContext.__dict__.setdefault("_martloom_tables", {})
+    now = time.time()
+    if now - leases.get(folder, 0) > TABLES_LEASE_S / 4:
+        fs, path = hadoop_path(spark, f"{folder}/_lease")
+        fs.create(path, True).close()  # its modification time is the lease
+        if folder not in leases:
+            atexit.register(_remove_at_exit, spark, folder)
+        leases[folder] = now
+    return folder
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the application may have been stopped already; the sweeper comes by
+        if spark.sparkContext._jsc is not None:
+            remove_path(spark, folder)
+
+
+def stored_table(df: DataFrame, keep: bool = False) -> tuple[DataFrame, str]:
     """``df`` written once as a Parquet table beside the session's checkpoints,
     read back, and its path (for :func:`remove_path` once it is not needed).
 
     Like a reliable checkpoint it cuts lineage and survives a lost executor;
-    unlike one, Spark knows the table's real size when it plans a join.
+    unlike one, Spark knows the table's real size when it plans a join. Tables
+    lie in a folder of the application, removed when its driver ends (or by
+    :func:`sweep_tables`); inside :func:`run_tables` they last as long as the
+    run, unless ``keep`` says that they outlive it.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{_tables_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    made = getattr(_RUN, "made", None)
+    if made is not None and not keep:
+        made.append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+@contextlib.contextmanager
+def run_tables(spark: SparkSession) -> Iterator[None]:
+    """Temporary tables that this thread stores inside are removed at the end, however it comes."""
+    outer, made = getattr(_RUN, "made", None), []
+    _RUN.made = made
+    try:
+        yield
+    finally:
+        _RUN.made = outer
+        for path in made:
+            remove_path(spark, path)
+
+
+def sweep_tables(spark: SparkSession, older_than_s: float = TABLES_LEASE_S, now: float | None = None) -> list[str]:
+    """Remove the temporary tables of applications whose lease is older than
+    ``older_than_s`` seconds; returns the applications. Live ones (and this one) are left alone."""
+    root, gone = _tables_root(spark), []
+    fs, path = hadoop_path(spark, root)
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        name = status.getPath().getName()
+        _, lease = hadoop_path(spark, f"{root}/{name}/_lease")
+        renewed = (fs.getFileStatus(lease) if fs.exists(lease) else status).getModificationTime() / 1000
+        if name != spark.sparkContext.applicationId and (now or time.time()) - renewed > older_than_s:
+            remove_path(spark, f"{root}/{name}")
+            gone.append(name)
+    return sorted(gone)
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -27,9 +27,9 @@ commits by renaming a finished record to ``_state/v=<n+1>``, which fails if
 that version exists. Whatever two writers do, the first to commit wins, the
 other is refused, and its files are referenced by no state. A run that dies
 before its commit leaves the previous table, counters and window in force.
-``vacuum`` deletes data no recent state refers to. (The rename is atomic on
-HDFS and local file systems; an object store needs a committer or lock that
-makes a rename without overwrite exclusive.)
+``vacuum`` deletes data no recent state refers to. Where a rename is no
+exclusive operation (object stores) the record is created conditionally, and a
+store that offers neither is refused (:meth:`SnapshotStore.commit_mode`).
 """
 
 from __future__ import annotations
@@ -65,6 +65,15 @@ PART_COL = "_ml_p"   # partition number of a row in a partitioned store
 SIDE_COMPACT_AT = 0.25   # a side table gets a new base once its change sets pass this share of it
 
 
+# Schemes whose rename without overwrite is exclusive, and the capability of a conditional create.
+RENAMES = ("file", "hdfs", "viewfs", "webhdfs", "swebhdfs", "abfs", "abfss", "ofs", "o3fs")
+CONDITIONAL_CREATE = "fs.option.create.conditional.overwrite"
+
+
+class CommitUnsafe(RuntimeError):
+    """The file system cannot commit a version exclusively; nothing has been written."""
+
+
 class VersionConflict(RuntimeError):
     """Another run committed first; nothing of this run is visible."""
 
@@ -120,18 +129,24 @@ class SnapshotStore:
     state record and the table is re-registered on read, so it works with a
     session-scoped catalog.
 
+    With ``partition_by`` too, every partition is written in those buckets and
+    the version is a catalog table whose partitions lie in the folders of the
+    runs that wrote them: a join is co-located, a filter on ``_ml_p`` prunes.
+
     ``key`` names the natural key. A partitioned store with a key rewrites a
     touched partition as its old rows without the changed keys and the
     changed rows, so the load's joins run once. ``compact_at`` (with ``key``)
-    makes it a store of change sets.
+    makes it a store of change sets. ``sort_by`` writes a whole version (or a
+    new base) in ranges of those columns, sorted, with bloom filters on them,
+    so a scan narrowed to a delta's keys skips row groups.
     """
 
     def __init__(self, spark: SparkSession, root: str, bucket_by: tuple[int, list[str]] | None = None,
                  partition_by: Column | None = None, update_ts_col: str = "row_updt_tms", insert_ts_col: str = "row_insrt_tms",
-                 key: Sequence[str] | None = None, compact_at: float | None = None,
+                 key: Sequence[str] | None = None, compact_at: float | None = None, sort_by: Sequence[str] | None = None,
                  clock: Callable[[], datetime] = utc_now):
-        if (bucket_by is not None) + (partition_by is not None) + (compact_at is not None) > 1:
-            raise ValueError("choose one of bucket_by, partition_by and compact_at")
+        if compact_at is not None and (bucket_by is not None or partition_by is not None):
+            raise ValueError("a store of change sets has no buckets or partitions")
         if compact_at is not None and not key:
             raise ValueError("a store of change sets needs its key")
         self.spark = spark
@@ -141,6 +156,9 @@ class SnapshotStore:
         self.update_ts_col, self.insert_ts_col = update_ts_col, insert_ts_col
         self.key = list(key) if key else None
         self.compact_at = compact_at
+        if sort_by and (bucket_by or partition_by is not None):
+            raise ValueError("sort_by is for a store without buckets and partitions")
+        self.sort_by = list(sort_by) if sort_by else None
         self.leases = Leases(self, self.root, clock)
 
     def _table_name(self, run: str) -> str:
@@ -165,16 +183,40 @@ class SnapshotStore:
     def load(self, path: str) -> dict:
         return json.loads("\n".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect()))
 
+    def commit_mode(self) -> str:
+        """How a record is created exclusively on the store's file system.
+
+        ``rename``: a finished file is renamed and the rename fails if the name
+        exists (local, HDFS and the other file systems of ``RENAMES``).
+        ``create``: the file system promises that a create without overwrite
+        fails, atomically, if the name exists (conditional writes of an object
+        store). Anything else is refused before data is written.
+        """
+        fs, path = hadoop_path(self.spark, self.root)
+        if fs.getUri().getScheme() in RENAMES:
+            return "rename"
+        if fs.hasPathCapability(path, CONDITIONAL_CREATE):
+            return "create"
+        raise CommitUnsafe(f"{self.root}: the file system offers neither an exclusive rename nor a conditional create")
+
     def save(self, path: str, record: dict, *, exclusive: bool) -> None:
-        """Write a finished file and rename it into place; ``exclusive``: fail if it exists."""
+        """Write a finished file into place; ``exclusive``: fail if it exists."""
         jvm = self.spark.sparkContext._jvm
+        data = bytearray(json.dumps(record).encode())
+        fs, place = hadoop_path(self.spark, path)
+        if exclusive and self.commit_mode() == "create":
+            # the object appears whole when the stream is closed, or the close fails
+            builder = fs.createFile(place).overwrite(False).recursive()
+            out = builder.opt(CONDITIONAL_CREATE, True).build()
+            out.write(data)
+            out.close()
+            return
         fs, waiting = hadoop_path(self.spark, f"{self.root}/_waiting/{uuid.uuid4().hex}")
         out = fs.create(waiting, False)
         try:
-            out.write(bytearray(json.dumps(record).encode()))
+            out.write(data)
         finally:
             out.close()
-        place = jvm.org.apache.hadoop.fs.Path(path)
         fs.mkdirs(place.getParent())
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -207,7 +249,9 @@ class SnapshotStore:
             return None
         if st.layers:
             return read_layers(self.spark, f"{self.root}/data", st.layers, self.key or st.layers["key"], schema)
-        if st.bucketing:
+        if st.bucketing and st.partitions:
+            return self._bucketed_partitions(st, schema)
+        if st.bucketing and st.partitions is None:
             return self._bucketed_table(st.run, st.bucketing, schema)
         if st.partitions is not None:
             return self._partitioned(st.partitions, schema)
@@ -232,6 +276,24 @@ class SnapshotStore:
                                                StructField("run", StringType(), True)]))
         return reader.parquet(*paths).drop("run")
 
+    def _bucketed_partitions(self, st: TableState, schema: StructType | None) -> DataFrame:
+        """A partitioned and bucketed version as a table of the session's catalog."""
+        name = f"{self._table_name(st.run)}_v"
+        if not self.spark.catalog.tableExists(name):
+            if schema is None:
+                schema = self.spark.read.parquet(next(f"{self.data_path(r)}/{PART_COL}={p}" for p, r in st.partitions.items())).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != PART_COL)
+            keys = ", ".join(f"`{c}`" for c in st.bucketing["columns"])
+            root = self.root.replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({cols}, {PART_COL} BIGINT) USING parquet PARTITIONED BY ({PART_COL}) CLUSTERED BY ({keys}) "
+                f"SORTED BY ({keys}) INTO {int(st.bucketing['buckets'])} BUCKETS LOCATION '{root}/data/none'")
+            places = [f"PARTITION ({PART_COL}={int(p)}) LOCATION '{root}/data/run={run}/{PART_COL}={int(p)}'"
+                      for p, run in st.partitions.items()]
+            for at in range(0, len(places), 1000):
+                self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(places[at : at + 1000])}")
+        return self.spark.table(name)
+
     def _bucketed_table(self, run: str, bucketing: dict, schema: StructType | None) -> DataFrame:
         name = self._table_name(run)
         if not self.spark.catalog.tableExists(name):
@@ -290,6 +352,7 @@ class SnapshotStore:
         current_version = current.version if current else 0
         if current_version != expect_version:
             raise VersionConflict(f"{self.root}: version moved from {expect_version} to {current_version}")
+        self.commit_mode()  # refused here, before data is written, where no commit is safe
         new_version, run = expect_version + 1, uuid.uuid4().hex
         if self.partition_by is not None:
             written = self._write_partitions(df, run, current, run_ts, changes, keys)
@@ -336,8 +399,11 @@ class SnapshotStore:
         watch = Observation()
         wanted = {"rows": F.count(F.lit(1)), **metrics, **(keys.metrics(df) if keys else {})}
         writer = df.observe(watch, *[c.alias(n) for n, c in wanted.items()]).write
+        for column in self.sort_by or []:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         if bucketed:
             n, cols = self.bucket_by
+            writer = writer.partitionBy(partitioned) if partitioned else writer
             writer.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(bucketed)
         elif partitioned:
             writer.partitionBy(partitioned).parquet(path)
@@ -345,9 +411,13 @@ class SnapshotStore:
             writer.parquet(path)
         return watch.get
 
+    def _ordered(self, df: DataFrame) -> DataFrame:
+        return df if not self.sort_by else df.repartitionByRange(*self.sort_by).sortWithinPartitions(*self.sort_by)
+
     def _write_whole(self, df: DataFrame, run: str, keys: KeyRange | None) -> _Written:
         fields: dict = {}
-        seen = self._observed_write(df, self.data_path(run), keys, bucketed=self._table_name(run) if self.bucket_by else None)
+        seen = self._observed_write(self._ordered(df), self.data_path(run), keys,
+                                    bucketed=self._table_name(run) if self.bucket_by else None)
         if self.bucket_by:
             fields["bucketing"] = {"buckets": self.bucket_by[0], "columns": self.bucket_by[1]}
         if self.compact_at is not None:
@@ -382,7 +452,7 @@ class SnapshotStore:
         layers = with_change(current.layers, run, seen["rows"])
         if due_for_compaction(layers, self.compact_at):
             base = f"{run}-base"
-            whole = self._observed_write(read_layers(self.spark, folder, layers, self.key, df.schema), self.data_path(base))
+            whole = self._observed_write(self._ordered(read_layers(self.spark, folder, layers, self.key, df.schema)), self.data_path(base))
             if whole["rows"] != rows:
                 raise GuardError(f"{self.root}: the new base has {whole['rows']} rows, expected {rows}")
             layers = {"base": base, "rows": rows, "changes": [], "key": self.key}
@@ -424,7 +494,10 @@ class SnapshotStore:
             whole = kept.unionByName(fresh)
         seen = dict.fromkeys(("rows", "new_rows", "new_keys", "old_above", "not_positive"), 0)
         if touched:
-            seen = self._observed_write(whole, self.data_path(run), keys, partitioned=PART_COL)
+            bucketed = None
+            if self.bucket_by:  # a task holds one bucket: one file for each partition and bucket
+                whole, bucketed = whole.repartition(self.bucket_by[0], *self.bucket_by[1]), self._table_name(run)
+            seen = self._observed_write(whole, self.data_path(run), keys, partitioned=PART_COL, bucketed=bucketed)
             if seen["rows"] != sum(touched.values()):
                 raise GuardError(f"{self.root}: wrote {seen['rows']} rows to partitions that hold {sum(touched.values())}")
         if path:
@@ -432,7 +505,10 @@ class SnapshotStore:
         manifest.update(dict.fromkeys(touched, run))
         rows.update(touched)
         table = self._partitioned(manifest, df.schema).drop(PART_COL) if manifest else df.limit(0)
-        return _Written({"partitions": manifest, "partition_rows": rows}, sum(rows.values()), seen, table)
+        fields = {"partitions": manifest, "partition_rows": rows}
+        if self.bucket_by:
+            fields["bucketing"] = {"buckets": self.bucket_by[0], "columns": self.bucket_by[1]}
+        return _Written(fields, sum(rows.values()), seen, table)
 
     def _write_side(self, name: str, change: SideChange, run: str, current: TableState | None) -> dict:
         """Add a change set (or a new base) to a side table; its layers."""
@@ -482,7 +558,8 @@ class SnapshotStore:
                 if name.startswith("run=") and name[4:] not in used.get(folder, set()):
                     gone.add(name[4:])
                     if folder == "data":
-                        self.spark.sql(f"DROP TABLE IF EXISTS `{self._table_name(name[4:])}`")
+                        for kept in (self._table_name(name[4:]), f"{self._table_name(name[4:])}_v"):
+                            self.spark.sql(f"DROP TABLE IF EXISTS `{kept}`")
                     remove_path(self.spark, f"{self.root}/{folder}/{name}")
         return sorted(gone)
 

@@ -312,3 +312,172 @@ def test_an_empty_run_is_observed(spark):
         for day in (2, 4):
             report = _load(store, spark, _src(spark, []), day)
             assert report.state.stats["rows"] == 0 and store.read(_schema(spark)).count() == 0
+
+
+# ------------------------------------------------- buckets inside partitions, skipping, commits
+def test_buckets_inside_partitions_join_in_place_and_prune(spark):
+    from martloom.operators.merge import apply_changes
+
+    store = SnapshotStore(spark, _root(), partition_by=F.col("spls_cmpy_ky") % 3, bucket_by=(4, ["spls_cmpy_id"]), key=["spls_cmpy_id"])
+    rows = [(f"C{i}", None, "x", DAY[1]) for i in range(40)]
+    one = _load(store, spark, _src(spark, rows), 2)
+    two = _load(store, spark, _src(spark, [*rows[1:], ("C0", None, "changed", DAY[3])]), 4)
+    assert len({*two.state.partitions.values()}) == 2 and one.state.run in two.state.partitions.values()
+    refusing = spark.newSession()
+    for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        refusing.conf.set(conf, "-1")
+    reader = SnapshotStore(refusing, store.root, key=["spls_cmpy_id"])
+    target = reader.read(_schema(spark)).filter(F.col("_ml_p").isin(0, 1))
+    source = refusing.createDataFrame([("C0", "UPDT", "y")], "spls_cmpy_id string, row_stat_cd string, cmpy_nm string")
+    out = apply_changes(target, source, ["spls_cmpy_id"], run_ts="2024-02-01 00:00:00", update_cols=["cmpy_nm"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1, plan  # the source only
+    assert "PartitionFilters: [_ml_p" in plan or "_ml_p#" in plan.split("PartitionFilters: [")[1].split("]")[0], plan
+    assert target.count() == sum(n for p, n in two.state.partition_rows.items() if p in "01")
+    files = glob.glob(f"{store.data_path(one.state.run)}/_ml_p=1/*.parquet")
+    assert len(files) <= 4  # one a bucket
+    names = rows_of(store.read(_schema(spark)), ["spls_cmpy_id", "cmpy_nm"])
+    assert len(names) == 40 and names[0] == ("C0", "changed")
+    store.vacuum(keep=1)
+    assert store.read(_schema(spark)).count() == 40
+
+
+def _rows_scanned(df):
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    leaves = plan.collectLeaves()
+    nodes = [leaves.apply(i) for i in range(leaves.size())]
+    for n in nodes:
+        inner = n.plan().collectLeaves() if n.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage")) else None
+        for leaf in [n] if inner is None else [inner.apply(i) for i in range(inner.size())]:
+            if "Scan parquet" in leaf.nodeName():
+                total += leaf.metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_key_probe_skips_row_groups(spark):
+    from martloom.operators.delta import key_ranges, new_keys, within_ranges
+
+    store = SnapshotStore(spark, _root(), sort_by=["eml_ky"])
+    rows = spark.range(20_000).select((F.col("id") * 3).alias("eml_ky"), F.lit("X").alias("src_cd")).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # one file a range, small as they are
+    try:
+        store.publish(rows, expect_version=0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    delta = spark.createDataFrame([(k, "X") for k in [*range(300, 330), *range(59_000, 59_030)]], "eml_ky long, src_cd string")
+    target = store.read(rows.schema)
+    ranges = key_ranges(delta, "eml_ky", 8)
+    assert len(ranges) <= 8 and all(a <= b for a, b in ranges)
+    probed = within_ranges(target, "eml_ky", ranges)
+    plan = probed._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan, plan
+    assert _rows_scanned(probed) < 20_000 * 0.8 and _rows_scanned(target.select("eml_ky")) == 20_000
+    want = sorted(tuple(r) for r in new_keys(delta, target, ["eml_ky", "src_cd"]).collect())
+    assert sorted(tuple(r) for r in new_keys(delta, target, ["eml_ky", "src_cd"], skip_on="eml_ky").collect()) == want
+    assert len(want) == 40
+    # text keys have one range, an empty delta none
+    words = spark.createDataFrame([("b",), ("d",), (None,)], "w string")
+    assert key_ranges(words, "w") == [("b", "d")] and key_ranges(words.limit(0), "w") == []
+    assert within_ranges(words, "w", []).count() == 0
+
+
+def test_bloom_filters_answer_for_single_keys(spark):
+    from martloom.operators.delta import within_ranges
+
+    store = SnapshotStore(spark, _root(), sort_by=["k"])
+    rows = spark.range(0, 40_000, 2).select(F.col("id").alias("k")).repartition(2)
+    store.publish(rows, expect_version=0)
+    inside = within_ranges(store.read(rows.schema), "k", [(10_001, 10_001)])  # within the bounds, in no file
+    assert _rows_scanned(inside) == 0
+
+
+def test_commit_needs_an_exclusive_operation(spark, monkeypatch):
+    from martloom.sources import snapshot as module
+
+    a = SnapshotStore(spark, _root())
+    frame_ = full_frame(spark, CMPY_TGT, [])
+    assert a.commit_mode() == "rename"
+    monkeypatch.setattr(module, "RENAMES", ())
+    with pytest.raises(module.CommitUnsafe):
+        a.publish(frame_, expect_version=0)
+    assert not os.path.exists(f"{a.root}/data")  # refused before data is written
+
+
+def test_two_writers_with_conditional_creates(spark, monkeypatch):
+    from martloom.sources import snapshot as module
+
+    monkeypatch.setattr(SnapshotStore, "commit_mode", lambda self: "create")
+    root = _root()
+    a, b = SnapshotStore(spark, root), SnapshotStore(spark, root)
+    main = full_frame(spark, CMPY_TGT, [])
+    a.publish(main, expect_version=0)
+    done = []
+
+    def overtaken(_written):
+        if not done:
+            done.append(a.publish(main, expect_version=1, high_water={"K": 2}))
+
+    with pytest.raises(module.VersionConflict):
+        b.publish(main, expect_version=1, high_water={"K": 9}, verify=overtaken)
+    assert a.state() == done[0] and a.state().high_water == {"K": 2}
+    # two runs that start together
+    window = lambda _: {"lo": "", "run_ts": "", "after": None}
+    a.leases.acquire("p", window)
+    with pytest.raises(WindowBusy):
+        b.leases.acquire("p", window)
+
+
+# ------------------------------------------------------------ temporary tables
+def test_temporary_tables_end_with_the_run_and_the_sweeper_leaves_live_ones(spark):
+    import time
+
+    from martloom.session import checkpoint_dir, hadoop_path, run_tables, stored_table, sweep_tables
+
+    base = checkpoint_dir(spark).rstrip("/").removeprefix("file:")
+    own = f"{base}/tables/{spark.sparkContext.applicationId}"
+
+    def tables():
+        return {n for n in os.listdir(own) if not n.startswith((".", "_"))} if os.path.exists(own) else set()
+
+    store = SnapshotStore(spark, _root())
+    before = tables()
+    _load(store, spark, _src(spark, [("A", None, "a", DAY[1]), (None, None, "x", DAY[1])]), 2)
+    _load(store, spark, _src(spark, [("A", None, "a", DAY[3])]), 4, replay=lambda r: r)
+    assert tables() == before                       # none left by runs
+    with pytest.raises(RuntimeError), run_tables(spark):
+        stored_table(spark.range(3))
+        kept, path = stored_table(spark.range(4), keep=True)
+        raise RuntimeError("lost")
+    assert len(tables()) == len(before) + 1 and kept.count() == 4
+    # another application's folder: swept only once its lease is old
+    fs, lease = hadoop_path(spark, f"{base}/tables/app-gone/_lease")
+    fs.create(lease, True).close()
+    assert sweep_tables(spark) == []
+    assert sweep_tables(spark, now=time.time() + 2 * 24 * 3600) == ["app-gone"]
+    assert kept.count() == 4 and os.path.exists(own) and not os.path.exists(f"{base}/tables/app-gone")
+
+
+# -------------------------------------------------------------- stacked roles
+def test_stacked_date_roles_equal_one_join_a_role(spark):
+    from conftest import frame
+
+    from martloom.operators.lookup import resolve_date_keys
+
+    refusing = spark.newSession()
+    for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        refusing.conf.set(conf, "-1")
+    day = [None, *[d.date() for d in DAY[:6]]]
+    rows = [(i, "x", day[i % 7], day[i % 3], day[i * 5 % 7]) for i in range(60)]
+    roles = {"a": "a_ky", "b": "b_ky", "c": "c_ky"}
+    columns = {"id": "bigint", "t": "string", "a": "date", "b": "date", "c": "date"}
+    out = []
+    for session in (spark, refusing):
+        df = frame(session, columns, rows)
+        cal = frame(session, {"cld_dt": "date", "tm_ky": "bigint"}, [(d, i) for i, d in enumerate(day[1:5])])
+        res = resolve_date_keys(df, cal, roles, key=["id"])
+        out.append(rows_of(res, ["id", "t", "a_ky", "b_ky", "c_ky"]))
+        if session is refusing:
+            plan = res._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan, plan
+    assert out[0] == out[1]
