@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.packing import TokenBytes, token_bytes
+from martloom.llm.packing import TokenBytes, byte_values, token_bytes
 
 # Fixed values of the template.
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -54,15 +54,8 @@ def unescape(text: str) -> str:
 
 @lru_cache(maxsize=2)
 def bytes_by_id(path: str) -> list[bytes]:
-    """The bytes of every id of a byte-level vocabulary, the reserved marks after them.
-
-    Byte-level vocabularies write a printable byte as its own character and
-    the others, in order, as the characters from 256 on.
-    """
-    tokenizer = token_bytes(path).tokenizer
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in printable]
-    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+    """The bytes of every id of a byte-level vocabulary, the reserved marks after them."""
+    tokenizer, byte_of = token_bytes(path).tokenizer, byte_values()
     tokens = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
     return [bytes(byte_of.get(c, 63) for c in t) for t in tokens] + [m.encode() for m in (START, SEP, END)]
 

@@ -13,14 +13,16 @@ tasks that each hold a bounded number of them.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,36 +32,31 @@ CAPACITY = 1024
 END = 2
 OPEN_BINS = 256
 PIECES_PER_TASK = 20_000
-CACHED_CHUNKS = 800_000
-WORDS_AT_ONCE = 256
+TEXTS_AT_ONCE = 256
+LONG = 400_000   # characters; of the two encoders, which give equal ids, longer texts go to the slower
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
-# Between two characters that are not white space, a single space always
-# starts a pre-token, so texts can be tokenised chunk by chunk there. Other
-# white space as the tokenizer or Python may see it, fixed values:
-OTHER_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e" + "".join(
-    map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
-_SPACE = f"[ {OTHER_SPACE}]"
-_CHUNKS = regex.compile(rf"(?<!{_SPACE}|^) (?!{_SPACE}|$)")
-MARKS = ".,"
-PLAIN_LETTERS = "\u0250"   # letters below are letters in every Unicode version
-
-
-def chunks_of(text: str) -> list[str]:
-    """The text cut at its safe spaces; all chunks but the first follow a space."""
-    parts = text.split(" ")
-    if "" not in parts and not any(
-            s in text and (s + " " in text or " " + s in text) for s in OTHER_SPACE):
-        return parts
-    return _CHUNKS.split(text)
+# Characters that every Unicode version classes alike as letters, digits, white space or others; texts
+# with any other go to the tokenizer itself.
+_OTHERS = re.compile("[^\t\n\r\x20-\x7e\u00a1-\u024f]")
+
+
+def byte_values() -> dict[str, int]:
+    """The byte behind each character of a byte-level vocabulary: printable bytes
+    are written as themselves, the others, in order, as the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 class TokenBytes:
     """Texts -> their ids as little-endian unsigned 32-bit integers.
 
-    Chunks repeat, so most are looked up. New words are encoded together, as
-    one text of words after spaces: a word's ids begin where a token begins
-    with the space. The caches are emptied when full, which only costs time.
+    Ids are those of the ``tokenizers`` file at ``path``. Where the file is a
+    plain byte-level BPE whose ids follow its merges, the same vocabulary as
+    ranks gives the same ids faster through ``tiktoken``; texts that hold
+    characters outside the classes both agree on, or are very long, are encoded by the
+    tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,56 +64,39 @@ class TokenBytes:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        space = self.tokenizer.id_to_token(self.tokenizer.encode(" a", add_special_tokens=False).ids[0])[0]
-        self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(space)
-                                for i in range(self.tokenizer.get_vocab_size())])
-        self.after_space: dict[str, bytes] = {}
-        self.as_is: dict[str, bytes] = {}
-
-    def _words(self, words: list[str]) -> None:
-        groups = [" " + " ".join(words[at : at + WORDS_AT_ONCE]) for at in range(0, len(words), WORDS_AT_ONCE)]
-        encoded = self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)
-        for at, e in zip(range(0, len(words), WORDS_AT_ONCE), encoded, strict=True):
-            ids = np.array(e.ids, "<u4")
-            raw, cuts = ids.tobytes(), [*(4 * np.flatnonzero(self.starts[ids])).tolist(), 4 * len(ids)]
-            self.after_space.update(
-                zip(words[at : at + WORDS_AT_ONCE], [raw[a:b] for a, b in pairwise(cuts)], strict=True))
-
-    def _others(self, chunks: list[str], known: dict[str, bytes], before: str) -> None:
-        encoded = self.tokenizer.encode_batch_fast([before + c for c in chunks], add_special_tokens=False)
-        known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(chunks, encoded, strict=True))
-
-    def _learn(self, chunks: set[str]) -> None:
-        """All chunks that follow a space: plain words, words with marks, anything else."""
-        words, marked, others = set(), [], []
-        for chunk in chunks:
-            word = chunk.rstrip(MARKS)
-            if not (word.isalpha() and max(word) < PLAIN_LETTERS):
-                others.append(chunk)
-            elif word == chunk:
-                words.add(word)
-            else:
-                marked.append((chunk, word, chunk[len(word):]))
-                if word not in self.after_space:
-                    words.add(word)
-        self._words(list(words))
-        self._others(others, self.after_space, " ")
-        self._others(list({m for _, _, m in marked if m not in self.as_is}), self.as_is, "")
-        self.after_space.update((chunk, self.after_space[word] + self.as_is[mark]) for chunk, word, mark in marked)
+        with open(path, encoding="utf-8") as file:
+            self.fast = self._ranked(json.load(file))
+
+    @staticmethod
+    def _ranked(spec: dict):
+        """The same encoder from ranks, None unless the file is known to be equal to one."""
+        import tiktoken
+
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = (model["type"] == "BPE" and spec.get("normalizer") is None and spec.get("post_processor") is None
+                 and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+                 and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                                    "fuse_unk", "byte_fallback", "ignore_merges")))
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        if not plain or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+            return None
+        byte_of, special = byte_values(), {t["id"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if i not in special}
+        # fixed value: the pattern by which byte-level vocabularies of this kind split a text
+        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        return tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for known in (self.after_space, self.as_is):
-            if len(known) > CACHED_CHUNKS:
-                known.clear()
-        chunked = [chunks_of(t) for t in texts]
-        first = [parts.pop(0) for parts in chunked]
-        later: set[str] = set()
-        for parts in chunked:
-            later.update(parts)
-        self._learn({c for c in later if c not in self.after_space})
-        self._others(list({c for c in first if c not in self.as_is}), self.as_is, "")
-        get = self.after_space.__getitem__
-        return [self.as_is[f] + b"".join(map(get, parts)) for f, parts in zip(first, chunked, strict=True)]
+        slow = [i for i, t in enumerate(texts) if self.fast is None or len(t) > LONG or _OTHERS.search(t)]
+        whole = dict(zip(slow, self.tokenizer.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False), strict=True))
+        return [_packed(whole[i].ids if i in whole else self.fast(t)) for i, t in enumerate(texts)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -176,9 +156,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text").to_pylist()
-            for at in range(0, len(ids), 512):
-                encoded = encoder.encode([t or "" for t in texts[at : at + 512]])
-                rows = [p for d, e in zip(ids[at : at + 512], encoded, strict=True) for p in pieces_of(d, e + tail, capacity)]
+            for at in range(0, len(ids), TEXTS_AT_ONCE):
+                encoded = encoder.encode([t or "" for t in texts[at : at + TEXTS_AT_ONCE]])
+                rows = [p for d, e in zip(ids[at : at + TEXTS_AT_ONCE], encoded, strict=True) for p in pieces_of(d, e + tail, capacity)]
                 columns = zip(*rows, strict=True)
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (
                     pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
@@ -192,7 +172,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, open_bins: i
     """Pieces of all documents with their sequence and place in it.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. NULL or
-    empty texts are the end id alone. NULL ids and repeated rows are documents
+    empty texts are the end id alone; very long texts are encoded whole and cut
+    into full pieces; pieces of one length go where the order of their hashes
+    puts them. NULL ids and repeated rows are documents
     of their own. An empty table gives no rows. Sequence ids are unique, not
     consecutive: even ones hold a full piece each, odd ones are packed.
     """

@@ -39,7 +39,7 @@ SELECTED_ODDS = 0.5        # and of a classifier feature's, in absolute value
 BOUND = 2.0                # standard errors below the estimate
 FOLDS = 5
 PREFIX = 4
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 CORRELATED = 0.15
 STEPS = 80
 PRIOR_ODDS = 2.0           # log-odds of a voter that fires and could not be estimated

@@ -81,3 +81,14 @@ def test_pack(spark, make_docs, plain):
             at += length
         assert at <= 1024
     assert packing.pack(make_docs([]), PATH).count() == 0
+
+
+def test_both_encoders_give_the_same_ids(plain):
+    """The fast encoder is in use, and equal to the tokenizer over all characters it is given and on long runs."""
+    encoder = packing.token_bytes(PATH)
+    assert encoder.fast is not None
+    safe = [c for c in map(chr, range(0x250)) if not packing._OTHERS.search(c)]
+    texts = [p.format(c=c) for c in safe for p in ("{c}", "a{c}b", " {c} x", "1{c}{c}2", "{c}\n {c}")] + ["a" * 30_000, " " * 30_000, "!?" * 9_000]
+    assert [encoder.fast(t) for t in texts] == [plain(t) for t in texts]
+    long = "word  and\n" * 50_000
+    assert len(long) > packing.LONG and encoder.encode([long]) == [np.array(plain(long), "<u4").tobytes()]
