@@ -7,15 +7,19 @@ hash inside it, equal windows name equal anchors, and only windows whose
 anchor stands in several documents go on. Windows around one anchor travel as
 one context.
 
-The suffixes that start in a bucket's contexts are ordered as in deep-shallow
-sorting: a multikey sort over 8-byte characters down to a shallow depth, then
-the groups that are still tied (long common prefixes) are ordered as blind
-tries, which look only at the characters where a group branches.
+In a bucket a window whose 64-bit hash no other has is equal to none and leaves.
+The suffixes at the others are ordered by deep-shallow sorting: multikey
+quicksort on 8-byte characters, in which groups equal so far go on to the next
+character, down to a shallow depth; groups that are still tied there (long
+common prefixes) become blind tries, which find the character where a group
+first branches, split it there, and never look at the characters in between.
 
 Documents are dealt to parts of bounded size. An anchor with very many
 different contexts (the edge of a passage found everywhere) has its windows
 dealt by their own content, so no bucket collects all surroundings of a
-frequent passage.
+frequent passage; whichever way a window goes, the result is the same.
+A part's runs and contexts are found once and stored; buckets answer with one
+bit for each window.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import parts_for, text_or_empty
+from martloom.llm.common import checkpointed, parts_for, text_or_empty
 
 WIDTH = 50
 GRAM = 20
@@ -41,9 +45,9 @@ CHARACTERS = -(-WIDTH // CHARACTER)
 PART_BYTES = 8 * 1024 * 1024
 BUCKET_BYTES = 8 * 1024 * 1024
 LEAST_PARTS = 16
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 17         # hashed at a time: its arrays stay in a processor's cache
 HOT_CONTEXTS = 1000          # contexts beyond one a part from which an anchor's windows are dealt singly
-MOST_TOLD = 127
+MOST_TOLD = 127              # contexts a part counts of one anchor; more are told as so many
 NO_ID = np.iinfo(np.int64).max
 _C = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
 _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -133,14 +137,22 @@ class Part:
         """
         if not len(self.code):
             return self.code, np.zeros(0, np.uint8)
-        order = np.lexsort((self.around, self.code))
-        code, ids, around = self.code[order], self.ids[self.doc][order], self.around[order]
+        order = np.argsort(self.code)
+        code, ids = self.code[order], self.ids[self.doc][order]
         new = np.concatenate([[True], code[1:] != code[:-1]])
         cut = np.flatnonzero(new)
-        fresh = new | np.concatenate([[True], around[1:] != around[:-1]])
-        contexts = np.minimum(np.add.reduceat(fresh.astype(np.int64), cut), MOST_TOLD)
         several = np.minimum.reduceat(ids, cut) != np.maximum.reduceat(ids, cut)
-        return code[cut], (contexts | several.astype(np.int64) << 7).astype(np.uint8)
+        # contexts differ only where a code stands more than once
+        contexts = np.ones(len(cut), np.int64)
+        group = np.cumsum(new) - 1
+        again = np.flatnonzero(np.diff(np.append(cut, len(code)))[group] > 1)
+        if len(again):
+            around, group = self.around[order[again]], group[again]
+            inner = np.lexsort((around, group))
+            around, group = around[inner], group[inner]
+            fresh = (around[1:] != around[:-1]) & (group[1:] == group[:-1])
+            contexts += np.bincount(group[1:][fresh], minlength=len(cut))
+        return code[cut], (np.minimum(contexts, MOST_TOLD) | several.astype(np.int64) << 7).astype(np.uint8)
 
     def contexts(self, shared: np.ndarray, hot: np.ndarray, buckets: int) -> Contexts:
         return Contexts(self, shared, hot, buckets)
@@ -149,7 +161,7 @@ class Part:
 class Contexts:
     """Distinct contexts of a part's shared anchors; windows of hot anchors one by one.
 
-    ``runs`` are the windows they come from, as (first start, count, record).
+    Beside them the runs of windows they come from: first start, count, record.
     """
 
     def __init__(self, part: Part, shared: np.ndarray, hot: np.ndarray, buckets: int) -> None:
@@ -177,24 +189,36 @@ class Contexts:
         records[:, SPAN], records[:, SPAN + 1] = first - begin, last - begin
         bucket = np.concatenate([mix(part.code[plain] * _C[0]), mix((_characters(records[len(plain):, :WIDTH]) * _ODD).sum(
             axis=1, dtype=np.uint64))]) % np.uint64(buckets)
-        view = np.ascontiguousarray(records).view(f"V{RECORD}").ravel()
-        order = np.lexsort((*reversed([np.ascontiguousarray(c) for c in _record_keys(records).T]), bucket))
-        view, bucket = view[order], bucket[order]
-        new = np.concatenate([[True], (view[1:] != view[:-1]) | (bucket[1:] != bucket[:-1])]) if len(view) else np.zeros(0, bool)
+        # by bucket and hash; equal neighbours are one record
+        keys = _record_keys(records)
+        digest = mix((keys * _RECORD_ODD).sum(axis=1, dtype=np.uint64)) >> np.uint64(24)
+        order = np.argsort(bucket << np.uint64(40) | digest, kind="stable")
+        keys, bucket = keys[order], bucket[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (keys[1:] != keys[:-1]).any(axis=1) | (bucket[1:] != bucket[:-1])
         cut = np.flatnonzero(new)
         self.records = records[order][cut]
         self.bucket = bucket[cut].astype(np.int64)
-        self.least = np.minimum.reduceat(part.ids[doc][order], cut) if len(cut) else np.zeros(0, np.int64)
+        own = part.ids[doc]
+        self.least = np.minimum.reduceat(own[order], cut) if len(cut) else np.zeros(0, np.int64)
         self.of_run = np.empty(len(order), np.int64)
         self.of_run[order] = np.cumsum(new) - 1
-        self.first, self.counts, self.doc = first, last - first + 1, doc
+        # a run's windows all go if its record also stands in a document of this part with a smaller id
+        self.first, self.counts, self.later = first, last - first + 1, self.least[self.of_run] < own
 
-    def windows(self) -> np.ndarray:
-        """How many windows each record has."""
-        return self.records[:, SPAN + 1].astype(np.int64) - self.records[:, SPAN] + 1
 
+def window_counts(records: np.ndarray) -> np.ndarray:
+    """How many windows each record has."""
+    return records[:, SPAN + 1].astype(np.int64) - records[:, SPAN] + 1
 
-_ODD = np.random.default_rng(5).integers(0, 2**63, CHARACTERS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+def _odd(count: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 2**63, count, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+_ODD, _RECORD_ODD = _odd(CHARACTERS, 5), _odd(-(-RECORD // CHARACTER), 6)
+_BASE = _C[0]
+_BASE_WIDTH = np.uint64(pow(int(_BASE), WIDTH, 2**64))
 
 
 def _characters(rows: np.ndarray) -> np.ndarray:
@@ -210,55 +234,120 @@ def _record_keys(records: np.ndarray) -> np.ndarray:
     return padded.view(">u8").astype(np.uint64)
 
 
-def sort_suffixes(characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of suffixes and, in that order, the group of equal ones each belongs to.
+def _split(order: np.ndarray, group: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Sort the places ``at`` of ``order`` by ``value`` within their groups; the new group number of every place.
 
-    ``characters`` has a row of big-endian characters for each suffix.
+    Groups are numbered in order, so members of one stay together.
+    """
+    rank = np.unique(value, return_inverse=True)[1]
+    inner = np.argsort(group[at] * np.int64(len(at) + 1) + rank, kind="quicksort")
+    order[at], rank = order[at][inner], rank[inner]
+    new = np.concatenate([[True], group[1:] != group[:-1]]) if len(group) else np.zeros(0, bool)
+    new[at[1:]] |= (np.diff(rank) != 0) & (group[at][1:] == group[at][:-1])
+    return np.cumsum(new) - 1
+
+
+def multikey_quicksort(characters: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by their first ``depth`` characters, and the group of equal ones of each place.
+
+    Character by character: one quicksort partitions every group by it, and
+    what is equal goes on to the next; a row alone in its group is done.
     """
     n = len(characters)
-    order = np.lexsort(tuple(characters[:, c] for c in reversed(range(SHALLOW))))  # multikey sort to the shallow depth
-    tie = np.zeros(n, bool)  # equal to the suffix before, as far as compared
-    if n:
-        sorted_ = characters[order, :SHALLOW]
-        tie[1:] = (sorted_[1:] == sorted_[:-1]).all(axis=1)
-    for c in range(SHALLOW, characters.shape[1]):
-        # the tries: groups that share a prefix; a character all members share is no branch and is passed over
-        heads = np.flatnonzero(~tie)
-        sizes = np.diff(np.append(heads, n))
-        column = characters[order, c]
-        branch = np.zeros(len(heads), bool)
-        many = sizes > 1
-        if not many.any():
+    order, group = np.arange(n), np.zeros(n, np.int64)
+    for c in range(depth):
+        size = np.bincount(group, minlength=1)
+        at = np.flatnonzero(size[group] > 1)
+        if not len(at):
             break
-        branch[many] = (np.minimum.reduceat(column, heads) != np.maximum.reduceat(column, heads))[many]
-        group = np.repeat(np.arange(len(heads)), sizes)
-        at = np.flatnonzero(branch[group])
+        group = _split(order, group, at, characters[order[at], c])
+    return order, group
+
+
+def blind_tries(characters: np.ndarray, order: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
+    """Order the rows of every group that are equal up to ``depth``; the final groups of equal rows.
+
+    All tries grow together, a level a round: a node is a group and the
+    character at which it first branches (where some row first differs from
+    the group's head), its children are the rows by that character. A group
+    without a branch is a leaf of equal rows.
+    """
+    width = characters.shape[1]
+    known = np.full(int(group[-1]) + 1 if len(group) else 0, depth)  # characters a group's rows share
+    while True:
+        size = np.bincount(group, minlength=1)
+        at = np.flatnonzero((size[group] > 1) & (known[group] < width)) if len(group) else group
         if not len(at):
-            continue
-        inner = np.lexsort((column[at], group[at]))
-        order[at] = order[at][inner]
-        column[at] = column[at][inner]
-        same = np.zeros(len(at), bool)
-        same[1:] = (column[at][1:] == column[at][:-1]) & (group[at][1:] == group[at][:-1])
-        tie[at] = same
-    return order, np.cumsum(~tie) - 1
+            return group
+        heads = np.concatenate([[0], np.cumsum(size)[:-1]])
+        least = int(known[group[at]].min())
+        differs = characters[order[at], least:] != characters[order[heads[group[at]]], least:]
+        branch = np.where(differs.any(axis=1), differs.argmax(axis=1) + least, width)
+        node = np.full(len(size), width)
+        np.minimum.at(node, group[at], branch)
+        known = node
+        parting = at[node[group[at]] < width]
+        if not len(parting):
+            return group
+        before = group
+        group = _split(order, group, parting, characters[order[parting], node[group[parting]]])
+        first = np.concatenate([[True], group[1:] != group[:-1]])
+        known = np.minimum(node[before[first]] + 1, width)
+
+
+def sort_suffixes(characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of suffixes and, in that order, the group of equal ones each belongs to.
+
+    ``characters`` has a row of big-endian characters for each suffix.
+    """
+    depth = min(SHALLOW, characters.shape[1])
+    order, group = multikey_quicksort(characters, depth)
+    return order, blind_tries(characters, order, group, depth)
+
+
+def _window_hashes(records: np.ndarray) -> np.ndarray:
+    """[record, start] hash of the window at each start."""
+    sums = np.zeros((SPAN + 1, len(records)), np.uint64)
+    columns = np.ascontiguousarray(records[:, :SPAN].T).astype(np.uint64) + np.uint64(1)
+    for k in range(SPAN):
+        sums[k + 1] = sums[k] * _BASE + columns[k]
+    return (sums[WIDTH:] - sums[:-WIDTH] * _BASE_WIDTH).T
+
+
+def _suffixes(records: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Characters of the windows at ``at`` in records ``row``."""
+    wide = np.zeros((len(records), SPAN + 2 * CHARACTER), np.uint64)
+    wide[:, :SPAN] = records[:, :SPAN]
+    for step in (1, 2, 4):  # the bytes from each place on, big-endian
+        wide = (wide[:, :-step] << np.uint64(8 * step)) | wide[:, step:]
+    out = np.empty((len(row), CHARACTERS), np.uint64)
+    for c in range(CHARACTERS):
+        out[:, c] = wide[row, at + CHARACTER * c]
+    out[:, -1] &= ~np.uint64(0) << np.uint64(8 * (CHARACTER * CHARACTERS - WIDTH))
+    return out
 
 
 def least_ids(records: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For every window of the records, in order, the least id of an equal window among them."""
-    lo, hi = records[:, SPAN].astype(np.int64), records[:, SPAN + 1].astype(np.int64)
-    counts = hi - lo + 1
+    counts = window_counts(records)
     row = np.repeat(np.arange(len(records)), counts)
-    at = np.repeat(lo, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    characters = np.zeros((len(row), CHARACTERS), np.uint64)
-    steps = np.arange(WIDTH)
-    for cut in (slice(s, s + 65536) for s in range(0, len(row), 65536)):
-        characters[cut] = _characters(records[row[cut, None], at[cut, None] + steps])
-    order, group = sort_suffixes(characters)
-    out = np.empty(len(row), np.int64)
-    if len(row):
+    at = np.repeat(records[:, SPAN].astype(np.int64), counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    out = ids[row]
+    # a window whose hash stands alone is equal to no other
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(
+        _window_hashes(records[c : c + 16384])[row[a:b] - c, at[a:b]] for c, a, b in (
+            (c, *np.searchsorted(row, [c, c + 16384])) for c in range(0, len(records), 16384)))])
+    order = np.argsort(hashes)
+    same = np.zeros(len(order) + 1, bool)
+    same[1:-1] = hashes[order[1:]] == hashes[order[:-1]]
+    again = np.sort(order[same[1:] | same[:-1]])
+    if len(again):
+        characters = _suffixes(records, row[again], at[again])
+        order, group = sort_suffixes(characters)
         heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        out[order] = np.minimum.reduceat(ids[row][order], heads)[group]
+        found = np.empty(len(again), np.int64)
+        found[order] = np.minimum.reduceat(out[again][order], heads)[group]
+        out[again] = found
     return out
 
 
@@ -273,7 +362,7 @@ def _pieces(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
 MESSAGE = "kind int, part long, bucket long, one binary, two binary"
 _FIELDS = [("kind", pa.int32()), ("part", pa.int64()), ("bucket", pa.int64()), ("one", pa.binary()), ("two", pa.binary())]
 ANSWER = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-SHARED, LEAST = 1, 2
+SHARED, RECORDS, RUNS, FOUND = 1, 2, 3, 4
 
 
 def _messages(rows: list[tuple]) -> pa.Table:
@@ -289,13 +378,18 @@ def _mask(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
+def _in_order(rows: pa.Table) -> pa.Table:
+    """A part's rows in one order wherever it is read: its runs name places in their bytes."""
+    return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def _part_of(docs: pa.Table, buckets: int) -> Part:
     return Part(docs["doc_id"].to_pylist(), docs["text"].to_pylist(), buckets)
 
 
 def _shared(part: Part, notes: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The part's shared codes and its hot ones, by the buckets' answers."""
-    codes, _ = part.codes()
+    codes = np.unique(part.code)
     at = dict(_pieces((codes >> _HIGH).astype(np.int64)))
     shared, hot = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
     for bucket, one, two in zip(*(notes[c].to_pylist() for c in ("bucket", "one", "two")), strict=True):
@@ -304,19 +398,23 @@ def _shared(part: Part, notes: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return codes[shared], codes[hot]
 
 
-def removed_bytes(part: Part, contexts: Contexts, least: np.ndarray) -> np.ndarray:
-    """True for every byte of the part to remove; ``least`` goes through the records' windows."""
-    counts = contexts.windows()
-    base = np.cumsum(counts) - counts
-    cover = np.zeros(len(part.bytes) + 1, np.int32)
-    for at in range(0, len(contexts.first), 65536):
+def removed_bytes(size: int, first: np.ndarray, counts: np.ndarray, of_run: np.ndarray, later: np.ndarray,
+                  base: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """True for every byte of a part of ``size`` bytes to remove.
+
+    ``earlier`` goes through the windows of the part's records, which begin at
+    ``base``: an equal window stands in a document with a smaller id than
+    the record's least. ``later`` says the same of a run's record within the part.
+    """
+    cover = np.zeros(size + 1, np.int32)
+    for at in range(0, len(first), 65536):
         cut = slice(at, at + 65536)
-        n = contexts.counts[cut]
+        n = counts[cut]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        found = least[np.repeat(base[contexts.of_run[cut]], n) + step]
-        start = (np.repeat(contexts.first[cut], n) + step)[found < np.repeat(part.ids[contexts.doc[cut]], n)]
-        np.add.at(cover, start, 1)
-        np.add.at(cover, start + WIDTH, -1)
+        gone = earlier[np.repeat(base[of_run[cut]], n) + step] | np.repeat(later[cut], n)
+        start = (np.repeat(first[cut], n) + step)[gone]
+        cover += np.bincount(start, minlength=size + 1)[: size + 1].astype(np.int32)
+        cover -= np.bincount(np.minimum(start + WIDTH, size), minlength=size + 1)[: size + 1].astype(np.int32)
     return np.cumsum(cover[:-1]) > 0
 
 
@@ -326,14 +424,16 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
 
     Texts are UTF-8 bytes (NULL: empty); matches never cross documents and are
     judged on the input. A missing id counts as larger than any other. Rows
-    that repeat an id remove nothing from each other. Other columns are
-    ignored; an empty table gives no rows.
+    that repeat an id remove nothing from each other. Very long texts are read
+    whole; of equal passages in one document none goes for the other. Other
+    columns are ignored; an empty table gives no rows.
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(total, part_bytes, LEAST_PARTS)
     buckets = parts_for(total, bucket_bytes, LEAST_PARTS)
-    dealt = source.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    # by the text too: rows without an id, or of one id, are not all in one part
+    dealt = source.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
 
     def tell_codes(key: tuple, rows: pa.Table) -> pa.Table:
         codes, held = _part_of(rows, buckets).codes()
@@ -353,41 +453,54 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
     def tell_contexts(rows: pa.Table, notes: pa.Table) -> pa.Table:
         if not rows.num_rows or not notes.num_rows:
             return _messages([])
-        part = _part_of(rows, buckets)
+        number = notes["part"][0].as_py()
+        part = _part_of(_in_order(rows), buckets)
         found = part.contexts(*_shared(part, notes), buckets)
-        return _messages([(LEAST, notes["part"][0].as_py(), b, found.records[cut].tobytes(), found.least[cut].tobytes())
-                          for b, cut in _pieces(found.bucket)])
+        runs = np.stack([found.first, found.counts, found.of_run, found.later.astype(np.int64)]).astype(np.uint32)
+        return _messages([(RECORDS, number, b, found.records[cut].tobytes(), found.least[cut].tobytes())
+                          for b, cut in _pieces(found.bucket)]
+                         + [(RUNS, number, None, runs.tobytes(), window_counts(found.records).astype(np.uint8).tobytes())])
 
     def sort_bucket(key: tuple, notes: pa.Table) -> pa.Table:
         sent = [np.frombuffer(r, np.uint8).reshape(-1, RECORD) for r in notes["one"].to_pylist()]
+        records = np.concatenate(sent)
         ids = np.concatenate([np.frombuffer(i, np.int64) for i in notes["two"].to_pylist()])
-        least = least_ids(np.concatenate(sent), ids)
-        cuts = np.cumsum([int((r[:, SPAN + 1].astype(np.int64) - r[:, SPAN] + 1).sum()) for r in sent])[:-1]
-        return _messages([(LEAST, p, key[0].as_py(), x.tobytes(), b"") for p, x in zip(
-            notes["part"].to_pylist(), np.split(least, cuts), strict=True)])
+        earlier = least_ids(records, ids) < np.repeat(ids, window_counts(records))
+        cuts = np.cumsum([int(window_counts(r).sum()) for r in sent])[:-1]
+        return _messages([(FOUND, p, key[0].as_py(), _bits(x), len(x).to_bytes(8, "little")) for p, x in zip(
+            notes["part"].to_pylist(), np.split(earlier, cuts), strict=True)])
 
     def answer(rows: pa.Table, notes: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(
                 ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), [*[pa.int64()] * 4, pa.string()], strict=True)})
-        part = _part_of(rows, buckets)
+        rows = _in_order(rows)
+        raw = [t.encode("utf-8", "surrogatepass") for t in rows["text"].to_pylist()]
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         kind = notes["kind"].to_numpy()
-        found = part.contexts(*_shared(part, notes.filter(pa.array(kind == SHARED))), buckets)
-        heard = notes.filter(pa.array(kind == LEAST)).sort_by("bucket")
-        least = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in heard["one"].to_pylist())])
-        gone = removed_bytes(part, found, least)
+        runs = notes.filter(pa.array(kind == RUNS))
+        gone = np.zeros(edges[-1], bool)
+        if runs.num_rows:
+            first, counts, of_run, later = np.frombuffer(runs["one"][0].as_py(), np.uint32).astype(np.int64).reshape(4, -1)
+            windows = np.frombuffer(runs["two"][0].as_py(), np.uint8).astype(np.int64)
+            heard = notes.filter(pa.array(kind == FOUND)).sort_by("bucket")
+            earlier = np.concatenate([np.zeros(0, bool), *(
+                _mask(x, int.from_bytes(n, "little")) for x, n in zip(heard["one"].to_pylist(), heard["two"].to_pylist(), strict=True))])
+            gone = removed_bytes(int(edges[-1]), first, counts, of_run, later.astype(bool), np.cumsum(windows) - windows, earlier)
         out = []
-        for i, (a, b) in enumerate(zip(part.offsets[:-1], part.offsets[1:], strict=True)):
+        for text, a, b in zip(raw, edges[:-1], edges[1:], strict=True):
             mask = gone[a:b]
-            spans = int(np.count_nonzero(mask[1:] & ~mask[:-1]) + (len(mask) > 0 and bool(mask[0])))
-            kept = part.bytes[a:b][~mask] if spans else part.bytes[a:b]
-            out.append((int(b - a), int(np.count_nonzero(mask)), spans, hashlib.sha256(kept.tobytes()).hexdigest()))
+            removed = int(np.count_nonzero(mask))
+            spans = int(np.count_nonzero(mask[1:] & ~mask[:-1]) + bool(mask[0])) if removed else 0
+            kept = np.frombuffer(text, np.uint8)[~mask].tobytes() if removed else text
+            out.append((int(b - a), removed, spans, hashlib.sha256(kept).hexdigest()))
         sizes, removed, spans, digests = zip(*out, strict=True)
         return pa.table({"doc_id": rows["doc_id"], "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
                          "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
     codes = dealt.groupBy("part").applyInArrow(tell_codes, MESSAGE)
     shared = codes.groupBy("bucket").applyInArrow(find_shared, MESSAGE)
-    contexts = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(tell_contexts, MESSAGE)
-    least = contexts.groupBy("bucket").applyInArrow(sort_bucket, MESSAGE)
-    return dealt.groupBy("part").cogroup(shared.unionByName(least).groupBy("part")).applyInArrow(answer, ANSWER)
+    contexts = checkpointed(dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(tell_contexts, MESSAGE))
+    found = contexts.filter(F.col("kind") == RECORDS).groupBy("bucket").applyInArrow(sort_bucket, MESSAGE)
+    heard = contexts.filter(F.col("kind") == RUNS).unionByName(found)
+    return dealt.groupBy("part").cogroup(heard.groupBy("part")).applyInArrow(answer, ANSWER)
