@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return stored_table(df)[0]
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is none of ``columns`` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -19,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import WORD, checkpointed, text_or_empty
+from martloom.llm.common import WORD, checkpointed, text_or_empty, unused
 
 MIN_WORDS = 10
 BREAK = "\n"
+FREQUENT = 1000   # a content with more than one in so many windows is spread
+SALTS = 32
 
 
 def _order_preserving(keys: DataFrame, columns: list[str], name: str) -> DataFrame:
@@ -67,6 +69,21 @@ def windows_of(member: DataFrame, min_words: int) -> DataFrame:
         "length > 0").distinct()
 
 
+def _later_copies(windows: DataFrame, first: DataFrame, total: int) -> DataFrame:
+    """Windows that are not the ``first`` of their content, a frequent content spread over ``SALTS`` places.
+
+    Fewer than ``FREQUENT`` contents can have more than ``total / FREQUENT``
+    of ``total`` windows each: those, and no others, are broadcast.
+    """
+    content = ["length", "head", "tail"]
+    often = F.col("n") > F.lit(total / FREQUENT)
+    hot = F.broadcast(first.filter(often).select(*content, F.lit(True).alias("hot")))
+    spread = first.withColumn("salt", F.explode(F.when(often, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row", "place"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = windows.join(hot, content, "left").withColumn("salt", salt)
+    return salted.join(spread.drop("n"), [*content, "salt"]).filter(F.struct("row", "place") > F.col("first"))
+
+
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Lines to delete, as ``(row, at)`` pairs.
 
@@ -85,6 +102,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     member = checkpointed(member.select("row", "run", "place", "at", "words", "rank"))
     windows = checkpointed(windows_of(member, min_words))
 
+    total = windows.count()
     ranked, width, found = member.select("row", "run", "place", "rank"), 1, None
     longest = windows.agg(F.max("length")).first()[0] or 1
     while width <= longest:
@@ -95,8 +113,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             tail, ["row", "run", "last"]).select("row", "run", "place", "length", "head", "tail")
         first = keyed.groupBy("length", "head", "tail").agg(
             F.min(F.struct("row", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        later = keyed.join(first, ["length", "head", "tail"]).filter(
-            F.struct("row", "place") > F.col("first")).select("row", "run", "place", "length")
+        later = _later_copies(keyed, first, total).select("row", "run", "place", "length")
         found = later if found is None else found.unionByName(later)
         if 2 * width <= longest:
             then = ranked.select("row", "run", (F.col("place") - width).alias("place"), F.col("rank").alias("then"))
@@ -119,18 +136,20 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``doc_id`` (NULL last), then a hash of the text; rows that repeat both are
     one document and are answered alike. NULL texts stay NULL with no line;
     an empty text is one blank line; an empty table gives no rows. Blank lines
-    stay and do not break a run.
+    stay and do not break a run. Very long texts are read whole; of copies in
+    one document the first stays. Other columns may have any name.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "n_left")]
-    placed = docs.select(*names, row_key().alias("_row"))
-    gone = repeated_lines(placed.filter("text IS NOT NULL").select(F.col("_row").alias("row"), "text"), min_words)
-    cut = gone.groupBy(F.col("row").alias("_row")).agg(F.collect_set("at").alias("_gone"))
-    joined = placed.join(cut, "_row", "left")
+    row, gone = unused(names, "_row"), unused(names, "_gone")
+    placed = docs.select(*names, row_key().alias(row))
+    repeated = repeated_lines(placed.filter("text IS NOT NULL").select(F.col(row).alias("row"), "text"), min_words)
+    cut = repeated.groupBy(F.col("row").alias(row)).agg(F.collect_set("at").alias(gone))
+    joined = placed.join(cut, row, "left")
     lines = F.split(F.col("text"), BREAK)
-    kept = F.array_join(F.filter(lines, lambda _, at: ~F.array_contains("_gone", at)), BREAK)
-    text = F.when(F.col("_gone").isNotNull(), kept).otherwise(F.col("text"))
+    kept = F.array_join(F.filter(lines, lambda _, at: ~F.array_contains(gone, at)), BREAK)
+    text = F.when(F.col(gone).isNotNull(), kept).otherwise(F.col("text"))
     out = joined.select(*[F.col(c) for c in names if c != "text"], text.alias("text"),
                         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-                        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_deleted"))
+                        F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias("n_deleted"))
     return out.select(*names, "n_lines", "n_deleted",
                       F.regexp_count(text_or_empty(), F.lit(WORD)).cast("bigint").alias("n_left"))

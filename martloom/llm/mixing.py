@@ -14,6 +14,7 @@ their own range.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -85,11 +86,13 @@ def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.0, 2.
     document is selected while at least half of it lies inside what is left
     of the budget, so a source misses its target by half a document at most.
 
-    NULL sources form one source of their own; NULL ids share a key; equal
+    NULL sources form one source of their own; rows with a NULL id draw their
+    key from ``mark`` (a hash of their text) where ``docs`` has it; equal
     keys are ordered by id, then size; NULL sizes count 0 and NULL weights 1.
     Repeated rows are documents of their own. An empty table gives no rows.
     """
-    key = -F.log(uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))) / F.coalesce("weight", F.lit(1.0))
+    unnamed = F.concat(F.lit("null "), F.col("mark").cast("string")) if "mark" in docs.columns else F.lit("null")
+    key = -F.log(uniform(F.coalesce(F.col("doc_id").cast("string"), unnamed))) / F.coalesce("weight", F.lit(1.0))
     slim = checkpointed(docs.select(
         "doc_id", "source", F.coalesce("size", F.lit(0)).cast("bigint").alias("size"), key.alias("key"),
         *carry))
@@ -112,7 +115,8 @@ def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.0, 2.
     left = F.col("target") - F.col("epochs") * F.col("source_size")
     return rows.withColumn("start", start).withColumn("epochs", epochs.cast("bigint")).select(
         "doc_id", "source", "size", "source_size", "target", *carry,
-        (F.col("epochs") + (2 * F.col("start") + F.col("size") <= 2 * left).cast("bigint")).alias("copies"))
+        F.least(F.col("epochs") + (2 * F.col("start") + F.col("size") <= 2 * left).cast("bigint"),
+                F.lit(math.ceil(most)).cast("bigint")).alias("copies"))  # an empty document fits into nothing left
 
 
 def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -124,4 +128,5 @@ def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"))
+    """``doc_id, source, size, mark`` (a hash of the text): texts of any length are counted whole, NULL as empty."""
+    return docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), F.xxhash64("text").alias("mark"))

@@ -276,7 +276,9 @@ def components(classes: DataFrame, docs: DataFrame, link: int = LINK) -> DataFra
     near = contract(alone, checkpointed(stars))
 
     found = near.join(classes, "node")
-    texts = _marked(docs).join(found, ["doc_id", "mark"]).select("node", "root", "n_shingles", "registers", "text")
+    named = found.withColumnsRenamed({"doc_id": "own_id", "mark": "own_mark"})
+    texts = _marked(docs).join(named, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))).select(
+        "node", "root", "n_shingles", "registers", "text").dropDuplicates(["node"])  # equal rows of a representative
     counts = near.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     placed = texts.join(counts, "root").withColumn("blocks", F.ceil(F.col("n") / CELL)).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")))
@@ -300,18 +302,20 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     Documents are linked where ``100 * intersection >= link * union`` of their
     shingle sets; a component's id is its smallest doc_id. Documents without
     words are linked with nothing. Rows that repeat a doc_id are answered by
-    their own text. A row without an id joins the component of an equal set
-    that has ids and is not kept; without one it is kept, component NULL. An empty table gives no rows.
+    their own text. Rows without an id are linked like others and belong to the
+    component of the ids they reach; a component without any id has the id NULL
+    and keeps the rows of its least ``mark``. Texts are read whole. An empty table gives no rows.
     """
     sketches = checkpointed(sketched(docs))
     classes = checkpointed(sketches.filter("node IS NOT NULL").groupBy("node").agg(
         F.max("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"),
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("at")).select(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("at")).select(
         "node", "n_shingles", "registers", "at.doc_id", "at.mark"))
-    labels = components(classes.filter("doc_id IS NOT NULL"), docs, link)
+    labels = components(classes, docs, link)
     rows = sketches.select("doc_id", "mark", "n_shingles", "node")
     known = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = known.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = known.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.min("mark").alias("least_mark"))
     out = known.join(least, "root", "left").withColumn("component_id", F.coalesce("least", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & (
+        F.col("component_id").isNotNull() | F.coalesce(F.col("mark") == F.col("least_mark"), F.lit(True)))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "mark")

@@ -84,3 +84,42 @@ def test_near_dedup_links_from_four_fifths(spark, make_docs):
         want |= {2 * k} | ({2 * k + 1} if 100 * len(a & b) < 80 * len(a | b) else set())
     assert len(want) == 40  # 86 of 106 is 0.81: linked from 0.8, not from 0.85
     assert {r.doc_id for r in corpus_pipeline.dedup_near(spark, make_docs(docs), SF).collect()} == want
+
+
+CLASHING = "doc_id long, text string, source string, n_chars long, {}"
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    """Columns named as the stages' own, and in the way of their joins, come out as they went in."""
+    from martloom.session import ship_package
+
+    ship_package(spark)
+    names = ["_mark", "_row", "_gone", "_copy", "mark", "copies", "size", "part", "score", "predicted", "n_lines", "n_left", "row", "node",
+             "root", "kept", "weight", "own_id"]
+    rows = [(i, f"one line of ten words is number {i} of them all\nand a second line of document {i}", "a" if i % 2 else None, 50,
+             *[f"{n} {i}" for n in names]) for i in range(8)] + [(None, None, None, None, *["x"] * len(names))]
+    docs = spark.createDataFrame(rows, CLASHING.format(", ".join(f"{n} string" for n in names)))
+    out = stage[1](spark, docs, SF)
+    assert out.columns == docs.columns
+    before = {r.doc_id: tuple(r[n] for n in names) for r in docs.collect()}
+    assert all(tuple(r[n] for n in names) == before[r.doc_id] for r in out.collect())
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
+def test_stages_of_an_empty_table(spark, stage):
+    from martloom.session import ship_package
+
+    ship_package(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert stage[1](spark, docs, SF).count() == 0
+
+
+def test_an_empty_document_is_taken_twice_at_most(spark):
+    from martloom.session import ship_package
+
+    ship_package(spark)
+    rows = [(i, "w " * 2000, "big") for i in range(30)] + [(100, "a b", "small"), (101, "", "small"), (102, None, "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, SF).collect())
+    assert copies[100] == 2 and max(copies.values()) == 2

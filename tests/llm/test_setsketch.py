@@ -62,6 +62,19 @@ def test_null_ids_and_repeated_rows(spark, make_docs):
     assert sk.near_duplicates(make_docs([])).count() == 0
 
 
+def test_rows_without_ids_are_linked_by_similarity(spark, make_docs):
+    words = [f"w{i}" for i in range(120)]
+    near = [" ".join([*words[:k], "other", *words[k + 1:]]) for k in (10, 60)]
+    alone = [f"z{i}" for i in range(120)]
+    docs = [(7, " ".join(words)), (None, near[0]), (None, near[1]), (None, near[1]),
+            (None, " ".join(alone)), (None, " ".join([*alone[:50], "x", *alone[51:]])), (None, "")]
+    out = sk.near_duplicates(make_docs(docs)).collect()
+    assert sorted((r.component_id, r.kept) for r in out if r.component_id is not None) == [(7, False)] * 3 + [(7, True)]
+    pair = [r for r in out if r.component_id is None and r.n_shingles]
+    assert len(pair) == 2 and sorted(r.kept for r in pair) == [False, True]
+    assert [r.kept for r in out if not r.n_shingles] == [True]
+
+
 @pytest.mark.parametrize("similarity", [0.2, 0.6, 0.85, 0.95])
 def test_sketches_estimate_merge_and_collide(similarity):
     rng = np.random.default_rng(1)
