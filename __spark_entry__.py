@@ -34,7 +34,7 @@ from martloom.operators.keys import assign_surrogate_keys  # noqa: E402
 from martloom.operators.lookup import resolve_date_keys  # noqa: E402
 from martloom.operators.merge import loopback_repair, merge_upsert  # noqa: E402
 from martloom.plans import company, direct_mail, email, taxonomy  # noqa: E402
-from martloom.plans.common import NEW_FLAG, attach_new_keys, max_key  # noqa: E402
+from martloom.plans.common import NEW_FLAG, attach_new_keys, case_blind, max_key  # noqa: E402
 from martloom.plans.runner import open_window, run_load  # noqa: E402
 from martloom.session import checkpoint_dir  # noqa: E402
 import derived_views as V  # noqa: E402
@@ -128,6 +128,13 @@ def q_email_upsert_broadcast(spark: SparkSession, d: str) -> DataFrame:
                         run_ts=WINDOW.run_ts, new_flag=NEW_FLAG)
 
 
+def q_email_case_blind(spark: SparkSession, d: str) -> DataFrame:
+    """The e-mail load with case-blind source codes: a fifth of the source spells them in lower case with a blank after."""
+    src, tgt, cal = _email_inputs(spark, d)
+    spelled = src.withColumn("src_cd", F.when(F.col("eml_id") % 5 == 0, F.concat(F.lower("src_cd"), F.lit(" "))).otherwise(F.col("src_cd")))
+    return case_blind(email.run, ["src_cd"])(spelled, tgt, cal, WINDOW, max_key(tgt, email.SK)).table
+
+
 # ----------------------------------------------------------------- company
 def _company_inputs(spark: SparkSession, d: str):
     return V.company_src(spark, d), V.company_dim(spark, d)
@@ -567,6 +574,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "email_high_water": q_email_high_water,
     "email_date_keys": q_email_date_keys,
     "email_merge": q_email_merge,
+    "email_case_blind": q_email_case_blind,
     "email_upsert_full_outer": q_email_upsert_full_outer,
     "email_upsert_broadcast": q_email_upsert_broadcast,
     "company_spine": q_company_spine,

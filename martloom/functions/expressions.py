@@ -84,6 +84,7 @@ def ts_literal(value: datetime | date | str, like: DataType | None = None) -> Co
 # Case-blind comparison that ignores trailing blanks (the reference's session
 # mode); Spark compares strings byte for byte unless told otherwise.
 CASE_BLIND_KEYS = "UTF8_LCASE_RTRIM"
+PLAIN_KEYS = "UTF8_BINARY"
 
 
 def collate_keys(df, cols, collation: str = CASE_BLIND_KEYS):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.expressions import ts_literal
+from martloom.functions.expressions import CASE_BLIND_KEYS, PLAIN_KEYS, collate_keys, ts_literal
 from martloom.operators.guards import (
     DeltaProfile,
     GuardError,
@@ -142,3 +143,26 @@ def both_forms(target: DataFrame, changes: DataFrame, key: Sequence[str], skip_o
     met = target if skip_on is None else within_ranges(target, skip_on, key_ranges(changes, skip_on))
     return {"table": apply_changes(target, changes, key, **options),
             "changes": apply_changes(met, changes, key, **options, changed_only=True)}
+
+
+def case_blind(load: Callable[..., JobResult], columns: Sequence[str], collation: str = CASE_BLIND_KEYS) -> Callable[..., JobResult]:
+    """``load`` with the text columns named compared case-blind, trailing blanks
+    ignored (the reference's session mode), in every DataFrame it is given.
+
+    Joins, new-key probes, duplicate guards and key order follow the rule. A
+    matched target row keeps its own spelling, an inserted one has the source's;
+    what is published carries plain strings.
+    """
+    @wraps(load)
+    def run(*args, **options) -> JobResult:
+        def ruled(value):
+            return collate_keys(value, columns, collation) if isinstance(value, DataFrame) else value
+
+        result = load(*map(ruled, args), **{k: ruled(v) for k, v in options.items()})
+        result.table = collate_keys(result.table, columns, PLAIN_KEYS)
+        if result.changes is not None:
+            result.changes = collate_keys(result.changes, columns, PLAIN_KEYS)
+        result.quarantined = collate_keys(result.quarantined, columns, PLAIN_KEYS)
+        return result
+
+    return run

@@ -129,9 +129,8 @@ class SnapshotStore:
     state record and the table is re-registered on read, so it works with a
     session-scoped catalog.
 
-    With ``partition_by`` too, every partition is written in those buckets and
-    the version is a catalog table whose partitions lie in the folders of the
-    runs that wrote them: a join is co-located, a filter on ``_ml_p`` prunes.
+    With ``partition_by`` too, every partition is written in those buckets: a
+    join is co-located, a filter on ``_ml_p`` prunes.
 
     ``key`` names the natural key. A partitioned store with a key rewrites a
     touched partition as its old rows without the changed keys and the
@@ -249,12 +248,12 @@ class SnapshotStore:
             return None
         if st.layers:
             return read_layers(self.spark, f"{self.root}/data", st.layers, self.key or st.layers["key"], schema)
-        if st.bucketing and st.partitions:
-            return self._bucketed_partitions(st, schema)
-        if st.bucketing and st.partitions is None:
-            return self._bucketed_table(st.run, st.bucketing, schema)
+        if st.partitions:
+            return self._partition_table(st, schema)
         if st.partitions is not None:
             return self._partitioned(st.partitions, schema)
+        if st.bucketing:
+            return self._bucketed_table(st.run, st.bucketing, schema)
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(self.data_path(st.run))
 
@@ -276,18 +275,22 @@ class SnapshotStore:
                                                StructField("run", StringType(), True)]))
         return reader.parquet(*paths).drop("run")
 
-    def _bucketed_partitions(self, st: TableState, schema: StructType | None) -> DataFrame:
-        """A partitioned and bucketed version as a table of the session's catalog."""
+    def _partition_table(self, st: TableState, schema: StructType | None) -> DataFrame:
+        """A partitioned version as a table of the session's catalog, every
+        partition in the folder of the run that last wrote it. The catalog
+        prunes by ``_ml_p``, so a plan holds the partitions it reads and no list of all paths."""
         name = f"{self._table_name(st.run)}_v"
         if not self.spark.catalog.tableExists(name):
             if schema is None:
                 schema = self.spark.read.parquet(next(f"{self.data_path(r)}/{PART_COL}={p}" for p, r in st.partitions.items())).schema
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != PART_COL)
-            keys = ", ".join(f"`{c}`" for c in st.bucketing["columns"])
+            buckets = ""
+            if st.bucketing:
+                keys = ", ".join(f"`{c}`" for c in st.bucketing["columns"])
+                buckets = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(st.bucketing['buckets'])} BUCKETS"
             root = self.root.replace("'", "\\'")
-            self.spark.sql(
-                f"CREATE TABLE {name} ({cols}, {PART_COL} BIGINT) USING parquet PARTITIONED BY ({PART_COL}) CLUSTERED BY ({keys}) "
-                f"SORTED BY ({keys}) INTO {int(st.bucketing['buckets'])} BUCKETS LOCATION '{root}/data/none'")
+            self.spark.sql(f"CREATE TABLE {name} ({cols}, {PART_COL} BIGINT) USING parquet PARTITIONED BY ({PART_COL}) {buckets} "
+                           f"LOCATION '{root}/data/none'")
             places = [f"PARTITION ({PART_COL}={int(p)}) LOCATION '{root}/data/run={run}/{PART_COL}={int(p)}'"
                       for p, run in st.partitions.items()]
             for at in range(0, len(places), 1000):
