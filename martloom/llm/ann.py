@@ -8,7 +8,9 @@ back and are merged. Messages travel packed as arrays, one row per pair of
 blocks. The graph starts from random-projection leaves.
 
 Search expands, per query, the best nodes not yet expanded by joins with the
-graph, until the best ``beam`` found are all expanded.
+graph, until the best ``beam`` found are all expanded. Neighbours are by
+direction, nearness is the inner product; so a search starts from the query's
+own node and from the longest vectors, which any query may be near to.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ FEW = 0.01               # share of edges that are new
 PER_CENTRE = 10          # candidates a node takes from one centre
 BEAM = 64
 EXPANDED = 32            # of the beam in one hop
+LONGEST = 256            # longest vectors a search also starts from
+HUB = 512                # holders of one node compared together; more are dealt anew every round
 _C = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
@@ -105,7 +109,7 @@ class _Block:
                                        dst.tobytes(), score.tobytes(), fresh.tobytes())])
 
 
-def _pack_nodes(blocks: int, key: tuple, rows: pa.Table) -> pa.Table:
+def _pack_nodes(key: tuple, rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("vec_id")
     ids = rows["vec_id"].to_numpy()
     ids, at = np.unique(ids, return_index=True)  # of rows that repeat an id one is a node
@@ -223,7 +227,15 @@ def _notes(k: int, blocks: int, state: pa.Table, told: pa.Table) -> pa.Table:
     return _table(_NOTE_FIELDS, rows)
 
 
-def _compare(blocks: int, k: int, notes: pa.Table) -> pa.Table:
+def _dealt(at: np.ndarray, round_: int) -> list[np.ndarray]:
+    """A centre's members in groups of at most ``HUB``, other groups every round."""
+    if len(at) <= HUB:
+        return [at]
+    at = np.random.default_rng(round_).permutation(at)
+    return np.array_split(at, -(-len(at) // HUB))
+
+
+def _compare(blocks: int, k: int, round_: int, notes: pa.Table) -> pa.Table:
     """All pairs of a centre's members with a new edge; better ones go to both ends."""
     ids, vectors = _widened(notes)
     vectors = vectors.astype(np.float32)
@@ -232,7 +244,7 @@ def _compare(blocks: int, k: int, notes: pa.Table) -> pa.Table:
     base = np.cumsum([0, *counts])
     member = np.concatenate([np.frombuffer(m, np.int32) + s for m, s in zip(notes["member"].to_pylist(), base, strict=False)])
     src, dst, score = [], [], []
-    for _, at in _split(centre):
+    for at in (part for _, members in _split(centre) for part in _dealt(members, round_)):
         new = fresh[at].astype(bool)
         if not new.any() or len(at) < 2:
             continue
@@ -270,22 +282,25 @@ def neighbour_graph(vectors: DataFrame, neighbours: int = NEIGHBOURS, block_rows
     key = F.col("block")
 
     def pack_nodes(key_: tuple, rows: pa.Table) -> pa.Table:
-        return _pack_nodes(blocks, key_, rows)
+        return _pack_nodes(key_, rows)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.append_column("block", pa.array(block_of(batch.column("vec_id").to_numpy(), blocks)))
 
+    def compared(round_: int):
+        return lambda notes: _compare(blocks, k, round_, notes)
+
     state = checkpointed(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(
         place, "vec_id long, embedding array<double>, block long").groupBy(key).applyInArrow(pack_nodes, _STATE))
     leaves = state.mapInArrow(lambda it: _leaves(depth, TREES, it),
                               "tree int, leaf long, dim int, ids binary, vectors binary, code binary")
     edges = leaves.groupBy("tree", "leaf").applyInArrow(lambda t: _leaf_edges(k, blocks, t), _EDGES)
     state = checkpointed(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE))
-    for _ in range(rounds):
+    for round_ in range(rounds):
         told = state.mapInArrow(lambda it: _reverse(blocks, it), _EDGES)
         notes = state.groupBy(key).cogroup(told.groupBy(key)).applyInArrow(lambda s, t: _notes(k, blocks, s, t), _NOTES)
-        edges = notes.groupBy(key).applyInArrow(lambda t: _compare(blocks, k, t), _EDGES)
+        edges = notes.groupBy(key).applyInArrow(compared(round_), _EDGES)
         state = checkpointed(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE))
         fresh, held = state.mapInArrow(_changes, "fresh long, held long").agg(F.sum("fresh"), F.sum("held")).first()
         if (fresh or 0) <= few * (held or 0):
@@ -310,6 +325,12 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                              pa.list_(pa.int64()))], names=["id", "neighbours"])
 
 
+def _length(vector: Column) -> Column:
+    """Euclidean length, scaled so that squares neither overflow nor vanish."""
+    most = F.array_max(F.transform(vector, F.abs))
+    return most * F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / most) * (x / most)))
+
+
 def _inner(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))), F.lit(0.0),
                        lambda s, x: s + x)
@@ -320,7 +341,7 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for each query.
 
     ``queries`` is a subset of ``vectors`` (``vec_id``, ``embedding``); a
-    query starts from its own node. Its own id is no candidate. Scores are
+    query starts from its own node and the ``LONGEST`` longest. Its own id is no candidate. Scores are
     double precision on the original vectors; ties go to the smaller id.
     """
     points = vectors.select(F.col("vec_id").alias("node"), F.col("embedding").cast("array<double>").alias("x"))
@@ -329,17 +350,19 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20
     asked = checkpointed(asked.join(points.toDF("query_id", "q"), "query_id"))
     nodes = checkpointed(graph.join(points.withColumnRenamed("node", "id"), "id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
-    best = None
+    longest = [r[0] for r in nodes.orderBy(F.desc(_length(F.col("x"))), "id").limit(LONGEST).select("id").collect()]
+    starts = F.explode(F.array(*[F.lit(i) for i in longest])) if longest else F.explode(F.array().cast("array<bigint>"))
+    far = asked.select("query_id", "q", starts.alias("node")).filter("node <> query_id").join(
+        nodes.select(F.col("id").alias("node"), "x"), "node")
+    best = far.select("query_id", "node", _inner("q", "x").alias("score"), F.lit(False).alias("done"))
     frontier = asked.select("query_id", F.col("query_id").alias("node"))
     while True:  # every hop expands nodes that were not, so this ends
         near = frontier.join(nodes.select(F.col("id").alias("node"), "neighbours"), "node").select(
             "query_id", F.explode("neighbours").alias("node")).distinct().filter("node <> query_id")
-        if best is not None:
-            near = near.join(best.select("query_id", "node"), ["query_id", "node"], "left_anti")
+        near = near.join(best.select("query_id", "node"), ["query_id", "node"], "left_anti")
         scored = near.join(nodes.select(F.col("id").alias("node"), "x"), "node").join(asked, "query_id").select(
             "query_id", "node", _inner("q", "x").alias("score"), F.lit(False).alias("done"))
-        if best is not None:
-            scored = scored.unionByName(best)
+        scored = scored.unionByName(best)
         # the best of a query are ranked; those not expanded yet take their turn
         ranked = scored.withColumn("rank", F.row_number().over(order))
         turn = Window.partitionBy("query_id").orderBy(F.col("rank"))

@@ -18,8 +18,9 @@ Documents are dealt to parts of bounded size. An anchor with very many
 different contexts (the edge of a passage found everywhere) has its windows
 dealt by their own content, so no bucket collects all surroundings of a
 frequent passage; whichever way a window goes, the result is the same.
-A part's runs and contexts are found once and stored; buckets answer with one
-bit for each window.
+A part's runs and contexts are found once: its contexts go to their buckets, its
+runs travel beside them and come back with the buckets' answers, one bit for
+each window.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import checkpointed, parts_for, text_or_empty
+from martloom.llm.common import parts_for, text_or_empty
 
 WIDTH = 50
 GRAM = 20
@@ -459,9 +460,11 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
         runs = np.stack([found.first, found.counts, found.of_run, found.later.astype(np.int64)]).astype(np.uint32)
         return _messages([(RECORDS, number, b, found.records[cut].tobytes(), found.least[cut].tobytes())
                           for b, cut in _pieces(found.bucket)]
-                         + [(RUNS, number, None, runs.tobytes(), window_counts(found.records).astype(np.uint8).tobytes())])
+                         + [(RUNS, number, -1 - number, runs.tobytes(), window_counts(found.records).astype(np.uint8).tobytes())])
 
     def sort_bucket(key: tuple, notes: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:  # a part's runs, on their way back to it
+            return notes
         sent = [np.frombuffer(r, np.uint8).reshape(-1, RECORD) for r in notes["one"].to_pylist()]
         records = np.concatenate(sent)
         ids = np.concatenate([np.frombuffer(i, np.int64) for i in notes["two"].to_pylist()])
@@ -500,7 +503,6 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
 
     codes = dealt.groupBy("part").applyInArrow(tell_codes, MESSAGE)
     shared = codes.groupBy("bucket").applyInArrow(find_shared, MESSAGE)
-    contexts = checkpointed(dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(tell_contexts, MESSAGE))
-    found = contexts.filter(F.col("kind") == RECORDS).groupBy("bucket").applyInArrow(sort_bucket, MESSAGE)
-    heard = contexts.filter(F.col("kind") == RUNS).unionByName(found)
+    contexts = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(tell_contexts, MESSAGE)
+    heard = contexts.groupBy("bucket").applyInArrow(sort_bucket, MESSAGE)
     return dealt.groupBy("part").cogroup(heard.groupBy("part")).applyInArrow(answer, ANSWER)

@@ -52,3 +52,41 @@ def test_search_goes_on_until_the_best_are_expanded(spark):
     out = ann.search(chain, points, points.filter("vec_id = 0"), k=1, beam=4, expanded=1).collect()
     x = {i: (1 + i) * np.cos(a) for i, a in enumerate(angles)}
     assert [r.vec_id for r in out] == [max((v, i) for i, v in x.items() if i)[1]]
+
+
+def test_recall_on_vectors_of_unequal_length(spark):
+    """The largest inner products are long vectors that may point elsewhere than the query."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((3000, 24))
+    x *= rng.lognormal(0, 0.7, (3000, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    df = frame(spark, [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)])
+    x = x.astype(np.float32).astype(float)
+    got = {}
+    for r in ann.nearest(df, df.vec_id % 30 == 0, k=10, neighbours=32, block_rows=800).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(got[q] & set(truth(x, range(3000), (q, x[q]), 10))) / 10 for q in range(0, 3000, 30)]
+    assert np.mean(hits) >= 0.95 and min(hits) >= 0.5
+
+
+def test_a_hub_and_one_direction(spark):
+    """A vector that all others hold as a neighbour, and 700 of one direction and different lengths."""
+    rng = np.random.default_rng(4)
+    rays = [(i, [float(1 + i / 100), float(1 + i / 100), 0.0, 0.0]) for i in range(700)]
+    cloud = [(1000 + i, [float(v) for v in 0.3 * rng.standard_normal(4)]) for i in range(700)]
+    df = frame(spark, rays + cloud)
+    got = {}
+    for r in ann.nearest(df, df.vec_id % 100 == 0, k=5, neighbours=16, block_rows=500).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    x = {i: np.array(v) for i, v in rays + cloud}
+    hits = []
+    for q, found in got.items():
+        want = truth(np.array(list(x.values())), list(x), (q, x[q]), 5)
+        hits.append(len({i for _, i in found} & set(want)) / 5)
+    assert len(got) == 14 and np.mean(hits) >= 0.9
+
+
+def test_members_of_a_hub_are_dealt_in_groups():
+    at = np.arange(1300)
+    groups = [ann._dealt(at, r) for r in (0, 1)]
+    assert all(len(g) <= ann.HUB for gs in groups for g in gs) and all(sorted(np.concatenate(gs)) == at.tolist() for gs in groups)
+    assert any((a[: len(b)] != b[: len(a)]).any() for a, b in zip(*groups, strict=True))
