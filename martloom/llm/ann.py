@@ -28,6 +28,7 @@ NEIGHBOURS = 64
 TREES = 4
 LEAF = 128
 LEAF_MOST = 512
+PIECE = 4096             # vectors of a leaf in one group; a larger leaf (one direction) is dealt by blocks, other ones in every tree
 BLOCK = 2048
 ROUNDS = 16              # at most; a round with few changes ends the descent
 FEW = 0.01               # share of edges that are new
@@ -134,10 +135,10 @@ def _leaves(depth: int, trees: int, batches: Iterator[pa.RecordBatch]) -> Iterat
                 signs = block.vectors.astype(np.float32) @ planes > 0
                 code = (signs.astype(np.int64) << np.arange(depth + 8)[::-1]).sum(axis=1)
                 for leaf, at in _split(code >> 8):
-                    out.append((tree, leaf, block.dim, block.ids[at].tobytes(), block.vectors[at].tobytes(),
+                    out.append((tree, leaf, block.block, block.dim, block.ids[at].tobytes(), block.vectors[at].tobytes(),
                                 (code[at] & 255).astype(np.uint8).tobytes()))
         if out:
-            yield _table([("tree", pa.int32()), ("leaf", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()),
+            yield _table([("tree", pa.int32()), ("leaf", pa.int64()), ("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()),
                           ("vectors", pa.binary()), ("code", pa.binary())], out).combine_chunks().to_batches()[0]
 
 
@@ -294,8 +295,11 @@ def neighbour_graph(vectors: DataFrame, neighbours: int = NEIGHBOURS, block_rows
     state = checkpointed(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(
         place, "vec_id long, embedding array<double>, block long").groupBy(key).applyInArrow(pack_nodes, _STATE))
     leaves = state.mapInArrow(lambda it: _leaves(depth, TREES, it),
-                              "tree int, leaf long, dim int, ids binary, vectors binary, code binary")
-    edges = leaves.groupBy("tree", "leaf").applyInArrow(lambda t: _leaf_edges(k, blocks, t), _EDGES)
+                              "tree int, leaf long, block long, dim int, ids binary, vectors binary, code binary")
+    sizes = leaves.groupBy("tree", "leaf").agg(F.sum(F.octet_length("ids") / 8).alias("n"))
+    pieces = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n") / PIECE))
+    leaves = leaves.join(sizes, ["tree", "leaf"]).withColumn("piece", F.pmod(F.xxhash64("block", "tree"), pieces)).drop("n", "block")
+    edges = leaves.groupBy("tree", "leaf", "piece").applyInArrow(lambda t: _leaf_edges(k, blocks, t), _EDGES)
     state = checkpointed(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE))
     for round_ in range(rounds):
         told = state.mapInArrow(lambda it: _reverse(blocks, it), _EDGES)

@@ -39,6 +39,7 @@ SAMPLE_BYTES = 4 * 1024 * 1024   # bytes a file's dictionary is built from, abou
 SAMPLE_PIECE = 4 * 1024          # drawn evenly from all records, over their whole length, in pieces of so many bytes
 FILE_BYTES = 16 * 1024 * 1024    # payload in a file, about
 LEVEL = 3
+FREQUENT = 1000                  # a payload of more than one page in so many is not joined by content
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -159,13 +160,21 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     least ``least_bytes`` bytes the largest page id is the response.
 
     The choice is one aggregation by (length, SHA-256) combined before the
-    shuffle, so a payload that many pages share is no hot group.
+    shuffle. Pages with a payload that more than one page in ``FREQUENT`` has
+    get the choice from a broadcast (fewer than ``FREQUENT`` payloads can be so
+    frequent) and are spread over the join that serves the others.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("size", F.length("payload").cast("bigint")).withColumn("content", F.sha2("payload", 256))
-    first = rows.filter(F.col("size") >= least_bytes).groupBy("size", "content").agg(F.max("page_id").alias("response_id"))
-    rows = rows.join(first, ["size", "content"], "left")
+    first = rows.filter(F.col("size") >= least_bytes).groupBy("size", "content").agg(
+        F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("n"))
+    often = F.col("n") > F.lit(pages.count() / FREQUENT)
+    hot = F.broadcast(first.filter(often).select("size", "content", F.col("response_id").alias("hot_id"), F.lit(True).alias("hot")))
+    others = first.filter(~often).select("size", "content", "response_id", F.lit(0).cast("bigint").alias("place"))
+    place = F.when(F.col("hot"), F.xxhash64("page_id", "url")).otherwise(F.lit(0).cast("bigint"))
+    rows = rows.join(hot, ["size", "content"], "left").withColumn("place", place).join(others, ["size", "content", "place"], "left")
+    rows = rows.withColumn("response_id", F.when(F.col("hot"), F.col("hot_id")).otherwise(F.col("response_id")))
     revisit = F.coalesce(F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id")), F.lit(False))
     return rows.select("page_id", "url", "payload", revisit.alias("revisit"),
                        F.when(revisit, F.col("response_id")).alias("refers_to"))

@@ -79,3 +79,18 @@ def test_small_payloads_are_all_responses(spark, tmp_path):
 def test_empty(spark, tmp_path):
     warc.write_warc(spark.createDataFrame([], SCHEMA), str(tmp_path / "w"))
     assert warc.read_warc(spark, str(tmp_path / "w")).count() == 0
+
+
+def test_a_frequent_payload_is_spread(spark, tmp_path, monkeypatch):
+    """Payloads of more than a quarter of the pages come from the broadcast, with the same plan as the rest."""
+    rows = [(i, "u", "" if i % 2 else f"page {i % 14}", "", "") for i in range(60)] + [(None, "u", "", "", "")]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(str, warc.plan_records(pages).collect()))
+    monkeypatch.setattr(warc, "FREQUENT", 4)
+    assert sorted(map(str, warc.plan_records(pages).collect())) == want
+    top = {}
+    for i, _, html, _, _ in rows:
+        top[html] = max(top.get(html, -1), -1 if i is None else i)
+    by = {i: h for i, _, h, _, _ in rows}
+    for r in warc.plan_records(pages).collect():
+        assert (r.revisit, r.refers_to) == ((False, None) if r.page_id == top[by[r.page_id]] else (True, top[by[r.page_id]]))
