@@ -36,7 +36,7 @@ from martloom.operators.merge import loopback_repair, merge_upsert  # noqa: E402
 from martloom.plans import company, direct_mail, email, taxonomy  # noqa: E402
 from martloom.plans.common import NEW_FLAG, attach_new_keys, case_blind, max_key  # noqa: E402
 from martloom.plans.runner import open_window, run_load  # noqa: E402
-from martloom.session import checkpoint_dir  # noqa: E402
+from martloom.session import checkpoint_dir, hadoop_path  # noqa: E402
 import derived_views as V  # noqa: E402
 from martloom.sources.control import LoadWindow, update_registry  # noqa: E402
 from martloom.sources.lease import LeaseLost, WindowBusy  # noqa: E402
@@ -360,6 +360,20 @@ def q_window_resume(spark: SparkSession, d: str) -> DataFrame:
     return store.read(schema).withColumn("resumed", F.lit(report.window.resumed))
 
 
+def q_run_tables_released(spark: SparkSession, d: str) -> DataFrame:
+    """Temporary tables that a whole e-mail run leaves behind, beside the rows it published."""
+    store, schema, job = _email_store(spark, d)
+    fs, folder = hadoop_path(spark, f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}")
+
+    def tables() -> set:
+        return {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+    before = tables() | {"_lease"}
+    run_load(store, "F_EML_PROMO", "EML_PROMO_KY", job, schema=schema, now=WINDOW.run_ts)
+    left = len(tables() - before)
+    return store.read(schema).agg(F.count(F.lit(1)).alias("row_cnt")).withColumn("left_cnt", F.lit(left).cast("bigint"))
+
+
 def q_partition_publish(spark: SparkSession, d: str) -> DataFrame:
     """The company load in a store partitioned by key: only changed partitions are rewritten."""
     src, tgt = _company_inputs(spark, d)
@@ -611,6 +625,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_resume": q_window_resume,
     "window_takeover": q_window_takeover,
     "quarantine_replay": q_quarantine_replay,
+    "run_tables_released": q_run_tables_released,
     "direct_loopback_indexed": q_direct_loopback_indexed,
     "taxonomy_counts_incremental": q_taxonomy_counts_incremental,
     "publish_changeset": q_publish_changeset,

@@ -28,9 +28,12 @@ from martloom.operators.guards import (
 from martloom.operators.keys import KeyAssignment, advance_high_water, assign_surrogate_keys
 from martloom.operators.lookup import resolve_date_keys, resolve_key
 from martloom.operators.merge import apply_changes, loopback_repair, merge_upsert
+from martloom.operators.reference_index import ReferenceIndex
 from martloom.operators.rollup import distinct_rollup
+from martloom.operators.support import SupportCounts
 from martloom.sources.control import LoadWindow, read_high_water, update_registry
-from martloom.sources.snapshot import SnapshotStore, TableState, VersionConflict, publish_snapshot
+from martloom.sources.lease import LeaseLost, WindowBusy
+from martloom.sources.snapshot import SideChange, SnapshotStore, TableState, VersionConflict, publish_snapshot
 
 __all__ = [
     "DELETED",
@@ -41,10 +44,15 @@ __all__ = [
     "UPDATED",
     "GuardError",
     "KeyAssignment",
+    "LeaseLost",
     "LoadWindow",
+    "ReferenceIndex",
+    "SideChange",
     "SnapshotStore",
+    "SupportCounts",
     "TableState",
     "VersionConflict",
+    "WindowBusy",
     "advance_high_water",
     "apply_changes",
     "assign_surrogate_keys",
