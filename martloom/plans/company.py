@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.expressions import is_live, key_default
 from martloom.operators.guards import check_lookup_unique
+from martloom.operators.hierarchy_index import HierarchyIndex
 from martloom.plans.common import (
     DELTA_FLAG,
     NEW_FLAG,
@@ -20,6 +21,8 @@ from martloom.plans.common import (
 )
 from martloom.session import stored_table
 from martloom.sources.control import LoadWindow
+from martloom.sources.layers import without_keys
+from martloom.sources.snapshot import SnapshotStore
 
 # Fixed names of the company dimension (they must match the mart's columns):
 # natural key, surrogate key, pointers, attributes, and the merge column lists.
@@ -72,35 +75,63 @@ def resolve_pointers(df: DataFrame, spine: DataFrame) -> DataFrame:
     return out
 
 
+def pointer_index(store: SnapshotStore, buckets: int = 256) -> HierarchyIndex:
+    """The kept index of the dimension's pointers, for ``run(..., index=...)``."""
+    return HierarchyIndex(store, "pointers", KEY[0], SK, POINTERS, buckets)
+
+
 def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: int, *,
         loopback: bool = True, dedupe_by: Sequence[str] | None = None, on_null_key: str = "quarantine",
         freeze_delta: bool = True, insert_buckets: tuple[int, Sequence[str]] | None = None,
-        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None) -> JobResult:
+        check_lookups: bool = True, check_duplicates: bool = True, replayed: DataFrame | None = None,
+        index: HierarchyIndex | None = None) -> JobResult:
+    """The company load. With ``index`` (:func:`pointer_index` of the store) the
+    loopback asks the kept pointers to companies whose live key changed instead
+    of every source row. Its first run builds the index from the whole source."""
+    indexed = loopback and index is not None and index.ready
     prepared = prepare_delta(source, window.lo, KEY, what="D_CMPY", dedupe_by=dedupe_by,
                              check_duplicates=check_duplicates, on_null_key=on_null_key, freeze=freeze_delta,
-                             replayed=replayed,
-                             rest_cols=list(POINTERS) if loopback else None)
+                             replayed=replayed, rest_cols=list(POINTERS) if loopback and not indexed else None)
+
+    def stored(df: DataFrame) -> DataFrame:
+        out, path = stored_table(df)
+        prepared.stored.append(path)
+        return out
+
     keys = mint_keys(prepared, target, KEY, SK, high_water, carry=["row_stat_cd"])
-    # one spine for the whole run, read by the one pointer join
-    spine, path = stored_table(spine_with_keys(prepared.delta, target, keys))
-    prepared.stored.append(path)
+    spine = spine_with_keys(prepared.delta, target, keys)
+    if not indexed:  # one spine for the whole run, read by the one pointer join
+        spine = stored(spine)
     if check_lookups and not (check_duplicates or dedupe_by):
         # G4: a pointer must find one live company. The target's ids are unique (every run adds unseen ones only), so
         # the delta's are the ones to ask, where G1 has not
         check_lookup_unique(prepared.delta, "spls_cmpy_id")
 
     delta_part = attach_new_keys(prepared.delta, keys, KEY, SK).withColumn(DELTA_FLAG, F.lit(True))
-    changes = delta_part
-    if loopback:
-        # every other source row, narrowed to key + pointers, for the repair pass
-        rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
-        changes = delta_part.unionByName(rest, allowMissingColumns=True)
-    changes = resolve_pointers(changes, spine)
+    if indexed:
+        seen = stored(index.seen(prepared.delta, spine))
+        moved = stored(index.changed_ids(seen, target))
+        others = stored(without_keys(index.candidates(moved), prepared.delta, KEY))
+        delta_part = resolve_pointers(delta_part, spine)
+        repairs = index.repairs(others).withColumn(DELTA_FLAG, F.lit(False))
+        changes = delta_part.unionByName(repairs, allowMissingColumns=True)
+    else:
+        changes = delta_part
+        if loopback:
+            # every other source row, narrowed to key + pointers, for the repair pass
+            rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
+            changes = delta_part.unionByName(rest, allowMissingColumns=True)
+        changes = resolve_pointers(changes, spine)
     merged = both_forms(
         target, changes, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=list(POINTERS.values()) if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
         repair_only_nonzero=True, insert_buckets=insert_buckets,
     )
+    side = {}
+    if indexed:
+        side = index.advanced(delta_part, others, seen)
+    elif loopback and index is not None:
+        side = index.built(changes, merged["table"], index.seen(prepared.delta, spine))
     return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"spine": spine, "keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))},
-                     SK, prepared.stored, merged["changes"])
+                     SK, prepared.stored, merged["changes"], side)

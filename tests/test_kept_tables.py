@@ -62,6 +62,31 @@ def test_indexed_loopback_equals_the_full_recheck(spark, seed):
     assert rows_of(kept.read(schema), columns) == rows_of(full.read(schema), columns)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_indexed_hierarchy_equals_the_full_recheck(spark, seed):
+    """Five runs a seed of companies that appear, point at others, are deleted, come back and have no status for a while."""
+    from test_golden_jobs import CMPY_SRC, CMPY_TGT
+
+    from martloom.plans import company
+
+    rng = random.Random(100 + seed)
+    full = SnapshotStore(spark, _root())
+    kept = SnapshotStore(spark, _root(), key=company.KEY, compact_at=rng.choice([0.3, 5.0]))
+    rows, schema = {}, full_frame(spark, CMPY_TGT, []).schema
+    names = [f"C{i}" for i in range(9)]
+    for day in range(1, 6):
+        for _ in range(rng.randint(0, 4)):
+            c = rng.choice(names)
+            rows[c] = dict(spls_cmpy_id=c, parnt_cmpy_id=rng.choice([None, *names, "X"]), ultmt_parnt_cmpy_id=rng.choice([None, *names]),
+                           cmpy_nm=f"{c} {day}", row_updt_tms=DAY[2 * day - 1], row_stat_cd=rng.choice(["NEW", "NEW", "DEL", None]))
+        src = full_frame(spark, CMPY_SRC, list(rows.values()))
+        for store, index in ((full, None), (kept, company.pointer_index(kept, buckets=3))):
+            run_load(store, "cmpy", "K", lambda t, w, hw, i=index: company.run(src, t, w, hw, index=i), schema=schema,
+                     initial_high_water=0, now=DAY[2 * day])
+        columns = ["spls_cmpy_ky", "spls_cmpy_id", "parnt_cmpy_ky", "ultmt_parnt_cmpy_ky", "row_stat_cd", "row_updt_tms", "row_insrt_tms"]
+        assert rows_of(kept.read(schema), columns) == rows_of(full.read(schema), columns), day
+
+
 def test_an_indexed_run_reads_only_the_buckets_of_changed_sites(spark):
     store = SnapshotStore(spark, _root(), key=direct_mail.KEY, compact_at=5.0)
     site_type = DRCT_SRC["spls_site_id"]
