@@ -48,6 +48,7 @@ BUCKET_BYTES = 8 * 1024 * 1024
 LEAST_PARTS = 16
 CHUNK_BYTES = 1 << 17         # hashed at a time: its arrays stay in a processor's cache
 HOT_CONTEXTS = 1000          # contexts beyond one a part from which an anchor's windows are dealt singly
+RECORDS_AT_ONCE = 8192
 MOST_TOLD = 127              # contexts a part counts of one anchor; more are told as so many
 NO_ID = np.iinfo(np.int64).max
 _C = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
@@ -162,7 +163,7 @@ class Part:
 class Contexts:
     """Distinct contexts of a part's shared anchors; windows of hot anchors one by one.
 
-    Beside them the runs of windows they come from: first start, count, record.
+    Beside them the runs of windows they come from: how many a record has, their first starts.
     """
 
     def __init__(self, part: Part, shared: np.ndarray, hot: np.ndarray, buckets: int) -> None:
@@ -202,10 +203,11 @@ class Contexts:
         self.bucket = bucket[cut].astype(np.int64)
         own = part.ids[doc]
         self.least = np.minimum.reduceat(own[order], cut) if len(cut) else np.zeros(0, np.int64)
-        self.of_run = np.empty(len(order), np.int64)
-        self.of_run[order] = np.cumsum(new) - 1
-        # a run's windows all go if its record also stands in a document of this part with a smaller id
-        self.first, self.counts, self.later = first, last - first + 1, self.least[self.of_run] < own
+        # runs follow by record; a run has its record's windows, which all go if the record
+        # also stands in a document of this part with a smaller id
+        self.first = first[order]
+        self.runs = np.diff(np.append(cut, len(order)))
+        self.later = np.repeat(self.least, self.runs) < own[order]
 
 
 def window_counts(records: np.ndarray) -> np.ndarray:
@@ -315,15 +317,23 @@ def _window_hashes(records: np.ndarray) -> np.ndarray:
     return (sums[WIDTH:] - sums[:-WIDTH] * _BASE_WIDTH).T
 
 
+def _blocks(row: np.ndarray, records: int) -> Iterator[tuple[int, slice]]:
+    """Ascending record numbers in blocks of records: (first record, its places in ``row``)."""
+    for c in range(0, records, RECORDS_AT_ONCE):
+        a, b = np.searchsorted(row, [c, c + RECORDS_AT_ONCE])
+        yield c, slice(int(a), int(b))
+
+
 def _suffixes(records: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Characters of the windows at ``at`` in records ``row``."""
-    wide = np.zeros((len(records), SPAN + 2 * CHARACTER), np.uint64)
-    wide[:, :SPAN] = records[:, :SPAN]
-    for step in (1, 2, 4):  # the bytes from each place on, big-endian
-        wide = (wide[:, :-step] << np.uint64(8 * step)) | wide[:, step:]
+    """Characters of the windows at ``at`` in records ``row`` (ascending)."""
     out = np.empty((len(row), CHARACTERS), np.uint64)
-    for c in range(CHARACTERS):
-        out[:, c] = wide[row, at + CHARACTER * c]
+    for c, cut in _blocks(row, len(records)):
+        wide = np.zeros((min(RECORDS_AT_ONCE, len(records) - c), SPAN + 2 * CHARACTER), np.uint64)
+        wide[:, :SPAN] = records[c : c + RECORDS_AT_ONCE, :SPAN]
+        for step in (1, 2, 4):  # the bytes from each place on, big-endian
+            wide = (wide[:, :-step] << np.uint64(8 * step)) | wide[:, step:]
+        for k in range(CHARACTERS):
+            out[cut, k] = wide[row[cut] - c, at[cut] + CHARACTER * k]
     out[:, -1] &= ~np.uint64(0) << np.uint64(8 * (CHARACTER * CHARACTERS - WIDTH))
     return out
 
@@ -335,13 +345,14 @@ def least_ids(records: np.ndarray, ids: np.ndarray) -> np.ndarray:
     at = np.repeat(records[:, SPAN].astype(np.int64), counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     out = ids[row]
     # a window whose hash stands alone is equal to no other
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(
-        _window_hashes(records[c : c + 16384])[row[a:b] - c, at[a:b]] for c, a, b in (
-            (c, *np.searchsorted(row, [c, c + 16384])) for c in range(0, len(records), 16384)))])
+    hashes = np.empty(len(row), np.uint64)
+    for c, cut in _blocks(row, len(records)):
+        hashes[cut] = _window_hashes(records[c : c + RECORDS_AT_ONCE])[row[cut] - c, at[cut]]
     order = np.argsort(hashes)
     same = np.zeros(len(order) + 1, bool)
     same[1:-1] = hashes[order[1:]] == hashes[order[:-1]]
     again = np.sort(order[same[1:] | same[:-1]])
+    del hashes, order, same
     if len(again):
         characters = _suffixes(records, row[again], at[again])
         order, group = sort_suffixes(characters)
@@ -399,23 +410,26 @@ def _shared(part: Part, notes: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return codes[shared], codes[hot]
 
 
-def removed_bytes(size: int, first: np.ndarray, counts: np.ndarray, of_run: np.ndarray, later: np.ndarray,
-                  base: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+def removed_bytes(size: int, windows: np.ndarray, runs: np.ndarray, first: np.ndarray, later: np.ndarray,
+                  earlier: np.ndarray) -> np.ndarray:
     """True for every byte of a part of ``size`` bytes to remove.
 
-    ``earlier`` goes through the windows of the part's records, which begin at
-    ``base``: an equal window stands in a document with a smaller id than
-    the record's least. ``later`` says the same of a run's record within the part.
+    Records have ``windows`` windows and ``runs`` runs, which begin at
+    ``first``. ``earlier`` goes through the records' windows: an equal one
+    stands in a document with a smaller id than the record's least; ``later``
+    goes through the runs and says the same of their records within the part.
     """
     cover = np.zeros(size + 1, np.int32)
+    of_run = np.repeat(np.arange(len(runs)), runs)
+    base = np.cumsum(windows) - windows
     for at in range(0, len(first), 65536):
         cut = slice(at, at + 65536)
-        n = counts[cut]
+        n = windows[of_run[cut]]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         gone = earlier[np.repeat(base[of_run[cut]], n) + step] | np.repeat(later[cut], n)
         start = (np.repeat(first[cut], n) + step)[gone]
-        cover += np.bincount(start, minlength=size + 1)[: size + 1].astype(np.int32)
-        cover -= np.bincount(np.minimum(start + WIDTH, size), minlength=size + 1)[: size + 1].astype(np.int32)
+        np.add.at(cover, start, 1)
+        np.add.at(cover, start + WIDTH, -1)
     return np.cumsum(cover[:-1]) > 0
 
 
@@ -457,10 +471,11 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
         number = notes["part"][0].as_py()
         part = _part_of(_in_order(rows), buckets)
         found = part.contexts(*_shared(part, notes), buckets)
-        runs = np.stack([found.first, found.counts, found.of_run, found.later.astype(np.int64)]).astype(np.uint32)
+        of_records = window_counts(found.records).astype(np.uint8).tobytes() + found.runs.astype("<u4").tobytes()
+        of_runs = found.first.astype("<u4").tobytes() + _bits(found.later)
         return _messages([(RECORDS, number, b, found.records[cut].tobytes(), found.least[cut].tobytes())
                           for b, cut in _pieces(found.bucket)]
-                         + [(RUNS, number, -1 - number, runs.tobytes(), window_counts(found.records).astype(np.uint8).tobytes())])
+                         + [(RUNS, number, -1 - number, of_records, of_runs)])
 
     def sort_bucket(key: tuple, notes: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:  # a part's runs, on their way back to it
@@ -484,12 +499,16 @@ def dedup_passages(docs: DataFrame, part_bytes: int = PART_BYTES, bucket_bytes:
         runs = notes.filter(pa.array(kind == RUNS))
         gone = np.zeros(edges[-1], bool)
         if runs.num_rows:
-            first, counts, of_run, later = np.frombuffer(runs["one"][0].as_py(), np.uint32).astype(np.int64).reshape(4, -1)
-            windows = np.frombuffer(runs["two"][0].as_py(), np.uint8).astype(np.int64)
+            of_records, of_runs = runs["one"][0].as_py(), runs["two"][0].as_py()
+            n = len(of_records) // 5
+            windows = np.frombuffer(of_records[:n], np.uint8).astype(np.int64)
+            per_record = np.frombuffer(of_records[n:], "<u4").astype(np.int64)
+            n = int(per_record.sum())
+            first, later = np.frombuffer(of_runs[: 4 * n], "<u4").astype(np.int64), _mask(of_runs[4 * n :], n)
             heard = notes.filter(pa.array(kind == FOUND)).sort_by("bucket")
             earlier = np.concatenate([np.zeros(0, bool), *(
                 _mask(x, int.from_bytes(n, "little")) for x, n in zip(heard["one"].to_pylist(), heard["two"].to_pylist(), strict=True))])
-            gone = removed_bytes(int(edges[-1]), first, counts, of_run, later.astype(bool), np.cumsum(windows) - windows, earlier)
+            gone = removed_bytes(int(edges[-1]), windows, per_record, first, later, earlier)
         out = []
         for text, a, b in zip(raw, edges[:-1], edges[1:], strict=True):
             mask = gone[a:b]
