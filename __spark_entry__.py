@@ -432,6 +432,22 @@ def q_direct_loopback_indexed(spark: SparkSession, d: str) -> DataFrame:
     return store.read(tgt.schema)
 
 
+def q_company_loopback_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """Two company runs with the kept pointer index: every 13th company is
+    deleted in the first and comes back in the second, whose loopback reads the entries that point at those."""
+    src, tgt = _company_inputs(spark, d)
+    some = F.col("spls_cmpy_id") % 13 == 3
+    early = src.withColumn("row_stat_cd", F.when(some, "DEL").otherwise(F.col("row_stat_cd")))
+    late = src.withColumn("row_stat_cd", F.when(some, "NEW").otherwise(F.col("row_stat_cd"))).withColumn(
+        "row_updt_tms", F.when(some, F.lit("2024-02-01 12:00:00").cast("timestamp_ntz")).otherwise(F.col("row_updt_tms")))
+    store = _store(spark, key=company.KEY, compact_at=10.0)
+    store.publish(tgt, expect_version=0, high_water={"K": max_key(tgt, company.SK)}, run_ts=WINDOW.lo)
+    for day, source in ((WINDOW.run_ts, early), (NEXT_RUN, late)):
+        run_load(store, "D_CMPY", "K", lambda t, w, hw, source=source: company.run(
+            source, t, w, hw, index=company.pointer_index(store, buckets=8)), schema=tgt.schema, now=day)
+    return store.read(tgt.schema)
+
+
 def q_taxonomy_counts_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The taxonomy load from kept counts: an earlier run counted other
     promotions, sites and master customers; this one reads the changed promotions only."""
@@ -627,6 +643,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_replay": q_quarantine_replay,
     "run_tables_released": q_run_tables_released,
     "direct_loopback_indexed": q_direct_loopback_indexed,
+    "company_loopback_indexed": q_company_loopback_indexed,
     "taxonomy_counts_incremental": q_taxonomy_counts_incremental,
     "publish_changeset": q_publish_changeset,
     "partition_publish_keyed": q_partition_publish_keyed,
