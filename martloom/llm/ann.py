@@ -329,12 +329,6 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                              pa.list_(pa.int64()))], names=["id", "neighbours"])
 
 
-def _length(vector: Column) -> Column:
-    """Euclidean length, scaled so that squares neither overflow nor vanish."""
-    most = F.array_max(F.transform(vector, F.abs))
-    return most * F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / most) * (x / most)))
-
-
 def _inner(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))), F.lit(0.0),
                        lambda s, x: s + x)
@@ -354,7 +348,7 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20
     asked = checkpointed(asked.join(points.toDF("query_id", "q"), "query_id"))
     nodes = checkpointed(graph.join(points.withColumnRenamed("node", "id"), "id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
-    longest = [r[0] for r in nodes.orderBy(F.desc(_length(F.col("x"))), "id").limit(LONGEST).select("id").collect()]
+    longest = [r[0] for r in nodes.orderBy(F.desc(_inner("x", "x")), "id").limit(LONGEST).select("id").collect()]
     starts = F.explode(F.array(*[F.lit(i) for i in longest])) if longest else F.explode(F.array().cast("array<bigint>"))
     far = asked.select("query_id", "q", starts.alias("node")).filter("node <> query_id").join(
         nodes.select(F.col("id").alias("node"), "x"), "node")
