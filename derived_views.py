@@ -237,14 +237,26 @@ def email_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------- direct
 
-def direct_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = F.col("o_orderkey")
-    promo = F.col("o_orderdate").cast("date")
+def _promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` by the natural key of a promotion, with the columns the others of
+    :func:`direct_raw` are made of (in the order in which those decide a tie)."""
     return table(spark, sf_dir, "orders").select(
-        o.alias("o_orderkey"),
+        "o_orderkey",
         F.col("o_custkey").cast("bigint").alias("spls_prsn_id"),
         F.concat(F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus")).alias("src_cd"),
-        promo.alias("promo_dt"),
+        F.col("o_orderdate").cast("date").alias("promo_dt"),
+        "o_orderpriority",
+        "o_totalprice",
+    )
+
+
+def _direct_columns(promotions: DataFrame) -> DataFrame:
+    o, promo = F.col("o_orderkey"), F.col("promo_dt")
+    return promotions.select(
+        "o_orderkey",
+        "spls_prsn_id",
+        "src_cd",
+        "promo_dt",
         F.when(o % 9 == 0, _null("bigint")).otherwise(o % 150).cast("bigint").alias("spls_site_id"),
         F.date_add(promo, (o % 4).cast("int")).alias("drop_dt"),
         F.date_add(promo, 7).alias("allctn_strt_dt"),
@@ -262,15 +274,21 @@ def direct_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def direct_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _direct_columns(_promotions(spark, sf_dir))
+
+
 DIRECT_KEY = ["spls_prsn_id", "src_cd", "promo_dt"]
 
 
 def direct_src(spark: SparkSession, sf_dir: str, keep_orderkey: bool = False) -> DataFrame:
-    """``direct_raw`` with one row per natural key: the highest order key wins."""
+    """``direct_raw`` with one row per natural key: the highest order key wins.
+
+    The orders are compared and stored before the other columns are made of them."""
     from martloom.operators.guards import dedupe_newest
 
-    out = _stored(spark, sf_dir, "direct_src",
-                  lambda: dedupe_newest(direct_raw(spark, sf_dir), DIRECT_KEY, ["o_orderkey"]))
+    out = _direct_columns(_stored(spark, sf_dir, "direct_src",
+                                  lambda: dedupe_newest(_promotions(spark, sf_dir), DIRECT_KEY, ["o_orderkey"])))
     return out if keep_orderkey else out.drop("o_orderkey")
 
 

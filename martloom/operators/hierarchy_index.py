@@ -16,7 +16,7 @@ live) and the next one the status the merge wrote.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -98,12 +98,14 @@ class HierarchyIndex:
         return candidates.filter(self.differs()).select(
             self.id_col, *[F.col(f"resolved_{c}").alias(c) for c in self.pointers.values()])
 
-    def built(self, source: DataFrame, result: DataFrame, seen: DataFrame) -> dict[str, SideChange]:
-        """The whole index from every source row with its pointers resolved, and the run's new version."""
+    def built(self, source: DataFrame, result: DataFrame, seen: DataFrame,
+              keep: Callable[[DataFrame], DataFrame]) -> dict[str, SideChange]:
+        """The whole index from every source row with its pointers resolved, and the run's new version.
+        ``keep`` stores the entries, which two tables are written from."""
         held = result.select(self.id_col, *[F.col(c).alias(f"held_{c}") for c in self.pointers.values()])
         entries = source.select(self.id_col, *self.pointers, *[F.col(c).alias(f"resolved_{c}") for c in self.pointers.values()]).join(
             held, self.id_col, "left")
-        return self._changes(entries, seen, whole=True)
+        return self._changes(keep(entries), seen, whole=True)
 
     def advanced(self, delta: DataFrame, untouched: DataFrame, seen: DataFrame) -> dict[str, SideChange]:
         """What a run changes: its delta's rows (whose pointers the merge writes)

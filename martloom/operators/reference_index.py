@@ -19,7 +19,7 @@ soft).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -82,24 +82,27 @@ class ReferenceIndex:
     def _placed(self, entries: DataFrame) -> DataFrame:
         return entries.withColumn(BUCKET, self._bucket(F.col(self.ref)))
 
-    def built(self, source: DataFrame, result: DataFrame, live: DataFrame) -> dict[str, SideChange]:
+    def built(self, source: DataFrame, result: DataFrame, live: DataFrame,
+              keep: Callable[[DataFrame], DataFrame]) -> dict[str, SideChange]:
         """The whole index from every source row (``key..., ref, key_col`` resolved
-        by this run) and the run's new version of the target."""
+        by this run) and the run's new version of the target. ``keep`` stores the
+        entries, which two tables are written from, so their joins run once."""
         held = result.select(*self.key, F.col(self.key_col).alias("held"))
         entries = source.select(*self.key, self.ref, F.col(self.key_col).alias("resolved")).join(held, list(self.key), "left")
-        return self._changes(entries, live.filter(F.col(self.ref).isNotNull()), whole=True)
+        return self._changes(keep(entries), live.filter(F.col(self.ref).isNotNull()), whole=True)
 
-    def advanced(self, delta: DataFrame, untouched: DataFrame, written: DataFrame, changed: DataFrame) -> dict[str, SideChange]:
+    def advanced(self, delta: DataFrame, untouched: DataFrame, written: DataFrame, changed: DataFrame,
+                 keep: Callable[[DataFrame], DataFrame]) -> dict[str, SideChange]:
         """What a run changes of the index.
 
         ``delta`` holds ``key..., ref, key_col`` of the run's rows, ``untouched``
-        the candidates outside it, ``written`` the target rows the run wrote.
+        the candidates outside it (stored), ``written`` the target rows the run wrote.
         """
         held = written.select(*self.key, F.col(self.key_col).alias("_after"))
         own = delta.select(*self.key, self.ref, F.col(self.key_col).alias("resolved")).join(held, list(self.key), "left").withColumnRenamed("_after", "held")
         others = untouched.withColumn("held", F.when(F.col("resolved") != F.col("held"), F.col("resolved")).otherwise(F.col("held")))
         dim = changed.select(self.ref, F.col("_now").alias(self.key_col), F.col("_now").isNull().alias(GONE))
-        return self._changes(own.unionByName(others.select(*own.columns)), dim, whole=False)
+        return self._changes(keep(own).unionByName(others.select(*own.columns)), dim, whole=False)
 
     def _changes(self, entries: DataFrame, dim: DataFrame, whole: bool) -> dict[str, SideChange]:
         return {

@@ -136,11 +136,15 @@ def attach_new_keys(df: DataFrame, keys: KeyAssignment, key: Sequence[str], sk:
 
 
 def both_forms(target: DataFrame, changes: DataFrame, key: Sequence[str], skip_on: str | None = None,
-               **options) -> dict[str, DataFrame]:
+               only_met: bool = False, **options) -> dict[str, DataFrame]:
     """``table`` (the whole new version) and ``changes`` (its changed and inserted
     rows) of one merge; a store evaluates the one it writes. With ``skip_on``
-    the second reads the target only where that key column meets ``changes``."""
+    the second reads the target only where that key column meets ``changes``;
+    with ``only_met`` (``changes`` are a part of the source) every layer of the
+    target is cut to their keys where it is read, before the layers meet."""
     met = target if skip_on is None else within_ranges(target, skip_on, key_ranges(changes, skip_on))
+    if only_met:
+        met = met.join(changes.select(*key), list(key), "left_semi")
     return {"table": apply_changes(target, changes, key, **options),
             "changes": apply_changes(met, changes, key, **options, changed_only=True)}
 

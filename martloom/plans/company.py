@@ -131,7 +131,7 @@ def run(source: DataFrame, target: DataFrame, window: LoadWindow, high_water: in
     if indexed:
         side = index.advanced(delta_part, others, seen)
     elif loopback and index is not None:
-        side = index.built(changes, merged["table"], index.seen(prepared.delta, spine))
+        side = index.built(changes, merged["table"], index.seen(prepared.delta, spine), stored)
     return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"spine": spine, "keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))},
                      SK, prepared.stored, merged["changes"], side)

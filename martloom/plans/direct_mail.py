@@ -115,17 +115,19 @@ def run(source: DataFrame, target: DataFrame, sites: DataFrame, calendar: DataFr
             rest = prepared.rest.withColumn(DELTA_FLAG, F.lit(False))
             changes = delta_part.unionByName(rest, allowMissingColumns=True)
         changes = site_key(changes, sites)
+    if index is not None:  # the merge reads them twice, the index again
+        changes = stored(changes)
     merged = both_forms(
         target, changes, KEY, run_ts=window.run_ts, update_cols=UPDATE_COLS, insert_cols=INSERT_COLS,
         repair_cols=REPAIR_COLS if loopback else None, delta_flag=DELTA_FLAG, new_flag=NEW_FLAG,
-        insert_buckets=insert_buckets,
+        insert_buckets=insert_buckets, only_met=indexed,
     )
     side = {}
     if indexed:
         merged["changes"] = stored(merged["changes"])
-        side = index.advanced(delta_part, others, merged["changes"], moved)
+        side = index.advanced(delta_part, others, merged["changes"], moved, stored)
     elif loopback and index is not None:
-        side = index.built(changes, merged["table"], live_lookup(sites, "spls_site_id", "spls_site_ky"))
+        side = index.built(changes, merged["table"], live_lookup(sites, "spls_site_id", "spls_site_ky"), stored)
     return JobResult(merged["table"], keys.high_water, keys.assigned, prepared.quarantined, prepared.profile,
                      {"keys": keys.keyed, "merge_source": changes.filter(F.col(DELTA_FLAG))}, SK, prepared.stored,
                      merged["changes"], side)

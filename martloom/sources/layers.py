@@ -5,7 +5,9 @@ A table is described by its layers, ``{"base": run, "rows": n, "changes":
 the newest row of every key: the base without the keys that the change sets
 hold, and of those the last change set's row. Only change sets are grouped by
 key; the base is probed with their keys, which Spark broadcasts while they are
-few. Once the change sets pass a share of the base, a run writes a new base.
+few. Where a run may change a key once only (``unique``), the last change set
+is read as it is and the others without the keys changed after them. Once the
+change sets pass a share of the base, a run writes a new base.
 
 A row of a side table is removed by a row whose ``_ml_gone`` is true; a table
 without that column only updates and inserts.
@@ -37,10 +39,20 @@ def without_keys(df: DataFrame, others: DataFrame, key: Sequence[str], null_safe
     return df.join(keys, same, "left_anti")
 
 
-def newest_changes(sets: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
-    """The last row of every key over change sets in order, oldest first; a key once per set."""
+def _keys(sets: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [s.select(*key) for s in sets])
+
+
+def newest_changes(sets: Sequence[DataFrame], key: Sequence[str], unique: bool = False) -> DataFrame:
+    """The last row of every key over change sets in order, oldest first; a key once per set.
+
+    With ``unique`` (the sets are known to keep that) rows meet keys, not rows:
+    the last set is not moved, and no row is held in a group."""
     if len(sets) == 1:
         return sets[0]
+    if unique:
+        return reduce(DataFrame.unionByName, [
+            *[without_keys(s, _keys(sets[i + 1 :], key), key, null_safe=True) for i, s in enumerate(sets[:-1])], sets[-1]])
     columns = sets[0].columns
     tagged = [s.withColumn(_SET, F.lit(i)) for i, s in enumerate(sets)]
     rest = [c for c in columns if c not in key]
@@ -54,18 +66,18 @@ def run_files(spark: SparkSession, folder: str, run: str, schema: StructType | N
     return reader.parquet(f"{folder}/run={run}")
 
 
-def changes_of(spark: SparkSession, folder: str, layers: dict, key: Sequence[str], schema: StructType | None) -> DataFrame | None:
-    """The newest row of every key changed since the base; None where nothing was."""
-    sets = [run_files(spark, folder, c["run"], schema) for c in layers["changes"]]
-    return newest_changes(sets, key) if sets else None
+def change_sets(spark: SparkSession, folder: str, layers: dict, schema: StructType | None) -> list[DataFrame]:
+    """What was changed since the base, oldest first."""
+    return [run_files(spark, folder, c["run"], schema) for c in layers["changes"]]
 
 
 def read_layers(spark: SparkSession, folder: str, layers: dict, key: Sequence[str], schema: StructType | None = None,
-                null_safe: bool = False) -> DataFrame:
+                null_safe: bool = False, unique: bool = False) -> DataFrame:
     """The table of ``layers`` under ``folder``: the newest row of every key."""
-    base = run_files(spark, folder, layers["base"], schema)
-    changed = changes_of(spark, folder, layers, key, schema)
-    out = base if changed is None else without_keys(base, changed, key, null_safe).unionByName(changed)
+    out = run_files(spark, folder, layers["base"], schema)
+    sets = change_sets(spark, folder, layers, schema)
+    if sets:
+        out = without_keys(out, _keys(sets, key), key, null_safe).unionByName(newest_changes(sets, key, unique))
     return out.filter(~F.col(GONE)).drop(GONE) if GONE in out.columns else out
 
 

@@ -247,7 +247,7 @@ class SnapshotStore:
         if st is None:
             return None
         if st.layers:
-            return read_layers(self.spark, f"{self.root}/data", st.layers, self.key or st.layers["key"], schema)
+            return read_layers(self.spark, f"{self.root}/data", st.layers, self.key or st.layers["key"], schema, unique=True)
         if st.partitions:
             return self._partition_table(st, schema)
         if st.partitions is not None:
@@ -455,11 +455,11 @@ class SnapshotStore:
         layers = with_change(current.layers, run, seen["rows"])
         if due_for_compaction(layers, self.compact_at):
             base = f"{run}-base"
-            whole = self._observed_write(self._ordered(read_layers(self.spark, folder, layers, self.key, df.schema)), self.data_path(base))
+            whole = self._observed_write(self._ordered(read_layers(self.spark, folder, layers, self.key, df.schema, unique=True)), self.data_path(base))
             if whole["rows"] != rows:
                 raise GuardError(f"{self.root}: the new base has {whole['rows']} rows, expected {rows}")
             layers = {"base": base, "rows": rows, "changes": [], "key": self.key}
-        return _Written({"layers": layers}, rows, seen, read_layers(self.spark, folder, layers, self.key, df.schema))
+        return _Written({"layers": layers}, rows, seen, read_layers(self.spark, folder, layers, self.key, df.schema, unique=True))
     def _write_partitions(self, df: DataFrame, run: str, current: TableState | None, run_ts: datetime | str | None,
                           changes: DataFrame | None, keys: KeyRange | None) -> _Written:
         """Write only the partitions this run changed; the manifest of the new
