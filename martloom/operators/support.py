@@ -98,8 +98,10 @@ class SupportCounts:
         gone = F.coalesce(F.col(GONE), F.lit(False)) if GONE in changed.columns else F.lit(False)
         rows = keep(changed.select(*self._columns(), gone.alias(GONE)))
         old = self._joined(self._side("rows", rows.drop(GONE)), rows.select(*self.key), list(self.key), "left_semi")
-        signed = keep(old.select(self.code, self.member, F.lit(-1).cast("bigint").alias("d")).unionByName(
-            rows.filter(~F.col(GONE)).select(self.code, self.member, F.lit(1).cast("bigint").alias("d"))))
+        first = self.store.side(f"{self.name}_rows") is None
+        signed = rows.filter(~F.col(GONE)).select(self.code, self.member, F.lit(1).cast("bigint").alias("d"))
+        if not first:
+            signed = keep(old.select(self.code, self.member, F.lit(-1).cast("bigint").alias("d")).unionByName(signed))
         pair = [self.code, self.member]
         touched = self._support("support", pair, signed.filter(F.col(self.member).isNotNull()), keep)
         came = self._presence(touched)
@@ -110,9 +112,12 @@ class SupportCounts:
         if links is not None:
             link = [self.member, self.master]
             now = keep(links.select(*link).filter(F.col(self.member).isNotNull() & F.col(self.master).isNotNull()).distinct())
-            was = self._side("links", now)
-            moved = keep(without_keys(now, was, link).withColumn("d", F.lit(1).cast("bigint")).unionByName(
-                without_keys(was, now, link).withColumn("d", F.lit(-1).cast("bigint"))))
+            came_link = now.withColumn("d", F.lit(1).cast("bigint"))
+            if self.store.side(f"{self.name}_links") is None:
+                moved = came_link
+            else:  # both are pairs that occur once: one that is in both cancels out
+                went_link = self._side("links", now).withColumn("d", F.lit(-1).cast("bigint"))
+                moved = keep(came_link.unionByName(went_link).groupBy(*link).agg(F.sum("d").cast("bigint").alias("d")).filter("d <> 0"))
             before = self._side("support", touched.select(*pair, F.col("before").alias("n"))).select(*pair)
             through = came.join(now, self.member).select(self.code, self.master, "d").unionByName(
                 before.join(moved, self.member).select(self.code, self.master, "d"))

@@ -156,3 +156,27 @@ def test_kept_counts_equal_the_rollups_with_null_codes(spark):
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     assert distinct_rollup(promos, ["src_cd"], {"n": "spls_site_id"}).count() == got.count()
     kept.release()
+
+
+def _moves(spark):
+    """Rows of one code each way and links that stay, come and go."""
+    rows = {"k": "bigint", "code": "string", "member": "bigint"}
+    links = {"member": "bigint", "master": "bigint"}
+    return [(frame(spark, rows, [(1, "a", 1), (2, "a", 2), (3, None, 3)]), frame(spark, links, [(1, 10), (2, 20), (3, 30)])),
+            (frame(spark, rows, [(2, "a", 3)]), frame(spark, links, [(1, 10), (3, 30), (3, 20)]))]
+
+
+def test_support_counts_store_what_is_read_twice_only(spark):
+    """A first count stores its rows once and its links once; moved links are found with one grouping."""
+    store, expected = SnapshotStore(spark, _root()), [
+        [("a", 2, 2, 2), (None, 1, 1, 1)], [("a", 2, 2, 3), (None, 1, 1, 2)]]
+    for version, (rows, links) in enumerate(_moves(spark)):
+        counts = SupportCounts(store, "c", ["k"], "code", "member", "master")
+        moved = counts.advance(rows, links)
+        found = [tuple(r) for r in moved.counts.select("code", "rows", "members", "masters").collect()]
+        assert sorted(found, key=str) == sorted(expected[version], key=str)
+        assert len(moved.stored) == (5 if version == 0 else 7)
+        if version:
+            assert sorted(map(tuple, moved.side["c_links"].rows.collect())) == [(2, 20, True), (3, 20, False)]
+        store.publish(frame(spark, {"x": "bigint"}, [(1,)]), expect_version=version, run_ts=DAY[version], side=moved.side)
+        counts.release(moved)
