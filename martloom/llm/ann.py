@@ -7,10 +7,16 @@ pairs of neighbours with a new edge are compared; better neighbours found go
 back and are merged. Messages travel packed as arrays, one row per pair of
 blocks. The graph starts from random-projection leaves.
 
-Search expands, per query, the best nodes not yet expanded by joins with the
-graph, until the best ``beam`` found are all expanded. Neighbours are by
-direction, nearness is the inner product; so a search starts from the query's
-own node and from the longest vectors, which any query may be near to.
+Search expands, per query, the best nodes not yet expanded, until the best
+``beam`` found are all expanded. Queries live in blocks and the graph in
+regions; a hop is four joins of packed messages (nodes to expand, neighbours
+back, candidates to their vectors, scores back), so neither vector is repeated
+for each pair of a query and a candidate. Neighbours are by direction, nearness
+is the inner product; so a search starts from the query's own node and from the
+longest vectors, which any query may be near to.
+
+A round or a hop moves many times the input. The files it was shuffled through
+and the table before it are removed when its own table is stored.
 """
 
 from __future__ import annotations
@@ -19,10 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import checkpointed, parts_for
+from martloom.llm.common import parts_for
+from martloom.session import remove_path, stored_table
 
 NEIGHBOURS = 64
 TREES = 4
@@ -36,6 +44,10 @@ PER_CENTRE = 10          # candidates a node takes from one centre
 BEAM = 64
 EXPANDED = 32            # of the beam in one hop
 LONGEST = 256            # longest vectors a search also starts from
+REGIONS = 64             # of the graph in a search, more where one would hold more than VALUES components
+VALUES = 1 << 21         # vector components that a search's region, or its queries in one task, have at most
+QUERIES = 512            # queries of a block
+PAIRS = 4096             # scored at once
 HUB = 512                # holders of one node compared together; more are dealt anew every round
 _C = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -54,6 +66,23 @@ def usable(vector: Column) -> Column:
         vector, lambda x: x != 0)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _stored(df: DataFrame, *spent: str) -> tuple[DataFrame, str]:
+    """``df`` as a stored table and its path; the shuffle files of the job and the tables at ``spent`` are gone."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        out = stored_table(df)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+    for path in spent:
+        remove_path(df.sparkSession, path)
+    return out
+
+
 def _split(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Rows by target block."""
     order = np.argsort(target, kind="stable")
@@ -75,11 +104,21 @@ def _joined(table: pa.Table, column: str, kind, width: int = 0) -> np.ndarray:
 
 def top_edges(src: np.ndarray, dst: np.ndarray, score: np.ndarray, fresh: np.ndarray, k: int) -> np.ndarray:
     """Rows of the ``k`` best distinct edges of each source; an old copy of an edge wins over a new one."""
-    order = np.lexsort((fresh, dst, src))
+    narrow = len(src) > 0 and min(src.min(), dst.min()) >= 0 and max(src.max(), dst.max()) < 1 << 31
+    if narrow:  # the keys of a sort fit in one integer
+        src, dst = src.astype(np.int64), dst.astype(np.int64)
+        order = np.argsort(src << 32 | dst << 1 | (fresh != 0), kind="stable")
+    else:
+        order = np.lexsort((fresh, dst, src))
     same = np.zeros(len(order), bool)
     same[1:] = (src[order][1:] == src[order][:-1]) & (dst[order][1:] == dst[order][:-1])
     order = order[~same]
-    order = order[np.lexsort((dst[order], -score[order], src[order]))]
+    if narrow and score.dtype == np.float32:
+        bits = (0 - score[order]).view(np.uint32)
+        bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
+        order = order[np.argsort(src[order].astype(np.uint64) << np.uint64(32) | bits, kind="stable")]
+    else:
+        order = order[np.lexsort((dst[order], -score[order], src[order]))]
     heads = np.flatnonzero(np.concatenate([[True], np.diff(src[order]) != 0])) if len(order) else np.zeros(0, np.int64)
     place = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
     return order[place < k]
@@ -264,10 +303,11 @@ def _compare(blocks: int, k: int, round_: int, notes: pa.Table) -> pa.Table:
         score.append(s[x, near[x, y]])
     if not src:
         return _table(_EDGE_FIELDS, [])
-    a, c, s = ids[np.concatenate(src)], ids[np.concatenate(dst)], np.concatenate(score).astype(np.float32)
+    names, place = np.unique(ids, return_inverse=True)
+    a, c, s = place[np.concatenate(src)], place[np.concatenate(dst)], np.concatenate(score).astype(np.float32)
     best = top_edges(a, c, s, np.zeros(len(a)), k)
     best = best[a[best] != c[best]]
-    return _edge_rows(a[best], c[best], s[best], blocks)
+    return _edge_rows(names[a[best]], names[c[best]], s[best], blocks)
 
 
 def neighbour_graph(vectors: DataFrame, neighbours: int = NEIGHBOURS, block_rows: int = BLOCK, rounds: int = ROUNDS,
@@ -292,7 +332,7 @@ def neighbour_graph(vectors: DataFrame, neighbours: int = NEIGHBOURS, block_rows
     def compared(round_: int):
         return lambda notes: _compare(blocks, k, round_, notes)
 
-    state = checkpointed(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(
+    state, at = _stored(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(
         place, "vec_id long, embedding array<double>, block long").groupBy(key).applyInArrow(pack_nodes, _STATE))
     leaves = state.mapInArrow(lambda it: _leaves(depth, TREES, it),
                               "tree int, leaf long, block long, dim int, ids binary, vectors binary, code binary")
@@ -300,12 +340,12 @@ def neighbour_graph(vectors: DataFrame, neighbours: int = NEIGHBOURS, block_rows
     pieces = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n") / PIECE))
     leaves = leaves.join(sizes, ["tree", "leaf"]).withColumn("piece", F.pmod(F.xxhash64("block", "tree"), pieces)).drop("n", "block")
     edges = leaves.groupBy("tree", "leaf", "piece").applyInArrow(lambda t: _leaf_edges(k, blocks, t), _EDGES)
-    state = checkpointed(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE))
+    state, at = _stored(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE), at)
     for round_ in range(rounds):
         told = state.mapInArrow(lambda it: _reverse(blocks, it), _EDGES)
         notes = state.groupBy(key).cogroup(told.groupBy(key)).applyInArrow(lambda s, t: _notes(k, blocks, s, t), _NOTES)
         edges = notes.groupBy(key).applyInArrow(compared(round_), _EDGES)
-        state = checkpointed(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE))
+        state, at = _stored(state.groupBy(key).cogroup(edges.groupBy(key)).applyInArrow(lambda s, e: _merge(k, s, e), _STATE), at)
         fresh, held = state.mapInArrow(_changes, "fresh long, held long").agg(F.sum("fresh"), F.sum("held")).first()
         if (fresh or 0) <= few * (held or 0):
             break
@@ -329,9 +369,170 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                              pa.list_(pa.int64()))], names=["id", "neighbours"])
 
 
-def _inner(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))), F.lit(0.0),
-                       lambda s, x: s + x)
+_REGION = "region long, ids binary, vectors binary, ends binary, neighbours binary"
+_ASKING = "block long, waiting int, ids binary, vectors binary, asker binary, node binary, score binary, done binary, go binary"
+_TO_EXPAND = "region long, block long, asker binary, node binary"
+_FOUND = "block long, asker binary, node binary"
+_TO_SCORE = "region long, slice int, block long, askers binary, vectors binary, worst binary, asker binary, node binary"
+_SCORED = "block long, asker binary, node binary, score binary"
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _rows(schema: str, rows: list[tuple]) -> pa.Table:
+    return _table([(n, _TYPES[t]) for n, t in (c.split() for c in schema.split(", "))], rows)
+
+
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Lists of doubles as rows, zeros for what is missing."""
+    lists = pa.concat_arrays(column.chunks)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    values = pc.fill_null(lists.flatten(), 0.0).to_numpy()
+    x = np.zeros((len(sizes), dim))
+    x[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
+    return x
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Components in four bytes where none loses by it."""
+    with np.errstate(over="ignore"):
+        small = x.astype(np.float32)
+    return (small if np.array_equal(small, x) else x).tobytes()
+
+
+def _unpacked(packed: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(packed, np.float32 if len(packed) == 4 * rows * dim else np.float64).reshape(rows, dim)
+
+
+def _inner(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of rows in double precision, summed from the first component on."""
+    score = np.zeros(len(q))
+    with np.errstate(over="ignore", invalid="ignore"):
+        products = q.astype(np.float64) * x
+        for c in range(products.shape[1]):
+            score += products[:, c]
+    return score
+
+
+def _places(groups: np.ndarray) -> np.ndarray:
+    """Of sorted groups, the index of each one's first member, by member."""
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(groups) != 0])) if len(groups) else np.zeros(0, np.int64)
+    return np.repeat(heads, np.diff(np.append(heads, len(groups))))
+
+
+class _Asking:
+    """A block's queries and the best nodes of each so far, best first."""
+
+    def __init__(self, row: pa.Table, dim: int) -> None:
+        self.block = row["block"][0].as_py()
+        self.ids = _joined(row, "ids", np.int64)
+        self.vectors = _unpacked(row["vectors"][0].as_py(), len(self.ids), dim)
+        self.asker, self.node = _joined(row, "asker", np.int32), _joined(row, "node", np.int64)
+        self.score = _joined(row, "score", np.float64)
+        self.done, self.go = _joined(row, "done", bool), _joined(row, "go", bool)
+
+
+def _turns(block: int, ids: np.ndarray, vectors: np.ndarray, asker: np.ndarray, node: np.ndarray, score: np.ndarray,
+           done: np.ndarray, kept: int, beam: int, expanded: int) -> pa.Table:
+    """The ``kept`` best nodes of each query; of the ``beam`` best those not expanded yet take their turn."""
+    order = np.lexsort((node, -score, ~np.isnan(score), asker))
+    order = order[np.arange(len(order)) - _places(asker[order]) < kept]
+    asker, node, score, done = asker[order], node[order], score[order], done[order]
+    first = _places(asker)
+    waiting = ~done & (np.arange(len(asker)) - first < beam)
+    before = np.cumsum(waiting) - waiting
+    go = waiting & (before - before[first] < expanded)
+    return _rows(_ASKING, [(block, int(go.sum()), ids.tobytes(), _packed(vectors), asker.astype(np.int32).tobytes(), node.tobytes(),
+                            score.tobytes(), (done | go).tobytes(), go.tobytes())])
+
+
+def _to_expand(own: bool, regions: int, dim: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes whose turn it is, or the queries' ``own``, told to their regions."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            a = _Asking(pa.Table.from_batches([batch.slice(row, 1)]), dim)
+            asker, node = (np.arange(len(a.ids), dtype=np.int32), a.ids) if own else (a.asker[a.go], a.node[a.go])
+            rows = [(r, a.block, asker[at].tobytes(), node[at].tobytes()) for r, at in _split(block_of(node, regions))]
+            if rows:
+                yield _rows(_TO_EXPAND, rows).combine_chunks().to_batches()[0]
+
+
+def _found_at(ids: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the nodes are among sorted ids, and which of them are there at all."""
+    at = np.minimum(np.searchsorted(ids, node), max(len(ids) - 1, 0))
+    return at, ids[at] == node if len(ids) else np.zeros(len(node), bool)
+
+
+def _expand(lists: pa.Table, asked: pa.Table) -> pa.Table:
+    """The neighbours of the nodes asked for, each once a query."""
+    if not lists.num_rows:
+        return _rows(_FOUND, [])
+    ids, ends, neighbours = (_joined(lists, n, np.int64) for n in ("ids", "ends", "neighbours"))
+    starts = np.concatenate([[0], ends[:-1]])
+    rows = []
+    for block, asker, node in zip(*(asked[n].to_pylist() for n in ("block", "asker", "node")), strict=True):
+        at, known = _found_at(ids, np.frombuffer(node, np.int64))
+        at, asker = at[known], np.frombuffer(asker, np.int32)[known]
+        sizes = ends[at] - starts[at]
+        asker = np.repeat(asker, sizes)
+        node = neighbours[np.arange(len(asker)) + np.repeat(starts[at] - np.cumsum(sizes) + sizes, sizes)]
+        order = np.lexsort((node, asker))
+        asker, node = asker[order], node[order]
+        new = np.ones(len(node), bool)
+        new[1:] = (asker[1:] != asker[:-1]) | (node[1:] != node[:-1])
+        rows.append((block, asker[new].tobytes(), node[new].tobytes()))
+    return _rows(_FOUND, rows)
+
+
+def _to_score(regions: int, slices: int, dim: int, kept: int, state: pa.Table, found: pa.Table) -> pa.Table:
+    """Candidates that a query doesn't hold, told to their regions with its vector and the least score that it still takes."""
+    if not state.num_rows:
+        return _rows(_TO_SCORE, [])
+    a = _Asking(state, dim)
+    asker = np.concatenate([np.arange(len(a.ids), dtype=np.int32), a.asker, _joined(found, "asker", np.int32)])
+    node = np.concatenate([a.ids, a.node, _joined(found, "node", np.int64)])
+    order = np.lexsort((node, asker))  # stable: what is held comes before what is found
+    new = order >= len(a.ids) + len(a.node)
+    new[1:] &= (asker[order][1:] != asker[order][:-1]) | (node[order][1:] != node[order][:-1])
+    asker, node = asker[order[new]], node[order[new]]
+    worst = np.full(len(a.ids), -np.inf)
+    full = np.arange(len(a.asker)) - _places(a.asker) == kept - 1
+    worst[a.asker[full]] = a.score[full]
+    rows = []
+    for region, at in _split(block_of(node, regions)):
+        sent, local = np.unique(asker[at], return_inverse=True)
+        rows.append((region, a.block % slices, a.block, sent.astype(np.int32).tobytes(), a.vectors[sent].tobytes(), worst[sent].tobytes(),
+                     local.astype(np.int32).tobytes(), node[at].tobytes()))
+    return _rows(_TO_SCORE, rows)
+
+
+def _score(dim: int, points: pa.Table, asked: pa.Table) -> pa.Table:
+    """Scores of the candidates that are not worse than the worst a query holds."""
+    if not points.num_rows:
+        return _rows(_SCORED, [])
+    ids = _joined(points, "ids", np.int64)
+    x = _unpacked(points["vectors"][0].as_py(), len(ids), dim)
+    rows = []
+    for message in asked.to_batches(1):
+        block, askers, q, worst, local, node = (message.column(n)[0].as_py() for n in ("block", "askers", "vectors", "worst", "asker", "node"))
+        askers, worst = np.frombuffer(askers, np.int32), np.frombuffer(worst, np.float64)
+        local, node = np.frombuffer(local, np.int32), np.frombuffer(node, np.int64)
+        q = _unpacked(q, len(askers), dim)
+        at, known = _found_at(ids, node)
+        at, local, node = at[known], local[known], node[known]
+        score = np.concatenate([np.zeros(0), *(_inner(q[local[i : i + PAIRS]], x[at[i : i + PAIRS]]) for i in range(0, len(at), PAIRS))])
+        good = ~(score < worst[local])
+        rows.append((block, askers[local[good]].tobytes(), node[good].tobytes(), score[good].tobytes()))
+    return _rows(_SCORED, rows)
+
+
+def _answers(k: int, dim: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            a = _Asking(pa.Table.from_batches([batch.slice(row, 1)]), dim)
+            rank = np.arange(len(a.asker)) - _places(a.asker) + 1
+            at = rank <= k
+            yield pa.record_batch([pa.array(a.ids[a.asker[at]]), pa.array(rank[at].astype(np.int32)), pa.array(a.node[at]),
+                                   pa.array(a.score[at])], names=["query_id", "rank", "vec_id", "score"])
 
 
 def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = BEAM,
@@ -344,35 +545,81 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 20
     """
     points = vectors.select(F.col("vec_id").alias("node"), F.col("embedding").cast("array<double>").alias("x"))
     points = points.groupBy("node").agg(F.min("x").alias("x"))
-    asked = queries.select(F.col("vec_id").alias("query_id")).distinct()
-    asked = checkpointed(asked.join(points.toDF("query_id", "q"), "query_id"))
-    nodes = checkpointed(graph.join(points.withColumnRenamed("node", "id"), "id"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
-    longest = [r[0] for r in nodes.orderBy(F.desc(_inner("x", "x")), "id").limit(LONGEST).select("id").collect()]
-    starts = F.explode(F.array(*[F.lit(i) for i in longest])) if longest else F.explode(F.array().cast("array<bigint>"))
-    far = asked.select("query_id", "q", starts.alias("node")).filter("node <> query_id").join(
-        nodes.select(F.col("id").alias("node"), "x"), "node")
-    best = far.select("query_id", "node", _inner("q", "x").alias("score"), F.lit(False).alias("done"))
-    frontier = asked.select("query_id", F.col("query_id").alias("node"))
+    asked = queries.select(F.col("vec_id").alias("node")).distinct()
+    n, dim = vectors.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    dim = max(dim or 0, 1)
+    regions = parts_for(n, max(1, min(max(BLOCK, -(-n // REGIONS)), VALUES // dim)))
+    blocks = parts_for(asked.count(), max(1, min(QUERIES, VALUES // dim)))
+    slices = parts_for(blocks, max(1, VALUES // (dim * QUERIES)))
+    kept = max(beam, k)
+    region, block = F.col("region"), F.col("block")
+
+    def place(column: str, name: str, parts: int, schema: str):
+        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.append_column(name, pa.array(block_of(batch.column(column).to_numpy(), parts)))
+        return lambda df: df.mapInArrow(placed, f"{schema}, {name} long")
+
+    def pack_region(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node")
+        lists = pa.concat_arrays(rows["neighbours"].chunks)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64))
+        return _rows(_REGION, [(key[0].as_py(), rows["node"].to_numpy().tobytes(), _packed(_matrix(rows["x"], dim)), ends.tobytes(),
+                                lists.flatten().to_numpy().tobytes())])
+
+    def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], np.int64)
+                x = _unpacked(row["vectors"], len(ids), dim)
+                length = np.concatenate([_inner(x[i : i + PAIRS], x[i : i + PAIRS]) for i in range(0, len(x), PAIRS)])
+                at = np.lexsort((ids, -length))[:LONGEST]
+                yield pa.record_batch([pa.array(ids[at]), pa.array(length[at]), pa.array([x[i].astype(np.float64) for i in at])],
+                                      names=["node", "length", "x"])
+
+    def pack_queries(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node")
+        ids, q = rows["node"].to_numpy(), _matrix(rows["x"], dim)
+        score = np.array([_inner(np.broadcast_to(v, far_x.shape), far_x) for v in q]).reshape(len(q), len(far))
+        asker, at = np.nonzero(far != ids[:, None])
+        return _turns(key[0].as_py(), ids, q, asker, far[at], score[asker, at], np.zeros(len(at), bool), kept, 0, 0)
+
+    def merge(state: pa.Table, scored: pa.Table) -> pa.Table:
+        if not state.num_rows:
+            return _rows(_ASKING, [])
+        a, more = _Asking(state, dim), _joined(scored, "node", np.int64)
+        return _turns(a.block, a.ids, a.vectors, np.concatenate([a.asker, _joined(scored, "asker", np.int32)]), np.concatenate([a.node, more]),
+                      np.concatenate([a.score, _joined(scored, "score", np.float64)]),
+                      np.concatenate([a.done, np.zeros(len(more), bool)]), kept, beam, expanded)
+
+    def to_expand(own: bool):
+        return lambda batches: _to_expand(own, regions, dim, batches)
+
+    nodes = points.join(graph.withColumnRenamed("id", "node"), "node").select("node", "x", "neighbours")
+    nodes, nodes_at = _stored(place("node", "region", regions, "node long, x array<double>, neighbours array<long>")(nodes).groupBy(
+        region).applyInArrow(pack_region, _REGION))
+    top = nodes.select("ids", "vectors").mapInArrow(longest, "node long, length double, x array<double>").orderBy(
+        F.desc("length"), "node").limit(LONGEST).collect()
+    far = np.array([r.node for r in top], np.int64)
+    far_x = np.array([r.x for r in top]).reshape(len(top), dim)
+    asked = place("node", "block", blocks, "node long, x array<double>")(asked.join(points, "node"))
+    state, at = _stored(asked.groupBy(block).applyInArrow(pack_queries, _ASKING))
+    lists = nodes.select("region", "ids", "ends", "neighbours")
+    packed = nodes.select("region", "ids", "vectors", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    own = True
     while True:  # every hop expands nodes that were not, so this ends
-        near = frontier.join(nodes.select(F.col("id").alias("node"), "neighbours"), "node").select(
-            "query_id", F.explode("neighbours").alias("node")).distinct().filter("node <> query_id")
-        near = near.join(best.select("query_id", "node"), ["query_id", "node"], "left_anti")
-        scored = near.join(nodes.select(F.col("id").alias("node"), "x"), "node").join(asked, "query_id").select(
-            "query_id", "node", _inner("q", "x").alias("score"), F.lit(False).alias("done"))
-        scored = scored.unionByName(best)
-        # the best of a query are ranked; those not expanded yet take their turn
-        ranked = scored.withColumn("rank", F.row_number().over(order))
-        turn = Window.partitionBy("query_id").orderBy(F.col("rank"))
-        waiting = F.when((F.col("rank") <= beam) & ~F.col("done"), 1).otherwise(0)
-        ranked = ranked.withColumn("turn", F.sum(waiting).over(turn.rowsBetween(Window.unboundedPreceding, 0)) * waiting)
-        ranked = checkpointed(ranked.withColumn("go", (F.col("turn") > 0) & (F.col("turn") <= expanded)))
-        frontier = ranked.filter("go").select("query_id", "node")
-        best = ranked.select("query_id", "node", "score", (F.col("done") | F.col("go")).alias("done"))
-        if frontier.isEmpty():
+        told = state.mapInArrow(to_expand(own), _TO_EXPAND)
+        found = lists.groupBy(region).cogroup(told.groupBy(region)).applyInArrow(_expand, _FOUND)
+        told = state.groupBy(block).cogroup(found.groupBy(block)).applyInArrow(
+            lambda s, f: _to_score(regions, slices, dim, kept, s, f), _TO_SCORE)
+        scored = packed.groupBy("region", "slice").cogroup(told.groupBy("region", "slice")).applyInArrow(
+            lambda p, t: _score(dim, p, t), _SCORED)
+        state, at = _stored(state.groupBy(block).cogroup(scored.groupBy(block)).applyInArrow(merge, _ASKING), at)
+        own = False
+        if state.filter("waiting > 0").isEmpty():
             break
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), F.col("node").alias("vec_id"), "score")
+    remove_path(vectors.sparkSession, nodes_at)
+    return state.mapInArrow(lambda batches: _answers(k, dim, batches), "query_id long, rank int, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, **options) -> DataFrame:
@@ -385,7 +632,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, **options) -> Data
     if taking_part.isEmpty():
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     # the condition is stored with the rows: a column of ``vectors`` means nothing to the stored copy
-    rows = checkpointed(taking_part.select(
+    rows, at = _stored(taking_part.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
         queries.alias("asks")))
-    return search(neighbour_graph(rows, **options), rows, rows.filter("asks"), k)
+    out = search(neighbour_graph(rows, **options), rows, rows.filter("asks"), k)
+    remove_path(vectors.sparkSession, at)  # the answers are stored
+    return out
